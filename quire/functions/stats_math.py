@@ -58,6 +58,7 @@ def t_two_sided_p(t: Column, df: Column) -> Column:
 def signed_rank_counts(n: Column) -> Column:
     """``array<bigint>`` c where c[s+1] is the number of subsets of {1..n}
     with sum s (s = 0 .. n(n+1)/2)."""
+    n = n.cast("int")
     top = (n * (n + 1) / 2).cast("int")
     init = F.transform(F.sequence(F.lit(0), top), lambda s: F.when(s == 0, F.lit(1)).otherwise(F.lit(0)).cast("long"))
     return F.aggregate(

@@ -5,8 +5,9 @@ Plan shape (one job for all queries, see ``score``):
 1. documents -> token arrays -> tokens exploded -> broadcast semi-join with
    the (size-checked) set of query terms: only matching tokens survive,
    before anything is shuffled; every document also emits one length row.
-2. One hash exchange on ``doc_id`` of that reduced stream. Three consumers
-   read it (Spark reuses the exchange): the collection totals (N, T), the
+2. The reduced stream is counted per (doc, term) (map-side first),
+   hash-partitioned on ``doc_id`` and checkpointed to the shared checkpoint
+   folder. Three consumers read it: the collection totals (N, T), the
    per-term statistics (df, cf) and the per-(query, doc) score sums, the
    last without a further shuffle because the stream is already clustered
    by ``doc_id``.
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.text import TOKEN_PATTERN, token_array
-from quire.session import bounded_broadcast
+from quire.session import bounded_broadcast, materialize
 
 # Ranking key precision: scores are compared after rounding to this many
 # decimals so that summation order cannot reorder equal documents.
@@ -57,7 +58,12 @@ def match_stream(docs: DataFrame, qterms: DataFrame, text_col: str = "text",
     # the null-term row survives the outer join; any other token needs a match
     kept = (exploded.join(term_set, "term", "left")
                     .where(F.col("term").isNull() | F.col("_hit").isNotNull()))
-    return kept.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"), F.max("dl").alias("dl"))
+    counted = kept.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"), F.max("dl").alias("dl"))
+    # The totals, the term statistics and the score sums all read this
+    # stream: it is written once (hash-partitioned on doc_id, which the
+    # checkpoint keeps) so the text is tokenised once and the score sum by
+    # (query, doc) needs no further shuffle.
+    return materialize(counted.repartition("doc_id"))
 
 
 def collection_totals(stream: DataFrame) -> DataFrame:
@@ -110,11 +116,15 @@ def score(docs: DataFrame, qterms: DataFrame, model: str = "tfidf", lam: float |
     for x in lams:
         if not 0.0 < x <= 1.0:
             raise ValueError("lambda must be in (0, 1]")
-    joined = joined.withColumn("lambda", F.explode(F.array(*[F.lit(x) for x in lams])))
-    ratio = ((F.lit(1.0) - F.col("lambda")) * (F.col("tf") / F.col("dl"))) / (F.col("lambda") * F.col("_p"))
-    contrib = F.col("_w") * F.log1p(ratio)
-    out = joined.groupBy("lambda", "query_id", "doc_id").agg(F.sum(contrib).alias("score"))
-    return out.select(F.round("lambda", 1).alias("lambda"), "query_id", "doc_id", "score")
+    # every lambda is summed in the same aggregation row (one column each),
+    # so the sweep does not multiply the rows that reach the aggregate
+    tf_dl = F.col("tf") / F.col("dl")
+    sums = [F.sum(F.col("_w") * F.log(F.lit(1.0) + (F.lit(1.0 - x) * tf_dl) / (F.lit(x) * F.col("_p"))))
+            .alias(f"_s{i}") for i, x in enumerate(lams)]
+    agg = joined.groupBy("query_id", "doc_id").agg(*sums)
+    pairs = F.arrays_zip(F.array(*[F.lit(round(x, 1)) for x in lams]).alias("lambda"),
+                         F.array(*[F.col(f"_s{i}") for i in range(len(lams))]).alias("score"))
+    return agg.select(F.inline(pairs), "query_id", "doc_id").select("lambda", "query_id", "doc_id", "score")
 
 
 def match_any(docs: DataFrame, qterms: DataFrame, text_col: str = "text") -> DataFrame:

@@ -11,21 +11,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.text import WORD_PATTERN, token_array
-from quire.session import bounded_broadcast
+from quire.session import bounded_broadcast, materialize
 
 SHINGLE_WORDS = 3
+# Anything that is not part of a word under ``WORD_PATTERN``.
+NON_WORD = r"[^\p{L}\p{N}_]+"
 
 
 def shingles(df: DataFrame, id_col: str, text_col: str = "text", n: int = SHINGLE_WORDS) -> DataFrame:
-    """``(id, shingle)``: every run of ``n`` words of each row, built inside
-    the row (no shuffle); a text shorter than ``n`` words has none."""
-    t = token_array(text_col, WORD_PATTERN)
-    arr = df.select(F.col(id_col), t.alias("_w"))
-    sh = F.transform(F.sequence(F.lit(1), F.greatest(F.size("_w") - n + 1, F.lit(1))),
-                     lambda i: F.array_join(F.slice(F.col("_w"), i, n), " "))
-    return (arr.where(F.size("_w") >= n)
-               .select(F.col(id_col), F.explode(sh).alias("shingle")))
+    """``(id, shingle)``: every run of ``n`` words of each row, as the words
+    joined by single spaces; a text shorter than ``n`` words has none.
+
+    The text is reduced to space-separated words, then one regular
+    expression with a look-ahead captures the run starting at every word:
+    built inside the row, no shuffle.
+    """
+    words = F.trim(F.regexp_replace(F.lower(F.col(text_col)), NON_WORD, " "))
+    run = " ".join(["[^ ]+"] * n)
+    rx = f"(?<![^ ])(?=({run}))"
+    return df.select(F.col(id_col), F.explode(F.regexp_extract_all(words, F.lit(rx), 1)).alias("shingle"))
 
 
 def shingle_qrels(docs: DataFrame, queries: DataFrame, n: int = SHINGLE_WORDS) -> DataFrame:
@@ -36,4 +40,5 @@ def shingle_qrels(docs: DataFrame, queries: DataFrame, n: int = SHINGLE_WORDS) -
     """
     q = bounded_broadcast(shingles(queries, "query_id", n=n).distinct())
     d = shingles(docs, "doc_id", n=n)
-    return d.join(q, "shingle").select("query_id", "doc_id").distinct()
+    # judgements feed several consumers (marks, counts, query sets): written once
+    return materialize(d.join(q, "shingle").select("query_id", "doc_id").distinct())

@@ -354,17 +354,19 @@ _JM_TEST = _jm_test_sql()
 _TFIDF_TEST = _test_metrics_sql(None)
 
 
-def _jm_test(spark, sf):
+def _jm_test(spark, sf, qrels=None):
     d = _docs(spark, sf)
     q = tables.queries(spark, sf)
-    m, _, lam = tune.train_test(d, q, shingle_qrels(d, q), CUT, "jm", TRAIN, TEST)
+    qrels = qrels if qrels is not None else shingle_qrels(d, q)
+    m, _, lam = tune.train_test(d, q, qrels, CUT, "jm", TRAIN, TEST)
     return m, lam
 
 
-def _tfidf_test(spark, sf):
+def _tfidf_test(spark, sf, qrels=None):
     d = _docs(spark, sf)
     q = tables.queries(spark, sf)
-    m, _, _ = tune.train_test(d, q, shingle_qrels(d, q), CUT, "tfidf", None, TEST)
+    qrels = qrels if qrels is not None else shingle_qrels(d, q)
+    m, _, _ = tune.train_test(d, q, qrels, CUT, "tfidf", None, TEST)
     return m
 
 
@@ -382,8 +384,9 @@ def q_train_test_tfidf(spark, sf):
 # ---------------------------------------------------------- comparison --
 
 def _aligned(spark, sf):
-    m_jm, _ = _jm_test(spark, sf)
-    m_tf = _tfidf_test(spark, sf)
+    qrels = _qrels(spark, sf)
+    m_jm, _ = _jm_test(spark, sf, qrels)
+    m_tf = _tfidf_test(spark, sf, qrels)
     return compare.align(tune.test_metric(m_jm, "map"), tune.test_metric(m_tf, "map"))
 
 
@@ -395,3 +398,70 @@ al AS (SELECT a.query_id, a.ap AS x, b.ap AS y FROM tm a JOIN tfm b USING (query
 @register("align_runs", _ALIGN_SQL + " SELECT query_id, round(x, 6) AS x, round(y, 6) AS y FROM al")
 def q_align(spark, sf):
     return _aligned(spark, sf).select("query_id", r6("x").alias("x"), r6("y").alias("y"))
+
+
+_TTEST_SQL = _ALIGN_SQL + """,
+ts AS (SELECT count(*) AS n, avg(x - y) AS mean_diff, stddev_samp(x - y) AS sd FROM al),
+tt AS (SELECT n, mean_diff, sd, CASE WHEN n >= 2 AND sd > 0 THEN mean_diff / (sd / sqrt(n)) END AS t,
+              CAST(n - 1 AS BIGINT) AS dfr FROM ts),
+tang AS (SELECT *, atan(abs(t) / sqrt(dfr)) AS th FROM tt),
+ser AS (SELECT *,
+   list_sum(list_transform(range(0, CAST(greatest((dfr - 2) // 2, 0) AS BIGINT) + 1),
+            lambda k: exp(lgamma(k + 0.5) - lgamma(k + 1.0) - lgamma(0.5)) * pow(cos(th), 2 * k))) AS es,
+   list_sum(list_transform(range(0, CAST(greatest((dfr - 3) // 2, 0) AS BIGINT) + 1),
+            lambda k: exp(lgamma(k + 1.0) - lgamma(k + 1.5)) * sqrt(pi()) / 2 * pow(cos(th), 2 * k + 1))) AS os
+   FROM tang),
+tp AS (SELECT n, mean_diff, t, CASE WHEN n >= 2 THEN dfr END AS df,
+   CASE WHEN n < 2 THEN NULL
+        WHEN sd = 0 THEN CASE WHEN mean_diff = 0 THEN 1.0 ELSE 0.0 END
+        ELSE greatest(least(1 - CASE WHEN dfr % 2 = 0 THEN sin(th) * es
+                                     WHEN dfr = 1 THEN 2 * th / pi()
+                                     ELSE 2 / pi() * (th + sin(th) * os) END, 1.0), 0.0) END AS p_value
+   FROM ser)"""
+
+
+def _signed_rank_sql(zeros: str) -> str:
+    keep = "" if zeros == "keep" else " WHERE x - y <> 0"
+    return "WITH RECURSIVE " + _TTEST_SQL[len("WITH "):] + f""",
+wd AS (SELECT x - y AS d FROM al{keep}),
+wr AS (SELECT d, rank() OVER (ORDER BY abs(d)) + (count(*) OVER (PARTITION BY abs(d)) - 1) / 2.0 AS rk FROM wd),
+ws AS (SELECT count(*) AS n, coalesce(sum(CASE WHEN d > 0 THEN rk END), 0.0) AS w_plus FROM wr),
+dp AS (SELECT 0 AS i, [CAST(1 AS BIGINT)] AS c
+       UNION ALL
+       SELECT i + 1, list_transform(range(0, len(c) + i + 1),
+              lambda s: coalesce(c[s + 1], 0) + CASE WHEN s >= i + 1 THEN coalesce(c[s - i], 0) ELSE 0 END)
+       FROM dp WHERE i < (SELECT n FROM ws)),
+wfin AS (SELECT ws.n, ws.w_plus, ws.n * (ws.n + 1) / 2.0 - ws.w_plus AS w_minus, dp.c FROM ws JOIN dp ON dp.i = ws.n),
+wp AS (SELECT n, w_plus, w_minus,
+          CASE WHEN n = 0 THEN 1.0 ELSE least(1.0, 2.0 * list_sum(list_transform(range(0, len(c)),
+               lambda s: CASE WHEN s >= ceil(greatest(w_plus, w_minus)) THEN c[s + 1] ELSE 0 END)) / pow(2, n)) END AS p_value
+       FROM wfin)"""
+
+
+@register("paired_t_test", _TTEST_SQL + """ SELECT n, round(mean_diff, 6) AS mean_diff, round(t, 6) AS t, df,
+    round(p_value, 6) AS p_value FROM tp""")
+def q_paired_t(spark, sf):
+    r = compare.paired_t(_aligned(spark, sf))
+    return r.select("n", r6("mean_diff").alias("mean_diff"), r6("t").alias("t"), "df", r6("p_value").alias("p_value"))
+
+
+@register("wilcoxon_test", _signed_rank_sql("drop") + """ SELECT n, round(w_plus, 6) AS w_plus, round(w_minus, 6) AS w_minus,
+    round(p_value, 6) AS p_value FROM wp""")
+def q_wilcoxon(spark, sf):
+    r = compare.wilcoxon(_aligned(spark, sf), zeros="drop")
+    return r.select("n", r6("w_plus").alias("w_plus"), r6("w_minus").alias("w_minus"), r6("p_value").alias("p_value"))
+
+
+ALPHA = 0.05
+
+
+@register("decide", _signed_rank_sql("keep") + f""" SELECT 't' AS test, round(p_value, 6) AS p_value, {ALPHA} AS alpha,
+    coalesce(p_value < {ALPHA}, false) AS reject FROM tp
+    UNION ALL SELECT 'wilcoxon', round(p_value, 6), {ALPHA}, coalesce(p_value < {ALPHA}, false) FROM wp""")
+def q_decide(spark, sf):
+    al = _aligned(spark, sf)
+    t = compare.decide(compare.paired_t(al), ALPHA).select(F.lit("t").alias("test"), "p_value", "alpha", "reject")
+    w = compare.decide(compare.wilcoxon(al, zeros="keep"), ALPHA).select(F.lit("wilcoxon").alias("test"), "p_value",
+                                                                         "alpha", "reject")
+    return t.unionByName(w).select("test", r6("p_value").alias("p_value"), F.col("alpha").cast("double").alias("alpha"),
+                                   "reject")

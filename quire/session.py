@@ -81,11 +81,28 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     """Broadcast ``df`` only if it has at most ``max_rows`` rows.
 
     The check runs ``limit(max_rows + 1).count()``, which stops reading as soon
-    as the bound is exceeded. Beyond the bound the frame is returned as is and
-    the planner joins it with a shuffle.
+    as the bound is exceeded. The frame is cached first so the partitions the
+    check computes are not computed again for the broadcast. Beyond the bound
+    the cache is dropped, the frame is returned as is and the planner joins it
+    with a shuffle.
     """
+    df = df.persist()
     n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if n <= max_rows:
+        return F.broadcast(df)
+    df.unpersist()
+    return df
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and continue from it.
+
+    Used where several consumers read one expensive intermediate (a reliable
+    checkpoint survives executor loss and cuts the lineage; its partitioning
+    is kept, so a frame hash-partitioned on a key stays so).
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def local_path(path: str) -> str:

@@ -43,7 +43,9 @@ def rebalance_if_narrow(df: DataFrame, key: str | None,
     other cores idle during tokenisation. The hash spread (on ``key``) is
     applied only when the input is smaller than ``max_bytes`` and has fewer
     files than the default parallelism, so its cost is bounded; at scale the
-    scan is already split and nothing is shuffled.
+    scan is already split and nothing is shuffled. ``key`` is kept for
+    callers that want the table's natural key at hand; the spread itself is
+    round-robin.
     """
     spark = df.sparkSession
     par = spark.sparkContext.defaultParallelism
@@ -53,7 +55,9 @@ def rebalance_if_narrow(df: DataFrame, key: str | None,
     sizes = [_local_size(f) for f in files]
     if any(s is None for s in sizes) or sum(sizes) > max_bytes:
         return df
-    return df.repartition(par, key) if key else df.repartition(par)
+    # round-robin, not by key: the plan above then has the same exchanges as
+    # on a split input at scale
+    return df.repartition(par)
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
