@@ -17,6 +17,7 @@ from quire.functions import text as T
 from quire.operators import analysis, compare, evaluate, retrieval, stats, tune
 from quire.plans import oracle as O
 from quire.plans.binding import shingle_qrels
+from quire.session import bounded_broadcast
 from quire.sources import tables
 
 OUT_DECIMALS = 6
@@ -465,3 +466,214 @@ def q_decide(spark, sf):
                                                                          "alpha", "reject")
     return t.unionByName(w).select("test", r6("p_value").alias("p_value"), F.col("alpha").cast("double").alias("alpha"),
                                    "reject")
+
+
+# ------------------------------------------------------- top-k terms --
+
+from quire.operators import cluster, topterms, vectors  # noqa: E402
+
+TARGET_DOC = 9
+TOP_N = 10
+
+
+def _bt_sql(order: str, one_doc: bool) -> str:
+    key = f"round({order}, 9)" if order in ("idf", "tfxidf") else order
+    where = f"WHERE p.doc_id = {TARGET_DOC}" if one_doc else ""
+    return O.with_(O.DOCS, f"""
+bt AS (SELECT p.doc_id, p.term, p.tf, i.df, i.idf, p.tf * i.idf AS tfxidf FROM post p JOIN idf i USING (term) {where}),
+rk AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY {key} DESC, term) AS rank FROM bt)""") + f"""
+ SELECT doc_id, CAST(rank AS BIGINT) AS rank, term, tf, df, round(idf, 6) AS idf, round(tfxidf, 6) AS tfxidf
+ FROM rk WHERE rank <= {TOP_N}"""
+
+
+def _bt_out(df):
+    return df.select("doc_id", F.col("rank").cast("long").alias("rank"), "term", "tf", "df",
+                     r6("idf").alias("idf"), r6("tfxidf").alias("tfxidf"))
+
+
+def _bt(order):
+    def run(spark, sf):
+        d = _docs(spark, sf)
+        return _bt_out(topterms.best_terms(stats.postings(d), d, TARGET_DOC, TOP_N, order))
+    return run
+
+
+for _o in topterms.DOC_ORDERS:
+    register(f"best_terms_doc_{_o}", _bt_sql(_o, True))(_bt(_o))
+
+
+@register("best_terms_all_docs", _bt_sql("tfxidf", False))
+def q_best_terms_all(spark, sf):
+    d = _docs(spark, sf)
+    return _bt_out(topterms.best_terms(stats.postings(d), d, None, TOP_N, "tfxidf"))
+
+
+def _btc_sql(order: str) -> str:
+    key = "round(idf, 9)" if order == "idf" else "df"
+    return O.with_(O.DOCS, f"""
+rk AS (SELECT *, row_number() OVER (ORDER BY {key} DESC, term) AS rank FROM idf)""") + f"""
+ SELECT CAST(rank AS BIGINT) AS rank, term, df, round(idf, 6) AS idf FROM rk WHERE rank <= {TOP_N}"""
+
+
+def _btc(order):
+    def run(spark, sf):
+        d = _docs(spark, sf)
+        r = topterms.best_terms_coll(stats.postings(d), d, TOP_N, order)
+        return r.select(F.col("rank").cast("long").alias("rank"), "term", "df", r6("idf").alias("idf"))
+    return run
+
+
+for _o in topterms.COLL_ORDERS:
+    register(f"best_terms_coll_{_o}", _btc_sql(_o))(_btc(_o))
+
+
+# ------------------------------------------------------------ vectors --
+
+_VEC_SQL = {
+    "bin": "SELECT doc_id, term, 1.0 AS w FROM post",
+    "tf": "SELECT doc_id, term, CAST(tf AS DOUBLE) AS w FROM post",
+    "tfxidf": "SELECT p.doc_id, p.term, p.tf * i.idf AS w FROM post p JOIN idf i USING (term)",
+}
+
+
+def _vecs(spark, sf, rep):
+    d = _docs(spark, sf)
+    return vectors.vectorise(stats.postings(d), d, rep)
+
+
+def _vec(rep):
+    def run(spark, sf):
+        return _vecs(spark, sf, rep).select("doc_id", "term", r6("w").alias("w"))
+    return run
+
+
+for _r in vectors.REPS:
+    register(f"vec_{_r}", O.with_(O.DOCS) + f" SELECT doc_id, term, round(w, 6) AS w FROM ({_VEC_SQL[_r]})")(_vec(_r))
+
+
+def _cos_sql(rep: str, targets_sql: str, extra: str = "") -> str:
+    """Brute-force cosine of each target to every other document (oracle)."""
+    return O.with_(O.DOCS, extra, f"""
+vec AS ({_VEC_SQL[rep]}),
+nr AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM vec GROUP BY doc_id),
+tg AS ({targets_sql}),
+dot AS (SELECT t.target, v.doc_id, sum(v.w * tv.w) AS dot FROM tg t JOIN vec tv ON tv.doc_id = t.target
+        JOIN vec v ON v.term = tv.term GROUP BY t.target, v.doc_id),
+cs AS (SELECT t.target, n.doc_id,
+          CASE WHEN tn.norm * n.norm = 0 THEN NULL ELSE coalesce(d.dot, 0) / (tn.norm * n.norm) END AS cosine
+       FROM tg t JOIN nr tn ON tn.doc_id = t.target CROSS JOIN nr n
+       LEFT JOIN dot d ON d.target = t.target AND d.doc_id = n.doc_id WHERE n.doc_id <> t.target),
+csr AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY round(cosine, 9) DESC NULLS LAST, doc_id) AS rank FROM cs)""")
+
+
+def _target_df(spark, sf):
+    return _docs(spark, sf).where(F.col("doc_id") == TARGET_DOC).select(F.col("doc_id").alias("target"))
+
+
+@register("cosine", _cos_sql("tf", f"SELECT doc_id AS target FROM documents WHERE doc_id = {TARGET_DOC}")
+          + " SELECT target, doc_id, round(cosine, 6) AS cosine FROM cs")
+def q_cosine(spark, sf):
+    t = vectors.cosine_table(_vecs(spark, sf, "tf"), _target_df(spark, sf))
+    return t.select("target", "doc_id", r6("cosine").alias("cosine"))
+
+
+_SIM_SELECT = f" SELECT target, CAST(rank AS BIGINT) AS rank, doc_id, round(cosine, 6) AS cosine FROM csr WHERE rank <= {TOP_N}"
+
+
+def _sim_out(df):
+    return df.select("target", F.col("rank").cast("long").alias("rank"), "doc_id", r6("cosine").alias("cosine"))
+
+
+@register("similar_docs", _cos_sql("tf", f"SELECT doc_id AS target FROM documents WHERE doc_id = {TARGET_DOC}") + _SIM_SELECT)
+def q_similar_docs(spark, sf):
+    return _sim_out(vectors.similar_docs(_vecs(spark, sf, "tf"), _target_df(spark, sf), TOP_N))
+
+
+_TOP_HIT_TARGETS = "SELECT DISTINCT doc_id AS target FROM hits WHERE rank = 1"
+_TOP_HIT_CTES = ",".join(x.strip("\n") for x in [O.queries_cte(), O.scores_cte("tfidf"), O.hits_cte(1)])
+
+
+def _top_hit_targets(spark, sf):
+    hits = retrieval.top_k(_tfidf_scores(spark, sf), 1)
+    return hits.select(F.col("doc_id").alias("target")).distinct()
+
+
+@register("similar_docs_all", _cos_sql("tfxidf", _TOP_HIT_TARGETS, _TOP_HIT_CTES) + _SIM_SELECT)
+def q_similar_docs_all(spark, sf):
+    return _sim_out(vectors.similar_docs(_vecs(spark, sf, "tfxidf"), _top_hit_targets(spark, sf), TOP_N))
+
+
+# ------------------------------------------------------------ k-means --
+
+K_ALL = 4
+ITERS_ALL = 3
+K_SIM = 2
+ITERS_SIM = 8
+
+
+def _points_all(spark, sf):
+    return _vecs(spark, sf, "tf")
+
+
+_PTS_ALL = "pts AS (SELECT doc_id, term, CAST(tf AS DOUBLE) AS w FROM post)"
+
+
+@register("kmeans_init", None)
+def q_kmeans_init(spark, sf):
+    return cluster.init_box(_points_all(spark, sf), K_ALL, seed=42)
+
+
+_KM1, _A1, _C1 = O.kmeans_ctes("pts", K_ALL, 1)
+
+
+@register("kmeans_assign", O.with_(O.DOCS, _PTS_ALL, _KM1) + f" SELECT doc_id, cluster, round(dist, 6) AS dist FROM {_A1}")
+def q_kmeans_assign(spark, sf):
+    p = _points_all(spark, sf)
+    a = cluster.assign(p, cluster.init_points(p, K_ALL), K_ALL)
+    return a.select("doc_id", "cluster", r6("dist").alias("dist"))
+
+
+@register("kmeans_update", O.with_(O.DOCS, _PTS_ALL, _KM1) + f" SELECT cluster, term, round(w, 6) AS w FROM {_C1}")
+def q_kmeans_update(spark, sf):
+    p = _points_all(spark, sf)
+    c0 = cluster.init_points(p, K_ALL)
+    new, _ = cluster.update(p, cluster.assign(p, c0, K_ALL), c0)
+    return new.select("cluster", "term", r6("w").alias("w"))
+
+
+@register("kmeans_objective", O.with_(O.DOCS, _PTS_ALL, _KM1)
+          + f" SELECT round(coalesce(sum(dist), 0.0), 6) AS objective FROM {_A1}")
+def q_kmeans_objective(spark, sf):
+    p = _points_all(spark, sf)
+    a = cluster.assign(p, cluster.init_points(p, K_ALL), K_ALL)
+    return cluster.objective(a).select(r6("objective").alias("objective"))
+
+
+_KMF, _AF, _CF = O.kmeans_ctes("pts", K_ALL, ITERS_ALL)
+
+
+@register("kmeans_fit", O.with_(O.DOCS, _PTS_ALL, _KMF) + f" SELECT doc_id, cluster FROM {_AF}")
+def q_kmeans_fit(spark, sf):
+    r = cluster.fit(_points_all(spark, sf), K_ALL, init="points", max_iter=ITERS_ALL)
+    return r.assignment.select("doc_id", "cluster")
+
+
+@register("doc_clusters_all", O.with_(O.DOCS, _PTS_ALL, _KMF) + f""" SELECT doc_id, cluster,
+    round(dist, 6) AS dist FROM {_AF}""")
+def q_doc_clusters_all(spark, sf):
+    r = cluster.fit(_points_all(spark, sf), K_ALL, init="points", max_iter=ITERS_ALL)
+    return r.assignment.select("doc_id", "cluster", r6("dist").alias("dist"))
+
+
+_KMS, _AS, _CS = O.kmeans_ctes("spts", K_SIM, ITERS_SIM, prefix="ks")
+
+
+@register("doc_clusters", _cos_sql("tf", f"SELECT doc_id AS target FROM documents WHERE doc_id = {TARGET_DOC}") + f""",
+spts AS (SELECT v.doc_id, v.term, v.w FROM vec v JOIN (SELECT doc_id FROM csr WHERE rank <= {TOP_N}) s USING (doc_id)),"""
+          + _KMS + f" SELECT doc_id, cluster FROM {_AS}")
+def q_doc_clusters(spark, sf):
+    v = _vecs(spark, sf, "tf")
+    sim = vectors.similar_docs(v, _target_df(spark, sf), TOP_N)
+    pts = v.join(bounded_broadcast(sim.select("doc_id")), "doc_id")
+    r = cluster.fit(pts, K_SIM, init="points", max_iter=ITERS_SIM)
+    return r.assignment.select("doc_id", "cluster")
