@@ -42,3 +42,30 @@ def shingle_qrels(docs: DataFrame, queries: DataFrame, n: int = SHINGLE_WORDS) -
     d = shingles(docs, "doc_id", n=n)
     # judgements feed several consumers (marks, counts, query sets): written once
     return materialize(d.join(q, "shingle").select("query_id", "doc_id").distinct())
+
+
+def write_doc_tree(docs: DataFrame, root: str) -> None:
+    """Stage the collection as a folder tree of UTF-8 text files (input of
+    the file-tree readers): one summary CSV at the root, documents in
+    language ``en`` two folders deep (``source=…/doc_id=…/``), the others one
+    folder deep (``doc_id=…/``), one file per document."""
+    docs.agg(F.count(F.lit(1)).alias("n_docs")).write.mode("overwrite").csv(root)
+    en = docs.where(F.col("lang") == "en")
+    (en.select("source", "doc_id", "text").write.mode("append")
+       .partitionBy("source", "doc_id").text(root))
+    (docs.where(F.col("lang") != "en").select("doc_id", "text").write.mode("append")
+         .partitionBy("doc_id").text(root))
+
+
+def write_records(docs: DataFrame, path: str) -> None:
+    """Stage the collection in the ``.I id`` / ``.W`` record format."""
+    rec = F.concat(F.lit(".I "), F.col("doc_id").cast("string"), F.lit("\n.W\n"), F.col("text"))
+    docs.select(rec.alias("value")).write.mode("overwrite").text(path)
+
+
+def write_qrels(qrels: DataFrame, path: str) -> None:
+    """Stage judgements as ``query 0 doc 1`` lines, each pair also once in
+    the old space-aligned layout (which a reader must skip)."""
+    good = qrels.select(F.format_string("%d 0 %d 1", "query_id", "doc_id").alias("value"))
+    old = qrels.select(F.format_string("%-5d %-6d 0 0.000000", "query_id", "doc_id").alias("value"))
+    good.unionByName(old).write.mode("overwrite").text(path)

@@ -677,3 +677,207 @@ def q_doc_clusters(spark, sf):
     pts = v.join(bounded_broadcast(sim.select("doc_id")), "doc_id")
     r = cluster.fit(pts, K_SIM, init="points", max_iter=ITERS_SIM)
     return r.assignment.select("doc_id", "cluster")
+
+
+# ------------------------------------------------------ sources, sinks --
+
+from quire.plans import binding  # noqa: E402
+from quire.session import staging_path  # noqa: E402
+from quire.sinks import collection as sink  # noqa: E402
+from quire.sinks import reports  # noqa: E402
+from quire.sources import files, records  # noqa: E402
+
+
+def _tree(spark, sf):
+    root = staging_path(spark, "tree")
+    binding.write_doc_tree(_docs(spark, sf), root)
+    return root
+
+
+def _doc_of(path_col="rel_path"):
+    return F.regexp_extract(F.col(path_col), r"doc_id=(\d+)", 1).try_cast("long")
+
+
+_NORM = "replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
+_TREE_SQL = f"""SELECT '' AS folder, 0 AS depth, '.csv' AS extension, CAST(count(*) AS VARCHAR) AS contents FROM documents
+    UNION ALL SELECT CASE WHEN lang = 'en' THEN 'source=' || source || '/' ELSE '' END || 'doc_id=' || doc_id,
+                     CASE WHEN lang = 'en' THEN 2 ELSE 1 END, '.txt', {_NORM} FROM documents"""
+
+
+def _folder():
+    return F.regexp_extract(F.col("rel_path"), r"^(.*)/[^/]*$", 1)
+
+
+@register("scan_tree", _TREE_SQL)
+def q_scan_tree(spark, sf):
+    t = files.scan_tree(spark, _tree(spark, sf))
+    return t.select(_folder().alias("folder"), "depth", "extension", "contents")
+
+
+@register("scan_depth", f"SELECT folder, depth FROM ({_TREE_SQL}) WHERE depth <= 1")
+def q_scan_depth(spark, sf):
+    t = files.scan_tree(spark, _tree(spark, sf), depth=1)
+    return t.select(_folder().alias("folder"), "depth")
+
+
+@register("scan_extension", "SELECT doc_id, '.txt' AS extension FROM documents")
+def q_scan_extension(spark, sf):
+    t = files.scan_tree(spark, _tree(spark, sf), exts=[".txt"])
+    return t.select(_doc_of().alias("doc_id"), "extension")
+
+
+@register("file_attributes", """SELECT doc_id, round((strlen(text) + 1) / 1000.0, 6) AS size_kb, 'regular' AS type,
+    true AS time_ok FROM documents""")
+def q_file_attributes(spark, sf):
+    t = files.with_file_attrs(files.scan_tree(spark, _tree(spark, sf), exts=[".txt"]))
+    ok = ((F.col("modified_ms") > 0) & (F.length("modified_lucene") == 17)
+          & F.col("modified_iso").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{3}Z$"))
+    return t.select(_doc_of().alias("doc_id"), r6("size_kb").alias("size_kb"), "type", ok.alias("time_ok"))
+
+
+@register("normalise_lines", f"SELECT doc_id, regexp_replace({_NORM}, '\\n\\z', '') AS text FROM documents")
+def q_normalise_lines(spark, sf):
+    return _docs(spark, sf).select("doc_id", T.normalise_lines("text").alias("text"))
+
+
+def _lines_sql(kind: str, n: int) -> str:
+    ls = f"string_split(regexp_replace({_NORM}, '\\n\\z', ''), chr(10))"
+    kept = "coalesce(list_max(list_transform(ls, lambda x, i: CASE WHEN x <> '' THEN i ELSE 0 END)), 0)"
+    sl = f"ls[1:least({n}, kept)]" if kind == "top" else f"ls[greatest(kept - {n} + 1, 1):kept]"
+    return f"""SELECT doc_id, array_to_string(CASE WHEN kept = 0 OR {n} = 0 THEN []::VARCHAR[] ELSE {sl} END, chr(10)) AS {kind}_lines
+    FROM (SELECT doc_id, ls, {kept} AS kept FROM (SELECT doc_id, {ls} AS ls FROM documents))"""
+
+
+@register("top_lines", _lines_sql("top", T.DEFAULT_TOP_LINES))
+def q_top_lines(spark, sf):
+    return _docs(spark, sf).select("doc_id", T.top_lines(T.normalise_lines("text"), T.DEFAULT_TOP_LINES).alias("top_lines"))
+
+
+@register("bottom_lines", _lines_sql("bottom", T.DEFAULT_BOTTOM_LINES))
+def q_bottom_lines(spark, sf):
+    return _docs(spark, sf).select("doc_id", T.bottom_lines(T.normalise_lines("text"), T.DEFAULT_BOTTOM_LINES)
+                                   .alias("bottom_lines"))
+
+
+@register("read_records", f"SELECT doc_id, regexp_replace({_NORM}, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g') AS text FROM documents")
+def q_read_records(spark, sf):
+    path = staging_path(spark, "records")
+    binding.write_records(_docs(spark, sf), path)
+    return records.read_records(spark, path)
+
+
+@register("read_qrels", O.with_(O.QRELS) + " SELECT query_id, doc_id FROM qrels")
+def q_read_qrels(spark, sf):
+    path = staging_path(spark, "qrels")
+    binding.write_qrels(_qrels(spark, sf), path)
+    return records.read_qrels(spark, path)
+
+
+RESULT_NAME = f"medline.tfidf.training.null.test.{TEST}.map{CUT}.test.csv"
+
+
+@register("read_results", _TFIDF_TEST + f""" SELECT CAST(query_id AS VARCHAR) AS query, round(ap, 6) AS value,
+    '{TEST}' AS test_range, 'map{CUT}' AS metric FROM m""")
+def q_read_results(spark, sf):
+    path = staging_path(spark, "results") + "/" + RESULT_NAME
+    rep = reports.test_report(_tfidf_test(spark, sf), None, "ap")
+    reports.write_result_csv(rep, path, None, "map", CUT)
+    r = records.read_results(spark, path)
+    return r.select("query", r6("value").alias("value"), "test_range", "metric")
+
+
+@register("write_mode", "SELECT doc_id, lang, n_chars FROM documents")
+def q_write_mode(spark, sf):
+    d = _docs(spark, sf).select("doc_id", "lang", "n_chars")
+    path = staging_path(spark, "collection")
+    sink.save(d.where(F.col("lang") == "en"), path, "create")
+    sink.save(d.where(~(F.col("lang") == "en") | F.col("lang").isNull()), path, "append")
+    return spark.read.parquet(path)
+
+
+@register("upsert_by_path", """SELECT source || '/' || doc_id AS path, doc_id,
+    CASE WHEN lang = 'de' THEN n_chars + 1 ELSE n_chars END AS n_chars FROM documents""")
+def q_upsert(spark, sf):
+    d = _docs(spark, sf).select(F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("path"),
+                                "doc_id", "lang", "n_chars")
+    path = staging_path(spark, "collection")
+    sink.save(d.drop("lang"), path, "create")
+    delta = d.where(F.col("lang") == "de").select("path", "doc_id", (F.col("n_chars") + 1).alias("n_chars"))
+    sink.save(delta, path, "create_or_append", key="path", update=True)
+    return spark.read.parquet(path)
+
+
+@register("partial_collections", """SELECT CASE WHEN lang = 'en' THEN 'source=' || source ELSE 'doc_id=' || doc_id END AS part,
+    doc_id FROM documents""")
+def q_partial(spark, sf):
+    t = files.scan_tree(spark, _tree(spark, sf), exts=[".txt"])
+    parts = sink.partition_by_top_folder(t).select("part", _doc_of().alias("doc_id"), "contents")
+    path = staging_path(spark, "partial")
+    parts.write.mode("overwrite").partitionBy("part").parquet(path)
+    back = spark.read.schema("doc_id long, contents string, part string").parquet(path)
+    mains = [back.where(F.col("part") == "")]
+    rest = back.where(F.col("part") != "")
+    return sink.merge([rest] + mains).select(F.coalesce("part", F.lit("")).alias("part"), "doc_id")
+
+
+@register("dump_fields", """SELECT doc_id, 'lang' AS field, lang AS value FROM documents WHERE lang IS NOT NULL
+    UNION ALL SELECT doc_id, 'source', source FROM documents WHERE source IS NOT NULL
+    UNION ALL SELECT doc_id, 'n_chars', CAST(n_chars AS VARCHAR) FROM documents WHERE n_chars IS NOT NULL""")
+def q_dump_fields(spark, sf):
+    return sink.dump_fields(_docs(spark, sf), ["lang", "source", "n_chars"])
+
+
+@register("terms_report", _bt_sql("tfxidf", True))
+def q_terms_report(spark, sf):
+    d = _docs(spark, sf)
+    rep = reports.terms_report(_bt_out(topterms.best_terms(stats.postings(d), d, TARGET_DOC, TOP_N, "tfxidf")))
+    path = staging_path(spark, "terms")
+    reports.write_csv(rep, path, single_file=True)
+    return spark.read.option("header", "true").schema(
+        "doc_id long, rank long, term string, tf long, df long, idf double, tfxidf double").csv(path)
+
+
+HITS_TOP = 5
+
+
+@register("hits_report", _EVAL_ALL + f""" SELECT h.query_id, CAST(h.rank AS BIGINT) AS rank, h.doc_id, round(h.score, 6) AS score,
+    (r.doc_id IS NOT NULL) AS relevant, d.text AS contents, t.total_hits
+    FROM hits h LEFT JOIN qrels r USING (query_id, doc_id) JOIN documents d ON d.doc_id = h.doc_id
+    LEFT JOIN th t ON t.query_id = h.query_id WHERE h.rank <= {HITS_TOP}""")
+def q_hits_report(spark, sf):
+    d = _docs(spark, sf)
+    s = _tfidf_scores(spark, sf)
+    hits = retrieval.top_k(s, CUT)
+    rep = reports.hits_report(hits, d, _qrels(spark, sf), HITS_TOP, retrieval.total_hits(s))
+    return rep.select("query_id", F.col("rank").cast("long").alias("rank"), "doc_id", r6("score").alias("score"),
+                      "relevant", "contents", "total_hits")
+
+
+@register("metrics_report", _EVAL_ALL + f""" SELECT CAST(query_id AS VARCHAR) AS query, round(p, 6) AS "P@{CUT}",
+    round(recall, 6) AS "Recall@{CUT}", round(ap, 6) AS "AP@{CUT}" FROM m
+    UNION ALL SELECT 'mean', round(coalesce(avg(p), 0.0), 6), round(coalesce(avg(recall), 0.0), 6),
+    round(coalesce(avg(ap), 0.0), 6) FROM m""")
+def q_metrics_report(spark, sf):
+    rep = reports.metrics_report(_tfidf_metrics(spark, sf), CUT)
+    return rep.select("query", *[r6(c).alias(c) for c in rep.columns[1:]])
+
+
+_LAM_NAMES = [f"{x:.1f}" for x in retrieval.LAMBDAS]
+
+
+@register("training_report", _SWEEP + ", tr AS (SELECT CAST(query_id AS VARCHAR) AS query, "
+          + ", ".join(f'round(max(CASE WHEN round(lam_v, 1) = {x} THEN ap END), 5) AS "{x:.1f}"' for x in retrieval.LAMBDAS)
+          + " FROM m GROUP BY query_id UNION ALL SELECT 'mean', "
+          + ", ".join(f'round(avg(CASE WHEN round(lam_v, 1) = {x} THEN ap END), 5)' for x in retrieval.LAMBDAS)
+          + " FROM m) SELECT * FROM tr")
+def q_training_report(spark, sf):
+    return reports.training_report(_sweep(spark, sf), "ap", retrieval.LAMBDAS)
+
+
+@register("test_report", _JM_TEST + """ SELECT CAST(query_id AS VARCHAR) AS query, round(ap, 6) AS value,
+    printf('%.1f', (SELECT best_lambda FROM best)) AS lambda_head FROM tm
+    UNION ALL SELECT 'mean', round(coalesce(avg(ap), 0.0), 6), printf('%.1f', (SELECT best_lambda FROM best)) FROM tm""")
+def q_test_report(spark, sf):
+    m, lam = _jm_test(spark, sf)
+    rep = reports.test_report(m, lam, "ap")
+    return rep.select("query", r6("value").alias("value"), "lambda_head")

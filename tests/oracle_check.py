@@ -27,11 +27,14 @@ def duck(sf_dir: str):
 
 
 def _norm(v):
-    if v is None:
+    import pandas as pd
+    if v is None or v is pd.NA or v is pd.NaT:
         return ("~",)
     if isinstance(v, float):
         if math.isnan(v):
-            return ("nan",)
+            return ("~",)
+        if v == int(v) and abs(v) < 2 ** 53:
+            return ("v", int(v))
         return ("f", round(v, 6))
     if hasattr(v, "item"):
         v = v.item()
