@@ -69,3 +69,47 @@ def write_qrels(qrels: DataFrame, path: str) -> None:
     good = qrels.select(F.format_string("%d 0 %d 1", "query_id", "doc_id").alias("value"))
     old = qrels.select(F.format_string("%-5d %-6d 0 0.000000", "query_id", "doc_id").alias("value"))
     good.unionByName(old).write.mode("overwrite").text(path)
+
+
+# Clause sets of the predicate queries, built from each benchmark query's
+# own words: t0, t1, t2 are its first three words, ``longest`` its first
+# longest word, ``text`` the normalised query text.
+CLAUSE_SETS = {
+    "must": [("should", "term", "text", 1.0, 0, "text"), ("must", "term", "longest", 1.0, 0, "text")],
+    "must_not": [("should", "term", "text", 1.0, 0, "text"), ("must_not", "term", "t0", 1.0, 0, "text")],
+    "phrase": [("should", "term", "text", 1.0, 0, "text"), ("must", "phrase", "t0 t1", 1.0, 0, "text")],
+    "phrase_slop": [("should", "phrase", "t0 t2", 1.0, 2, "text")],
+    "prefix": [("should", "prefix", "pre3(t0)", 1.0, 0, "text")],
+    "wildcard": [("should", "wildcard", "wild(t0)", 1.0, 0, "text")],
+    "fuzzy": [("should", "fuzzy", "t0", 1.0, 1, "text")],
+    "regex": [("should", "regex", "re2(t0)", 1.0, 0, "text")],
+    "boost": [("should", "term", "text", 1.0, 0, "text"), ("should", "term", "t0", 3.0, 0, "text")],
+    "field": [("should", "term", "text", 1.0, 0, "text"), ("must", "term", "t0", 1.0, 0, "top_lines")],
+}
+
+
+def benchmark_clauses(queries: DataFrame, variant: str) -> DataFrame:
+    """Clause table ``(query_id, clause_id, occur, kind, text, boost, slop,
+    field)`` of one clause set for every query."""
+    from quire.functions.text import normalise_query, token_array
+    q = queries.select("query_id", normalise_query("text").alias("qtext"))
+    q = q.withColumn("_t", token_array("qtext"))
+    t0, t1, t2 = (F.element_at("_t", 1), F.try_element_at("_t", F.lit(2)), F.try_element_at("_t", F.lit(3)))
+    longest = F.aggregate("_t", F.element_at("_t", 1), lambda a, b: F.when(F.length(b) > F.length(a), b).otherwise(a))
+    vals = {
+        "text": F.col("qtext"), "t0": t0, "longest": longest,
+        "t0 t1": F.concat_ws(" ", t0, t1), "t0 t2": F.concat_ws(" ", t0, t2),
+        "pre3(t0)": F.substring(t0, 1, 3),
+        "wild(t0)": F.concat(F.substring(t0, 1, 1), F.lit("?"), F.substring(t0, 3, 1 << 20), F.lit("*")),
+        "re2(t0)": F.concat(F.substring(t0, 1, 2), F.lit("[a-z]*")),
+    }
+    rows = []
+    for i, (occur, kind, what, boost, slop, field) in enumerate(CLAUSE_SETS[variant], start=1):
+        rows.append(q.where(F.size("_t") > 0).select(
+            "query_id", F.lit(i).alias("clause_id"), F.lit(occur).alias("occur"), F.lit(kind).alias("kind"),
+            vals[what].alias("text"), F.lit(boost).alias("boost"), F.lit(slop).alias("slop"),
+            F.lit(field).alias("field")))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out

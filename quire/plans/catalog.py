@@ -881,3 +881,105 @@ def q_test_report(spark, sf):
     m, lam = _jm_test(spark, sf)
     rep = reports.test_report(m, lam, "ap")
     return rep.select("query", r6("value").alias("value"), "lambda_head")
+
+
+# --------------------------------------------------------- predicates --
+
+from quire.operators import predicates  # noqa: E402
+
+_CLAUSE_SQL_VALS = {
+    "text": "qtext", "t0": "toks[1]", "longest": "list_reduce(toks, lambda a, b: CASE WHEN length(b) > length(a) THEN b ELSE a END)",
+    "t0 t1": "concat_ws(' ', toks[1], toks[2])", "t0 t2": "concat_ws(' ', toks[1], toks[3])",
+    "pre3(t0)": "substr(toks[1], 1, 3)",
+    "wild(t0)": "substr(toks[1], 1, 1) || '?' || substr(toks[1], 3) || '*'",
+    "re2(t0)": "substr(toks[1], 1, 2) || '[a-z]*'",
+}
+
+
+def _clauses_sql(variant: str) -> str:
+    q = (f"qv AS (SELECT item_id AS query_id, replace(replace(lower(text), '(', ''), ')', '') AS qtext, "
+         f"regexp_extract_all(replace(replace(lower(text), '(', ''), ')', ''), '{O.TOK}', 0) AS toks FROM benchmark)")
+    sel = []
+    for i, (occur, kind, what, boost, slop, field) in enumerate(binding.CLAUSE_SETS[variant], start=1):
+        sel.append(f"SELECT query_id, {i} AS clause_id, '{occur}' AS occur, '{kind}' AS kind, "
+                   f"{_CLAUSE_SQL_VALS[what]} AS text, {boost} AS boost, {slop} AS slop, '{field}' AS field "
+                   f"FROM qv WHERE len(toks) > 0")
+    return q + ",\ncl AS (" + " UNION ALL ".join(sel) + ")"
+
+
+# character-level edit distance (DuckDB's own levenshtein counts bytes): the
+# dynamic-programming rows folded with list_reduce
+_CHAR_LEV = ("list_reduce(range(1, length({a}) + 1), lambda prev, i: list_reduce(range(1, length({b}) + 1), "
+             "lambda row, j: list_append(row, least(prev[j + 1] + 1, row[j] + 1, prev[j] + "
+             "CASE WHEN substr({a}, i, 1) = substr({b}, j, 1) THEN 0 ELSE 1 END)), [i]), "
+             "range(0, length({b}) + 1))[length({b}) + 1]")
+
+
+def _search_sql(variant: str) -> str:
+    tl = _lines_sql("top", T.DEFAULT_TOP_LINES)
+    return O.with_(_clauses_sql(variant), f"""
+tld AS ({tl}),
+ftok AS (SELECT 'text' AS field, doc_id, regexp_extract_all(lower(text), '{O.TOK}', 0) AS toks FROM documents
+         UNION ALL SELECT 'top_lines', doc_id, regexp_extract_all(lower(top_lines), '{O.TOK}', 0) FROM tld),
+fs AS (SELECT field, doc_id, unnest(toks) AS term, generate_subscripts(toks, 1) - 1 AS pos, len(toks) AS dl FROM ftok),
+nf AS (SELECT field, count(*) AS n FROM ftok WHERE len(toks) > 0 GROUP BY field),
+tfs AS (SELECT field, doc_id, term, count(*) AS tf, max(dl) AS dl FROM fs GROUP BY field, doc_id, term),
+idf AS (SELECT d.field, d.term, 1 + ln((n.n + 1) / (d.df + 1)) AS idf
+        FROM (SELECT field, term, count(*) AS df FROM tfs GROUP BY field, term) d JOIN nf n USING (field)),
+words AS (SELECT query_id, clause_id, kind, field, slop, unnest(regexp_extract_all(lower(text), '{O.TOK}', 0)) AS term,
+          generate_subscripts(regexp_extract_all(lower(text), '{O.TOK}', 0), 1) - 1 AS "offset"
+          FROM cl WHERE kind IN ('term', 'phrase')),
+tw AS (SELECT query_id, clause_id, field, term, count(*) AS qtf FROM words WHERE kind = 'term' GROUP BY ALL),
+th AS (SELECT w.query_id, w.clause_id, t.doc_id, sum(w.qtf * sqrt(t.tf) * i.idf / sqrt(t.dl)) AS raw
+       FROM tw w JOIN tfs t USING (field, term) JOIN idf i USING (field, term) GROUP BY ALL),
+dict AS (SELECT DISTINCT field, term FROM tfs),
+ex AS (SELECT c.query_id, c.clause_id, d.field, d.term FROM cl c JOIN dict d ON d.field = c.field AND (CASE c.kind
+          WHEN 'prefix' THEN starts_with(d.term, c.text)
+          WHEN 'wildcard' THEN d.term LIKE replace(replace(regexp_replace(c.text, '([\\\\%_])', '\\\\\\1', 'g'), '*', '%'), '?', '_') ESCAPE '\\'
+          WHEN 'fuzzy' THEN abs(length(d.term) - length(c.text)) <= CASE WHEN c.slop > 0 THEN c.slop ELSE 2 END
+               AND {_CHAR_LEV.format(a='d.term', b='c.text')} <= CASE WHEN c.slop > 0 THEN c.slop ELSE 2 END
+          WHEN 'regex' THEN regexp_full_match(d.term, c.text)
+          ELSE false END) WHERE c.kind IN ('prefix', 'wildcard', 'fuzzy', 'regex')),
+ph AS (SELECT DISTINCT e.query_id, e.clause_id, t.doc_id, 1.0 AS raw FROM ex e JOIN tfs t USING (field, term)),
+pw AS (SELECT * FROM words WHERE kind = 'phrase'),
+pl AS (SELECT query_id, clause_id, count(*) AS L, max(slop) AS slop FROM pw GROUP BY ALL),
+pidf AS (SELECT w.query_id, w.clause_id, sum(i.idf) AS idf_sum FROM pw w JOIN idf i USING (field, term) GROUP BY ALL),
+occ AS (SELECT w.query_id, w.clause_id, w."offset", f.doc_id, f.pos, f.dl FROM pw w JOIN fs f USING (field, term)),
+pex AS (SELECT o.query_id, o.clause_id, o.doc_id, CAST(count(*) AS DOUBLE) AS freq, max(o.dl) AS dl FROM (
+          SELECT query_id, clause_id, doc_id, pos - "offset" AS st, count(*) AS k, max(dl) AS dl FROM occ GROUP BY ALL) o
+        JOIN pl USING (query_id, clause_id) WHERE o.k = pl.L AND (pl.slop = 0 OR pl.L = 1) GROUP BY ALL),
+an AS (SELECT o.query_id, o.clause_id, o.doc_id, o.pos AS p, o.dl, pl.L, pl.slop FROM occ o JOIN pl USING (query_id, clause_id)
+       WHERE o."offset" = 0 AND pl.slop > 0 AND pl.L > 1),
+nr AS (SELECT * FROM (SELECT a.query_id, a.clause_id, a.doc_id, a.p, o."offset", o.pos - o."offset" AS adj,
+          row_number() OVER (PARTITION BY a.query_id, a.clause_id, a.doc_id, a.p, o."offset"
+                             ORDER BY abs(o.pos - o."offset" - a.p), o.pos) AS rn
+       FROM an a JOIN occ o ON o.query_id = a.query_id AND o.clause_id = a.clause_id AND o.doc_id = a.doc_id
+            AND o."offset" > 0 AND abs(o.pos - o."offset" - a.p) <= a.slop) WHERE rn = 1),
+pa AS (SELECT query_id, clause_id, doc_id, p, count(*) AS k, min(adj) AS lo, max(adj) AS hi FROM nr GROUP BY ALL),
+psl AS (SELECT a.query_id, a.clause_id, a.doc_id, sum(1.0 / (1 + (greatest(pa.hi, a.p) - least(pa.lo, a.p)))) AS freq,
+          max(a.dl) AS dl FROM pa JOIN an a USING (query_id, clause_id, doc_id, p)
+        WHERE pa.k = a.L - 1 AND greatest(pa.hi, a.p) - least(pa.lo, a.p) <= a.slop GROUP BY ALL),
+phr AS (SELECT f.query_id, f.clause_id, f.doc_id, sqrt(f.freq) * i.idf_sum / sqrt(f.dl) AS raw
+        FROM (SELECT * FROM pex UNION ALL SELECT * FROM psl) f JOIN pidf i USING (query_id, clause_id)),
+hh AS (SELECT * FROM th UNION ALL SELECT * FROM ph UNION ALL SELECT * FROM phr),
+ssc AS (SELECT h.query_id, h.doc_id, c.occur, h.raw * c.boost AS s FROM hh h JOIN cl c USING (query_id, clause_id)),
+need AS (SELECT query_id, sum(CASE WHEN occur = 'must' THEN 1 ELSE 0 END) AS n_must FROM cl GROUP BY query_id),
+per AS (SELECT query_id, doc_id, sum(CASE WHEN occur = 'must' THEN 1 ELSE 0 END) AS m,
+          sum(CASE WHEN occur = 'must_not' THEN 1 ELSE 0 END) AS mn, sum(CASE WHEN occur = 'should' THEN 1 ELSE 0 END) AS sh,
+          sum(CASE WHEN occur <> 'must_not' THEN s ELSE 0 END) AS score FROM ssc GROUP BY ALL)""") + """
+ SELECT p.query_id, p.doc_id, round(p.score, 6) AS score FROM per p JOIN need n USING (query_id)
+ WHERE p.m = n.n_must AND p.mn = 0 AND (n.n_must > 0 OR p.sh > 0)"""
+
+
+def _pred(variant):
+    def run(spark, sf):
+        d = _docs(spark, sf)
+        cl = binding.benchmark_clauses(tables.queries(spark, sf), variant)
+        fields = {"text": F.col("text"), "top_lines": T.top_lines(T.normalise_lines("text"), T.DEFAULT_TOP_LINES)}
+        r = predicates.search(d, cl, fields)
+        return r.select("query_id", "doc_id", r6("score").alias("score"))
+    return run
+
+
+for _v in binding.CLAUSE_SETS:
+    register(f"pred_{_v}", _search_sql(_v))(_pred(_v))
