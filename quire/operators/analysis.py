@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quire.functions.text import TOKEN_PATTERN, normalise_query, token_array
 
@@ -16,7 +17,7 @@ def tokens(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
               .select(id_col, F.col("pos").cast("long").alias("pos"), "term"))
 
 
-@F.pandas_udf("array<int>")
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
 def _token_starts(text: pd.Series) -> pd.Series:
     # Offsets need the match positions of the word rule, which the SQL regex
     # functions do not return; one Arrow batch of documents per call.
