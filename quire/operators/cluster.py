@@ -42,10 +42,16 @@ def init_box(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
     return out.where(F.col("w") != 0)
 
 
-def assign(points: DataFrame, centroids: DataFrame, k: int) -> DataFrame:
+def point_norms(points: DataFrame) -> DataFrame:
+    """``(doc_id, pp)``: squared norm of every point."""
+    return points.groupBy("doc_id").agg(F.sum(F.col("w") * F.col("w")).alias("pp"))
+
+
+def assign(points: DataFrame, centroids: DataFrame, k: int, norms: DataFrame | None = None) -> DataFrame:
     """Nearest centroid of every point: ``(doc_id, cluster, dist)``; a tie
-    goes to the lowest cluster."""
-    pn = points.groupBy("doc_id").agg(F.sum(F.col("w") * F.col("w")).alias("pp"))
+    goes to the lowest cluster. ``norms`` (from ``point_norms``) can be
+    passed in when the points do not change between calls."""
+    pn = norms if norms is not None else point_norms(points)
     cn = centroids.groupBy("cluster").agg(F.sum(F.col("w") * F.col("w")).alias("cc"))
     c = bounded_broadcast(centroids.select("cluster", "term", F.col("w").alias("cw")))
     dots = points.join(c, "term").groupBy("doc_id", "cluster").agg(F.sum(F.col("w") * F.col("cw")).alias("dot"))
@@ -61,28 +67,37 @@ def assign(points: DataFrame, centroids: DataFrame, k: int) -> DataFrame:
     return best.select("doc_id", F.col("b.cluster").alias("cluster"), F.col("b.dist").alias("dist"))
 
 
-def update(points: DataFrame, assignment: DataFrame, centroids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """New centroids (mean of members; an empty cluster keeps its centroid)
-    and a status frame ``(cluster, empty, changed)`` with one row per cluster
-    present in ``centroids``."""
-    sizes = assignment.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
-    sizes = F.broadcast(sizes)  # at most k rows
+def update(points: DataFrame, assignment: DataFrame, centroids: DataFrame) -> DataFrame:
+    """New centroids: the mean of each cluster's members; an empty cluster
+    keeps its centroid."""
+    sizes = F.broadcast(cluster_sizes(assignment))  # at most k rows
     means = (points.join(assignment.select("doc_id", "cluster"), "doc_id")
                    .groupBy("cluster", "term").agg(F.sum("w").alias("_s"))
                    .join(sizes, "cluster")
                    .select("cluster", "term", (F.col("_s") / F.col("size")).alias("w")))
     kept = centroids.join(sizes, "cluster", "left_anti")
-    new = means.unionByName(kept)
+    return means.unionByName(kept)
+
+
+def cluster_sizes(assignment: DataFrame) -> DataFrame:
+    """``(cluster, size)`` of the non-empty clusters."""
+    return assignment.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+
+
+def status(new: DataFrame, old: DataFrame, assignment: DataFrame) -> DataFrame:
+    """``(cluster, empty, changed)`` for every cluster of ``old``: empty when
+    no point chose it, changed when some weight moved by more than
+    ``SAME_WEIGHT``."""
+    sizes = F.broadcast(cluster_sizes(assignment))
     diff = (new.withColumnRenamed("w", "w_new")
-               .join(centroids.withColumnRenamed("w", "w_old"), ["cluster", "term"], "full")
+               .join(old.withColumnRenamed("w", "w_old"), ["cluster", "term"], "full")
                .where(F.abs(F.coalesce(F.col("w_new"), F.lit(0.0)) - F.coalesce(F.col("w_old"), F.lit(0.0)))
                       > SAME_WEIGHT)
                .groupBy("cluster").agg(F.count(F.lit(1)).alias("n_diff")))
-    clusters = centroids.select("cluster").distinct()
-    status = (clusters.join(sizes, "cluster", "left").join(diff, "cluster", "left")
-                      .select("cluster", F.col("size").isNull().alias("empty"),
-                              (F.coalesce(F.col("n_diff"), F.lit(0)) > 0).alias("changed")))
-    return new, status
+    clusters = old.select("cluster").distinct()
+    return (clusters.join(sizes, "cluster", "left").join(diff, "cluster", "left")
+                    .select("cluster", F.col("size").isNull().alias("empty"),
+                            (F.coalesce(F.col("n_diff"), F.lit(0)) > 0).alias("changed")))
 
 
 def objective(assignment: DataFrame) -> DataFrame:
@@ -114,16 +129,16 @@ def fit(points: DataFrame, k: int, init: str = "points", max_iter: int = 20, see
         return KMeansResult(spark.createDataFrame([], "doc_id long, cluster int, dist double"),
                             spark.createDataFrame([], "cluster int, term string, w double"), 0)
     points = materialize(points)
+    pn = materialize(point_norms(points))
     c = materialize(init_points(points, k) if init == "points" else init_box(points, k, seed))
     done: set[int] = set()
     a = None
     it = 0
     while it < max_iter:
         it += 1
-        a = materialize(assign(points, c, k))
-        new_c, status = update(points, a, c)
-        new_c = materialize(new_c)
-        rows = status.collect()  # k rows
+        a = materialize(assign(points, c, k, pn))
+        new_c = materialize(update(points, a, c))
+        rows = status(new_c, c, a).collect()  # k rows
         settled = {r["cluster"] for r in rows if r["empty"] or not r["changed"]}
         done |= settled
         c = new_c

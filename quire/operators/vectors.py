@@ -4,10 +4,12 @@ Vectors are rows ``(doc_id, term, w)``; they are never densified. Weights:
 ``bin`` (1 when the term occurs), ``tf`` (default), ``tfxidf`` with
 idf = log10(N / df) over all documents.
 
-Similarity of a bounded set of target documents to every document: the
-targets' vectors are the (size-checked) broadcast side of a join on term, so
-the work is targets x postings of their terms; no pair of non-target
-documents is ever formed.
+Similarity of a bounded set of target documents to every document works on
+the postings as built (each document's rows in one task): the targets' terms,
+with every document-independent factor folded in (their weight, and idf
+twice for ``tfxidf``), are the size-checked broadcast side of a join on term,
+and the per-(target, doc) sums are combined map-side. The work is targets x
+postings of their terms; no pair of non-target documents is ever formed.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.operators.stats import doc_count, with_idf
-from quire.session import bounded_broadcast
+from quire.session import bounded_broadcast, materialize
 
 REPS = ("bin", "tf", "tfxidf")
 RANK_DECIMALS = 9
@@ -42,17 +44,53 @@ def norms(vecs: DataFrame) -> DataFrame:
     return vecs.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
 
 
-def cosine_to(vecs: DataFrame, targets: DataFrame) -> DataFrame:
+def _doc_factor(rep: str):
+    return F.lit(1.0) if rep == "bin" else F.col("tf").cast("double")
+
+
+def _idf_table(postings_df: DataFrame, docs: DataFrame) -> DataFrame:
+    return with_idf(postings_df.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df")),
+                    doc_count(docs)).select("term", "idf")
+
+
+def target_side(postings_df: DataFrame, docs: DataFrame, targets: DataFrame, rep: str) -> DataFrame:
+    """``(target, term, wq)``: each target's weight on a term times the
+    document-independent part of a document's weight on it (idf for
+    ``tfxidf``), so ``dot = sum over shared terms of doc_factor * wq``.
+    Bounded by the targets' terms; size-checked broadcast."""
+    tp = (postings_df.join(bounded_broadcast(targets.select(F.col("target").alias("doc_id")).distinct()), "doc_id")
+                     .select(F.col("doc_id").alias("target"), "term", "tf"))
+    if rep == "tfxidf":
+        tp = bounded_broadcast(tp)
+        tw = tp.join(_idf_table(postings_df, docs), "term").select(
+            "target", "term", (F.col("tf") * F.col("idf") * F.col("idf")).alias("wq"))
+    else:
+        tw = tp.select("target", "term", _doc_factor(rep).alias("wq"))
+    return bounded_broadcast(tw)
+
+
+def doc_norms(postings_df: DataFrame, docs: DataFrame, rep: str) -> DataFrame:
+    """``(doc_id, norm)`` from postings. For ``bin``/``tf`` one aggregation
+    whose partial step collapses each document in its task; ``tfxidf`` joins
+    the term dictionary first."""
+    if rep == "tfxidf":
+        w = postings_df.join(_idf_table(postings_df, docs), "term").select("doc_id", (F.col("tf") * F.col("idf")).alias("w"))
+    else:
+        w = postings_df.select("doc_id", _doc_factor(rep).alias("w"))
+    return norms(w)
+
+
+def dots_to(postings_df: DataFrame, tw: DataFrame, rep: str) -> DataFrame:
     """``(target, doc_id, dot)`` for every document sharing a term with a
-    target (the target itself included)."""
-    tv = vecs.join(targets.select(F.col("target").alias("doc_id")), "doc_id").select(
-        F.col("doc_id").alias("target"), "term", F.col("w").alias("tw"))
-    tv = bounded_broadcast(tv)
-    return (vecs.join(tv, "term")
-                .groupBy("target", "doc_id").agg(F.sum(F.col("w") * F.col("tw")).alias("dot")))
+    target. The document side is the postings as built (a document's rows in
+    one task), so the partial aggregation leaves one row per (target, doc)
+    before the shuffle."""
+    return (postings_df.join(tw, "term")
+                       .groupBy("target", "doc_id").agg(F.sum(_doc_factor(rep) * F.col("wq")).alias("dot")))
 
 
-def similar_docs(vecs: DataFrame, targets: DataFrame, n: int = 10) -> DataFrame:
+def similar_docs(postings_df: DataFrame, docs: DataFrame, targets: DataFrame, n: int = 10,
+                 rep: str = "tf") -> DataFrame:
     """Top ``n`` documents by cosine to each target (target excluded):
     ``(target, rank, doc_id, cosine)``.
 
@@ -60,12 +98,15 @@ def similar_docs(vecs: DataFrame, targets: DataFrame, n: int = 10) -> DataFrame:
     score 0 (or null for a zero norm) and rank by ``doc_id``, so only the
     first ``n + 1`` documents in (zero norm last, doc_id) order can fill the
     remaining places: that short list is exploded per target as an array
-    literal from one scalar subquery, not joined.
+    from one scalar subquery, not joined.
     """
-    nr = norms(vecs)
-    tnorm = bounded_broadcast(nr.join(targets.select(F.col("target").alias("doc_id")), "doc_id")
+    if rep not in REPS:
+        raise ValueError(f"rep must be one of {REPS}")
+    postings_df = materialize(postings_df)
+    nr = materialize(doc_norms(postings_df, docs, rep))
+    tnorm = bounded_broadcast(nr.join(targets.select(F.col("target").alias("doc_id")).distinct(), "doc_id")
                                 .select(F.col("doc_id").alias("target"), F.col("norm").alias("tnorm")))
-    dots = cosine_to(vecs, targets)
+    dots = dots_to(postings_df, target_side(postings_df, docs, targets, rep), rep)
     fill = (nr.orderBy((F.col("norm") == 0).asc(), F.col("doc_id").asc()).limit(n + 1)
               .agg(F.collect_list("doc_id").alias("ids")))
     fillers = tnorm.select("target", F.explode(fill.scalar()).alias("doc_id"), F.lit(0.0).alias("dot"))
@@ -81,7 +122,7 @@ def similar_docs(vecs: DataFrame, targets: DataFrame, n: int = 10) -> DataFrame:
                   .select("target", "rank", "doc_id", "cosine"))
 
 
-def cosine_table(vecs: DataFrame, targets: DataFrame) -> DataFrame:
+def cosine_table(postings_df: DataFrame, docs: DataFrame, targets: DataFrame, rep: str = "tf") -> DataFrame:
     """``(target, doc_id, cosine)`` of each target to every other document
     with a vector (0 when no term is shared, null for a zero norm).
 
@@ -91,12 +132,13 @@ def cosine_table(vecs: DataFrame, targets: DataFrame) -> DataFrame:
     """
     if targets.limit(MAX_TARGETS + 1).count() > MAX_TARGETS:
         raise ValueError(f"cosine_table takes at most {MAX_TARGETS} targets")
-    nr = norms(vecs)
+    postings_df = materialize(postings_df)
+    nr = materialize(doc_norms(postings_df, docs, rep))
     tlist = (nr.join(targets.select(F.col("target").alias("doc_id")), "doc_id")
                .agg(F.collect_list(F.struct(F.col("doc_id").alias("target"), F.col("norm").alias("tnorm")))
                     .alias("t")))
     pairs = nr.select("doc_id", "norm", F.inline(tlist.scalar()))
-    dots = cosine_to(vecs, targets)
+    dots = dots_to(postings_df, target_side(postings_df, docs, targets, rep), rep)
     return (pairs.where(F.col("doc_id") != F.col("target"))
                  .join(dots, ["target", "doc_id"], "left")
                  .select("target", "doc_id",

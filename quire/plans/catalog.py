@@ -17,7 +17,7 @@ from quire.functions import text as T
 from quire.operators import analysis, compare, evaluate, retrieval, stats, tune
 from quire.plans import oracle as O
 from quire.plans.binding import shingle_qrels
-from quire.session import bounded_broadcast
+from quire.session import bounded_broadcast, materialize
 from quire.sources import tables
 
 OUT_DECIMALS = 6
@@ -573,7 +573,8 @@ def _target_df(spark, sf):
 @register("cosine", _cos_sql("tf", f"SELECT doc_id AS target FROM documents WHERE doc_id = {TARGET_DOC}")
           + " SELECT target, doc_id, round(cosine, 6) AS cosine FROM cs")
 def q_cosine(spark, sf):
-    t = vectors.cosine_table(_vecs(spark, sf, "tf"), _target_df(spark, sf))
+    d = _docs(spark, sf)
+    t = vectors.cosine_table(stats.postings(d), d, _target_df(spark, sf), "tf")
     return t.select("target", "doc_id", r6("cosine").alias("cosine"))
 
 
@@ -586,7 +587,8 @@ def _sim_out(df):
 
 @register("similar_docs", _cos_sql("tf", f"SELECT doc_id AS target FROM documents WHERE doc_id = {TARGET_DOC}") + _SIM_SELECT)
 def q_similar_docs(spark, sf):
-    return _sim_out(vectors.similar_docs(_vecs(spark, sf, "tf"), _target_df(spark, sf), TOP_N))
+    d = _docs(spark, sf)
+    return _sim_out(vectors.similar_docs(stats.postings(d), d, _target_df(spark, sf), TOP_N, "tf"))
 
 
 _TOP_HIT_TARGETS = "SELECT DISTINCT doc_id AS target FROM hits WHERE rank = 1"
@@ -600,7 +602,8 @@ def _top_hit_targets(spark, sf):
 
 @register("similar_docs_all", _cos_sql("tfxidf", _TOP_HIT_TARGETS, _TOP_HIT_CTES) + _SIM_SELECT)
 def q_similar_docs_all(spark, sf):
-    return _sim_out(vectors.similar_docs(_vecs(spark, sf, "tfxidf"), _top_hit_targets(spark, sf), TOP_N))
+    d = _docs(spark, sf)
+    return _sim_out(vectors.similar_docs(stats.postings(d), d, _top_hit_targets(spark, sf), TOP_N, "tfxidf"))
 
 
 # ------------------------------------------------------------ k-means --
@@ -637,7 +640,7 @@ def q_kmeans_assign(spark, sf):
 def q_kmeans_update(spark, sf):
     p = _points_all(spark, sf)
     c0 = cluster.init_points(p, K_ALL)
-    new, _ = cluster.update(p, cluster.assign(p, c0, K_ALL), c0)
+    new = cluster.update(p, cluster.assign(p, c0, K_ALL), c0)
     return new.select("cluster", "term", r6("w").alias("w"))
 
 
@@ -672,9 +675,10 @@ _KMS, _AS, _CS = O.kmeans_ctes("spts", K_SIM, ITERS_SIM, prefix="ks")
 spts AS (SELECT v.doc_id, v.term, v.w FROM vec v JOIN (SELECT doc_id FROM csr WHERE rank <= {TOP_N}) s USING (doc_id)),"""
           + _KMS + f" SELECT doc_id, cluster FROM {_AS}")
 def q_doc_clusters(spark, sf):
-    v = _vecs(spark, sf, "tf")
-    sim = vectors.similar_docs(v, _target_df(spark, sf), TOP_N)
-    pts = v.join(bounded_broadcast(sim.select("doc_id")), "doc_id")
+    d = _docs(spark, sf)
+    p = materialize(stats.postings(d))
+    sim = vectors.similar_docs(p, d, _target_df(spark, sf), TOP_N, "tf")
+    pts = vectors.vectorise(p, d, "tf").join(bounded_broadcast(sim.select("doc_id")), "doc_id")
     r = cluster.fit(pts, K_SIM, init="points", max_iter=ITERS_SIM)
     return r.assignment.select("doc_id", "cluster")
 

@@ -50,9 +50,9 @@ def test_term_in_every_doc_zero_norm_null_cosine(spark):
     w = {(r.doc_id, r.term): r.w for r in v.collect()}
     assert w[(2, "x")] == 0.0
     t = spark.createDataFrame([(1,)], "target long")
-    cos = {r.doc_id: r.cosine for r in vectors.cosine_table(v, t).collect()}
+    cos = {r.doc_id: r.cosine for r in vectors.cosine_table(p, d, t, "tfxidf").collect()}
     assert cos[2] is None and cos[3] == 0.0
-    top = vectors.similar_docs(v, t, 5).orderBy("rank").collect()
+    top = vectors.similar_docs(p, d, t, 5, "tfxidf").orderBy("rank").collect()
     assert [r.doc_id for r in top] == [3, 2]  # null cosine ranks last
 
 
@@ -142,10 +142,10 @@ def test_kmeans_edges(spark):
     # empty cluster keeps its centroid
     c3 = spark.createDataFrame([(0, "a", 0.0), (1, "a", 2.0), (2, "a", 100.0)], "cluster int, term string, w double")
     asg = cluster.assign(tie, c3, 3)
-    new, status = cluster.update(tie, asg, c3)
+    new = cluster.update(tie, asg, c3)
     cents = {(row.cluster, row.term): row.w for row in new.collect()}
     assert cents[(2, "a")] == 100.0
-    st = {row.cluster: (row.empty, row.changed) for row in status.collect()}
+    st = {row.cluster: (row.empty, row.changed) for row in cluster.status(new, c3, asg).collect()}
     assert st[2] == (True, False)
 
 
