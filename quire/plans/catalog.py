@@ -456,7 +456,7 @@ def q_wilcoxon(spark, sf):
 ALPHA = 0.05
 
 
-@register("decide", _signed_rank_sql("keep") + f""" SELECT 't' AS test, round(p_value, 6) AS p_value, {ALPHA} AS alpha,
+@register("decide", _signed_rank_sql("keep") + f""" SELECT 't' AS test, round(p_value, 6) AS p_value, CAST({ALPHA} AS DOUBLE) AS alpha,
     coalesce(p_value < {ALPHA}, false) AS reject FROM tp
     UNION ALL SELECT 'wilcoxon', round(p_value, 6), {ALPHA}, coalesce(p_value < {ALPHA}, false) FROM wp""")
 def q_decide(spark, sf):

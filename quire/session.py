@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 # Default bound for "small side" broadcasts (rows). Query terms, lambdas,
 # judgements of a query set and single-doc vectors sit far below this; a side
 # above it is joined with a shuffle instead.
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS = 500_000
 
 
 def build_session(master: str | None = None, app: str = "quire",
@@ -81,17 +81,13 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     """Broadcast ``df`` only if it has at most ``max_rows`` rows.
 
     The check runs ``limit(max_rows + 1).count()``, which stops reading as soon
-    as the bound is exceeded. The frame is cached first so the partitions the
-    check computes are not computed again for the broadcast. Beyond the bound
-    the cache is dropped, the frame is returned as is and the planner joins it
-    with a shuffle.
+    as the bound is exceeded. Beyond the bound the frame is returned as is and
+    the planner joins it with a shuffle. Nothing is cached: expensive small
+    sides are checkpointed by their producers, so a long session does not
+    accumulate cached blocks.
     """
-    df = df.persist()
     n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(df)
-    df.unpersist()
-    return df
+    return F.broadcast(df) if n <= max_rows else df
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -52,6 +52,20 @@ def rows_of(pdf):
     return cols, sorted(out, key=repr)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT",
+                 "timestamp": "TIMESTAMP WITH TIME ZONE", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+
+
+def spark_types(sdf):
+    return {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+
+
+def duck_types(con, sql):
+    rel = con.sql(sql)
+    return {c: str(t) for c, t in zip(rel.columns, rel.types)}
+
+
 def compare(spark, con, name: str, sf_dir: str):
     from __spark_entry__ import oracle_sql, queries
     t0 = time.time()
@@ -64,8 +78,12 @@ def compare(spark, con, name: str, sf_dir: str):
     dpdf = con.execute(sql).df()
     scols, srows = rows_of(spdf)
     dcols, drows = rows_of(dpdf)
-    ok = scols == dcols and srows == drows
+    st, dt = spark_types(sdf), duck_types(con, sql)
+    types_ok = st == dt
+    ok = scols == dcols and srows == drows and types_ok
     res = {"name": name, "ok": ok, "rows": (len(srows), len(drows)), "spark_s": round(t1 - t0, 2)}
+    if not types_ok:
+        res["types"] = {c: (st.get(c), dt.get(c)) for c in set(st) | set(dt) if st.get(c) != dt.get(c)}
     if not ok:
         res["cols"] = (scols, dcols)
         ds = [r for r in srows if r not in set(drows)][:3]
