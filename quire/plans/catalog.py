@@ -530,7 +530,7 @@ for _o in topterms.COLL_ORDERS:
 # ------------------------------------------------------------ vectors --
 
 _VEC_SQL = {
-    "bin": "SELECT doc_id, term, 1.0 AS w FROM post",
+    "bin": "SELECT doc_id, term, CAST(1.0 AS DOUBLE) AS w FROM post",
     "tf": "SELECT doc_id, term, CAST(tf AS DOUBLE) AS w FROM post",
     "tfxidf": "SELECT p.doc_id, p.term, p.tf * i.idf AS w FROM post p JOIN idf i USING (term)",
 }
