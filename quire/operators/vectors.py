@@ -102,6 +102,8 @@ def similar_docs(postings_df: DataFrame, docs: DataFrame, targets: DataFrame, n:
     """
     if rep not in REPS:
         raise ValueError(f"rep must be one of {REPS}")
+    # the target list may be the result of a whole retrieval run: written once
+    targets = materialize(targets.select("target").distinct())
     postings_df = materialize(postings_df)
     nr = materialize(doc_norms(postings_df, docs, rep))
     tnorm = bounded_broadcast(nr.join(targets.select(F.col("target").alias("doc_id")).distinct(), "doc_id")
@@ -130,6 +132,7 @@ def cosine_table(postings_df: DataFrame, docs: DataFrame, targets: DataFrame, re
     bounded, size-checked set, so the pairs are built by exploding the target
     list (an array from one scalar subquery) on the document list.
     """
+    targets = materialize(targets.select("target").distinct())
     if targets.limit(MAX_TARGETS + 1).count() > MAX_TARGETS:
         raise ValueError(f"cosine_table takes at most {MAX_TARGETS} targets")
     postings_df = materialize(postings_df)
