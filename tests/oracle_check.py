@@ -102,11 +102,15 @@ def main(argv):
     from __spark_entry__ import queries
     con = duck(sf_dir)
     bad = 0
+    import faulthandler
     for n in names or list(queries()):
+        # watchdog: print every thread's stack if one query stalls
+        faulthandler.dump_traceback_later(300, exit=False)
         try:
             r = compare(spark, con, n, sf_dir)
         except Exception as e:  # report and continue
             r = {"name": n, "ok": False, "error": repr(e)[:600]}
+        faulthandler.cancel_dump_traceback_later()
         if r.get("ok") is False:
             bad += 1
         print(r, flush=True)
