@@ -6,6 +6,7 @@ from quire.llm import sql
 from quire.llm.bpe import op4_bpe_merge_rounds
 from quire.llm.langid import op6_word_first_langid
 from quire.llm.quality import op2_factorisation_quality
+from quire.llm.setsketch import op9_setsketch_groups
 from quire.llm.tokencount import op3_transducer_counts
 from quire.llm.topk import op10_threshold_topk
 from quire.llm.urls import op1_url_redirects
@@ -16,6 +17,7 @@ QUERIES = {f.__name__: f for f in (
     op3_transducer_counts,
     op4_bpe_merge_rounds,
     op6_word_first_langid,
+    op9_setsketch_groups,
     op10_threshold_topk,
 )}
 
