@@ -91,6 +91,7 @@ class Rolling:
 
     def ranges(self, h: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
         """Mixed hash of every range ``[s, e)``; equal content, equal hash."""
+        self._grow(len(h))
         return mix((h[e] - h[s]) * self.inv[s] + (e - s).astype(U64) * U64(0xD6E8FEB86659FD93))
 
 

@@ -7,6 +7,8 @@ from quire.llm.bpe import op4_bpe_merge_rounds
 from quire.llm.langid import op6_word_first_langid
 from quire.llm.quality import op2_factorisation_quality
 from quire.llm.setsketch import op9_setsketch_groups
+from quire.llm.substrings import op7_rabin_karp_windows
+from quire.llm.suffixes import op5_deep_shallow_dedup
 from quire.llm.tokencount import op3_transducer_counts
 from quire.llm.topk import op10_threshold_topk
 from quire.llm.urls import op1_url_redirects
@@ -16,7 +18,9 @@ QUERIES = {f.__name__: f for f in (
     op2_factorisation_quality,
     op3_transducer_counts,
     op4_bpe_merge_rounds,
+    op5_deep_shallow_dedup,
     op6_word_first_langid,
+    op7_rabin_karp_windows,
     op9_setsketch_groups,
     op10_threshold_topk,
 )}
