@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from quire.llm import sql
 from quire.llm.bpe import op4_bpe_merge_rounds
+from quire.llm.decontaminate import op8_cgk_decontamination
 from quire.llm.langid import op6_word_first_langid
 from quire.llm.quality import op2_factorisation_quality
 from quire.llm.setsketch import op9_setsketch_groups
@@ -21,6 +22,7 @@ QUERIES = {f.__name__: f for f in (
     op5_deep_shallow_dedup,
     op6_word_first_langid,
     op7_rabin_karp_windows,
+    op8_cgk_decontamination,
     op9_setsketch_groups,
     op10_threshold_topk,
 )}
