@@ -2,22 +2,80 @@
 
 Each stage takes ``(spark, docs, sf_dir)``; its result is written as Parquet
 below the shared checkpoint folder and read back as the next stage's input.
+All but the last return the columns of ``documents``.
+
+Rows without an id and null, empty or very long texts pass through every
+stage as the stage's operator defines for them; an empty table gives an empty
+result; further columns are carried along.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quire.llm import bpe, decontaminate, quality, setsketch, suffixes
 from quire.llm.tables import read, stage
 
-STAGES: list = []
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the factorisation machine predicts to be good: scores
+    from the threshold on. The machine learns from ``labels``."""
+    machine = quality.fit(docs, read(spark, sf_dir, "labels"))
+    scored = quality.scores(docs.select(*docs.columns), machine, docs.columns)
+    # a column of the documents may be called score: the model's is the last one
+    scored = scored.toDF(*docs.columns, "quality_score_")
+    return scored.where(F.col("quality_score_") >= quality.THRESHOLD).drop("quality_score_")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group."""
+    return setsketch.one_of_each(docs)
+
+
+def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without repeated 400-byte strings; ``n_chars`` (if there) is the
+    new length where a text was cut. Null texts stay null."""
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    out = suffixes.dedup(docs.withColumn("text_is_null_", F.col("text").isNull()), carry=[*rest, "text_is_null_"], as_text=True)
+    out = out.toDF("doc_id", "bytes_", "removed_", "spans_", "text", *rest, "text_is_null_")
+    out = out.withColumn("text", F.when(~F.col("text_is_null_"), F.col("text")))
+    if "n_chars" in rest:
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.when(F.col("removed_") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no ``benchmark`` item."""
+    return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"))
+
+
+def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, n_tokens, ids, decoded``: the token ids of every text and the
+    text that they decode to."""
+    both = bpe.decode(bpe.encode(docs, keep=["doc_id"]))
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
+
+
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("near_duplicates", near_duplicates),
+    ("suffix_dedup", suffix_dedup),
+    ("decontamination", decontamination),
+    ("bpe_tokens", bpe_tokens),
+]
+
+# The classifier, the sketches' candidates and the tokenizer are not SQL:
+# tests compare the result with a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = read(spark, sf_dir, "documents")
-    for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+    for i, (name, step) in enumerate(STAGES):
+        docs = step(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = stage(docs, f"pipeline-{name}")
     return docs

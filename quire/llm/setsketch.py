@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.llm import flat
@@ -247,6 +247,17 @@ def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` that stay, unchanged: one of each group, that with
+    the smallest id, and all rows without an id. Of several rows with one id
+    the first by text hash and text stays."""
+    kept = groups(docs, percent).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("kept_id")).distinct()
+    turn = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text"))
+    named = docs.where("doc_id IS NOT NULL").join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi")
+    first = named.withColumn("turn_of_id", turn).where("turn_of_id = 1").drop("turn_of_id")
+    return first.unionByName(docs.where("doc_id IS NULL"))
+
+
 def _crossed(open_: DataFrame, fits: F.Column) -> DataFrame:
     """Pairs of different components that share a band. In crowded bands a
     pair must share a second band: at the threshold twelve of the bands are

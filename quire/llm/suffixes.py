@@ -184,9 +184,20 @@ def _cut(data, offs, s, e, row):
     return {"n_bytes": pa.array(np.diff(offs)), "n_removed": pa.array(removed), "n_spans": pa.array(count(first)), "kept": kept}
 
 
-def dedup(docs: DataFrame, spec: Spec = SPEC, carry: list[str] | None = None) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes) for
-    every row of ``docs(doc_id, text)``, with the columns ``carry`` besides.
+def _cut_text(data, offs, s, e, row):
+    """As ``_cut``, with the remaining bytes as text: what a cut leaves of a
+    character is dropped."""
+    out = _cut(data, offs, s, e, row)
+    kept, cut = out.pop("kept"), out["n_removed"].to_numpy() > 0
+    out["text"] = pa.array([b.decode("utf-8", "ignore") if c else b.decode("utf-8", "replace")
+                            for b, c in zip(kept.to_pylist(), cut)], pa.string())
+    return out
+
+
+def dedup(docs: DataFrame, spec: Spec = SPEC, carry: list[str] | None = None, as_text: bool = False) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes; with
+    ``as_text`` a string ``text`` instead) for every row of ``docs(doc_id,
+    text)``, with the columns ``carry`` besides.
 
     Null and empty texts are empty. Each row counts, rows without an id or
     with the same id too: a repeated row of ``WINDOW`` bytes loses its whole
@@ -211,12 +222,14 @@ def dedup(docs: DataFrame, spec: Spec = SPEC, carry: list[str] | None = None) ->
     seen = counted(src, classes.where("crowded").drop("crowded"), spec)
     busy = seen.join(alone, ["akey", "ckey"]).select("doc_id", "thash", (F.col("lo") + F.col("o")).alias("s"), (F.col("lo") + F.col("o") + spec.window).alias("e"))
     spans = whole.unionByName(copied).unionByName(sorted_).unionByName(busy)
-    carry = [c for c in carry or [] if c != "doc_id"]
+    carry = carry or []
     if carry:
         src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("thash"),
-                          *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)], F.col("text").alias("text"))
-    out = removal(src, spans, _cut, "n_bytes long, n_removed long, n_spans long, kept binary", "suffixes")
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept", *[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)])
+                          *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)], "text")
+    last = "text" if as_text else "kept"
+    out = removal(src, spans, _cut_text if as_text else _cut,
+                  f"n_bytes long, n_removed long, n_spans long, {last} {'string' if as_text else 'binary'}", "suffixes")
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", last, *[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)])
 
 
 def op5_deep_shallow_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
