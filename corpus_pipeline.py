@@ -24,8 +24,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     machine = quality.fit(docs, read(spark, sf_dir, "labels"))
     scored = quality.scores(docs.select(*docs.columns), machine, docs.columns)
     # a column of the documents may be called score: the model's is the last one
-    scored = scored.toDF(*docs.columns, "quality_score_")
-    return scored.where(F.col("quality_score_") >= quality.THRESHOLD).drop("quality_score_")
+    scored = scored.toDF(*docs.columns, "__quire_score")
+    return scored.where(F.col("__quire_score") >= quality.THRESHOLD).drop("__quire_score")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,12 +37,12 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Texts without repeated 400-byte strings; ``n_chars`` (if there) is the
     new length where a text was cut. Null texts stay null."""
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    out = suffixes.dedup(docs.withColumn("text_is_null_", F.col("text").isNull()), carry=[*rest, "text_is_null_"], as_text=True)
-    out = out.toDF("doc_id", "bytes_", "removed_", "spans_", "text", *rest, "text_is_null_")
-    out = out.withColumn("text", F.when(~F.col("text_is_null_"), F.col("text")))
+    out = suffixes.dedup(docs.withColumn("__quire_null", F.col("text").isNull()), carry=[*rest, "__quire_null"], as_text=True)
+    out = out.toDF("doc_id", "__quire_bytes", "__quire_removed", "__quire_spans", "text", *rest, "__quire_null")
+    out = out.withColumn("text", F.when(~F.col("__quire_null"), F.col("text")))
     if "n_chars" in rest:
         kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("removed_") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.col("__quire_removed") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
 
 

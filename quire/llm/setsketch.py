@@ -251,10 +251,10 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that stay, unchanged: one of each group, that with
     the smallest id, and all rows without an id. Of several rows with one id
     the first by text hash and text stays."""
-    kept = groups(docs, percent).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("kept_id")).distinct()
+    kept = groups(docs, percent).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__quire_kept")).distinct()
     turn = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text"))
-    named = docs.where("doc_id IS NOT NULL").join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi")
-    first = named.withColumn("turn_of_id", turn).where("turn_of_id = 1").drop("turn_of_id")
+    named = docs.where("doc_id IS NOT NULL").join(kept, F.col("doc_id") == F.col("__quire_kept"), "left_semi")
+    first = named.withColumn("__quire_turn", turn).where("__quire_turn = 1").drop("__quire_turn")
     return first.unionByName(docs.where("doc_id IS NULL"))
 
 
