@@ -15,15 +15,6 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Largest n for the exact signed-rank distribution; counts stay below 2^63.
-WILCOXON_EXACT_MAX_N = 60
-
-
-def safe_div(a: Column, b: Column) -> Column:
-    """``a / b`` with null instead of an error or NaN on a zero divisor."""
-    return F.try_divide(a, b)
-
-
 def t_two_sided_p(t: Column, df: Column) -> Column:
     """P(|T| >= |t|) for Student's t with integer ``df`` >= 1."""
     theta = F.atan(F.abs(t) / F.sqrt(df.cast("double")))
@@ -55,43 +46,22 @@ def t_two_sided_p(t: Column, df: Column) -> Column:
     return F.greatest(F.least(F.lit(1.0) - a, F.lit(1.0)), F.lit(0.0))
 
 
-def signed_rank_counts(n: Column) -> Column:
-    """``array<bigint>`` c where c[s+1] is the number of subsets of {1..n}
-    with sum s (s = 0 .. n(n+1)/2)."""
+def signed_rank_chances(n: Column) -> Column:
+    """``array<double>`` c where c[s+1] is the chance that a random subset of
+    {1..n} has sum s (s = 0 .. n(n+1)/2): each rank is in with one half."""
     n = n.cast("int")
     top = (n * (n + 1) / 2).cast("int")
-    init = F.transform(F.sequence(F.lit(0), top), lambda s: F.when(s == 0, F.lit(1)).otherwise(F.lit(0)).cast("long"))
+    init = F.transform(F.sequence(F.lit(0), top), lambda s: F.when(s == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
     return F.aggregate(
         F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
         init,
         lambda acc, r: F.when(r > n, acc).otherwise(F.transform(
-            acc, lambda cnt, i: cnt + F.when(i >= r, F.element_at(acc, F.greatest(i - r + 1, F.lit(1))))
-            .otherwise(F.lit(0).cast("long")))))
+            acc, lambda p, i: (p + F.when(i >= r, F.element_at(acc, F.greatest(i - r + 1, F.lit(1)))).otherwise(F.lit(0.0))) / 2)))
 
 
 def signed_rank_exact_p(w_max: Column, n: Column) -> Column:
     """Two-sided exact p = min(1, 2 * P(W >= w_max)) for n ranks 1..n."""
-    counts = signed_rank_counts(n)
     tail = F.aggregate(
-        F.transform(counts, lambda cnt, i: F.when(i >= F.ceil(w_max), cnt).otherwise(F.lit(0).cast("long"))),
-        F.lit(0).cast("long"), lambda a, b: a + b)
-    return F.least(F.lit(1.0), F.lit(2.0) * tail.cast("double") / F.pow(F.lit(2.0), n.cast("double")))
-
-
-def signed_rank_normal_p(w_plus: Column, n: Column, tie_term: Column | None = None) -> Column:
-    """Normal approximation of the signed-rank test (used above the exact
-    bound); two-sided, no continuity correction."""
-    nd = n.cast("double")
-    mu = nd * (nd + 1) / 4.0
-    var = nd * (nd + 1) * (2 * nd + 1) / 24.0
-    if tie_term is not None:
-        var = var - tie_term / 48.0
-    z = (w_plus - mu) / F.sqrt(var)
-    # 2 * (1 - Phi(|z|)) through erfc, written with a rational approximation
-    # (Abramowitz & Stegun 7.1.26) since Spark has no erf.
-    x = F.abs(z) / math.sqrt(2.0)
-    tt = F.lit(1.0) / (F.lit(1.0) + F.lit(0.3275911) * x)
-    poly = tt * (F.lit(0.254829592) + tt * (F.lit(-0.284496736) + tt * (
-        F.lit(1.421413741) + tt * (F.lit(-1.453152027) + tt * F.lit(1.061405429)))))
-    erfc = poly * F.exp(-x * x)
-    return F.least(F.lit(1.0), erfc)
+        F.transform(signed_rank_chances(n), lambda p, i: F.when(i >= F.ceil(w_max), p).otherwise(F.lit(0.0))),
+        F.lit(0.0), lambda a, b: a + b)
+    return F.least(F.lit(1.0), F.lit(2.0) * tail)

@@ -1,4 +1,4 @@
-"""Column-level text functions (all JVM-side, inside whole-stage codegen).
+"""Column-level text functions (all JVM-side, built-in functions).
 
 Every function takes and returns ``Column`` objects so it can be used in any
 ``select``/``withColumn``/``where``.
@@ -101,20 +101,6 @@ def normalise_query(text) -> Column:
     return F.translate(F.lower(_col(text)), QUERY_DELETE_CHARS, "")
 
 
-def record_text(body) -> Column:
-    """Text of one ``.I`` record body (everything after ``.I ``).
-
-    The text is the lines after the last ``.W`` line, or after the ``.I`` line
-    when the record has none, joined with ``\\n`` and trimmed.
-    """
-    b = normalise_lines(body)
-    after_id = F.regexp_extract(b, r"^[^\n]*\n?([\s\S]*)$", 1)
-    after_w = F.regexp_extract(b, r"(?:^|\n)\.W[^\n]*(?:\n([\s\S]*))?$", 1)
-    has_w = b.rlike(r"(^|\n)\.W")
-    chosen = F.when(has_w, after_w).otherwise(after_id)
-    return F.regexp_replace(chosen, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
-
-
 def path_extension(path) -> Column:
     """Extension with the dot, from the last ``.`` of the file name; ``''``
     when the name has no dot."""

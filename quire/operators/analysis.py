@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quire.functions.text import TOKEN_PATTERN, normalise_query, token_array
 
@@ -17,33 +15,21 @@ def tokens(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
               .select(id_col, F.col("pos").cast("long").alias("pos"), "term"))
 
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def _token_starts(text: pd.Series) -> pd.Series:
-    # Offsets need the match positions of the word rule, which the SQL regex
-    # functions do not return; one Arrow batch of documents per call.
-    import regex
-    rx = regex.compile(TOKEN_PATTERN)
-    return text.map(lambda t: [] if t is None else [m.start() for m in rx.finditer(t)])
-
-
 def token_positions(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``(id, pos, term, start, end)``: 0-based position and character
-    offsets (code points) of each token in the lower-cased text."""
-    low = df.select(F.col(id_col), F.lower(F.col(text_col)).alias("_low"))
-    arr = low.select(
-        id_col,
-        F.regexp_extract_all(F.col("_low"), F.lit(TOKEN_PATTERN), 0).alias("_toks"),
-        _token_starts(F.col("_low")).alias("_starts"))
-    return (arr.select(id_col, F.posexplode(F.arrays_zip(F.col("_toks").alias("term"),
-                                                         F.col("_starts").alias("start"))).alias("pos", "z"))
-               .select(id_col, F.col("pos").cast("long").alias("pos"), F.col("z.term").alias("term"),
-                       F.col("z.start").cast("long").alias("start"),
-                       (F.col("z.start") + F.length("z.term")).cast("long").alias("end")))
-
-
-def keyword_term(col) -> Column:
-    """A keyword field is one exact term: the whole value."""
-    return F.col(col) if isinstance(col, str) else col
+    offsets (code points) of each token in the lower-cased text.
+
+    The text between tokens comes from splitting on the same pattern, so
+    tokens and gaps cannot disagree; a running sum per row gives the offsets.
+    """
+    low = df.select(F.col(id_col), F.lower(F.col(text_col)).alias("_low"), F.monotonically_increasing_id().alias("_row"))
+    parts = F.arrays_zip(F.regexp_extract_all("_low", F.lit(TOKEN_PATTERN), F.lit(0)).alias("term"),
+                         F.split("_low", TOKEN_PATTERN, -1).alias("gap"))
+    rows = low.select(id_col, "_row", F.posexplode(parts).alias("pos", "z")).where(F.col("z.term").isNotNull())
+    w = Window.partitionBy("_row").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    end = F.sum(F.length("z.gap") + F.length("z.term")).over(w)
+    rows = rows.select(id_col, F.col("pos").cast("long").alias("pos"), F.col("z.term").alias("term"), end.cast("long").alias("end"))
+    return rows.select(id_col, "pos", "term", (F.col("end") - F.length("term")).alias("start"), "end")
 
 
 def query_terms(queries: DataFrame, text_col: str = "text", id_col: str = "query_id") -> DataFrame:

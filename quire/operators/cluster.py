@@ -1,21 +1,23 @@
 """K-means over sparse vectors ``points(doc_id, term, w)``.
 
 Centroids are rows ``(cluster, term, w)`` (clusters numbered 0..k-1).
-Distances use ||p||^2 - 2 p.c + ||c||^2 (clamped at 0 before the root), with
-p.c from a join on term, so neither points nor centroids are densified. Each
-step is a few joins and aggregations; the driver only loops and reads k
-status rows per iteration, and the centroids are checkpointed each iteration
-to cut the lineage.
+Distances use ||p||^2 - 2 p.c + ||c||^2 (clamped at 0 before the root). Inside
+the loop centroids are one row per term with an array of k weights, so a step
+is one join on the term, one sum per point and one sum per term; points are
+partitioned on ``doc_id`` once. The driver only loops and reads k numbers per
+step, and points, memberships and centroids are checkpointed to cut the
+lineage.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.session import bounded_broadcast, materialize
+from quire.session import bounded_broadcast, materialize, written
 
 RANK_DECIMALS = 9
 # Two centroid weights closer than this count as equal (unchanged centroid).
@@ -31,40 +33,58 @@ def init_points(points: DataFrame, k: int) -> DataFrame:
 
 def init_box(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
     """``k`` centroids drawn uniformly in the per-term [min, max] box of the
-    points (a term absent from a point counts as 0 there)."""
+    points (a term absent from a point counts as 0 there). The draw of a
+    weight is the hash of its term, cluster and seed, so it does not depend on
+    how the points are partitioned."""
     n_points = points.select("doc_id").distinct().agg(F.count(F.lit(1)).alias("n")).scalar()
     box = points.groupBy("term").agg(F.min("w").alias("lo"), F.max("w").alias("hi"), F.count(F.lit(1)).alias("cnt"))
     lo = F.when(F.col("cnt") < n_points, F.least(F.col("lo"), F.lit(0.0))).otherwise(F.col("lo"))
     hi = F.when(F.col("cnt") < n_points, F.greatest(F.col("hi"), F.lit(0.0))).otherwise(F.col("hi"))
     grid = box.select("term", lo.alias("lo"), hi.alias("hi"),
                       F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("cluster"))
-    out = grid.select("cluster", "term", (F.rand(seed) * (F.col("hi") - F.col("lo")) + F.col("lo")).alias("w"))
+    digest = F.md5(F.concat_ws("|", "term", F.col("cluster").cast("string"), F.lit(str(seed))))
+    u = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(2.0 ** 52)
+    out = grid.select("cluster", "term", (u * (F.col("hi") - F.col("lo")) + F.col("lo")).alias("w"))
     return out.where(F.col("w") != 0)
 
 
-def point_norms(points: DataFrame) -> DataFrame:
-    """``(doc_id, pp)``: squared norm of every point."""
-    return points.groupBy("doc_id").agg(F.sum(F.col("w") * F.col("w")).alias("pp"))
+def wide_centroids(centroids: DataFrame, k: int) -> DataFrame:
+    """``(term, ws)``: one row per term with its weight in every cluster."""
+    return centroids.groupBy("term").agg(F.array(*[
+        F.coalesce(F.sum(F.when(F.col("cluster") == j, F.col("w"))), F.lit(0.0)) for j in range(k)]).alias("ws"))
 
 
-def assign(points: DataFrame, centroids: DataFrame, k: int, norms: DataFrame | None = None) -> DataFrame:
+def _norms(wide: DataFrame, k: int) -> Sequence[float]:
+    """Squared norms of the k centroids."""
+    return wide.agg(*[F.coalesce(F.sum(F.col("ws")[j] * F.col("ws")[j]), F.lit(0.0)) for j in range(k)]).first()
+
+
+def _nearest(points: DataFrame, wide: DataFrame, k: int, clusters: Sequence[int], cc: Sequence[float]) -> DataFrame:
+    """One aggregation row per point: its norm and k dot products. The squared
+    norms ``cc`` of the k centroids enter as numbers. Points that are
+    partitioned on ``doc_id`` are not moved when the centroid table passes the
+    size check."""
+    joined = points.join(bounded_broadcast(wide), "term", "left")
+    per = joined.groupBy("doc_id").agg(
+        F.sum(F.col("w") * F.col("w")).alias("pp"),
+        *[F.sum(F.col("w") * F.coalesce(F.col("ws")[j], F.lit(0.0))).alias(f"_d{j}") for j in range(k)])
+    dist = [F.sqrt(F.greatest(F.col("pp") - 2 * F.col(f"_d{j}") + F.lit(float(cc[j])), F.lit(0.0))) for j in range(k)]
+    best = F.array_min(F.array(*[F.struct(F.round(dist[j], RANK_DECIMALS).alias("r"), F.lit(j).alias("cluster"), dist[j].alias("dist"))
+                                 for j in clusters]))
+    return per.select("doc_id", best.alias("b")).select("doc_id", F.col("b.cluster").alias("cluster"), F.col("b.dist").alias("dist"))
+
+
+def assign(points: DataFrame, centroids: DataFrame, k: int, clusters: Sequence[int] | None = None) -> DataFrame:
     """Nearest centroid of every point: ``(doc_id, cluster, dist)``; a tie
-    goes to the lowest cluster. ``norms`` (from ``point_norms``) can be
-    passed in when the points do not change between calls."""
-    pn = norms if norms is not None else point_norms(points)
-    cn = centroids.groupBy("cluster").agg(F.sum(F.col("w") * F.col("w")).alias("cc"))
-    c = bounded_broadcast(centroids.select("cluster", "term", F.col("w").alias("cw")))
-    dots = points.join(c, "term").groupBy("doc_id", "cluster").agg(F.sum(F.col("w") * F.col("cw")).alias("dot"))
-    grid = pn.select("doc_id", "pp", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("cluster"))
-    d2 = (grid.join(dots, ["doc_id", "cluster"], "left")
-              .join(F.broadcast(cn), "cluster", "left")
-              .select("doc_id", "cluster",
-                      (F.col("pp") - 2 * F.coalesce(F.col("dot"), F.lit(0.0)) + F.coalesce(F.col("cc"), F.lit(0.0)))
-                      .alias("d2")))
-    dist = F.sqrt(F.greatest(F.col("d2"), F.lit(0.0)))
-    best = d2.select("doc_id", "cluster", dist.alias("dist")).groupBy("doc_id").agg(
-        F.min_by(F.struct("cluster", "dist"), F.struct(F.round("dist", RANK_DECIMALS), F.col("cluster"))).alias("b"))
-    return best.select("doc_id", F.col("b.cluster").alias("cluster"), F.col("b.dist").alias("dist"))
+    goes to the lowest cluster. ``clusters`` lists the clusters that exist;
+    by default those with a row in ``centroids``. A listed cluster without
+    rows lies at the origin, one that is not listed takes no points."""
+    if clusters is None:
+        clusters = sorted(r["cluster"] for r in centroids.select("cluster").distinct().collect())  # k rows
+    if not clusters:
+        return points.sparkSession.createDataFrame([], "doc_id long, cluster int, dist double")
+    wide = written(wide_centroids(centroids, k), "centroids")
+    return _nearest(points, wide, k, clusters, _norms(wide, k))
 
 
 def update(points: DataFrame, assignment: DataFrame, centroids: DataFrame) -> DataFrame:
@@ -105,45 +125,83 @@ def objective(assignment: DataFrame) -> DataFrame:
     return assignment.agg(F.coalesce(F.sum("dist"), F.lit(0.0)).alias("objective"))
 
 
+def _means(points: DataFrame, assignment: DataFrame, wide: DataFrame, k: int, size: dict[int, int],
+           clusters: Sequence[int]) -> DataFrame:
+    """New ``(term, ws)``: sums per term and cluster, combined map-side, over
+    the sizes; an empty cluster brings its old weights along."""
+    member = points.join(assignment.select("doc_id", "cluster"), "doc_id").select("term", "cluster", "w")
+    empty = [j for j in clusters if j not in size]
+    for j in empty:
+        member = member.unionByName(wide.select("term", F.lit(j).alias("cluster"), F.col("ws")[j].alias("w")))
+    sums = [F.coalesce(F.sum(F.when(F.col("cluster") == j, F.col("w"))), F.lit(0.0)) / F.lit(float(size.get(j, 1))) for j in range(k)]
+    return member.groupBy("term").agg(F.array(*sums).alias("ws"))
+
+
 @dataclass
 class KMeansResult:
-    assignment: DataFrame   # (doc_id, cluster, dist)
+    assignment: DataFrame   # (doc_id, cluster, dist): distances to ``centroids``
     centroids: DataFrame    # (cluster, term, w)
     iterations: int
 
+    def objective(self) -> DataFrame:
+        """Sum of the points' distances to the returned centroids."""
+        return objective(self.assignment)
 
-def fit(points: DataFrame, k: int, init: str = "points", max_iter: int = 20, seed: int = 42,
+
+def fit(points: DataFrame, k: int, init: str = "points", max_iter: int | None = None, seed: int = 42,
         stop: str = "stable") -> KMeansResult:
     """Lloyd iterations.
 
     ``stop='stable'`` ends when, in one iteration, every cluster is empty or
     kept its centroid. ``stop='once'`` ends when every cluster has at some
-    iteration been empty or unchanged (a flag that is never cleared). Either
-    way at most ``max_iter`` iterations. ``k <= 0`` or no points gives empty
-    frames.
+    iteration been empty or unchanged (a flag that is never cleared). There is
+    no limit of iterations unless ``max_iter`` sets one. The result holds the
+    memberships the last centroids were made of, with the distances to these
+    centroids. ``k <= 0`` or no points gives empty frames.
     """
     if stop not in ("stable", "once"):
         raise ValueError("stop must be 'stable' or 'once'")
     spark = points.sparkSession
-    if k <= 0 or points.limit(1).count() == 0:
-        return KMeansResult(spark.createDataFrame([], "doc_id long, cluster int, dist double"),
-                            spark.createDataFrame([], "cluster int, term string, w double"), 0)
-    points = materialize(points)
-    pn = materialize(point_norms(points))
-    c = materialize(init_points(points, k) if init == "points" else init_box(points, k, seed))
+    nothing = KMeansResult(spark.createDataFrame([], "doc_id long, cluster int, dist double"),
+                           spark.createDataFrame([], "cluster int, term string, w double"), 0)
+    if k <= 0 or points.isEmpty():
+        return nothing
+    points = materialize(points.repartition("doc_id"))
+    first = init_points(points, k) if init == "points" else init_box(points, k, seed)
+    n = points.select("doc_id").distinct().limit(k).count()
+    clusters = list(range(min(k, n) if init == "points" else k))
+    wide = written(wide_centroids(first, k), "centroids")
+    cc = _norms(wide, k)
     done: set[int] = set()
-    a = None
-    it = 0
-    while it < max_iter:
+    a, it = None, 0
+    zero = F.array(*[F.lit(0.0)] * k)
+    while max_iter is None or it < max_iter:
         it += 1
-        a = materialize(assign(points, c, k, pn))
-        new_c = materialize(update(points, a, c))
-        rows = status(new_c, c, a).collect()  # k rows
-        settled = {r["cluster"] for r in rows if r["empty"] or not r["changed"]}
+        a = written(_nearest(points, wide, k, clusters, cc), "memberships")
+        size = {r["cluster"]: r["size"] for r in cluster_sizes(a).collect()}  # k rows
+        new = written(_means(points, a, wide, k, size, clusters), "centroids")
+        both = new.select("term", "ws").join(wide.select("term", F.col("ws").alias("old")), "term", "full").select(
+            F.coalesce("ws", zero).alias("ws"), F.coalesce("old", zero).alias("old"))
+        marks = both.agg(*[F.max(F.abs(F.col("ws")[j] - F.col("old")[j])) for j in range(k)],
+                         *[F.coalesce(F.sum(F.col("ws")[j] * F.col("ws")[j]), F.lit(0.0)) for j in range(k)]).first()
+        moved, cc = marks[:k], marks[k:]
+        settled = {j for j in clusters if j not in size or (moved[j] or 0.0) <= SAME_WEIGHT}
         done |= settled
-        c = new_c
-        if stop == "stable" and len(settled) == len(rows):
-            break
-        if stop == "once" and len(done) >= len(rows):
+        wide = new
+        if len(settled if stop == "stable" else done) == len(clusters):
             break
-    return KMeansResult(a, c, it)
+    if a is None:
+        a = written(_nearest(points, wide, k, clusters, cc), "memberships")
+    centroids = wide.select(F.posexplode("ws").alias("cluster", "w"), "term").where("w <> 0").select("cluster", "term", "w")
+    own = _to_own(points, a, wide, k, cc)
+    return KMeansResult(own, centroids, it)
+
+
+def _to_own(points: DataFrame, assignment: DataFrame, wide: DataFrame, k: int, cc: Sequence[float]) -> DataFrame:
+    """``(doc_id, cluster, dist)`` with the distance to the own cluster's
+    centroid in ``wide``."""
+    norm = F.element_at(F.array(*[F.lit(float(x)) for x in cc]), F.col("cluster") + 1)
+    mine = points.join(bounded_broadcast(wide), "term", "left").join(assignment.select("doc_id", "cluster"), "doc_id")
+    w = F.coalesce(F.element_at("ws", F.col("cluster") + 1), F.lit(0.0))
+    per = mine.groupBy("doc_id", "cluster").agg(F.sum(F.col("w") * F.col("w")).alias("pp"), F.sum(F.col("w") * w).alias("dot"))
+    return per.select("doc_id", "cluster", F.sqrt(F.greatest(F.col("pp") - 2 * F.col("dot") + norm, F.lit(0.0))).alias("dist"))

@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.functions.stats_math import (WILCOXON_EXACT_MAX_N, signed_rank_exact_p,
-                                        signed_rank_normal_p, t_two_sided_p)
+from quire.functions.stats_math import signed_rank_exact_p, t_two_sided_p
 
 
 class RunMismatch(ValueError):
@@ -21,13 +20,12 @@ class RunMismatch(ValueError):
 def check_names(name_a: str, name_b: str) -> None:
     """Result names carry parameters split on ``.``: part 6 is the test range,
     part 7 the metric and cut; both must agree."""
-    pa, pb = name_a.split("."), name_b.split(".")
-    if len(pa) < 7 or len(pb) < 7:
-        raise RunMismatch("result names need at least 7 dot-separated parts")
-    if pa[5] != pb[5]:
-        raise RunMismatch(f"test queries do not match: {pa[5]} and {pb[5]}")
-    if pa[6] != pb[6]:
-        raise RunMismatch(f"test metrics do not match: {pa[6]} and {pb[6]}")
+    first, second = (x.split(".") for x in (name_a, name_b))
+    if min(len(first), len(second)) < 7:
+        raise RunMismatch("a result name has seven parts or more, divided by dots")
+    for part, what in ((5, "test range"), (6, "metric and cut")):
+        if first[part] != second[part]:
+            raise RunMismatch(f"the runs differ in {what}: {first[part]!r} against {second[part]!r}")
 
 
 def align(a: DataFrame, b: DataFrame, check: bool = True) -> DataFrame:
@@ -67,29 +65,25 @@ def wilcoxon(aligned: DataFrame, zeros: str = "drop") -> DataFrame:
     d = x - y with average ranks of |d|.
 
     ``zeros='drop'`` removes zero differences first; ``'keep'`` ranks them
-    and counts their ranks in W-. The p-value is exact up to
-    ``WILCOXON_EXACT_MAX_N`` (subset-sum distribution of ranks 1..n),
-    normal approximation above.
+    and counts their ranks in W-. The p-value is exact for any n (the
+    distribution of rank sums over all subsets of 1..n).
     """
     if zeros not in ("drop", "keep"):
         raise ValueError("zeros must be 'drop' or 'keep'")
     d = aligned.select((F.col("x") - F.col("y")).alias("d"))
     if zeros == "drop":
         d = d.where(F.col("d") != 0)
-    # The ranked set is one row per aligned query (a query set, bounded by
-    # the number of evaluated queries), so a single-partition window is fine.
-    w = Window.orderBy(F.abs("d"))
-    ranked = (d.withColumn("_lo", F.rank().over(w))
-               .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy(F.abs("d"))))
-               .withColumn("_r", F.col("_lo") + (F.col("_cnt") - 1) / 2.0))
-    s = ranked.agg(F.count(F.lit(1)).alias("n"),
-                   F.coalesce(F.sum(F.when(F.col("d") > 0, F.col("_r"))), F.lit(0.0)).alias("w_plus"))
+    # differences of one size share their rank: they are counted first, so
+    # only distinct sizes are put in order
+    sizes = d.groupBy(F.abs("d").alias("size")).agg(F.count(F.lit(1)).alias("cnt"), F.count_if(F.col("d") > 0).alias("up"))
+    below = F.coalesce(F.sum("cnt").over(Window.orderBy("size").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = sizes.select("cnt", "up", (below + (F.col("cnt") + 1) / 2.0).alias("_r"))
+    s = ranked.agg(F.coalesce(F.sum("cnt"), F.lit(0)).alias("n"),
+                   F.coalesce(F.sum(F.col("up") * F.col("_r")), F.lit(0.0)).alias("w_plus"))
     n = F.col("n")
     total = n * (n + 1) / 2.0
     wmax = F.greatest(F.col("w_plus"), total - F.col("w_plus"))
-    p = (F.when(n == 0, F.lit(1.0))
-          .when(n <= WILCOXON_EXACT_MAX_N, signed_rank_exact_p(wmax, n))
-          .otherwise(signed_rank_normal_p(F.col("w_plus"), n)))
+    p = F.when(n == 0, F.lit(1.0)).otherwise(signed_rank_exact_p(wmax, n))
     return s.select("n", "w_plus", (total - F.col("w_plus")).alias("w_minus"), p.alias("p_value"))
 
 

@@ -10,7 +10,7 @@ slop, field)`` instead of a query string:
 * ``kind``: ``term`` (the analysed words of ``text``, each scored),
   ``phrase`` (the analysed words at consecutive positions; with ``slop`` > 0
   within that distance), ``prefix``, ``wildcard`` (``*`` any run, ``?`` one
-  character), ``fuzzy`` (edit distance <= ``slop``, default 2) and ``regex``
+  character), ``fuzzy`` (edit distance <= ``slop``, 2 if it is null) and ``regex``
   (the whole term matches). Pattern kinds match terms of the field's
   dictionary as written (not analysed).
 * ``boost`` >= 0 multiplies the clause score; ``field`` names the searched
@@ -30,20 +30,18 @@ word is within ``slop`` of its place and d <= slop.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import token_array
-from quire.session import bounded_broadcast, materialize
+from quire.session import BROADCAST_MAX_ROWS, bounded_broadcast, materialize
 
 OCCURS = ("must", "should", "must_not")
 KINDS = ("term", "phrase", "prefix", "wildcard", "fuzzy", "regex")
 PATTERN_KINDS = ("prefix", "wildcard", "fuzzy", "regex")
-DEFAULT_FUZZY_EDITS = 2
-# Largest clause table a search accepts (clauses are broadcast).
-MAX_CLAUSES = 100_000
+DEFAULT_FUZZY_EDITS = 2   # of a fuzzy clause whose slop is null
 
 CLAUSE_KEY = ["query_id", "clause_id"]
 
@@ -60,13 +58,13 @@ def normalise_clauses(clauses: DataFrame) -> DataFrame:
         F.col("query_id").cast("long").alias("query_id"), F.col("clause_id").cast("int").alias("clause_id"),
         F.lower(opt("occur", "should")).alias("occur"), F.lower(opt("kind", "term")).alias("kind"),
         F.col("text").cast("string").alias("text"),
-        opt("boost", 1.0).cast("double").alias("boost"), opt("slop", 0).cast("int").alias("slop"),
+        opt("boost", 1.0).cast("double").alias("boost"),
+        (F.col("slop") if "slop" in cols else F.lit(None)).cast("int").alias("slop"),
         opt("field", "text").alias("field"))
+    c = c.withColumn("slop", F.coalesce("slop", F.when(F.col("kind") == "fuzzy", DEFAULT_FUZZY_EDITS).otherwise(0)))
     bad = c.where(~F.col("occur").isin(*OCCURS) | ~F.col("kind").isin(*KINDS) | (F.col("boost") < 0))
     if bad.limit(1).count():
         raise ValueError("clauses need occur in %s, kind in %s and boost >= 0" % (OCCURS, KINDS))
-    if c.limit(MAX_CLAUSES + 1).count() > MAX_CLAUSES:
-        raise ValueError(f"at most {MAX_CLAUSES} clauses per search")
     return c
 
 
@@ -78,14 +76,29 @@ def wildcard_to_like(pattern: Column) -> Column:
 
 
 def _pattern_match(term: Column, kind: Column, text: Column, slop: Column) -> Column:
-    edits = F.when(slop > 0, slop).otherwise(F.lit(DEFAULT_FUZZY_EDITS))
     return (F.when(kind == "prefix", F.startswith(term, text))
              .when(kind == "wildcard", F.like(term, wildcard_to_like(text)))
-             .when(kind == "fuzzy", F.levenshtein(term, text) <= edits)
+             .when(kind == "fuzzy", (F.levenshtein(term, text) <= slop))
              .when(kind == "regex", F.regexp_like(term, F.concat(F.lit("^(?:"), text, F.lit(")$"))))
              .otherwise(F.lit(False)))
 
 
+def _blocks_of_terms(term: Column) -> Column:
+    """Blocks a dictionary term lies in: its first letter, its length, all."""
+    return F.array(F.concat(F.lit("c"), F.substring(term, 1, 1)), F.concat(F.lit("n"), F.length(term)), F.lit("*"))
+
+
+def _blocks_of_patterns(kind: Column, text: Column, slop: Column) -> Column:
+    """Blocks that hold every term a pattern can match: the letter it starts
+    with, for fuzzy patterns the lengths within its edits, else all terms."""
+    lead = F.substring(text, 1, 1)
+    fixed = ((kind == "prefix") & (text != "")) | ((kind == "wildcard") & ~text.rlike(r"^([*?]|$)")) | (
+        (kind == "regex") & text.rlike(r"^[\p{L}\p{N}]([\p{L}\p{N}\[(.]|$)") & ~text.contains("|"))
+    lengths = F.transform(F.sequence(F.greatest(F.length(text) - slop, F.lit(0)), F.length(text) + slop),
+                          lambda n: F.concat(F.lit("n"), n))
+    return F.when(fixed, F.array(F.concat(F.lit("c"), lead))).when(kind == "fuzzy", lengths).otherwise(F.array(F.lit("*")))
+
+
 def field_stream(docs: DataFrame, fields: Mapping[str, Column], keyword_fields: Sequence[str] = (),
                  id_col: str = "doc_id") -> DataFrame:
     """``(field, doc_id, pos, term, dl)`` for every token of every searched
@@ -112,7 +125,13 @@ def search(docs: DataFrame, clauses: DataFrame, fields: Mapping[str, Column] | N
            keyword_fields: Sequence[str] = (), id_col: str = "doc_id") -> DataFrame:
     """Run every query of the clause table: ``(query_id, doc_id, score)``."""
     fields = dict(fields or {"text": F.col("text")})
-    cl = F.broadcast(materialize(normalise_clauses(clauses)))
+    # frames with a row per clause (or clause word) share one size check
+    cl = materialize(normalise_clauses(clauses))
+    few = cl.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS
+
+    def small(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if few else df
+
     stream = field_stream(docs, fields, keyword_fields, id_col)
     kw = F.col("field").isin(*keyword_fields) if keyword_fields else F.lit(False)
 
@@ -121,17 +140,16 @@ def search(docs: DataFrame, clauses: DataFrame, fields: Mapping[str, Column] | N
                .select(*CLAUSE_KEY, "kind", "field", "slop",
                        F.when(kw, F.array(F.col("text"))).otherwise(token_array("text")).alias("_w"))
                .select(*CLAUSE_KEY, "kind", "field", "slop", F.posexplode("_w").alias("offset", "term")))
-    # dictionary terms matched by pattern clauses; the bounded clause list is
-    # exploded on each dictionary row (no join of the dictionary with itself)
+    # dictionary terms matched by pattern clauses: joined on the block of
+    # terms a pattern can reach, then compared
     pats = cl.where(F.col("kind").isin(*PATTERN_KINDS)).select(*CLAUSE_KEY, "field", "kind", "text", "slop")
-    if pats.limit(1).count():
-        pat_list = pats.agg(F.collect_list(F.struct(*pats.columns)).alias("p")).scalar()
+    if not pats.isEmpty():
+        reach = pats.select("*", F.explode(_blocks_of_patterns(F.col("kind"), F.col("text"), F.col("slop"))).alias("block"))
         dictionary = stream.where(F.col("term").isNotNull()).select("field", "term").distinct()
-        expanded = (dictionary.select("field", "term", F.explode(pat_list).alias("c"))
-                              .where((F.col("c.field") == F.col("field"))
-                                     & _pattern_match(F.col("term"), F.col("c.kind"), F.col("c.text"), F.col("c.slop")))
-                              .select(F.col("c.query_id").alias("query_id"), F.col("c.clause_id").alias("clause_id"),
-                                      "field", "term"))
+        blocked = dictionary.select("field", "term", F.explode(_blocks_of_terms(F.col("term"))).alias("block"))
+        expanded = (blocked.join(bounded_broadcast(reach), ["field", "block"])
+                           .where(_pattern_match(F.col("term"), F.col("kind"), F.col("text"), F.col("slop")))
+                           .select(*CLAUSE_KEY, "field", "term").distinct())
         expanded = materialize(expanded)
     else:
         expanded = docs.sparkSession.createDataFrame([], "query_id long, clause_id int, field string, term string")
@@ -155,44 +173,46 @@ def search(docs: DataFrame, clauses: DataFrame, fields: Mapping[str, Column] | N
     # term clauses
     tw = (words.where(F.col("kind") == "term").groupBy(*CLAUSE_KEY, "field", "term")
                .agg(F.count(F.lit(1)).alias("qtf")).join(idf, ["field", "term"]))
-    term_hits = (tf.join(F.broadcast(tw), ["field", "term"])
+    term_hits = (tf.join(small(tw), ["field", "term"])
                    .groupBy(*CLAUSE_KEY, "doc_id")
                    .agg(F.sum(F.col("qtf") * F.sqrt(F.col("tf").cast("double")) * F.col("idf")
                               / F.sqrt(F.col("dl").cast("double"))).alias("raw")))
     # pattern clauses: constant score
-    pat_hits = (post.join(F.broadcast(expanded), ["field", "term"])
+    pat_hits = (post.join(bounded_broadcast(expanded), ["field", "term"])
                     .select(*CLAUSE_KEY, "doc_id").distinct().withColumn("raw", F.lit(1.0)))
-    phrase_hits = _phrases(words.where(F.col("kind") == "phrase"), post, idf)
+    phrase_hits = _phrases(words.where(F.col("kind") == "phrase"), post, idf, small)
     hits = term_hits.unionByName(pat_hits).unionByName(phrase_hits)
 
     info = cl.select(*CLAUSE_KEY, "occur", "boost")
-    scored = hits.join(info, CLAUSE_KEY).withColumn("s", F.col("raw") * F.col("boost"))
-    need = cl.groupBy("query_id").agg(F.sum((F.col("occur") == "must").cast("int")).alias("n_must"))
+    scored = hits.join(small(info), CLAUSE_KEY).withColumn("s", F.col("raw") * F.col("boost"))
+    # a clause without words can neither match nor be required
+    says = F.col("kind").isin(*PATTERN_KINDS) | kw | (F.size(token_array("text")) > 0)
+    need = cl.groupBy("query_id").agg(F.sum(((F.col("occur") == "must") & says).cast("int")).alias("n_must"))
     per = scored.groupBy("query_id", "doc_id").agg(
         F.sum((F.col("occur") == "must").cast("int")).alias("m"),
         F.sum((F.col("occur") == "must_not").cast("int")).alias("mn"),
         F.sum((F.col("occur") == "should").cast("int")).alias("sh"),
         F.sum(F.when(F.col("occur") != "must_not", F.col("s")).otherwise(F.lit(0.0))).alias("score"))
     ok = ((F.col("m") == F.col("n_must")) & (F.col("mn") == 0) & ((F.col("n_must") > 0) | (F.col("sh") > 0)))
-    return per.join(F.broadcast(need), "query_id").where(ok).select("query_id", "doc_id", "score")
+    return per.join(small(need), "query_id").where(ok).select("query_id", "doc_id", "score")
 
 
-def _phrases(pw: DataFrame, post: DataFrame, idf: DataFrame) -> DataFrame:
+def _phrases(pw: DataFrame, post: DataFrame, idf: DataFrame, small: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``(query_id, clause_id, doc_id, raw)`` for phrase clauses."""
     plen = pw.groupBy(*CLAUSE_KEY).agg(F.count(F.lit(1)).alias("L"), F.max("slop").alias("slop"))
     pidf = pw.join(idf, ["field", "term"]).groupBy(*CLAUSE_KEY).agg(F.sum("idf").alias("idf_sum"))
-    occ = post.join(F.broadcast(pw.select(*CLAUSE_KEY, "field", "term", "offset")), ["field", "term"])
+    occ = post.join(small(pw.select(*CLAUSE_KEY, "field", "term", "offset")), ["field", "term"])
     # exact: every word at its place from one start
     exact = (occ.withColumn("start", F.col("pos") - F.col("offset"))
                 .groupBy(*CLAUSE_KEY, "doc_id", "start").agg(F.count(F.lit(1)).alias("k"), F.max("dl").alias("dl"))
-                .join(F.broadcast(plen), CLAUSE_KEY)
+                .join(small(plen), CLAUSE_KEY)
                 .where((F.col("k") == F.col("L")) & ((F.col("slop") == 0) | (F.col("L") == 1)))
                 .groupBy(*CLAUSE_KEY, "doc_id").agg(F.count(F.lit(1)).cast("double").alias("freq"),
                                                    F.max("dl").alias("dl")))
     # sloppy: positional range join from each anchor (offset 0) to the other words
     anchors = occ.where(F.col("offset") == 0).select(*CLAUSE_KEY, "doc_id", F.col("pos").alias("p"), "dl")
     others = occ.where(F.col("offset") > 0).select(*CLAUSE_KEY, "doc_id", "offset", F.col("pos").alias("q"))
-    sl = F.broadcast(plen.where((F.col("slop") > 0) & (F.col("L") > 1)))
+    sl = small(plen.where((F.col("slop") > 0) & (F.col("L") > 1)))
     a = anchors.join(sl, CLAUSE_KEY)
     near = (a.join(others, CLAUSE_KEY + ["doc_id"])
              .where(F.abs(F.col("q") - F.col("offset") - F.col("p")) <= F.col("slop"))
@@ -208,6 +228,6 @@ def _phrases(pw: DataFrame, post: DataFrame, idf: DataFrame) -> DataFrame:
     sloppy = per_anchor.groupBy(*CLAUSE_KEY, "doc_id").agg(
         F.sum(F.lit(1.0) / (F.lit(1.0) + F.col("d"))).alias("freq"), F.max("dl").alias("dl"))
     freq = exact.unionByName(sloppy)
-    return (freq.join(F.broadcast(pidf), CLAUSE_KEY)
+    return (freq.join(small(pidf), CLAUSE_KEY)
                 .select(*CLAUSE_KEY, "doc_id",
                         (F.sqrt(F.col("freq")) * F.col("idf_sum") / F.sqrt(F.col("dl").cast("double"))).alias("raw")))

@@ -122,7 +122,7 @@ def score(docs: DataFrame, qterms: DataFrame, model: str = "tfidf", lam: float |
     sums = [F.sum(F.col("_w") * F.log(F.lit(1.0) + (F.lit(1.0 - x) * tf_dl) / (F.lit(x) * F.col("_p"))))
             .alias(f"_s{i}") for i, x in enumerate(lams)]
     agg = joined.groupBy("query_id", "doc_id").agg(*sums)
-    pairs = F.arrays_zip(F.array(*[F.lit(round(x, 1)) for x in lams]).alias("lambda"),
+    pairs = F.arrays_zip(F.array(*[F.lit(x) for x in lams]).alias("lambda"),
                          F.array(*[F.col(f"_s{i}") for i in range(len(lams))]).alias("score"))
     return agg.select(F.inline(pairs), "query_id", "doc_id").select("lambda", "query_id", "doc_id", "score")
 

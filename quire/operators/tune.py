@@ -38,6 +38,16 @@ def select_queries(queries: DataFrame, spec: str) -> DataFrame:
     return queries.where(F.col("query_id").between(lo, hi))
 
 
+def halves(queries: DataFrame) -> tuple[str, str]:
+    """The lower and upper half of the query ids' range, as range specs, for
+    training and test (one aggregate of two numbers is read back)."""
+    lo, hi = queries.agg(F.min("query_id"), F.max("query_id")).first()
+    if lo is None:
+        return "0", "0"
+    mid = (lo + hi) // 2
+    return f"{lo}-{mid}", f"{mid + 1}-{max(hi, mid + 1)}"
+
+
 def split(queries: DataFrame, train: str, test: str) -> tuple[DataFrame, DataFrame]:
     """Two inclusive id ranges."""
     return select_queries(queries, train), select_queries(queries, test)
@@ -50,7 +60,7 @@ def sweep(docs: DataFrame, train_queries: DataFrame, qrels: DataFrame, k: int,
     for x in lambdas:
         if not 0.0 < x <= 1.0:
             raise ValueError("lambda must be in (0, 1]")
-    lams = [round(float(x), 1) for x in lambdas]
+    lams = [float(x) for x in lambdas]
     scored = score(docs, query_terms(train_queries), model="jm", lam=lams)
     return metrics(train_queries, scored, qrels, k, runs={"lambda": lams})
 
@@ -60,7 +70,7 @@ def best_lambda(sweep_metrics: DataFrame, metric: str = "map") -> DataFrame:
     lowest lambda wins a tie."""
     col = METRIC_COLUMNS[metric]
     means = sweep_metrics.groupBy("lambda").agg(F.coalesce(F.avg(col), F.lit(0.0)).alias("_m"))
-    top = means.agg(F.max_by(F.struct("lambda", "_m"), F.struct(F.col("_m"), -F.col("lambda"))).alias("b"))
+    top = means.agg(F.max_by(F.struct("lambda", "_m"), F.struct(F.round("_m", 12), -F.col("lambda"))).alias("b"))
     return top.select(F.col("b.lambda").alias("best_lambda"), F.col("b._m").alias("best_value"))
 
 

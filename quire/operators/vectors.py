@@ -22,8 +22,8 @@ from quire.session import bounded_broadcast, materialize
 
 REPS = ("bin", "tf", "tfxidf")
 RANK_DECIMALS = 9
-# Largest target list ``cosine_table`` accepts (its output is targets x docs).
-MAX_TARGETS = 10_000
+# Targets that meet the documents together in ``cosine_table``.
+TARGET_BLOCK = 1_000
 
 
 def vectorise(postings_df: DataFrame, docs: DataFrame, rep: str = "tf") -> DataFrame:
@@ -128,19 +128,18 @@ def cosine_table(postings_df: DataFrame, docs: DataFrame, targets: DataFrame, re
     """``(target, doc_id, cosine)`` of each target to every other document
     with a vector (0 when no term is shared, null for a zero norm).
 
-    The output has targets x documents rows by definition; the targets are a
-    bounded, size-checked set, so the pairs are built by exploding the target
-    list (an array from one scalar subquery) on the document list.
+    The output has targets x documents rows by definition. Targets come in
+    blocks: a document meets one block per row, joined on the block's number.
     """
     targets = materialize(targets.select("target").distinct())
-    if targets.limit(MAX_TARGETS + 1).count() > MAX_TARGETS:
-        raise ValueError(f"cosine_table takes at most {MAX_TARGETS} targets")
+    blocks = max(1, -(-targets.count() // TARGET_BLOCK))
     postings_df = materialize(postings_df)
     nr = materialize(doc_norms(postings_df, docs, rep))
-    tlist = (nr.join(targets.select(F.col("target").alias("doc_id")), "doc_id")
-               .agg(F.collect_list(F.struct(F.col("doc_id").alias("target"), F.col("norm").alias("tnorm")))
-                    .alias("t")))
-    pairs = nr.select("doc_id", "norm", F.inline(tlist.scalar()))
+    block = F.pmod(F.xxhash64("target"), F.lit(blocks)).cast("int")
+    asked = nr.join(targets.select(F.col("target").alias("doc_id")), "doc_id").select(
+        F.col("doc_id").alias("target"), F.col("norm").alias("tnorm"))
+    met = nr.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    pairs = met.join(bounded_broadcast(asked.withColumn("block", block)), "block").select("doc_id", "norm", "target", "tnorm")
     dots = dots_to(postings_df, target_side(postings_df, docs, targets, rep), rep)
     return (pairs.where(F.col("doc_id") != F.col("target"))
                  .join(dots, ["target", "doc_id"], "left")

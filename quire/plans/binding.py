@@ -53,7 +53,7 @@ def write_doc_tree(docs: DataFrame, root: str) -> None:
     en = docs.where(F.col("lang") == "en")
     (en.select("source", "doc_id", "text").write.mode("append")
        .partitionBy("source", "doc_id").text(root))
-    (docs.where(F.col("lang") != "en").select("doc_id", "text").write.mode("append")
+    (docs.where(F.coalesce(F.col("lang") != "en", F.lit(True))).select("doc_id", "text").write.mode("append")
          .partitionBy("doc_id").text(root))
 
 

@@ -22,8 +22,7 @@ from quire.sources import tables
 
 OUT_DECIMALS = 6
 CUT = 10
-TRAIN = "0-19"
-TEST = "20-39"
+SUBSET = "0-19"   # the range of the range-selection query
 JM_LAMBDA = 0.8
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -270,31 +269,37 @@ def q_skip_unjudged(spark, sf):
 
 # ------------------------------------------------------------- tuning --
 
-@register("query_subset", f"SELECT item_id AS query_id, text FROM benchmark WHERE item_id BETWEEN {TRAIN.replace('-', ' AND ')}")
+@register("query_subset", f"SELECT item_id AS query_id, text FROM benchmark WHERE item_id BETWEEN {SUBSET.replace('-', ' AND ')}")
 def q_query_subset(spark, sf):
-    return _queries(spark, sf, TRAIN)
+    return _queries(spark, sf, SUBSET)
 
 
-@register("split_train_test", f"""SELECT item_id AS query_id, CASE WHEN item_id BETWEEN {TRAIN.replace('-', ' AND ')} THEN 'train' ELSE 'test' END AS part
-    FROM benchmark WHERE item_id BETWEEN {TRAIN.replace('-', ' AND ')} OR item_id BETWEEN {TEST.replace('-', ' AND ')}""")
+# training and test queries: the lower and upper half of the table's ids
+_MID_SQL = "(SELECT (min(item_id) + max(item_id)) // 2 FROM benchmark)"
+_TRAIN_SQL = f"item_id <= {_MID_SQL}"
+_TEST_SQL = f"item_id > {_MID_SQL}"
+_TEST_RANGE_SQL = f"(SELECT ({_MID_SQL} + 1)::VARCHAR || '-' || max(item_id)::VARCHAR FROM benchmark)"
+
+
+def _halves(spark, sf):
+    return tune.halves(tables.queries(spark, sf))
+
+
+@register("split_train_test", f"""SELECT item_id AS query_id, CASE WHEN {_TRAIN_SQL} THEN 'train' ELSE 'test' END AS part
+    FROM benchmark""")
 def q_split(spark, sf):
-    tr, te = tune.split(tables.queries(spark, sf), TRAIN, TEST)
+    tr, te = tune.split(tables.queries(spark, sf), *_halves(spark, sf))
     return (tr.select("query_id", F.lit("train").alias("part"))
               .unionByName(te.select("query_id", F.lit("test").alias("part"))))
 
 
-def _range_sql(spec: str) -> str:
-    a, b = spec.split("-")
-    return f"item_id BETWEEN {a} AND {b}"
-
-
-_SWEEP = O.with_(O.DOCS, O.queries_cte(_range_sql(TRAIN)), O.scores_cte("jm", list(retrieval.LAMBDAS)), O.QRELS,
+_SWEEP = O.with_(O.DOCS, O.queries_cte(_TRAIN_SQL), O.scores_cte("jm", list(retrieval.LAMBDAS)), O.QRELS,
                  O.hits_cte(CUT, "lam_v"), O.metrics_cte(CUT, "lam_v", "lam"))
 
 
 def _sweep(spark, sf):
     d = _docs(spark, sf)
-    return tune.sweep(d, _queries(spark, sf, TRAIN), shingle_qrels(d, tables.queries(spark, sf)), CUT)
+    return tune.sweep(d, _queries(spark, sf, _halves(spark, sf)[0]), shingle_qrels(d, tables.queries(spark, sf)), CUT)
 
 
 @register("lambda_sweep", _SWEEP + ' SELECT round(lam_v, 1) AS "lambda", query_id, round(ap, 6) AS ap FROM m')
@@ -316,9 +321,9 @@ def _test_metrics_sql(lam_expr: str | None) -> str:
     """Metrics of the test range under tf-idf (``lam_expr`` None) or JM with
     the lambda chosen by the training sweep."""
     if lam_expr is None:
-        return O.with_(O.DOCS, O.queries_cte(_range_sql(TEST)), O.scores_cte("tfidf"), O.QRELS,
+        return O.with_(O.DOCS, O.queries_cte(_TEST_SQL), O.scores_cte("tfidf"), O.QRELS,
                        O.hits_cte(CUT), O.metrics_cte(CUT))
-    return O.with_(O.DOCS, O.queries_cte(_range_sql(TEST)), O.scores_cte("jm", [lam_expr]), O.QRELS,
+    return O.with_(O.DOCS, O.queries_cte(_TEST_SQL), O.scores_cte("jm", [lam_expr]), O.QRELS,
                    O.hits_cte(CUT), O.metrics_cte(CUT))
 
 
@@ -328,7 +333,7 @@ def _jm_test_sql() -> str:
     sweep_part = _SWEEP + "," + _BEST_SQL
     # second scoring chain over the test range, prefixed to keep names apart
     test = f"""
-tq AS (SELECT item_id AS query_id, text FROM benchmark WHERE {_range_sql(TEST)}),
+tq AS (SELECT item_id AS query_id, text FROM benchmark WHERE {_TEST_SQL}),
 tqt AS (SELECT query_id, term, count(*) AS qtf FROM (
         SELECT query_id, unnest(regexp_extract_all(lower(replace(replace(text, '(', ''), ')', '')), '{O.TOK}', 0)) AS term
         FROM tq) GROUP BY query_id, term),
@@ -359,7 +364,7 @@ def _jm_test(spark, sf, qrels=None):
     d = _docs(spark, sf)
     q = tables.queries(spark, sf)
     qrels = qrels if qrels is not None else shingle_qrels(d, q)
-    m, _, lam = tune.train_test(d, q, qrels, CUT, "jm", TRAIN, TEST)
+    m, _, lam = tune.train_test(d, q, qrels, CUT, "jm", *tune.halves(q))
     return m, lam
 
 
@@ -367,7 +372,7 @@ def _tfidf_test(spark, sf, qrels=None):
     d = _docs(spark, sf)
     q = tables.queries(spark, sf)
     qrels = qrels if qrels is not None else shingle_qrels(d, q)
-    m, _, _ = tune.train_test(d, q, qrels, CUT, "tfidf", None, TEST)
+    m, _, _ = tune.train_test(d, q, qrels, CUT, "tfidf", None, tune.halves(q)[1])
     return m
 
 
@@ -427,7 +432,7 @@ def _signed_rank_sql(zeros: str) -> str:
 wd AS (SELECT x - y AS d FROM al{keep}),
 wr AS (SELECT d, rank() OVER (ORDER BY abs(d)) + (count(*) OVER (PARTITION BY abs(d)) - 1) / 2.0 AS rk FROM wd),
 ws AS (SELECT count(*) AS n, coalesce(sum(CASE WHEN d > 0 THEN rk END), 0.0) AS w_plus FROM wr),
-dp AS (SELECT 0 AS i, [CAST(1 AS BIGINT)] AS c
+dp AS (SELECT 0 AS i, [CAST(1 AS DOUBLE)] AS c
        UNION ALL
        SELECT i + 1, list_transform(range(0, len(c) + i + 1),
               lambda s: coalesce(c[s + 1], 0) + CASE WHEN s >= i + 1 THEN coalesce(c[s - i], 0) ELSE 0 END)
@@ -609,9 +614,10 @@ def q_similar_docs_all(spark, sf):
 # ------------------------------------------------------------ k-means --
 
 K_ALL = 4
-ITERS_ALL = 3
 K_SIM = 2
-ITERS_SIM = 8
+# steps that the SQL unrolls; the fixed point is reached before (the Spark side
+# has no limit), and further steps change nothing
+UNROLL_ALL, UNROLL_SIM = 60, 30
 
 
 def _points_all(spark, sf):
@@ -621,9 +627,17 @@ def _points_all(spark, sf):
 _PTS_ALL = "pts AS (SELECT doc_id, term, CAST(tf AS DOUBLE) AS w FROM post)"
 
 
-@register("kmeans_init", None)
+@register("kmeans_init", O.with_(O.DOCS, _PTS_ALL) + f""",
+np AS (SELECT count(DISTINCT doc_id) AS n FROM pts),
+box AS (SELECT term, min(w) AS lo, max(w) AS hi, count(*) AS cnt FROM pts GROUP BY term),
+edge AS (SELECT term, CASE WHEN cnt < n THEN least(lo, 0.0) ELSE lo END AS lo,
+                CASE WHEN cnt < n THEN greatest(hi, 0.0) ELSE hi END AS hi FROM box, np),
+grid AS (SELECT term, lo, hi, CAST(unnest(range(0, {K_ALL})) AS INTEGER) AS cluster FROM edge),
+drawn AS (SELECT cluster, term, CAST(('0x' || substr(md5(term || '|' || cluster || '|42'), 1, 13)) AS BIGINT) / pow(2, 52)
+                 * (hi - lo) + lo AS w FROM grid)
+SELECT cluster, term, round(w, 6) AS w FROM drawn WHERE w <> 0""")
 def q_kmeans_init(spark, sf):
-    return cluster.init_box(_points_all(spark, sf), K_ALL, seed=42)
+    return cluster.init_box(_points_all(spark, sf), K_ALL, seed=42).select("cluster", "term", r6("w").alias("w"))
 
 
 _KM1, _A1, _C1 = O.kmeans_ctes("pts", K_ALL, 1)
@@ -652,23 +666,23 @@ def q_kmeans_objective(spark, sf):
     return cluster.objective(a).select(r6("objective").alias("objective"))
 
 
-_KMF, _AF, _CF = O.kmeans_ctes("pts", K_ALL, ITERS_ALL)
+_KMF, _AF, _CF = O.kmeans_ctes("pts", K_ALL, UNROLL_ALL)
 
 
 @register("kmeans_fit", O.with_(O.DOCS, _PTS_ALL, _KMF) + f" SELECT doc_id, cluster FROM {_AF}")
 def q_kmeans_fit(spark, sf):
-    r = cluster.fit(_points_all(spark, sf), K_ALL, init="points", max_iter=ITERS_ALL)
+    r = cluster.fit(_points_all(spark, sf), K_ALL, init="points")
     return r.assignment.select("doc_id", "cluster")
 
 
 @register("doc_clusters_all", O.with_(O.DOCS, _PTS_ALL, _KMF) + f""" SELECT doc_id, cluster,
     round(dist, 6) AS dist FROM {_AF}""")
 def q_doc_clusters_all(spark, sf):
-    r = cluster.fit(_points_all(spark, sf), K_ALL, init="points", max_iter=ITERS_ALL)
+    r = cluster.fit(_points_all(spark, sf), K_ALL, init="points")
     return r.assignment.select("doc_id", "cluster", r6("dist").alias("dist"))
 
 
-_KMS, _AS, _CS = O.kmeans_ctes("spts", K_SIM, ITERS_SIM, prefix="ks")
+_KMS, _AS, _CS = O.kmeans_ctes("spts", K_SIM, UNROLL_SIM, prefix="ks")
 
 
 @register("doc_clusters", _cos_sql("tf", f"SELECT doc_id AS target FROM documents WHERE doc_id = {TARGET_DOC}") + f""",
@@ -679,7 +693,7 @@ def q_doc_clusters(spark, sf):
     p = materialize(stats.postings(d))
     sim = vectors.similar_docs(p, d, _target_df(spark, sf), TOP_N, "tf")
     pts = vectors.vectorise(p, d, "tf").join(bounded_broadcast(sim.select("doc_id")), "doc_id")
-    r = cluster.fit(pts, K_SIM, init="points", max_iter=ITERS_SIM)
+    r = cluster.fit(pts, K_SIM, init="points")
     return r.assignment.select("doc_id", "cluster")
 
 
@@ -734,7 +748,7 @@ def q_scan_extension(spark, sf):
     true AS time_ok FROM documents""")
 def q_file_attributes(spark, sf):
     t = files.with_file_attrs(files.scan_tree(spark, _tree(spark, sf), exts=[".txt"]))
-    ok = ((F.col("modified_ms") > 0) & (F.length("modified_lucene") == 17)
+    ok = ((F.col("modified_ms") > 0) & (F.length("modified_sortable") == 17)
           & F.col("modified_iso").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{3}Z$"))
     return t.select(_doc_of().alias("doc_id"), r6("size_kb").alias("size_kb"), "type", ok.alias("time_ok"))
 
@@ -777,13 +791,15 @@ def q_read_qrels(spark, sf):
     return records.read_qrels(spark, path)
 
 
-RESULT_NAME = f"medline.tfidf.training.null.test.{TEST}.map{CUT}.test.csv"
+def result_name(test: str) -> str:
+    """Sixth part: test range; seventh part: metric and cut."""
+    return f"run.tfidf.train.none.test.{test}.map{CUT}.csv"
 
 
 @register("read_results", _TFIDF_TEST + f""" SELECT CAST(query_id AS VARCHAR) AS query, round(ap, 6) AS value,
-    '{TEST}' AS test_range, 'map{CUT}' AS metric FROM m""")
+    {_TEST_RANGE_SQL} AS test_range, 'map{CUT}' AS metric FROM m""")
 def q_read_results(spark, sf):
-    path = staging_path(spark, "results") + "/" + RESULT_NAME
+    path = staging_path(spark, "results") + "/" + result_name(_halves(spark, sf)[1])
     rep = reports.test_report(_tfidf_test(spark, sf), None, "ap")
     reports.write_result_csv(rep, path, None, "map", CUT)
     r = records.read_results(spark, path)

@@ -111,8 +111,8 @@ def kmeans_ctes(points: str, k: int, iters: int, prefix: str = "km") -> tuple[st
     ``points`` names a CTE ``(doc_id, term, w)``."""
     p = prefix
     parts = [f"""
-{p}pn AS (SELECT doc_id, sum(w * w) AS pp FROM {points} GROUP BY doc_id),
-{p}c0 AS (SELECT r.cluster, x.term, x.w FROM {points} x JOIN (
+{p}pn AS MATERIALIZED (SELECT doc_id, sum(w * w) AS pp FROM {points} GROUP BY doc_id),
+{p}c0 AS MATERIALIZED (SELECT r.cluster, x.term, x.w FROM {points} x JOIN (
           SELECT doc_id, CAST(row_number() OVER (ORDER BY doc_id) - 1 AS INTEGER) AS cluster
           FROM (SELECT DISTINCT doc_id FROM {points}) ORDER BY doc_id LIMIT {k}) r USING (doc_id))"""]
     for i in range(1, iters + 1):
@@ -123,10 +123,10 @@ def kmeans_ctes(points: str, k: int, iters: int, prefix: str = "km") -> tuple[st
 {p}dd{i} AS (SELECT g.doc_id, g.cluster, sqrt(greatest(g.pp - 2 * coalesce(d.dot, 0) + coalesce(n.cc, 0), 0)) AS dist
         FROM (SELECT doc_id, pp, CAST(unnest(range(0, {k})) AS INTEGER) AS cluster FROM {p}pn) g
         LEFT JOIN {p}dt{i} d USING (doc_id, cluster) LEFT JOIN {p}cn{i} n USING (cluster)),
-{a} AS (SELECT doc_id, cluster, dist FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(dist, 9), cluster) AS o
+{a} AS MATERIALIZED (SELECT doc_id, cluster, dist FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(dist, 9), cluster) AS o
         FROM {p}dd{i}) WHERE o = 1),
 {p}sz{i} AS (SELECT cluster, count(*) AS size FROM {a} GROUP BY cluster),
-{p}c{i} AS (SELECT a.cluster, x.term, sum(x.w) / s.size AS w FROM {points} x JOIN {a} a USING (doc_id) JOIN {p}sz{i} s USING (cluster)
+{p}c{i} AS MATERIALIZED (SELECT a.cluster, x.term, sum(x.w) / s.size AS w FROM {points} x JOIN {a} a USING (doc_id) JOIN {p}sz{i} s USING (cluster)
         GROUP BY a.cluster, x.term, s.size
         UNION ALL SELECT cluster, term, w FROM {c} WHERE cluster NOT IN (SELECT cluster FROM {p}sz{i}))""")
     return ",".join(x.strip("\n") for x in parts), f"{p}a{iters}", f"{p}c{iters}"

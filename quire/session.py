@@ -8,7 +8,6 @@ lineage cut goes to the folder the cluster names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -101,10 +100,11 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that must touch the local disk (tests)."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_dir(path: str) -> None:
-    os.makedirs(local_path(path), exist_ok=True)
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a Parquet table below the shared checkpoint folder
+    and continue from it. One pass over ``df`` (a checkpoint computes its
+    frame twice), with column pruning for the readers; the partitioning is
+    not kept."""
+    path = staging_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 OPEN_MODES = ("create", "append", "create_or_append")
@@ -52,11 +52,18 @@ def save(df: DataFrame, path: str, openmode: str = "create", key: str | None = N
     w.mode("append").parquet(path)
 
 
-def upsert(base: DataFrame, delta: DataFrame, key: str | Sequence[str]) -> DataFrame:
+def upsert(base: DataFrame, delta: DataFrame, key: str | Sequence[str], order: str | None = None) -> DataFrame:
     """Rows of ``delta`` replace rows of ``base`` with the same key; other
-    base rows stay (anti join + union, one shuffle on the key)."""
+    base rows stay (anti join + union, one shuffle on the key). Of several
+    delta rows with one key the last by the column ``order`` replaces; without
+    ``order`` such a delta is refused."""
     keys = [key] if isinstance(key, str) else list(key)
-    return base.join(delta.select(*keys).distinct(), keys, "left_anti").unionByName(delta)
+    if order is not None:
+        last = Window.partitionBy(*keys).orderBy(F.desc(order))
+        delta = delta.withColumn("_turn", F.row_number().over(last)).where("_turn = 1").drop("_turn")
+    elif not delta.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").isEmpty():
+        raise ValueError("a key occurs twice in the delta: name the column that orders its rows")
+    return base.join(delta.select(*keys), keys, "left_anti").unionByName(delta)
 
 
 def partition_by_top_folder(df: DataFrame, rel_path_col: str = "rel_path") -> DataFrame:

@@ -61,21 +61,6 @@ def scan_tree(spark: SparkSession, root: str, depth: int | None = None,
                       normalise_lines(F.decode(F.col("content"), "UTF-8")).alias("contents"))
 
 
-def only_files(df: DataFrame, exts: Sequence[str]) -> DataFrame:
-    """Filter an already scanned tree by extension."""
-    return df.where(F.col("extension").isin(list(exts)))
-
-
-def depth_ok(df: DataFrame, n: int) -> DataFrame:
-    """Filter an already scanned tree by folder depth."""
-    return df.where(F.col("depth") <= n)
-
-
-# Format of the sortable millisecond time string (UTC).
-MILLIS_FORMAT = "yyyyMMddHHmmssSSS"
-ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
-
-
 def with_file_attrs(df: DataFrame) -> DataFrame:
     """File attributes as fields: ``size_kb`` (bytes / 1000.0), the
     modification time as epoch milliseconds, ISO text and sortable
@@ -86,11 +71,5 @@ def with_file_attrs(df: DataFrame) -> DataFrame:
         (F.col("length") / F.lit(1000.0)).alias("size_kb"),
         F.unix_millis(F.col("modified")).alias("modified_ms"),
         F.date_format(F.col("modified"), ISO_FORMAT).alias("modified_iso"),
-        F.date_format(F.col("modified"), MILLIS_FORMAT).alias("modified_lucene"),
+        F.date_format(F.col("modified"), MILLIS_FORMAT).alias("modified_sortable"),
         F.lit("regular").alias("type"))
-
-
-def top_folder(rel_path) -> F.Column:
-    """First folder of a relative path, ``''`` for root files."""
-    c = F.col(rel_path) if isinstance(rel_path, str) else rel_path
-    return F.when(F.instr(c, "/") > 0, F.substring_index(c, "/", 1)).otherwise(F.lit(""))

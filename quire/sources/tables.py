@@ -7,63 +7,19 @@ by ``quire.plans.binding.shingle_qrels``.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
-# Inputs below this total size that arrive in fewer files than the cluster has
-# cores are hash-spread before tokenisation; larger inputs are split by the
-# file source itself and are never shuffled here.
-REBALANCE_MAX_BYTES = 2 << 30
-
-TABLE_KEYS = {
-    "documents": "doc_id",
-    "benchmark": "item_id",
-    "labels": "doc_id",
-    "conversations": "conv_id",
-    "pages": "page_id",
-}
-
-
-def _local_size(path: str) -> int | None:
-    p = path[len("file:"):] if path.startswith("file:") else path
-    if "://" in p:
-        return None
-    try:
-        return os.path.getsize(p)
-    except OSError:
-        return None
-
-
-def rebalance_if_narrow(df: DataFrame, key: str | None,
-                        max_bytes: int = REBALANCE_MAX_BYTES) -> DataFrame:
-    """Spread a small input over all cores when it arrives in too few files.
-
-    A single Parquet row group is read by a single task, which leaves the
-    other cores idle during tokenisation. The hash spread (on ``key``) is
-    applied only when the input is smaller than ``max_bytes`` and has fewer
-    files than the default parallelism, so its cost is bounded; at scale the
-    scan is already split and nothing is shuffled. ``key`` is kept for
-    callers that want the table's natural key at hand; the spread itself is
-    round-robin.
-    """
-    spark = df.sparkSession
-    par = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if not files or len(files) >= par:
-        return df
-    sizes = [_local_size(f) for f in files]
-    if any(s is None for s in sizes) or sum(sizes) > max_bytes:
-        return df
-    # round-robin, not by key: the plan above then has the same exchanges as
-    # on a split input at scale
-    return df.repartition(par)
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows over the cluster's cores when the scan has fewer
+    partitions than cores (a small table in one row group would otherwise be
+    one task). A larger table is split by the file source and not moved."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one driver table (``{sf_dir}/{name}.parquet``)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return rebalance_if_narrow(df, TABLE_KEYS.get(name))
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def collection(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,9 +4,11 @@ The batch indexer's append mode with update-by-path, as a stream: new files
 under a folder are read as whole-text documents, and every micro-batch writes
 its documents and postings into its own ``epoch=<batch id>`` partition with
 dynamic partition overwrite, so a retried batch replaces exactly its own
-output (exactly-once with the stream checkpoint). A file seen again later
-(same path) supersedes the earlier version: readers keep, per path, the row of
-the latest epoch (``read_docs`` / ``read_postings``), so nothing already
+output (exactly-once with the stream checkpoint). The file source reads a path
+once: a file that is written again under its old path is not read again, so a
+new version of a document has to come under a new path. Should one path occur
+in several epochs (after the stream's checkpoint was replaced), readers keep
+the row of the latest (``read_docs`` / ``read_postings``); nothing already
 written is rewritten.
 """
 

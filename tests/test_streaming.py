@@ -1,5 +1,4 @@
-"""Incremental ingest: two stream runs, a re-written file supersedes its
-earlier version."""
+"""Incremental ingest: two stream runs, the second with a new file."""
 
 import os
 
