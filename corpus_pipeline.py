@@ -54,7 +54,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids, decoded``: the token ids of every text and the
     text that they decode to."""
-    both = bpe.decode(bpe.encode(docs, keep=["doc_id"]))
+    both = bpe.encode(docs, keep=["doc_id"], decoded=True)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 

@@ -113,26 +113,37 @@ def decode_flat(v: vocab.Vocab, ids: np.ndarray, offs: np.ndarray) -> tuple[np.n
     return v.token_bytes[flat.span_index(v.token_at[ids], n)], total[offs]
 
 
-def _encode(path: str, keep: list[str], text: str):
+def _texts(v: vocab.Vocab, ids: np.ndarray, at: np.ndarray) -> list[str]:
+    """Texts of flat id lists; what is no UTF-8 becomes the replacement character."""
+    body, to = decode_flat(v, ids, at)
+    raw = body.tobytes()
+    return [raw[a:b].decode("utf-8", "replace") for a, b in zip(to[:-1], to[1:])]
+
+
+def _encode(path: str, keep: list[str], text: str, decoded: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocab.load(path)
         for batch in batches:
             data, offs = flat.buffer_of(batch.column(text))
             for i, j, d, o in flat.slices(data, offs):
                 ids, at = encode_flat(v, d, o)
-                lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, j - i) for c in keep), lists], names=[*keep, "ids"])
+                new = {"ids": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int32()))}
+                if decoded:
+                    new["decoded"] = pa.array(_texts(v, ids, at), pa.string())
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, j - i) for c in keep), *new.values()], names=[*keep, *new])
     return run
 
 
-def encode(docs: DataFrame, path: str | None = None, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def encode(docs: DataFrame, path: str | None = None, text: str = "text", keep: list[str] | None = None, decoded: bool = False) -> DataFrame:
     """``docs`` with a column ``ids`` (token ids of the whole text) beside the
-    columns ``keep`` (all but ``ids`` by default). A null or empty text has no
+    columns ``keep`` (all but ``ids`` by default), and with ``decoded`` the
+    text that the ids decode to, in the same pass. A null or empty text has no
     ids; repeated rows stay repeated; an empty table gives no rows."""
-    keep = [c for c in docs.columns if c != "ids"] if keep is None else keep
+    keep = [c for c in docs.columns if c not in ("ids", "decoded")] if keep is None else keep
     src = docs.select(*dict.fromkeys([*keep, text]))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields if f.name in keep)
-    return src.mapInArrow(_encode(path or vocab.default_path(), keep, text), f"{fields}, ids array<int>")
+    more = ", decoded string" if decoded else ""
+    return src.mapInArrow(_encode(path or vocab.default_path(), keep, text, decoded), f"{fields}, ids array<int>{more}")
 
 
 def _decode(path: str, keep: list[str]):
@@ -143,9 +154,7 @@ def _decode(path: str, keep: list[str]):
                 part = batch.slice(i, 256)
                 ids = part.column("ids").fill_null([])
                 lens = np.diff(ids.offsets.to_numpy()).astype(np.int64)
-                body, at = decode_flat(v, ids.flatten().to_numpy().astype(np.int64), np.concatenate([[0], np.cumsum(lens)]))
-                raw = body.tobytes()
-                texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(at[:-1], at[1:])]
+                texts = _texts(v, ids.flatten().to_numpy().astype(np.int64), np.concatenate([[0], np.cumsum(lens)]))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(texts, pa.string())], names=[*keep, "decoded"])
     return run
 

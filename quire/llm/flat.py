@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 U64 = np.uint64
 
 #: ASCII white space: space and tab to carriage return.
@@ -29,6 +29,7 @@ LOWER[65:91] += 32
 
 def buffer_of(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and ``len + 1`` offsets of a string column; null is empty."""
+    pa.default_memory_pool().release_unused()  # of the batch before
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
     if col.null_count:
