@@ -117,7 +117,8 @@ def repeated(src: DataFrame, spec: Spec, name: str) -> DataFrame:
     a = stage(src.mapInArrow(_anchors(spec), ANCHORS), f"{name}-anchors")
     k = a.groupBy("akey").agg(F.count(F.lit(1)).alias("c"), F.min("ckey").alias("c0"), F.max("ckey").alias("c1"), F.min("doc_id").alias("first"))
     k = k.where("c > 1").select("akey", "first", (F.col("c0") != F.col("c1")).alias("contested"))
-    return stage(a.join(k, "akey"), f"{name}-repeated")
+    # written first: a join of two plain scans can be split at a frequent anchor
+    return stage(a.join(stage(k, f"{name}-often"), "akey"), f"{name}-repeated")
 
 
 def with_texts(src: DataFrame, rows: DataFrame, cols: list[str]) -> DataFrame:
