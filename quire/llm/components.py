@@ -3,7 +3,7 @@
 Every step is a grouped minimum (combined map-side, so a hub moves one row
 per task) and one join on the grouping node (which adaptive execution may
 split when a hub holds a large share of the edges). Edges are written to the
-shared folder after every round; the loop ends when a round changes nothing.
+shared folder after every round; the loop ends when only stars are left.
 """
 
 from __future__ import annotations
@@ -25,7 +25,15 @@ def _star(edges: DataFrame, both_ways: bool) -> DataFrame:
     else:  # the node and its smaller neighbours go to the minimum
         near = e.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             low.select("a", F.col("m").alias("b")))
-    return near.where("a <> b").distinct()
+    return near.where("a <> b")
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node points to one root and no root points further."""
+    ends = edges.select(F.col("a").alias("v"), F.lit(1).alias("out"), F.lit(0).alias("root")).unionByName(
+        edges.select(F.col("b").alias("v"), F.lit(0).alias("out"), F.lit(1).alias("root")))
+    roles = ends.groupBy("v").agg(F.sum("out").alias("out"), F.max("root").alias("root"))
+    return roles.where("out > 1 OR (out > 0 AND root > 0)").isEmpty()
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -34,12 +42,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     nodes without another edge are absent. No edges give no rows."""
     e = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     e = stage(e, name)
-    seen = None
-    while True:
-        mark = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == seen or not mark[0]:
-            break
-        seen = mark
-        e = stage(_star(_star(e, True), False), name)
+    while not _settled(e):
+        e = stage(_star(_star(e, True), False).distinct(), name)
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

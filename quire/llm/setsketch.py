@@ -11,9 +11,11 @@ as the Jaccard similarity. The steps:
 3. In every band the smallest member leads: it is compared with the others,
    links merge classes into components, and only bands that still hold
    several components go on. Copies of one text thus cost one comparison each
-   and no pairs among themselves. What is left after ``ROUNDS`` rounds is
-   compared across components; crowded bands are first refined by a second
-   shared band.
+   and no pairs among themselves. Of what is left, shingles that no other
+   document left has are counted: they bound every similarity from above, and
+   documents and pairs that cannot reach the threshold any more are dropped
+   without loss. After ``ROUNDS`` rounds the rest is compared across
+   components.
 4. A pair is estimated jointly from its registers and known set sizes by
    maximum likelihood, and confirmed on the full sets.
 
@@ -41,8 +43,7 @@ BANDS, WIDTH = 32, 6
 REGISTERS = BANDS * WIDTH
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1   # parameters of the registers
 SLACK = 0.17      # about six standard errors of the estimate
-ROUNDS = 3
-CROWD = 64        # members above which a band is refined
+ROUNDS = 2
 BROADCAST_ROWS = 200_000
 
 _rng = np.random.default_rng(20260101)
@@ -181,10 +182,58 @@ def _attach(pairs: DataFrame, full: DataFrame, what: str) -> DataFrame:
     return side("b").join(side("a").join(bounded_broadcast(pairs, BROADCAST_ROWS), "a"), "b").select("a", "b", "na", "nb", "xa", "xb")
 
 
-def _links(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs(a, b)`` whose sets are similar enough."""
+def _links(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame | None:
+    """Those of ``pairs(a, b)`` whose sets are similar enough; None for none."""
+    pairs = stage(pairs, "pairs")
+    if pairs.isEmpty():
+        return None
     likely = stage(_attach(pairs, full, "sketch").mapInArrow(_likely(percent), "a long, b long"), "likely")
-    return stage(_attach(likely, full, "members").mapInArrow(_confirmed(percent), "a long, b long"), "links")
+    found = stage(_attach(likely, full, "members").mapInArrow(_confirmed(percent), "a long, b long"), "links")
+    return None if found.isEmpty() else found
+
+
+def _side(rows: DataFrame, x: str) -> DataFrame:
+    """Columns of one end of a pair."""
+    return rows.withColumnsRenamed({"rep": x, "n": f"n{x}", "comp": f"c{x}", "alone": f"u{x}"})
+
+
+def _possible(pairs: DataFrame, percent: int) -> DataFrame:
+    """Distinct ``(a, b)`` of different components that can reach the
+    threshold: at most what is not alone is shared, and all that is alone is
+    in the union."""
+    ma, mb = F.col("na") - F.col("ua"), F.col("nb") - F.col("ub")
+    union = F.greatest(F.greatest(ma, mb) + F.col("ua") + F.col("ub"), F.greatest("na", "nb"))
+    able = F.lit(100) * F.least(ma, mb) >= F.lit(percent) * union
+    return pairs.where((F.col("ca") != F.col("cb")) & able).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _still_mixed(open_: DataFrame, label: DataFrame) -> DataFrame:
+    """The bands that hold several components, with the components."""
+    mine = open_.drop("comp").join(label, open_["rep"] == label["node"], "left").select(
+        "key", "rep", "n", "alone", F.coalesce("component", "rep").alias("comp"))
+    mixed = mine.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("key")
+    return stage(mine.join(mixed, "key"), "bands")
+
+
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(0, batch.num_rows, 256):
+            part = batch.slice(i, 256)
+            sets = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column("members")]
+            take = pa.array(np.repeat(np.arange(len(sets)), [len(x) for x in sets]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets)), part.column("doc_id").take(take)], names=["h", "rep"])
+
+
+def _able(open_: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """``open_`` with ``alone``, the shingles of a document that no other one
+    left has, without the documents that are too much alone for any link."""
+    left = full.join(open_.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    rows = left.select("doc_id", "members").mapInArrow(_members, "h long, rep long")
+    once = rows.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("rep")).where("c = 1")
+    alone = once.groupBy("rep").agg(F.count(F.lit(1)).alias("u"))
+    out = open_.join(alone, "rep", "left").withColumn("alone", F.coalesce("u", F.lit(0).cast("long"))).drop("u")
+    return out.where(F.lit(100 - percent) * (F.col("n") - F.col("alone")) >= F.lit(percent) * F.col("alone"))
 
 
 def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -209,32 +258,29 @@ def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     full = src.join(touched.select("doc_id").distinct(), "doc_id").mapInArrow(
         _full_sets, "doc_id long, n long, f1 long, f2 long, sketch binary, members binary")
     full = stage(full.join(touched, ["doc_id", "f1", "f2"], "left_semi").dropDuplicates(["doc_id", "f1", "f2"]), "sets")
-    fits = F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb")
-
+    open_ = open_.withColumns({"comp": F.col("rep"), "alone": F.lit(0).cast("long")})
     links, label = None, None
     for turn in range(ROUNDS + 1):
-        if label is not None:  # only bands that hold several components go on
-            mine = open_.drop("comp").join(label, open_["rep"] == label["node"], "left").select(
-                "key", "rep", "n", F.coalesce("component", "rep").alias("comp"))
-            mixed = mine.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("key")
-            open_ = stage(mine.join(mixed, "key"), "bands")
-        else:
-            open_ = open_.withColumn("comp", F.col("rep"))
+        if label is not None:
+            open_ = _still_mixed(open_, label)
+            if turn == 1 and not open_.isEmpty():
+                open_ = _still_mixed(_able(open_, full, percent), label)
         if open_.isEmpty():
             break
         if turn < ROUNDS:
-            lead = open_.groupBy("key").agg(F.min(F.struct("rep", "n", "comp")).alias("lead"))
-            met = open_.join(lead, "key").select(F.col("lead.rep").alias("a"), F.col("rep").alias("b"), F.col("lead.n").alias("na"),
-                                                 F.col("n").alias("nb"), F.col("lead.comp").alias("ca"), F.col("comp").alias("cb"))
-            open_ = open_.join(lead.select("key", F.col("lead.rep").alias("lead")), "key").where("rep <> lead").drop("lead")
-            open_ = stage(open_, "bands")
-        else:
-            met = _crossed(open_, fits)
-        pairs = stage(met.where((F.col("ca") != F.col("cb")) & fits).select(
-            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-        found = _links(pairs, full, percent)
-        links = found if links is None else links.unionByName(found)
-        label = components(links, "near-duplicates")
+            lead = open_.groupBy("key").agg(F.min(F.struct("rep", "n", "comp", "alone")).alias("lead"))
+            met = open_.join(lead, "key")
+            pairs = _side(met.select("lead.*", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"),
+                                     F.col("alone").alias("ub")), "a")
+            open_ = stage(met.where("rep <> lead.rep").drop("lead"), "bands")
+        else:  # pairs of different components that share a band
+            pairs = _side(open_, "a").join(_side(open_, "b"), "key").where("a < b")
+        found = _links(_possible(pairs, percent), full, percent)
+        if found is not None:
+            links = found if links is None else links.unionByName(found)
+            label = components(links, "near-duplicates")
+        elif label is None:
+            break
     out = sigs.select("doc_id", "n", "f1", "f2").join(classes.select("f1", "f2", "rep"), ["f1", "f2"], "left")
     linked = (F.col("n") > 0) & F.col("doc_id").isNotNull()
     out = out.withColumn("rep", F.when(linked, F.col("rep")))
@@ -258,22 +304,6 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return first.unionByName(docs.where("doc_id IS NULL"))
 
 
-def _crossed(open_: DataFrame, fits: F.Column) -> DataFrame:
-    """Pairs of different components that share a band. In crowded bands a
-    pair must share a second band: at the threshold twelve of the bands are
-    expected to agree, one or none with probability 5e-6."""
-    size = open_.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
-    sized = open_.join(size, "key")
-    keys = open_.groupBy("rep").agg(F.sort_array(F.collect_list("key")).alias("keys"))  # BANDS at most
-    few = sized.where(F.col("c") <= CROWD).withColumn("key2", F.lit(0).cast("long"))
-    many = sized.where(F.col("c") > CROWD).join(keys, "rep").withColumn("key2", F.explode("keys")).where("key <> key2").drop("keys")
-    side = few.drop("c").unionByName(many.drop("c"))
-    x = side.select("key", "key2", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-    y = side.select("key", "key2", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-    near = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits
-    return x.join(y, ["key", "key2"]).where(near)
-
-
 def op9_setsketch_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all ``documents``."""
     return groups(read(spark, sf_dir, "documents"))

@@ -51,7 +51,7 @@ def test_one_of_each(spark):
 
 
 def test_many_near_copies_and_leaders(spark, monkeypatch):
-    """Bands with several components, in crowded and in small bands."""
+    """Bands with several components, after few and many leader rounds."""
     base = [f"w{i}" for i in range(120)]
     pairs = []
     for i in range(60):
@@ -61,8 +61,8 @@ def test_many_near_copies_and_leaders(spark, monkeypatch):
         w[(7 * i) % 120] = f"x{i}"
         pairs.append((i, " ".join(w)))
     docs = spark.createDataFrame(rows(pairs), SCHEMA)
-    for crowd in (64, 2):
-        monkeypatch.setattr(setsketch, "CROWD", crowd)
+    for rounds in (1, 2, 5):
+        monkeypatch.setattr(setsketch, "ROUNDS", rounds)
         assert order(tuple(r) for r in setsketch.groups(docs).collect()) == order(brute_groups(pairs))
 
 
