@@ -8,13 +8,13 @@ as the Jaccard similarity. The steps:
 
 1. Sets that are equal fall into one class; only the class goes on.
 2. Bands of registers are hashed; classes that share a band are candidates.
-3. In every band the smallest member leads: it is compared with the others,
+3. In every band the smallest members lead: they are compared with the others,
    links merge classes into components, and only bands that still hold
    several components go on. Copies of one text thus cost one comparison each
    and no pairs among themselves. Of what is left, shingles that no other
    document left has are counted: they bound every similarity from above, and
    documents and pairs that cannot reach the threshold any more are dropped
-   without loss. After ``ROUNDS`` rounds the rest is compared across
+   without loss. After the rounds of ``LEADERS`` the rest is compared across
    components.
 4. A pair is estimated jointly from its registers and known set sizes by
    maximum likelihood, and confirmed on the full sets.
@@ -43,7 +43,7 @@ BANDS, WIDTH = 32, 6
 REGISTERS = BANDS * WIDTH
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1   # parameters of the registers
 SLACK = 0.17      # about six standard errors of the estimate
-ROUNDS = 2
+LEADERS = (1, 4, 16)   # leaders of a band, round by round
 BROADCAST_ROWS = 200_000
 
 _rng = np.random.default_rng(20260101)
@@ -260,27 +260,24 @@ def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     full = stage(full.join(touched, ["doc_id", "f1", "f2"], "left_semi").dropDuplicates(["doc_id", "f1", "f2"]), "sets")
     open_ = open_.withColumns({"comp": F.col("rep"), "alone": F.lit(0).cast("long")})
     links, label = None, None
-    for turn in range(ROUNDS + 1):
+    for turn in range(len(LEADERS) + 1):
         if label is not None:
             open_ = _still_mixed(open_, label)
-            if turn == 1 and not open_.isEmpty():
-                open_ = _still_mixed(_able(open_, full, percent), label)
+        if turn == 1 and not open_.isEmpty():
+            open_ = stage(_able(open_, full, percent), "bands")
         if open_.isEmpty():
             break
-        if turn < ROUNDS:
-            lead = open_.groupBy("key").agg(F.min(F.struct("rep", "n", "comp", "alone")).alias("lead"))
-            met = open_.join(lead, "key")
-            pairs = _side(met.select("lead.*", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"),
-                                     F.col("alone").alias("ub")), "a")
-            open_ = stage(met.where("rep <> lead.rep").drop("lead"), "bands")
+        if turn < len(LEADERS):
+            order = F.row_number().over(Window.partitionBy("key").orderBy("rep"))
+            lead = stage(open_.withColumn("place", order).where(F.col("place") <= LEADERS[turn]).drop("place"), "leaders")
+            pairs = _side(lead, "a").join(_side(open_, "b"), "key").where("a <> b")
+            open_ = stage(open_.join(lead.select("key", "rep"), ["key", "rep"], "left_anti"), "bands")
         else:  # pairs of different components that share a band
             pairs = _side(open_, "a").join(_side(open_, "b"), "key").where("a < b")
         found = _links(_possible(pairs, percent), full, percent)
         if found is not None:
             links = found if links is None else links.unionByName(found)
             label = components(links, "near-duplicates")
-        elif label is None:
-            break
     out = sigs.select("doc_id", "n", "f1", "f2").join(classes.select("f1", "f2", "rep"), ["f1", "f2"], "left")
     linked = (F.col("n") > 0) & F.col("doc_id").isNotNull()
     out = out.withColumn("rep", F.when(linked, F.col("rep")))

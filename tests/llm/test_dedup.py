@@ -61,8 +61,8 @@ def test_many_near_copies_and_leaders(spark, monkeypatch):
         w[(7 * i) % 120] = f"x{i}"
         pairs.append((i, " ".join(w)))
     docs = spark.createDataFrame(rows(pairs), SCHEMA)
-    for rounds in (1, 2, 5):
-        monkeypatch.setattr(setsketch, "ROUNDS", rounds)
+    for leaders in ((1,), (1, 4, 16)):
+        monkeypatch.setattr(setsketch, "LEADERS", leaders)
         assert order(tuple(r) for r in setsketch.groups(docs).collect()) == order(brute_groups(pairs))
 
 
