@@ -54,15 +54,16 @@ def dedup(docs: DataFrame, spec: Spec = SPEC) -> DataFrame:
     """
     src = hashed(docs)
     rows = repeated(src.where("doc_id IS NOT NULL"), spec, "substrings")
-    whole = rows.where("NOT contested AND first < doc_id").select("doc_id", "thash", F.col("lo").alias("s"), (F.col("lo") + F.col("cnt") + (spec.window - 1)).alias("e"))
+    whole = rows.where("NOT contested AND first < doc_id").select(
+        "doc_id", "thash", "los", F.lit(0).alias("s"), (F.col("cnt") + (spec.window - 1)).alias("e"))
     open_ = rows.where("contested").drop("first")
     classes = class_table(open_)
     seen = counted(src.where("doc_id IS NOT NULL"), classes, spec)
     # a class has a few windows; every member compares its id with their first ids
     lists = seen.groupBy("akey", "ckey").agg(F.collect_list(F.struct("o", "first")).alias("w"))
-    parts = open_.join(lists, ["akey", "ckey"]).select("doc_id", "thash", "lo", F.filter("w", lambda x: x["first"] < F.col("doc_id")).alias("w"))
-    parts = parts.select("doc_id", "thash", "lo", F.explode("w").alias("x")).select(
-        "doc_id", "thash", (F.col("lo") + F.col("x.o")).alias("s"), (F.col("lo") + F.col("x.o") + spec.window).alias("e"))
+    parts = open_.join(lists, ["akey", "ckey"]).select("doc_id", "thash", "los", F.filter("w", lambda x: x["first"] < F.col("doc_id")).alias("w"))
+    parts = parts.select("doc_id", "thash", "los", F.explode("w").alias("x")).select(
+        "doc_id", "thash", "los", F.col("x.o").alias("s"), (F.col("x.o") + spec.window).alias("e"))
     return removal(src, whole.unionByName(parts), _cut, "n_words long, n_removed long, kept string", "substrings")
 
 

@@ -205,22 +205,24 @@ def dedup(docs: DataFrame, spec: Spec = SPEC, carry: list[str] | None = None, as
     """
     src = hashed(docs)
     rows = repeated(src, spec, "suffixes")
-    end = F.col("lo") + F.col("cnt") + (spec.window - 1)
-    whole = rows.where("NOT contested").select("doc_id", "thash", F.col("lo").alias("s"), end.alias("e"))
+    start, end = F.lit(0).alias("s"), (F.col("cnt") + (spec.window - 1)).alias("e")
+    whole = rows.where("NOT contested").select("doc_id", "thash", "los", start, end)
     open_ = rows.where("contested").drop("first")
     classes = stage(class_table(open_), "suffixes-classes")
     copied = open_.join(classes.where("copies > 1").select("akey", "ckey"), ["akey", "ckey"], "left_semi").select(
-        "doc_id", "thash", F.col("lo").alias("s"), end.alias("e"))
+        "doc_id", "thash", "los", start, end)
     crowded = classes.groupBy("akey").agg(F.count(F.lit(1)).alias("c")).select("akey", (F.col("c") > CROWD).alias("crowded"))
     classes = stage(classes.join(crowded, "akey"), "suffixes-classes")
     # most anchors: sort the suffixes of their contexts
     ctx = with_texts(src, classes.where("NOT crowded"), ["akey", "lo", "cnt", "copies"]).mapInArrow(
         _contexts(spec), "akey long, doc_id long, thash long, lo int, cnt int, copies long, ctx binary")
-    sorted_ = ctx.repartition("akey").sortWithinPartitions("akey").mapInArrow(_sorted_groups(spec), "doc_id long, thash long, s int, e int")
+    sorted_ = ctx.repartition("akey").sortWithinPartitions("akey").mapInArrow(_sorted_groups(spec), "doc_id long, thash long, s int, e int").select(
+        "doc_id", "thash", F.array("s").alias("los"), start, (F.col("e") - F.col("s")).alias("e"))
     # crowded anchors: one row per window, equal windows combined
     alone = classes.where("crowded AND copies = 1").select("akey", "ckey", "doc_id", "thash", "lo")
     seen = counted(src, classes.where("crowded").drop("crowded"), spec)
-    busy = seen.join(alone, ["akey", "ckey"]).select("doc_id", "thash", (F.col("lo") + F.col("o")).alias("s"), (F.col("lo") + F.col("o") + spec.window).alias("e"))
+    busy = seen.join(alone, ["akey", "ckey"]).select(
+        "doc_id", "thash", F.array("lo").alias("los"), F.col("o").alias("s"), (F.col("o") + spec.window).alias("e"))
     spans = whole.unionByName(copied).unionByName(sorted_).unionByName(busy)
     carry = carry or []
     if carry:

@@ -85,7 +85,7 @@ def _long(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
-ANCHORS = "doc_id long, thash long, akey long, ckey long, lo int, cnt int"
+ANCHORS = "doc_id long, thash long, akey long, ckey long, los array<int>, cnt int"
 
 
 def _anchors(spec: Spec):
@@ -97,11 +97,18 @@ def _anchors(spec: Spec):
                 row, lo, cnt, anchor, h = ranges(spec, x, at)
                 akey = UNIT_ROLL.ranges(h, anchor, anchor + spec.gram)
                 ckey = flat.mix(UNIT_ROLL.ranges(h, lo, lo + cnt - 1 + spec.window) + (anchor - lo).astype(np.uint64))
-                take = pa.array(row + i)
+                # a context that a text repeats is one row with all its places
+                order = np.lexsort((lo, ckey, akey, row))
+                r, a, c = row[order], akey[order], ckey[order]
+                new = np.ones(len(order), bool)
+                new[1:] = (r[1:] != r[:-1]) | (a[1:] != a[:-1]) | (c[1:] != c[:-1])
+                new = np.flatnonzero(new)
+                places = pa.ListArray.from_arrays(pa.array(np.append(new, len(order)), pa.int32()), pa.array((lo - at[row])[order], pa.int32()))
+                take = pa.array(r[new] + i)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id").take(take), batch.column("thash").take(take), _long(akey), _long(ckey),
-                    pa.array(lo - at[row], pa.int32()), pa.array(cnt, pa.int32())],
-                    names=["doc_id", "thash", "akey", "ckey", "lo", "cnt"])
+                    batch.column("doc_id").take(take), batch.column("thash").take(take), _long(a[new]), _long(c[new]),
+                    places, pa.array(cnt[order][new], pa.int32())],
+                    names=["doc_id", "thash", "akey", "ckey", "los", "cnt"])
     return run
 
 
@@ -115,7 +122,7 @@ def repeated(src: DataFrame, spec: Spec, name: str) -> DataFrame:
     """Ranges whose anchor occurs more than once: the anchor table's columns,
     ``first`` (smallest id) and ``contested`` (the contexts differ)."""
     a = stage(src.mapInArrow(_anchors(spec), ANCHORS), f"{name}-anchors")
-    k = a.groupBy("akey").agg(F.count(F.lit(1)).alias("c"), F.min("ckey").alias("c0"), F.max("ckey").alias("c1"), F.min("doc_id").alias("first"))
+    k = a.groupBy("akey").agg(F.sum(F.size("los")).alias("c"), F.min("ckey").alias("c0"), F.max("ckey").alias("c1"), F.min("doc_id").alias("first"))
     k = k.where("c > 1").select("akey", "first", (F.col("c0") != F.col("c1")).alias("contested"))
     # written first: a join of two plain scans can be split at a frequent anchor
     return stage(a.join(stage(k, f"{name}-often"), "akey"), f"{name}-repeated")
@@ -171,14 +178,16 @@ def class_table(ranges_: DataFrame) -> DataFrame:
     """One row per (anchor, context): a representative range, the smallest id
     and the number of copies."""
     return ranges_.groupBy("akey", "ckey").agg(
-        F.min(F.struct("doc_id", "thash", "lo", "cnt")).alias("r"), F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least")
+        F.min(F.struct("doc_id", "thash", F.col("los")[0].alias("lo"), "cnt")).alias("r"),
+        F.sum(F.size("los")).alias("copies"), F.min("doc_id").alias("least")
     ).select("akey", "ckey", "r.doc_id", "r.thash", "r.lo", "r.cnt", "copies", "least")
 
 
 def removal(src: DataFrame, spans: DataFrame, cut: Callable, fields: str, name: str, keep: list | None = None) -> DataFrame:
-    """Every row of ``src`` with its unit spans ``(doc_id, thash, s, e)`` cut
-    out by ``cut(bytes, offsets, starts, ends, row of each span)``."""
-    by_row = spans.distinct().groupBy("doc_id", "thash").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+    """Every row of ``src`` with its unit spans ``(doc_id, thash, los, s, e)``
+    (from ``lo + s`` to ``lo + e`` for each of ``los``) cut out by
+    ``cut(bytes, offsets, starts, ends, row of each span)``."""
+    by_row = spans.distinct().groupBy("doc_id", "thash").agg(F.collect_list(F.struct("los", "s", "e")).alias("spans"))
     by_row = stage(by_row, f"{name}-spans").select(F.col("doc_id").alias("d"), F.col("thash").alias("t"), "spans")
     full = src.join(by_row, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("thash") == F.col("t")), "left").drop("d", "t", "thash")
     kept = [c for c in full.columns if c not in ("text", "spans")]
@@ -190,8 +199,11 @@ def removal(src: DataFrame, spans: DataFrame, cut: Callable, fields: str, name:
             for i, j, d, o in flat.slices(data, offs):
                 mine = parts.slice(i, j - i)
                 f = mine.flatten()
-                row = np.repeat(np.arange(j - i), np.diff(mine.offsets.to_numpy()))
-                out = cut(d, o, f.field("s").to_numpy().astype(np.int64), f.field("e").to_numpy().astype(np.int64), row)
+                los = f.field("los")
+                n = np.diff(los.offsets.to_numpy())
+                at = los.flatten().to_numpy().astype(np.int64)
+                row = np.repeat(np.repeat(np.arange(j - i), np.diff(mine.offsets.to_numpy())), n)
+                out = cut(d, o, at + np.repeat(f.field("s").to_numpy(), n), at + np.repeat(f.field("e").to_numpy(), n), row)
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, j - i) for c in kept), *out.values()], names=[*kept, *out])
 
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full.schema.fields if f.name in kept)
