@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 from quire.llm import bpe, decontaminate, quality, setsketch, suffixes
 from quire.llm.tables import read, stage
+from quire.llm.windows import Spec
+
+PASSAGE = Spec("words", 50, 25)   # repeated passages that the suffix stage cuts, besides repeated 400-byte strings
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,10 +37,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without repeated 400-byte strings; ``n_chars`` (if there) is the
-    new length where a text was cut. Null texts stay null."""
+    """Texts without repeated 400-byte strings and without passages of 50 words
+    that also start anywhere else; ``n_chars`` (if there) is the new length
+    where a text was cut. Null texts stay null."""
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    out = suffixes.dedup(docs.withColumn("__quire_null", F.col("text").isNull()), carry=[*rest, "__quire_null"], as_text=True)
+    out = suffixes.dedup(docs.withColumn("__quire_null", F.col("text").isNull()), carry=[*rest, "__quire_null"], as_text=True, also=[PASSAGE])
     out = out.toDF("doc_id", "__quire_bytes", "__quire_removed", "__quire_spans", "text", *rest, "__quire_null")
     out = out.withColumn("text", F.when(~F.col("__quire_null"), F.col("text")))
     if "n_chars" in rest:

@@ -16,11 +16,15 @@ All groups of a task are sorted together, one vector operation per key or trie
 level. Ranges are dealt to tasks by anchor; anchors with more than ``CROWD``
 different contexts are counted window by window instead, so no task holds an
 unbounded group.
+
+Windows may also be words (``Spec("words", ...)``): suffixes then start at
+words only, a word is compared by its 64-bit hash, and white space does not
+count.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +33,7 @@ from pyspark.sql import functions as F
 
 from quire.llm import flat
 from quire.llm.tables import read, stage
-from quire.llm.windows import Spec, class_table, counted, covered, hashed, removal, repeated, with_texts
+from quire.llm.windows import Spec, class_table, counted, covered, hashed, removal, repeated, units, with_texts
 
 WINDOW = 400      # fixed value: bytes of a repeated string
 SPEC = Spec("bytes", WINDOW, 64)
@@ -104,23 +108,29 @@ def repeated_suffixes(body: np.ndarray, start: np.ndarray, group: np.ndarray, le
     return out
 
 
+def _width(spec: Spec) -> int:
+    """Bytes of a unit in a context: a word stands there as its 64-bit hash."""
+    return 1 if spec.unit == "bytes" else 8
+
+
 def _contexts(spec: Spec):
-    """The bytes of the wanted ranges, with the anchor's hash in front."""
+    """The units of the wanted ranges, with the anchor's hash in front."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offs = flat.buffer_of(batch.column("text"))
             parts = batch.column("parts")
             for i, j, d, o in flat.slices(data, offs):
+                x, first = units(spec, d, o)
                 mine = parts.slice(i, j - i)
                 f = mine.flatten()
                 row = np.repeat(np.arange(j - i), np.diff(mine.offsets.to_numpy()))
                 lo, cnt = f.field("lo").to_numpy().astype(np.int64), f.field("cnt").to_numpy().astype(np.int64)
-                s, n = lo + o[row], cnt + spec.window - 1
+                s, n = lo + first[row], cnt + spec.window - 1
                 for b in range(0, len(s), 4096):
                     p, m, k = s[b:b + 4096], n[b:b + 4096], pa.array(row[b:b + 4096] + i)
-                    body = d[flat.span_index(p, m)]
-                    at = np.concatenate([[0], np.cumsum(m)]).astype(np.int32)
-                    ctx = pa.BinaryArray.from_buffers(pa.binary(), len(p), [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(body))])
+                    body = x[flat.span_index(p, m)]
+                    at = np.concatenate([[0], np.cumsum(m * _width(spec))]).astype(np.int32)
+                    ctx = pa.BinaryArray.from_buffers(pa.binary(), len(p), [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(body).view(np.uint8))])
                     part = f.slice(b, 4096)
                     yield pa.RecordBatch.from_arrays([part.field("akey"), batch.column("doc_id").take(k), batch.column("thash").take(k),
                                                       part.field("lo"), part.field("cnt"), part.field("copies"), ctx],
@@ -139,13 +149,14 @@ def _sorted_groups(spec: Spec):
         offs = np.frombuffer(ctx.buffers()[1], np.int32)[ctx.offset:ctx.offset + len(ctx) + 1].astype(np.int64)
         body = np.frombuffer(ctx.buffers()[2], np.uint8)
         cnt = t.column("cnt").to_numpy().astype(np.int64)
-        start = flat.span_index(offs[:-1], cnt)
         which = np.repeat(np.arange(len(cnt)), cnt)
+        place = flat.span_index(np.zeros(len(cnt), np.int64), cnt)
+        start = offs[which] + place * _width(spec)
         _, group = np.unique(t.column("akey").to_numpy(), return_inverse=True)
-        hit = repeated_suffixes(body, start, group[which], spec.window) & (t.column("copies").to_numpy()[which] == 1)
+        hit = repeated_suffixes(body, start, group[which], spec.window * _width(spec)) & (t.column("copies").to_numpy()[which] == 1)
         hit = np.flatnonzero(hit)
         # runs of neighbouring windows are one span
-        w, o = which[hit], start[hit] - offs[which[hit]] + t.column("lo").to_numpy()[which[hit]]
+        w, o = which[hit], place[hit] + t.column("lo").to_numpy()[which[hit]]
         new = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (np.diff(o) != 1)])) if len(hit) else hit
         last = np.append(new[1:], len(hit)) - 1 if len(hit) else hit
         k = pa.array(w[new])
@@ -170,9 +181,15 @@ def _sorted_groups(spec: Spec):
     return run
 
 
-def _cut(data, offs, s, e, row):
-    """Remaining bytes, counts and maximal removed runs."""
-    gone = covered(len(data), s + offs[row], e + offs[row])
+def _cut(data, offs, s, e, row, words):
+    """Remaining bytes, counts and maximal removed runs. Spans marked ``words``
+    go from the start of their first word to the end of their last one."""
+    start, end = s + offs[row], e + offs[row]
+    if words.any():
+        ws, we, first = flat.words(data, offs)
+        start[words] = ws[s[words] + first[row[words]]]
+        end[words] = we[e[words] + first[row[words]] - 1]
+    gone = covered(len(data), start, end)
     rows = len(offs) - 1
     byte_row = np.repeat(np.arange(rows), np.diff(offs))
     first = gone.copy()
@@ -184,26 +201,19 @@ def _cut(data, offs, s, e, row):
     return {"n_bytes": pa.array(np.diff(offs)), "n_removed": pa.array(removed), "n_spans": pa.array(count(first)), "kept": kept}
 
 
-def _cut_text(data, offs, s, e, row):
+def _cut_text(data, offs, s, e, row, words):
     """As ``_cut``, with the remaining bytes as text: what a cut leaves of a
     character is dropped."""
-    out = _cut(data, offs, s, e, row)
+    out = _cut(data, offs, s, e, row, words)
     kept, cut = out.pop("kept"), out["n_removed"].to_numpy() > 0
     out["text"] = pa.array([b.decode("utf-8", "ignore") if c else b.decode("utf-8", "replace")
                             for b, c in zip(kept.to_pylist(), cut)], pa.string())
     return out
 
 
-def dedup(docs: DataFrame, spec: Spec = SPEC, carry: list[str] | None = None, as_text: bool = False) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes; with
-    ``as_text`` a string ``text`` instead) for every row of ``docs(doc_id,
-    text)``, with the columns ``carry`` besides.
-
-    Null and empty texts are empty. Each row counts, rows without an id or
-    with the same id too: a repeated row of ``WINDOW`` bytes loses its whole
-    text in both places. An empty table gives no rows.
-    """
-    src = hashed(docs)
+def _spans(src: DataFrame, spec: Spec) -> DataFrame:
+    """``doc_id, thash, los, s, e, words``: the units of every window that also
+    starts anywhere else."""
     rows = repeated(src, spec, "suffixes")
     start, end = F.lit(0).alias("s"), (F.col("cnt") + (spec.window - 1)).alias("e")
     whole = rows.where("NOT contested").select("doc_id", "thash", "los", start, end)
@@ -224,6 +234,24 @@ def dedup(docs: DataFrame, spec: Spec = SPEC, carry: list[str] | None = None, as
     busy = seen.join(alone, ["akey", "ckey"]).select(
         "doc_id", "thash", F.array("lo").alias("los"), F.col("o").alias("s"), (F.col("o") + spec.window).alias("e"))
     spans = whole.unionByName(copied).unionByName(sorted_).unionByName(busy)
+    return spans.withColumn("words", F.lit(spec.unit == "words"))
+
+
+def dedup(docs: DataFrame, spec: Spec = SPEC, carry: list[str] | None = None, as_text: bool = False,
+          also: Sequence[Spec] = ()) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes; with
+    ``as_text`` a string ``text`` instead) for every row of ``docs(doc_id,
+    text)``, with the columns ``carry`` besides. Repeats of every spec of
+    ``also`` are cut too; all specs are judged on the input.
+
+    Null and empty texts are empty. Each row counts, rows without an id or
+    with the same id too: a repeated row of ``WINDOW`` bytes loses its whole
+    text in both places. An empty table gives no rows.
+    """
+    src = hashed(docs)
+    spans = _spans(src, spec)
+    for other in also:
+        spans = spans.unionByName(_spans(src, other))
     carry = carry or []
     if carry:
         src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("thash"),

@@ -186,8 +186,10 @@ def class_table(ranges_: DataFrame) -> DataFrame:
 def removal(src: DataFrame, spans: DataFrame, cut: Callable, fields: str, name: str, keep: list | None = None) -> DataFrame:
     """Every row of ``src`` with its unit spans ``(doc_id, thash, los, s, e)``
     (from ``lo + s`` to ``lo + e`` for each of ``los``) cut out by
-    ``cut(bytes, offsets, starts, ends, row of each span)``."""
-    by_row = spans.distinct().groupBy("doc_id", "thash").agg(F.collect_list(F.struct("los", "s", "e")).alias("spans"))
+    ``cut(bytes, offsets, starts, ends, row of each span)``; further columns
+    of the spans are further arguments of ``cut``."""
+    marks = [c for c in spans.columns if c not in ("doc_id", "thash", "los", "s", "e")]
+    by_row = spans.distinct().groupBy("doc_id", "thash").agg(F.collect_list(F.struct("los", "s", "e", *marks)).alias("spans"))
     by_row = stage(by_row, f"{name}-spans").select(F.col("doc_id").alias("d"), F.col("thash").alias("t"), "spans")
     full = src.join(by_row, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("thash") == F.col("t")), "left").drop("d", "t", "thash")
     kept = [c for c in full.columns if c not in ("text", "spans")]
@@ -203,7 +205,8 @@ def removal(src: DataFrame, spans: DataFrame, cut: Callable, fields: str, name:
                 n = np.diff(los.offsets.to_numpy())
                 at = los.flatten().to_numpy().astype(np.int64)
                 row = np.repeat(np.repeat(np.arange(j - i), np.diff(mine.offsets.to_numpy())), n)
-                out = cut(d, o, at + np.repeat(f.field("s").to_numpy(), n), at + np.repeat(f.field("e").to_numpy(), n), row)
+                more = [np.repeat(f.field(c).to_numpy(zero_copy_only=False), n) for c in marks]
+                out = cut(d, o, at + np.repeat(f.field("s").to_numpy(), n), at + np.repeat(f.field("e").to_numpy(), n), row, *more)
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, j - i) for c in kept), *out.values()], names=[*kept, *out])
 
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full.schema.fields if f.name in kept)

@@ -1,13 +1,15 @@
 """The pipeline against a brute-force version of its stages."""
 
 import shutil
+from collections import Counter
 
 import pyarrow as pa
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from quire.llm import decontaminate, quality, vocab
-from tests.llm.helpers import brute_bytes, brute_groups, awkward, order, rows, SCHEMA, with_null_ids
+from quire.llm import decontaminate, quality, suffixes, vocab
+from tests.llm import test_pipeline
+from tests.llm.helpers import brute_bytes, brute_groups, awkward, order, rows, SCHEMA, with_null_ids, WORDS
 
 SF = "/root/testdata/sf0.001"
 
@@ -64,3 +66,49 @@ def test_stages_on_awkward_rows(spark, tmp_dir):
             assert one.columns == docs.columns and empty.columns == docs.columns
     assert empty.collect() == []
     assert order((r.doc_id, r.ids, r.decoded) for r in one.collect()) == want
+
+
+def test_repeated_passages_of_few_bytes(spark):
+    """51 words of less than 400 bytes in otherwise different documents are cut
+    there, whatever the white space; a string without words still is, too."""
+    w = [f"w{i}" for i in range(51)]
+    solid = "".join(f"{i:03d}" for i in range(150))
+    own = [" ".join(f"d{k}x{i}" for i in range(120)) for k in range(6)]
+    pairs = [(1, f"{own[0]} {' '.join(w)} end"), (2, f"start {chr(10).join(w)} {own[1]}"), (3, f"{own[2]} {' '.join(w[:49])}"), (4, own[3]),
+             (5, f"{own[4]} {solid}"), (6, f"{solid} {own[5]}"), (7, None), (8, "")]
+    assert len(" ".join(w).encode()) < 400
+    docs = spark.createDataFrame(rows(pairs), SCHEMA)
+    for crowd in (1024, 1):
+        old, suffixes.CROWD = suffixes.CROWD, crowd
+        try:
+            got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.suffix_dedup(spark, docs, SF).collect()}
+        finally:
+            suffixes.CROWD = old
+        assert got[1][0] == f"{own[0]}  end" and got[2][0] == f"start  {own[1]}"
+        assert got[1][1] == len(got[1][0])
+        assert got[5][0].split() == own[4].split() and got[6][0].split() == own[5].split()
+        assert [got[i][0] for i in (3, 4, 7, 8)] == [pairs[2][1], pairs[3][1], None, ""]
+
+
+def brute_both(pairs, window=400, words=50):
+    """As ``brute_bytes``, with repeated windows of words cut besides."""
+    raw, found = [(t or "").encode() for _, t in pairs], [list(WORDS.finditer(t or "")) for _, t in pairs]
+    keys = [[tuple(m.group() for m in f[i:i + words]) for i in range(len(f) - words + 1)] for f in found]
+    often, passages = Counter(), Counter(k for x in keys for k in x)
+    for b in raw:
+        often.update(b[i:i + window] for i in range(len(b) - window + 1))
+    out = []
+    for (d, t), b, f, k in zip(pairs, raw, found, keys):
+        gone = bytearray(len(b))
+        spans = [(i, i + window) for i in range(len(b) - window + 1) if often[b[i:i + window]] > 1]
+        spans += [(len(t[:f[i].start()].encode()), len(t[:f[i + words - 1].end()].encode())) for i, x in enumerate(k) if passages[x] > 1]
+        for s, e in spans:
+            gone[s:e] = b"\1" * (e - s)
+        out.append((d, len(b), sum(gone), 0, bytes(x for x, g in zip(b, gone) if not g)))
+    return out
+
+
+def test_pipeline_with_passages_matches_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(test_pipeline, "brute_bytes", brute_both)
+    got = order((r.doc_id, r.ids, r.decoded) for r in corpus_pipeline.run(spark, SF).collect())
+    assert got == test_pipeline.brute(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF)
