@@ -301,6 +301,26 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return first.unionByName(docs.where("doc_id IS NULL"))
 
 
+def one_row_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """As ``one_of_each``, but a row is known by its id and its text: rows that
+    share an id and hold unrelated texts all stay, and join no groups. Of each
+    group the row with the smallest id (then text hash) stays, once."""
+    rows = docs.withColumns({"__quire_id": F.col("doc_id").cast("long"), "__quire_hash": F.xxhash64("text")})
+    named = rows.where("__quire_id IS NOT NULL")
+    several = named.groupBy("__quire_id").agg(F.min("__quire_hash").alias("x"), F.max("__quire_hash").alias("y"))
+    several = stage(several.where("x <> y").select(F.col("__quire_id").alias("__quire_several")), "several-texts")
+    # an id with several texts is a node for each of them
+    node = F.when(F.col("__quire_several").isNull(), F.col("__quire_id")).otherwise(F.xxhash64("__quire_id", "text"))
+    noded = named.join(bounded_broadcast(several, BROADCAST_ROWS), F.col("__quire_id") == F.col("__quire_several"), "left").withColumn("__quire_node", node)
+    found = groups(noded.select(F.col("__quire_node").alias("doc_id"), "text"), percent)
+    found = found.select(F.col("doc_id").alias("__quire_node"), "component_id").distinct()
+    members = noded.select("__quire_node", "__quire_id", "__quire_hash").distinct().join(found, "__quire_node")
+    kept = members.groupBy("component_id").agg(F.min(F.struct("__quire_id", "__quire_hash")).alias("k")).select("k.*")
+    turn = F.row_number().over(Window.partitionBy("__quire_id", "__quire_hash").orderBy("text"))
+    first = named.join(kept, ["__quire_id", "__quire_hash"], "left_semi").withColumn("__quire_turn", turn).where("__quire_turn = 1")
+    return first.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+
+
 def op9_setsketch_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all ``documents``."""
     return groups(read(spark, sf_dir, "documents"))
