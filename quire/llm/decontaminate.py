@@ -5,8 +5,9 @@ punctuation removed). A document leaks an item if some window is within
 ``TOLERANCE`` of the item's length in word edits:
 
 1. *Count filter, without loss*: ``n`` words with at most ``e`` edits keep at
-   least ``n - 2 - 3e`` of their three-word grams. Only item-sized windows
-   around documents' grams of an item that reaches this count go on.
+   least ``n - q + 1 - q * e`` of their ``q``-word grams; ``q`` is three, or
+   less where that bound would be below one. Only item-sized windows around
+   documents' grams of an item that reaches this count go on.
 2. *CGK embedding*: a random walk reads the window; at each step it writes the
    word it stands on and moves on or stays by a random bit of word
    and step. Windows few edits apart meet again and write equal symbols, so
@@ -64,6 +65,12 @@ def edits(n: int, tolerance: float) -> int:
     return int(n * tolerance + 1e-9) if n >= 5 else 0
 
 
+def gram_size(n: int, e: int) -> int:
+    """Words of the grams that an item of ``n`` words with ``e`` edits is
+    counted by: the most of which one is kept."""
+    return next((q for q in range(min(GRAM, n), 1, -1) if n - q + 1 - q * e >= 1), 1)
+
+
 def gram_hashes(words: np.ndarray, first: np.ndarray, q: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the ``q``-word grams of all texts, and their flat starts."""
     n = np.maximum(np.diff(first) - q + 1, 0)
@@ -130,15 +137,16 @@ class Items:
         self.signs = {n: walk(np.stack([words[i] for i in x])) for n, x in self.size.items()}
         # grams of every length that items need: hash -> (item, place)
         self.grams = {}
-        for q in sorted({min(GRAM, int(n)) for n in self.n if n}):
-            mine = [i for i, n in enumerate(self.n) if min(GRAM, n) == q]
+        self.q = np.array([gram_size(int(n), int(e)) for n, e in zip(self.n, self.e)], np.int64)
+        for q in sorted({int(q) for q, n in zip(self.q, self.n) if n}):
+            mine = np.flatnonzero((self.q == q) & (self.n > 0)).tolist()
             flat_words = np.concatenate([words[i] for i in mine])
             first = np.concatenate([[0], np.cumsum(self.n[mine])])
             h, at = gram_hashes(flat_words, first, q)
             item = np.searchsorted(first, at, "right") - 1
             order = np.argsort(h, kind="stable")
             self.grams[q] = (h[order], np.array(mine)[item][order], (at - first[item])[order])
-        self.least = np.maximum(self.n - np.minimum(GRAM, self.n) + 1 - np.minimum(GRAM, self.n) * self.e, 1)
+        self.least = np.maximum(self.n - self.q + 1 - self.q * self.e, 1)
 
     def hits(self, words: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """``(row, item, start, words, distance)``: the best window of every
