@@ -8,8 +8,10 @@ highest mean per word wins, ties go to the smaller name.
 
 Word and n-gram counts are gathered by Spark from a bounded sample of the
 labelled rows, balanced over the languages (``max_train`` rows in all), and
-the model keeps the most frequent ``max_words`` words and ``max_grams``
-n-grams of each length, so its size is fixed.
+the model keeps ``max_words`` words and ``max_grams`` n-grams of each length,
+so its size is fixed. Every language has the same share of them: items are
+taken by their rank within a language, the first of all languages first, and
+what a language does not need goes to the others.
 """
 
 from __future__ import annotations
@@ -122,11 +124,13 @@ def fit(docs: DataFrame, max_train: int = MAX_TRAIN, max_words: int = MAX_WORDS,
     sample = known.select("doc_id", "lang", "text").join(F.broadcast(ids), ["doc_id", "lang"])
     counts = sample.select("lang", "text").mapInArrow(_count, "lang string, n int, item string, c long").groupBy(
         "lang", "n", "item").agg(F.sum("c").alias("c"))
-    wide = counts.groupBy("n", "item").agg(F.sum("c").alias("all"), F.collect_list(F.struct("lang", "c")).alias("by"))
+    place = F.row_number().over(Window.partitionBy("lang", "n").orderBy(F.desc("c"), "item"))
+    wide = counts.withColumn("place", place).groupBy("n", "item").agg(
+        F.min("place").alias("place"), F.collect_list(F.struct("lang", "c")).alias("by"))
     totals = counts.groupBy("lang", "n").agg(F.sum("c").alias("c")).collect()  # one row per language and length
     langs = sorted({r["lang"] for r in totals})
     size = {(r["lang"], r["n"]): r["c"] for r in totals}
-    top = Window.partitionBy("n").orderBy(F.desc("all"), "item")
+    top = Window.partitionBy("n").orderBy("place", "item")
     kept = wide.withColumn("r", F.row_number().over(top)).where(
         F.col("r") <= F.when(F.col("n") == 0, max_words).otherwise(max_grams)).select("n", "item", "by")
     logs: list[dict[str, np.ndarray]] = [{} for _ in range(LONGEST + 1)]
