@@ -39,6 +39,10 @@ LINKING = r"""(?i)(rel\s*=\s*["']?canonical|property\s*=\s*["']?og:url|http-equi
 TARGET = r"""(?i)(?:\shref\s*=\s*|\scontent\s*=\s*["']?[0-9]+\s*[;,]\s*url\s*=\s*|\scontent\s*=\s*)["']?([^"'\s>]+)"""
 
 
+REFRESH = r"""(?i)http-equiv\s*=\s*["']?refresh"""
+REFRESH_TO = r"""(?i)\scontent\s*=\s*["']?[0-9]+\s*[;,]\s*url\s*="""
+
+
 def _rest(url: Column) -> Column:
     """What follows the first ``://``; null when there is none."""
     at = F.instr(url, "://")
@@ -86,14 +90,28 @@ def rule_of(h: Column, p: Column, rules: list[tuple[str, str, str]]) -> Column:
     return F.array_max(F.array(*fits))
 
 
+def relative(url: Column, ref: Column) -> Column:
+    """The URL that a page-relative reference (``x``, ``../x``, ``?q``) names on
+    the page ``url``; null for other schemes, fragments and empty references."""
+    to, tail = F.regexp_extract(ref, r"^([^?#]*)", 1), F.regexp_extract(ref, r"^[^?#]*(.*)$", 1)
+    folder = F.when(path(url) == "", "/").otherwise(F.regexp_replace(path(url), r"[^/]*$", ""))
+    whole = F.regexp_replace(F.concat(folder, to), r"/(\.\.?)$", "/$1/")
+    up = lambda a, s: F.when(s != "..", F.concat(a, F.array(s))).when(F.size(a) > 1, F.slice(a, 1, F.size(a) - 1)).otherwise(a)
+    parts = F.aggregate(F.filter(F.split(whole, "/"), lambda s: s != "."), F.array().cast("array<string>"), up)
+    there = F.when(to == "", path(url)).otherwise(F.array_join(parts, "/"))
+    return F.when((ref != "") & ~ref.startswith("#") & ~ref.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.concat(F.lit("http://"), host(url), there, tail))
+
+
 def alias_edges(pages: DataFrame, redirects: DataFrame | None = None) -> DataFrame:
     """Distinct ``(a, b)`` alias edges with the URL of both ends as nodes."""
     u = F.col("url")
     tags = F.filter(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(TAGS), F.lit(0)), lambda t: t.rlike(LINKING))
-    to = F.transform(tags, lambda t: F.regexp_extract(t, TARGET, 1))
-    full = F.transform(to, lambda t: F.when(t.contains("://"), t)
-                       .when(t.startswith("//"), F.concat(F.lit("http:"), t))
-                       .when(t.startswith("/"), F.concat(F.lit("http://"), host(u), t)))
+    # a refresh without a target holds nothing but its delay
+    to = F.transform(tags, lambda t: F.struct(F.regexp_extract(t, TARGET, 1).alias("t"), (~t.rlike(REFRESH) | t.rlike(REFRESH_TO)).alias("named")))
+    full = F.transform(to, lambda x: F.when(x["t"].contains("://"), x["t"])
+                       .when(x["t"].startswith("//"), F.concat(F.lit("http:"), x["t"]))
+                       .when(x["t"].startswith("/"), F.concat(F.lit("http://"), host(u), x["t"]))
+                       .when(x["named"], relative(u, x["t"])))
     links = pages.where(host(u) != "").select("url", F.explode(F.array_compact(full)).alias("dst"))
     if redirects is not None:
         links = links.unionByName(redirects.select(F.col("src").alias("url"), "dst"))
