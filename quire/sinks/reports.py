@@ -42,17 +42,26 @@ def metrics_report(m: DataFrame, cut: int) -> DataFrame:
     return detail.unionByName(mean)
 
 
+def lambda_names(lams: list[float]) -> list[str]:
+    """Column names of distinct lambdas: one decimal, or as many as tell them
+    apart and give their values."""
+    for digits in range(1, 17):
+        names = [f"{x:.{digits}f}" for x in lams]
+        if len(set(names)) == len(lams) and all(abs(float(n) - x) < 1e-9 for n, x in zip(names, lams)):
+            return names
+    return [repr(x) for x in lams]
+
+
 def training_report(sweep: DataFrame, metric_col: str = "ap", lambdas=None) -> DataFrame:
-    """Metric by query (rows) x lambda (columns), values rounded to 5
-    decimals, then a ``mean`` row."""
+    """Metric by query (rows) x lambda (columns, one for each lambda), values
+    rounded to 5 decimals, then a ``mean`` row."""
     lams = lambdas or [r["lambda"] for r in sweep.select("lambda").distinct().orderBy("lambda").collect()]
-    names = [f"{x:.1f}" for x in lams]
-    piv = (sweep.withColumn("_l", F.format_number(F.col("lambda"), 1))
-                .groupBy("query_id").pivot("_l", names).agg(F.first(metric_col)))
+    lams = list(dict.fromkeys(float(x) for x in lams))
+    names = lambda_names(lams)
+    piv = sweep.groupBy("query_id").pivot("lambda", lams).agg(F.first(metric_col)).toDF("query_id", *names)
     detail = piv.select(F.col("query_id").cast("string").alias("query"),
                         *[F.round(F.col(f"`{n}`"), 5).alias(n) for n in names])
-    means = (sweep.withColumn("_l", F.format_number(F.col("lambda"), 1))
-                  .groupBy().pivot("_l", names).agg(F.avg(metric_col)))
+    means = sweep.groupBy().pivot("lambda", lams).agg(F.avg(metric_col)).toDF(*names)
     mean = means.select(F.lit("mean").alias("query"), *[F.round(F.col(f"`{n}`"), 5).alias(n) for n in names])
     return detail.unionByName(mean)
 
