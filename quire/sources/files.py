@@ -18,6 +18,11 @@ from pyspark.sql import functions as F
 from quire.functions.text import normalise_lines, path_extension
 
 
+# text forms of a modification time: ISO with milliseconds, and digits that sort
+ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+MILLIS_FORMAT = "yyyyMMddHHmmssSSS"
+
+
 def _root_path(root: str) -> str:
     u = urlparse(root)
     p = u.path if u.scheme else root
