@@ -8,8 +8,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from quire.llm import decontaminate, quality, suffixes, vocab
-from tests.llm import test_pipeline
-from tests.llm.helpers import brute_bytes, brute_groups, awkward, order, rows, SCHEMA, with_null_ids, WORDS
+from tests.llm.helpers import brute_groups, awkward, order, rows, SCHEMA, with_null_ids, WORDS
 
 SF = "/root/testdata/sf0.001"
 
@@ -32,6 +31,24 @@ def brute_leaks(pairs, items):
     return out
 
 
+def brute_both(pairs, window=400, words=50):
+    """Bytes cut by repeated windows of bytes and of words."""
+    raw, found = [(t or "").encode() for _, t in pairs], [list(WORDS.finditer(t or "")) for _, t in pairs]
+    keys = [[tuple(m.group() for m in f[i:i + words]) for i in range(len(f) - words + 1)] for f in found]
+    often, passages = Counter(), Counter(k for x in keys for k in x)
+    for b in raw:
+        often.update(b[i:i + window] for i in range(len(b) - window + 1))
+    out = []
+    for (d, t), b, f, k in zip(pairs, raw, found, keys):
+        gone = bytearray(len(b))
+        spans = [(i, i + window) for i in range(len(b) - window + 1) if often[b[i:i + window]] > 1]
+        spans += [(len(t[:f[i].start()].encode()), len(t[:f[i + words - 1].end()].encode())) for i, x in enumerate(k) if passages[x] > 1]
+        for s, e in spans:
+            gone[s:e] = b"\1" * (e - s)
+        out.append((d, len(b), sum(gone), 0, bytes(x for x, g in zip(b, gone) if not g)))
+    return out
+
+
 def brute(spark, docs, sf_dir):
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     good = [r for r in quality.scores(docs, model, ["doc_id", "text"]).collect() if r[2] >= 0.7]
@@ -41,7 +58,7 @@ def brute(spark, docs, sf_dir):
         if g[3] and (p[0] is None or p[0] not in seen):
             seen.add(p[0])
             kept.append(p)
-    cut = [(x[0], x[4].decode("utf-8", "ignore")) for x in brute_bytes(kept)]
+    cut = [(x[0], x[4].decode("utf-8", "ignore")) for x in brute_both(kept)]
     items = [r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     bad = brute_leaks(cut, items)
     lib = Tokenizer.from_file(vocab.default_path())
@@ -88,27 +105,3 @@ def test_repeated_passages_of_few_bytes(spark):
         assert got[1][1] == len(got[1][0])
         assert got[5][0].split() == own[4].split() and got[6][0].split() == own[5].split()
         assert [got[i][0] for i in (3, 4, 7, 8)] == [pairs[2][1], pairs[3][1], None, ""]
-
-
-def brute_both(pairs, window=400, words=50):
-    """As ``brute_bytes``, with repeated windows of words cut besides."""
-    raw, found = [(t or "").encode() for _, t in pairs], [list(WORDS.finditer(t or "")) for _, t in pairs]
-    keys = [[tuple(m.group() for m in f[i:i + words]) for i in range(len(f) - words + 1)] for f in found]
-    often, passages = Counter(), Counter(k for x in keys for k in x)
-    for b in raw:
-        often.update(b[i:i + window] for i in range(len(b) - window + 1))
-    out = []
-    for (d, t), b, f, k in zip(pairs, raw, found, keys):
-        gone = bytearray(len(b))
-        spans = [(i, i + window) for i in range(len(b) - window + 1) if often[b[i:i + window]] > 1]
-        spans += [(len(t[:f[i].start()].encode()), len(t[:f[i + words - 1].end()].encode())) for i, x in enumerate(k) if passages[x] > 1]
-        for s, e in spans:
-            gone[s:e] = b"\1" * (e - s)
-        out.append((d, len(b), sum(gone), 0, bytes(x for x, g in zip(b, gone) if not g)))
-    return out
-
-
-def test_pipeline_with_passages_matches_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(test_pipeline, "brute_bytes", brute_both)
-    got = order((r.doc_id, r.ids, r.decoded) for r in corpus_pipeline.run(spark, SF).collect())
-    assert got == test_pipeline.brute(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF)
