@@ -106,3 +106,110 @@ ranked AS (
          vec_id, score FROM scored)
 SELECT * FROM ranked WHERE rank <= 10
 """
+
+
+def _cheapest(*options: str) -> str:
+    """Smallest of several ``{c, a}`` structs: cost, then audit."""
+    return f"list_min([{', '.join(options)}])"
+
+
+def _more(state: str, cost: str, edit: str) -> str:
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{edit}'}}"
+
+
+def _inserts(s: list[str]) -> str:
+    """The four states, closed under insertions."""
+    two = _cheapest(s[2], _more(s[0], "2", "I"), _more(s[1], "2", "I"), _more(s[3], "2", "I"))
+    three = _cheapest(s[3], _more(s[2], "2", "I"), _more(s[0], "4", "II"), _more(s[1], "4", "II"))
+    return f"[{s[0]}, {s[1]}, {two}, {three}]"
+
+
+def _written(before: list[str], to: str) -> str:
+    """A row written as ``to``: kept where its initial fits, else with another role."""
+    cost = f"CASE WHEN f IN ('b', 'd') THEN {_NEVER} WHEN f = 't' THEN 1 ELSE 0 END"
+    keep = f"(CASE WHEN i = '{to}' THEN 0 ELSE {_NEVER} END + {cost})"
+    out = [_more(s, keep, "K") for s in before]
+    return ", ".join(out + ([] if to == "s" else [_more(s, f"(2 + {cost})", "R") for s in before]))
+
+
+_NEVER = 1 << 40
+_ST = [f"s[{i}]" for i in range(1, 5)]
+_OP11_STEP = "[" + ", ".join([
+    _cheapest(_more(_ST[0], "3", "D")),
+    _cheapest(_more(_ST[1], "3", "D"), _written(_ST[:1], "s")),
+    _cheapest(_more(_ST[2], "3", "D"), _written([_ST[0], _ST[1], _ST[3]], "u")),
+    _cheapest(_more(_ST[3], "3", "D"), _written([_ST[2]], "a"))]) + "]"
+
+OP11 = f"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+kinds AS (
+  SELECT *, xor(list_reduce(list_transform(string_split(k, ''), lambda c: CAST(ord(c) AS BIGINT)),
+      lambda acc, b: list_reduce(range(8), lambda t, j: CASE WHEN t & 1 = 1 THEN xor(t >> 1, 3988292384) ELSE t >> 1 END, xor(acc, b)),
+      4294967295), 4294967295) % 20 AS kind FROM keyed),
+hurt AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM kinds),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS n FROM hurt),
+seen AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) AS time FROM placed),
+lines AS (
+  SELECT conv_id, n, turn, role, text, substr(role, 1, 1) AS i,
+         CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'b' WHEN time > 1 THEN 'd'
+              WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 't' ELSE '' END AS f,
+         lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY n) AS before FROM seen),
+counts AS (
+  SELECT conv_id, count(*) AS rows, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (f = 'b') AS blank, count(*) FILTER (f = 'd') AS duplicate, count(*) FILTER (f = 't') AS truncated,
+         count(*) FILTER (before || i NOT IN ('su', 'ua', 'au')) AS illegal FROM lines GROUP BY conv_id),
+walk(conv_id, n, s) AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT), [{{'c': CAST(0 AS BIGINT), 'a': ''}}, {{'c': {_NEVER}, 'a': ''}}, {{'c': 2, 'a': 'I'}}, {{'c': 4, 'a': 'II'}}]
+  FROM conversations
+  UNION ALL
+  SELECT conv_id, n, {_inserts(_ST)} FROM (
+    SELECT w.conv_id, l.n, {_OP11_STEP} AS s FROM walk w JOIN lines l ON l.conv_id IS NOT DISTINCT FROM w.conv_id AND l.n = w.n + 1)),
+best AS (
+  SELECT w.conv_id, list_min([w.s[1], w.s[4]]) AS b FROM walk w LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id
+  WHERE w.n = coalesce(c.rows, 0)),
+edits AS (
+  SELECT conv_id, unnest(string_split(b.a, '')) AS e, generate_subscripts(string_split(b.a, ''), 1) AS pos FROM best WHERE b.a <> ''),
+done AS (
+  SELECT *, count(*) FILTER (e <> 'I') OVER w AS n, count(*) FILTER (e <> 'D') OVER w AS o FROM edits
+  WINDOW w AS (PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+kept AS (
+  SELECT d.conv_id, d.o, d.e, l.role, CASE WHEN d.e = 'I' THEN '' ELSE l.text END AS text,
+         max(CASE WHEN d.o = 1 AND d.e = 'K' AND l.i = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY d.conv_id) AS system
+  FROM done d LEFT JOIN lines l ON l.conv_id IS NOT DISTINCT FROM d.conv_id AND l.n = d.n WHERE d.e <> 'D'),
+told AS (
+  SELECT conv_id, string_agg(CASE WHEN e = 'K' THEN role WHEN (o - system) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text,
+                             chr(10) ORDER BY o) AS t FROM kept GROUP BY conv_id)
+SELECT b.conv_id, CAST(coalesce(c.gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(c.blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(c.duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(c.truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(c.illegal, 0) AS BIGINT) AS illegal, CAST(b.b.c AS BIGINT) AS cost, b.b.a AS audit,
+       sha256(coalesce(t.t, '')) AS repaired_sha256
+FROM best b LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM b.conv_id LEFT JOIN told t ON t.conv_id IS NOT DISTINCT FROM b.conv_id
+"""
+
+OP13 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND label IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS anchor_id, c.vec_id, q.label = c.label AS same,
+         CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS n FROM scored WHERE same) WHERE n <= 5),
+negatives AS (
+  SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+   AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 10
+"""
