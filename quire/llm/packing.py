@@ -16,6 +16,7 @@ left, so the last bins of many tasks fill each other.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,13 +27,14 @@ from pyspark.sql import functions as F
 
 from quire.llm import flat
 from quire.llm.tables import read, stage
+from quire.llm.vocab import _byte_chars
 
 CAPACITY = 4096      # fixed value: tokens in a sequence
 END_ID = 1           # fixed value: id after every document
 OPEN = 512           # open bins of a task
 GROUP = 1 << 15      # pieces, or left bins, that are packed together
 PART = 1 << 20       # bytes of a text that are cut into words at a time
-KNOWN = 200_000      # words whose ids a task remembers
+KNOWN = 400_000      # words, and parts of words, whose ids a task remembers
 LONG_WORD = 256      # bytes; longer words are not remembered
 
 
@@ -51,40 +53,112 @@ def _library(path: str):
     return lib
 
 
+# Fixed values, those of the tokenizer file: its split pattern for texts of
+# ASCII and of the letters from U+00C0 to U+00FF, in lower case.
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|\n|[^\\sa-z\u00df-\u00f6\u00f8-\u00ff0-9]+")
+_PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff\n]*")
+_WORD_END = "</w>"
+_GAP = b"\xff" * 4   # between ids; ids are below 2 ** 24, so no ids hold it
+
+
 class Encoder:
     """Ids of whole texts as little-endian 32-bit bytes.
 
     The tokenizer drops white space and no token crosses it, so the ids of a
-    text are those of its words (runs without ASCII white space) in turn; the
-    library encodes every distinct word of a batch once.
+    text are those of its words (runs without ASCII white space) in turn, and
+    every distinct word is encoded once. A word of ASCII and accented Latin
+    letters is lower-cased and split here and its parts go to the library's
+    model, many in one call, where the mark of a part's last token tells the
+    parts from each other; any other word, and one that may hold a special
+    string, goes through the whole library.
     """
 
     def __init__(self, path: str):
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
         self.lib = _library(path)
-        self.known: dict[bytes, bytes] = {}
-
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        got = self.lib.encode_batch([w.decode() for w in words], add_special_tokens=False)
+        self.model = Tokenizer(self.lib.model)
+        self.model.pre_tokenizer = WhitespaceSplit()
+        vocab = self.lib.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith(_WORD_END)]] = True
+        chars = _byte_chars()
+        self.shown = {b: c for c, b in chars.items()}
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def _whole(self, words: list[bytes]) -> list[bytes]:
+        got = self.lib.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in got]
 
-    def ids(self, text: bytes) -> bytes:
-        out, at = [], 0
-        while at < len(text):
-            to = min(at + PART, len(text))
-            while to < len(text) and not flat.WHITE[text[to]]:
-                to += 1
-            words = text[at:to].split()   # exactly the ASCII white space
-            new = list(set(words).difference(self.known))
-            if len(self.known) + len(new) > KNOWN:
-                self.known.clear()
-                new = list(set(words))
-            self.known.update(zip(new, self._encode(new)))
-            out.append(b"".join(map(self.known.__getitem__, words)))
+    def _parts(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts that need no normalisation."""
+        if not parts:
+            return []
+        text = " ".join(parts).encode().decode("latin-1").translate({b: c for b, c in self.shown.items() if b != 32})
+        ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        to = (np.flatnonzero(self.ends[ids]) + 1) * 4
+        if len(to) != len(parts):
+            raise ValueError("the vocabulary does not mark the last token of a word")
+        raw, to = ids.tobytes(), [0, *to.tolist()]
+        return [raw[a:b] for a, b in zip(to, to[1:])]
+
+    def _learn(self, new: list[bytes]) -> None:
+        """Ids of words that are not known. The parts of all words make one
+        list, in which a line feed parts the words."""
+        text = b"\n".join(new).decode()
+        if not _PLAIN.fullmatch(text) or "<|" in text:
+            plain = [w for w in new if _PLAIN.fullmatch(w.decode()) and b"<|" not in w]
+            other = list(set(new).difference(plain))
+            self.words.update(zip(other, self._whole(other)))
+            new, text = plain, b"\n".join(plain).decode()
+        split = _PARTS.findall(text.lower())
+        if len(self.parts) > KNOWN:
+            self.parts.clear()
+        parts = list(set(split).difference(self.parts, "\n"))
+        self.parts.update(zip(parts, self._parts(parts)))
+        self.parts["\n"] = _GAP
+        if new:
+            self.words.update(zip(new, b"".join(map(self.parts.__getitem__, split)).split(_GAP)))
+
+    def ids(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of every text."""
+        out = []
+        for lists in self._cut(texts):
+            if len(self.words) > KNOWN:
+                self.words.clear()
+            new = list(set().union(*(w for _, w in lists)).difference(self.words))
+            self._learn(new)
+            for first, words in lists:
+                ids = b"".join(map(self.words.__getitem__, words))
+                if first:
+                    out.append([ids])
+                else:
+                    out[-1].append(ids)
             for w in new:
                 if len(w) > LONG_WORD:
-                    del self.known[w]
-            at = to
-        return b"".join(out)
+                    del self.words[w]
+        return [b"".join(x) for x in out]
+
+    @staticmethod
+    def _cut(texts: list[bytes]) -> Iterator[list[tuple[bool, list[bytes]]]]:
+        """Words of about ``PART`` bytes at a time, a list for each text or
+        part of one; the flag marks a text's first part."""
+        some, size = [], 0
+        for text in texts:
+            at, first = 0, True
+            while first or at < len(text):
+                to = min(at + PART, len(text))
+                while to < len(text) and not flat.WHITE[text[to]]:
+                    to += 1
+                some.append((first, text[at:to].split()))   # exactly the ASCII white space
+                size += to - at
+                at, first = to, False
+                if size >= PART:
+                    yield some
+                    some, size = [], 0
+        if some:
+            yield some
 
 
 def _cut(path: str, capacity: int, end_id: int):
@@ -97,8 +171,8 @@ def _cut(path: str, capacity: int, end_id: int):
             for i, j, d, o in flat.slices(data, offs):
                 raw = d.tobytes()
                 row, piece, start, ids = [], [], [], []
-                for r in range(j - i):
-                    own = encoder.ids(raw[o[r]:o[r + 1]]) + end
+                for r, own in enumerate(encoder.ids([raw[a:b] for a, b in zip(o, o[1:])])):
+                    own += end
                     for n, at in enumerate(range(0, len(own), 4 * capacity)):
                         row.append(i + r)
                         piece.append(n)

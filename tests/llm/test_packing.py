@@ -58,7 +58,7 @@ def test_query_keeps_every_token(spark):
 
 def test_ids_of_awkward_texts(spark):
     texts = ["a<|endoftext|>b <|startoftext|>", "İstanbul ΣΑΣ ς", "é ́x q̣̇", "x y z\x1c!\x85", "don't 'S 's'T", "  \n ",
-             "日本語 テスト", "a" * 5000, "12 345 ½ ²", "\U0001f600‍❤", "ẛ̣", "\u0000 \x00a"]
+             "日本語 テスト", "a" * 5000, "12 345 ½ ²", "\U0001f600‍❤", "ÀÉÎÕÜÇÑ×÷ßÿ ¿qué? ¡sí! \x7f\x1f", "ẛ̣", "\u0000 \x00a"]
     df = spark.createDataFrame([(i, t, "e", 3) for i, t in enumerate(texts)], "doc_id long, text string, ids string, length int")
     got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in packing.pieces(df, capacity=1 << 20).collect()}
     assert got == {i: library(t) for i, t in enumerate(texts)}
@@ -70,7 +70,8 @@ def test_long_texts_and_full_memory(monkeypatch):
     monkeypatch.setattr(packing, "PART", 50)
     monkeypatch.setattr(packing, "KNOWN", 20)
     enc = packing.Encoder(packing.default_path())
-    assert np.frombuffer(enc.ids(text.encode()), "<u4").tolist() == library(text)[:-1]
+    texts = [text, "", "a", "  ", text[:70]]
+    assert [np.frombuffer(x, "<u4").tolist() for x in enc.ids([t.encode() for t in texts])] == [library(t)[:-1] for t in texts]
 
 
 def test_awkward_rows(spark):
