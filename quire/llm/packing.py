@@ -34,8 +34,8 @@ END_ID = 1           # fixed value: id after every document
 OPEN = 512           # open bins of a task
 GROUP = 1 << 15      # pieces, or left bins, that are packed together
 PART = 1 << 20       # bytes of a text that are cut into words at a time
-KNOWN = 400_000      # words, and parts of words, whose ids a task remembers
-LONG_WORD = 256      # bytes; longer words are not remembered
+KNOWN = 400_000      # parts whose ids a task remembers
+LONG_PART = 256      # characters; longer parts are not remembered
 
 
 def default_path() -> str:
@@ -55,22 +55,24 @@ def _library(path: str):
 
 # Fixed values, those of the tokenizer file: its split pattern for texts of
 # ASCII and of the letters from U+00C0 to U+00FF, in lower case.
-_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|\n|[^\\sa-z\u00df-\u00f6\u00f8-\u00ff0-9]+")
-_PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff\n]*")
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^\\sa-z\u00df-\u00f6\u00f8-\u00ff0-9]+")
+_PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff \t-\r]*")
 _WORD_END = "</w>"
+_OTHER = "\0"          # before a word that is encoded as a whole
 _GAP = b"\xff" * 4   # between ids; ids are below 2 ** 24, so no ids hold it
 
 
 class Encoder:
     """Ids of whole texts as little-endian 32-bit bytes.
 
-    The tokenizer drops white space and no token crosses it, so the ids of a
-    text are those of its words (runs without ASCII white space) in turn, and
-    every distinct word is encoded once. A word of ASCII and accented Latin
-    letters is lower-cased and split here and its parts go to the library's
-    model, many in one call, where the mark of a part's last token tells the
-    parts from each other; any other word, and one that may hold a special
-    string, goes through the whole library.
+    The tokenizer drops white space and no token crosses a part of its split
+    pattern, so the ids of a text are those of its parts in turn, and every
+    distinct part is encoded once. A text of ASCII and accented Latin letters
+    is lower-cased and split here; its new parts go to the library's model in
+    one call, where the mark of a part's last token tells the parts from each
+    other. Of any other text the words (runs without ASCII white space) that
+    hold other characters, or that may hold a special string, go through the
+    whole library.
     """
 
     def __init__(self, path: str):
@@ -82,68 +84,63 @@ class Encoder:
         vocab = self.lib.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith(_WORD_END)]] = True
-        chars = _byte_chars()
-        self.shown = {b: c for c, b in chars.items()}
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def _whole(self, words: list[bytes]) -> list[bytes]:
-        got = self.lib.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in got]
-
-    def _parts(self, parts: list[str]) -> list[bytes]:
-        """Ids of parts that need no normalisation."""
+        self.shown = {b: c for c, b in _byte_chars().items() if b != 32}
+        self.known: dict[str, bytes] = {}
+
+    def _learn(self, new: list[str]) -> None:
+        other = [p for p in new if p[0] == _OTHER]
+        got = self.lib.encode_batch_fast([p[1:] for p in other], add_special_tokens=False)
+        self.known.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(other, got))
+        parts = [p for p in new if p[0] != _OTHER] if other else new
         if not parts:
-            return []
-        text = " ".join(parts).encode().decode("latin-1").translate({b: c for b, c in self.shown.items() if b != 32})
+            return
+        text = " ".join(parts).encode().decode("latin-1").translate(self.shown)
         ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-        to = (np.flatnonzero(self.ends[ids]) + 1) * 4
+        to = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
         if len(to) != len(parts):
             raise ValueError("the vocabulary does not mark the last token of a word")
-        raw, to = ids.tobytes(), [0, *to.tolist()]
-        return [raw[a:b] for a, b in zip(to, to[1:])]
-
-    def _learn(self, new: list[bytes]) -> None:
-        """Ids of words that are not known. The parts of all words make one
-        list, in which a line feed parts the words."""
-        text = b"\n".join(new).decode()
-        if not _PLAIN.fullmatch(text) or "<|" in text:
-            plain = [w for w in new if _PLAIN.fullmatch(w.decode()) and b"<|" not in w]
-            other = list(set(new).difference(plain))
-            self.words.update(zip(other, self._whole(other)))
-            new, text = plain, b"\n".join(plain).decode()
-        split = _PARTS.findall(text.lower())
-        if len(self.parts) > KNOWN:
-            self.parts.clear()
-        parts = list(set(split).difference(self.parts, "\n"))
-        self.parts.update(zip(parts, self._parts(parts)))
-        self.parts["\n"] = _GAP
-        if new:
-            self.words.update(zip(new, b"".join(map(self.parts.__getitem__, split)).split(_GAP)))
+        raw = ids.tobytes()
+        self.known.update(zip(parts, [raw[a:b] for a, b in zip([0, *to], to)]))
+
+    def _split(self, text: str) -> list[str]:
+        if _PLAIN.fullmatch(text) and "<|" not in text:
+            return _PARTS.findall(text.lower())
+        out = []
+        for word in text.encode().split():   # exactly the ASCII white space
+            word = word.decode()
+            if _PLAIN.fullmatch(word) and "<|" not in word:
+                out += _PARTS.findall(word.lower())
+            else:
+                out.append(_OTHER + word)
+        return out
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Ids of every text."""
-        out = []
-        for lists in self._cut(texts):
-            if len(self.words) > KNOWN:
-                self.words.clear()
-            new = list(set().union(*(w for _, w in lists)).difference(self.words))
+        out: list[list[bytes]] = []
+        for some in self._cut(texts):
+            split = []
+            for _, text in some:
+                split += self._split(text.decode())
+                split.append("\n")
+            if len(self.known) > KNOWN:
+                self.known.clear()
+            new = list(set(split).difference(self.known, "\n"))
             self._learn(new)
-            for first, words in lists:
-                ids = b"".join(map(self.words.__getitem__, words))
+            self.known["\n"] = _GAP
+            for (first, _), ids in zip(some, b"".join(map(self.known.__getitem__, split)).split(_GAP)):
                 if first:
                     out.append([ids])
                 else:
                     out[-1].append(ids)
-            for w in new:
-                if len(w) > LONG_WORD:
-                    del self.words[w]
+            for p in new:
+                if len(p) > LONG_PART:
+                    del self.known[p]
         return [b"".join(x) for x in out]
 
     @staticmethod
-    def _cut(texts: list[bytes]) -> Iterator[list[tuple[bool, list[bytes]]]]:
-        """Words of about ``PART`` bytes at a time, a list for each text or
-        part of one; the flag marks a text's first part."""
+    def _cut(texts: list[bytes]) -> Iterator[list[tuple[bool, bytes]]]:
+        """About ``PART`` bytes at a time: texts, or parts of a long one that
+        end before a white space; the flag marks a text's first part."""
         some, size = [], 0
         for text in texts:
             at, first = 0, True
@@ -151,7 +148,7 @@ class Encoder:
                 to = min(at + PART, len(text))
                 while to < len(text) and not flat.WHITE[text[to]]:
                     to += 1
-                some.append((first, text[at:to].split()))   # exactly the ASCII white space
+                some.append((first, text[at:to]))
                 size += to - at
                 at, first = to, False
                 if size >= PART:
