@@ -8,14 +8,15 @@ as the Jaccard similarity. The steps:
 
 1. Sets that are equal fall into one class; only the class goes on.
 2. Bands of registers are hashed; classes that share a band are candidates.
-3. In every band the smallest members lead: they are compared with the others,
-   links merge classes into components, and only bands that still hold
-   several components go on. Copies of one text thus cost one comparison each
-   and no pairs among themselves. Of what is left, shingles that no other
-   document left has are counted: they bound every similarity from above, and
-   documents and pairs that cannot reach the threshold any more are dropped
-   without loss. After the rounds of ``LEADERS`` the rest is compared across
-   components.
+3. In every band the member that shares the most bands with others leads: it
+   is compared with the others, and links merge classes into components.
+   Copies of one text thus cost one comparison each and no pairs among
+   themselves. Of the bands that still hold several components, members whose
+   shingles are too much their own for any link leave without loss. The others
+   are described by how their sets differ from a common root, the first member
+   of the leader's component. Linked sets have similar differences, and a
+   prefix filter on these, rarest elements first, finds every pair that can be
+   linked: near copies of one text share the text but not their edits.
 4. A pair is estimated jointly from its registers and known set sizes by
    maximum likelihood, and confirmed on the full sets.
 
@@ -43,7 +44,6 @@ BANDS, WIDTH = 32, 6
 REGISTERS = BANDS * WIDTH
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1   # parameters of the registers
 SLACK = 0.17      # about six standard errors of the estimate
-LEADERS = (1, 4, 16)   # leaders of a band, round by round
 BROADCAST_ROWS = 200_000
 
 _rng = np.random.default_rng(20260101)
@@ -194,7 +194,7 @@ def _links(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame | None:
 
 def _side(rows: DataFrame, x: str) -> DataFrame:
     """Columns of one end of a pair."""
-    return rows.withColumnsRenamed({"rep": x, "n": f"n{x}", "comp": f"c{x}", "alone": f"u{x}"})
+    return rows.drop("degree").withColumnsRenamed({"rep": x, "n": f"n{x}", "comp": f"c{x}", "alone": f"u{x}"})
 
 
 def _possible(pairs: DataFrame, percent: int) -> DataFrame:
@@ -211,7 +211,7 @@ def _possible(pairs: DataFrame, percent: int) -> DataFrame:
 def _still_mixed(open_: DataFrame, label: DataFrame) -> DataFrame:
     """The bands that hold several components, with the components."""
     mine = open_.drop("comp").join(label, open_["rep"] == label["node"], "left").select(
-        "key", "rep", "n", "alone", F.coalesce("component", "rep").alias("comp"))
+        "key", "rep", "n", "alone", "degree", F.coalesce("component", "rep").alias("comp"))
     mixed = mine.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("key")
     return stage(mine.join(mixed, "key"), "bands")
 
@@ -236,6 +236,64 @@ def _able(open_: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     return out.where(F.lit(100 - percent) * (F.col("n") - F.col("alone")) >= F.lit(percent) * F.col("alone"))
 
 
+def _differing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(0, batch.num_rows, 256):
+            part = batch.slice(i, 256)
+            diff = [np.setxor1d(np.frombuffer(x.as_buffer(), np.int64), np.frombuffer(y.as_buffer(), np.int64), assume_unique=True)
+                    for x, y in zip(part.column("xa"), part.column("xr"))]
+            lens = np.array([len(x) for x in diff], np.int64)
+            flat_ = np.concatenate(diff) if diff else np.zeros(0, np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lens)]), pa.int32()), pa.array(flat_))
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("root", "a", "na", "nr")), pa.array(lens), lists],
+                                             names=["root", "a", "n", "nr", "d", "diff"])
+
+
+def _differences(open_: DataFrame, refs: DataFrame, label: DataFrame | None, full: DataFrame) -> DataFrame:
+    """``(root, a, n, nr, d, diff)``: for every document of a mixed band what
+    its set and that of the band's root do not share. The root is the first
+    document of the component of the band's leader."""
+    if label is not None:
+        refs = refs.join(label, refs["ref"] == label["node"], "left").select("key", F.coalesce("component", "ref").alias("ref"))
+    near = open_.join(refs.withColumnRenamed("ref", "root"), "key").select("root", F.col("rep").alias("a")).distinct()
+    side = lambda x: full.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x[0]}"), F.col("members").alias(f"x{x[0]}"))
+    both = side("root").join(side("a").join(near, "a"), "root")
+    return stage(both.mapInArrow(_differing, "root long, a long, n long, nr long, d long, diff array<long>"), "differences")
+
+
+def _close_pairs(differences: DataFrame, label: DataFrame | None, percent: int) -> DataFrame:
+    """Distinct ``(a, b)`` of different components that can be linked.
+
+    The sets of a and b differ by what their differences to a common root
+    differ by, so links are pairs of differences of ``da`` and ``db`` elements
+    that share at least ``o`` = (da + db - most) / 2 of them, ``most`` being
+    how much linked sets of these sizes can differ. In any common order of the
+    elements two such differences have an element in common among the first
+    da - o + 1 and db - o + 1; the order is by how many differences hold an
+    element, rarest first, so copies that were edited in different places
+    share none.
+    """
+    spare = 100 - percent
+    rows = differences.select("root", "a", "n", "d", "diff")
+    if label is not None:
+        rows = rows.join(label, rows["a"] == label["node"], "left")
+    else:
+        rows = rows.withColumn("component", F.lit(None).cast("long"))
+    each = rows.select("root", "a", "n", "d", F.coalesce("component", "a").alias("comp"), F.explode("diff").alias("h"))
+    often = each.groupBy("root", "h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    shared = each.join(often, ["root", "h"])
+    mine = Window.partitionBy("root", "a")
+    place = F.col("d") - F.count(F.lit(1)).over(mine) + F.row_number().over(mine.orderBy("c", "h")) - 1
+    first = shared.withColumn("place", place).where(F.col("place") <= F.floor(F.lit(spare) * F.col("n") / percent))
+    first = stage(first.select("root", "h", "a", "n", "d", "comp", "place"), "first-differences")
+    x = first.withColumnsRenamed({"n": "na", "d": "da", "comp": "ca", "place": "i"})
+    y = first.withColumnsRenamed({"a": "b", "n": "nb", "d": "db", "comp": "cb", "place": "j"})
+    most = F.floor(F.lit(spare) * (F.col("na") + F.col("nb")) / (100 + percent))
+    o = F.ceil((F.col("da") + F.col("db") - most) / 2)
+    able = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (F.col("i") <= F.col("da") - o) & (F.col("j") <= F.col("db") - o)
+    return x.join(y, ["root", "h"]).where(able).select("a", "b").distinct()
+
+
 def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of
     ``docs(doc_id, text)``.
@@ -251,8 +309,11 @@ def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     real = sigs.where("n > 0 AND doc_id IS NOT NULL")
     classes = stage(real.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
     rows = classes.select(F.explode("bands").alias("key"), "rep", "n")
-    crowd = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    open_ = stage(rows.join(crowd, "key"), "bands")
+    crowd = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    open_ = rows.join(crowd, "key")
+    # a class in the middle of many others shares the most bands with them
+    degree = open_.groupBy("rep").agg(F.sum("c").alias("degree"))
+    open_ = stage(open_.drop("c").join(degree, "rep"), "bands")
     touched = open_.select(F.col("rep").alias("doc_id")).distinct().join(
         classes.select(F.col("rep").alias("doc_id"), "f1", "f2"), "doc_id")
     full = src.join(touched.select("doc_id").distinct(), "doc_id").mapInArrow(
@@ -260,24 +321,25 @@ def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     full = stage(full.join(touched, ["doc_id", "f1", "f2"], "left_semi").dropDuplicates(["doc_id", "f1", "f2"]), "sets")
     open_ = open_.withColumns({"comp": F.col("rep"), "alone": F.lit(0).cast("long")})
     links, label = None, None
-    for turn in range(len(LEADERS) + 1):
-        if label is not None:
-            open_ = _still_mixed(open_, label)
-        if turn == 1 and not open_.isEmpty():
-            open_ = stage(_able(open_, full, percent), "bands")
-        if open_.isEmpty():
-            break
-        if turn < len(LEADERS):
-            order = F.row_number().over(Window.partitionBy("key").orderBy("rep"))
-            lead = stage(open_.withColumn("place", order).where(F.col("place") <= LEADERS[turn]).drop("place"), "leaders")
-            pairs = _side(lead, "a").join(_side(open_, "b"), "key").where("a <> b")
-            open_ = stage(open_.join(lead.select("key", "rep"), ["key", "rep"], "left_anti"), "bands")
-        else:  # pairs of different components that share a band
-            pairs = _side(open_, "a").join(_side(open_, "b"), "key").where("a < b")
-        found = _links(_possible(pairs, percent), full, percent)
-        if found is not None:
+
+    def add(found):
+        nonlocal links, label
+        if found is not None and not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             label = components(links, "near-duplicates")
+
+    if not open_.isEmpty():
+        order = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("degree"), "rep"))
+        lead = stage(open_.withColumn("place", order).where("place = 1").drop("place"), "leaders")
+        add(_links(_possible(_side(lead, "a").join(_side(open_, "b"), "key").where("a <> b"), percent), full, percent))
+        if label is not None:
+            open_ = _still_mixed(open_, label)
+        open_ = stage(_able(open_, full, percent), "bands")
+        near = _differences(open_, lead.select("key", F.col("rep").alias("ref")), label, full)
+        shared = (F.col("n") + F.col("nr") - F.col("d")) / 2
+        alike = F.lit(100) * shared >= F.lit(percent) * (F.col("n") + F.col("nr") - shared)
+        add(stage(near.where(alike & (F.col("a") != F.col("root"))).select("a", F.col("root").alias("b")), "links"))
+        add(_links(_close_pairs(near, label, percent), full, percent))
     out = sigs.select("doc_id", "n", "f1", "f2").join(classes.select("f1", "f2", "rep"), ["f1", "f2"], "left")
     linked = (F.col("n") > 0) & F.col("doc_id").isNotNull()
     out = out.withColumn("rep", F.when(linked, F.col("rep")))

@@ -1,5 +1,7 @@
 """Suffix, window and near-duplicate operators against brute force."""
 
+import random
+
 import numpy as np
 import pytest
 from collections import Counter
@@ -50,8 +52,8 @@ def test_one_of_each(spark):
     assert order(r.doc_id for r in got.collect()) == order([*want, None, None])
 
 
-def test_many_near_copies_and_leaders(spark, monkeypatch):
-    """Bands with several components, after few and many leader rounds."""
+def test_many_near_copies(spark):
+    """Bands with several components after the comparison with the leader."""
     base = [f"w{i}" for i in range(120)]
     pairs = []
     for i in range(60):
@@ -61,11 +63,28 @@ def test_many_near_copies_and_leaders(spark, monkeypatch):
         w[(7 * i) % 120] = f"x{i}"
         pairs.append((i, " ".join(w)))
     docs = spark.createDataFrame(rows(pairs), SCHEMA)
-    for leaders in ((1,), (1, 4, 16)):
-        monkeypatch.setattr(setsketch, "LEADERS", leaders)
-        assert order(tuple(r) for r in setsketch.groups(docs).collect()) == order(brute_groups(pairs))
+    assert order(tuple(r) for r in setsketch.groups(docs).collect()) == order(brute_groups(pairs))
 
 
+def test_copies_with_edits_of_their_own(spark, monkeypatch):
+    """Near copies that are mostly too far from each other to be linked: few
+    pairs are looked at, and none of the links is lost."""
+    r = random.Random(11)
+    base = [f"w{i}" for i in range(150)]
+    pairs = []
+    for i in range(160):
+        w = list(base)
+        for k in r.sample(range(150), r.choice((1, 2, 3, 4, 5, 6))):
+            w[k] = f"x{i}.{k}" if r.random() < 0.8 else f"y{k}"
+        pairs.append((i, " ".join(w[:r.choice((150, 150, 140))])))
+    seen = []
+    inner = setsketch._close_pairs
+    monkeypatch.setattr(setsketch, "_close_pairs", lambda *a: seen.append(inner(*a).count()) or inner(*a))
+    docs = spark.createDataFrame(rows(pairs), SCHEMA)
+    want = brute_groups(pairs)
+    assert order(tuple(r) for r in setsketch.groups(docs).collect()) == order(want)
+    assert len({x[2] for x in want}) > 20 and seen[0] < 160 * 159 / 2 / 20
+
 def test_sketches_merge_and_estimate():
     rng = np.random.default_rng(5)
     both, a, b = (rng.integers(0, 1 << 63, n).astype(np.uint64) for n in (800, 100, 100))
@@ -94,3 +113,15 @@ def test_queries_match_brute_force(spark):
     assert got["op5_deep_shallow_dedup"] == order((*x[:4], sha(x[4])) for x in brute_bytes(pairs))
     assert got["op7_rabin_karp_windows"] == order((*x[:3], sha(x[3].encode())) for x in brute_words(pairs))
     assert got["op9_setsketch_groups"] == order(brute_groups(pairs))
+
+
+def test_hashes_of_strings_that_collide_for_any_base_modulo_a_power_of_two(spark):
+    x = "a"
+    while len(x) < 4096:
+        x += x.translate(str.maketrans("ab", "ba"))
+    y = x.translate(str.maketrans("ab", "ba"))
+    tail = " " + " ".join(f"w{i}" for i in range(49))
+    docs = spark.createDataFrame(rows([(1, x + tail), (2, y + tail), (3, x[:1024]), (4, y[:1024])]), SCHEMA)
+    assert order(tuple(r) for r in setsketch.groups(docs).collect()) == order(brute_groups([(r.doc_id, r.text) for r in docs.collect()]))
+    got = {r.doc_id: r.n_removed for r in substrings.dedup(docs).collect()}
+    assert got == {1: 0, 2: 0, 3: 0, 4: 0}
