@@ -63,37 +63,58 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 class Rolling:
-    """Rabin-Karp hashes of arbitrary ranges of a sequence, modulo 2**64.
-
-    ``H[i] = sum(x[j] * p**j for j < i)``; as ``p`` is odd it has an inverse,
-    so the hash of ``[s, e)`` is ``(H[e] - H[s]) * p**-s`` and does not depend
-    on where the range lies.
+    """Rabin-Karp hashes of arbitrary ranges of a sequence.
+
+    ``H[i] = sum(x[j] * p**j for j < i)`` modulo the prime 2**31 - 1, for two
+    bases at once; as ``p`` has an inverse, the hash of ``[s, e)`` is
+    ``(H[e] - H[s]) * p**-s`` and does not depend on where the range lies. The
+    modulus is prime because a power of two lets some unequal sequences
+    collide whatever the base is. Symbols have up to 64 bits: one hash takes
+    the lower 31 bits, the other their sum with the upper ones.
     """
 
+    PRIME = U64((1 << 31) - 1)
+
     def __init__(self, base: int = 0x9E3779B97F4A7C15):
-        self.p = U64(base | 1)
-        self.q = U64(pow(base | 1, -1, 1 << 64))
-        self.pow = np.ones(1, U64)
-        self.inv = np.ones(1, U64)
+        p = int(self.PRIME)
+        self.bases = [base % p, (base >> 31) % p]
+        self.pow = self.inv = [np.ones(1, U64)] * 2
 
     def _grow(self, n: int) -> None:
-        if len(self.pow) < n:
+        if len(self.pow[0]) < n:
             n = max(n, 1 << 16)
-            for name, b in (("pow", self.p), ("inv", self.q)):
-                a = np.full(n, b, U64)
-                a[0] = 1
-                setattr(self, name, np.multiply.accumulate(a))
+            p = int(self.PRIME)
+            self.pow = [self._powers(b, n) for b in self.bases]
+            self.inv = [self._powers(pow(b, -1, p), n) for b in self.bases]
+
+    def _powers(self, b: int, n: int) -> np.ndarray:
+        out = np.ones(n, U64)
+        done = 1
+        while done < n:   # the next ones are the first ones times b**done
+            to = min(2 * done, n)
+            out[done:to] = out[:to - done] * U64(pow(b, done, int(self.PRIME))) % self.PRIME
+            done = to
+        return out
 
     def prefix(self, x: np.ndarray) -> np.ndarray:
+        """Sums of the terms, not reduced: below 2**63 up to 2**32 symbols."""
         self._grow(len(x) + 1)
-        out = np.zeros(len(x) + 1, U64)
-        np.cumsum((x.astype(U64) + U64(1)) * self.pow[:len(x)], out=out[1:])
+        if x.dtype == np.uint8:
+            low = high = x.astype(U64)
+        else:
+            x = x.astype(U64)
+            low = x & self.PRIME
+            high = (low + (x >> U64(31))) % self.PRIME
+        out = np.zeros((2, len(x) + 1), U64)
+        for o, y, w in zip(out, (low, high), self.pow):
+            np.cumsum((y + U64(1)) * w[:len(x)] % self.PRIME, out=o[1:])
         return out
 
     def ranges(self, h: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
         """Mixed hash of every range ``[s, e)``; equal content, equal hash."""
-        self._grow(len(h))
-        return mix((h[e] - h[s]) * self.inv[s] + (e - s).astype(U64) * U64(0xD6E8FEB86659FD93))
+        self._grow(h.shape[1])
+        a, b = ((g[e] - g[s]) % self.PRIME * w[s] % self.PRIME for g, w in zip(h, self.inv))
+        return mix((a << U64(31) | b) + (e - s).astype(U64) * U64(0xD6E8FEB86659FD93))
 
 
 def words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -66,3 +66,17 @@ def test_encode_decode_tables(spark, library):
         assert r.ids == library.encode(r.text or "", add_special_tokens=False).ids and r.decoded == (r.text or "")
     none = spark.createDataFrame([], SCHEMA)
     assert bpe.round_trip(none).collect() == tokencount.token_counts(none).collect() == bpe.encode(none).collect() == []
+
+
+def test_pieces_whose_hashes_could_collide(library):
+    """Strings that collide under any polynomial hash modulo a power of two."""
+    x = "a"
+    while len(x) < 4096:
+        x += x.translate(str.maketrans("ab", "ba"))
+    some = [z for n in (512, 1024, 4096) for z in (x[:n], x[:n].translate(str.maketrans("ab", "ba")))]
+    v, t = vocab.load(vocab.default_path()), tokencount.MergeTransducer(vocab.load(vocab.default_path()), 5000)
+    data, offs = flat.buffer_of(pa.array(some))
+    want = [e.ids for e in library.encode_batch(some, add_special_tokens=False)]
+    ids, at = bpe.encode_flat(v, data, offs)
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == want
+    assert tokencount.count_flat(t, data, offs).tolist() == [len(z) for z in want]
