@@ -63,6 +63,31 @@ def term_counts(tokens) -> Column:
     return F.element_at(F.transform(F.array(F.sort_array(tokens)), with_sorted), 1)
 
 
+def term_places(tokens) -> Column:
+    """``array<struct<term, tf, places>>`` of the distinct terms of a token
+    array, ascending by term, with their counts and 0-based positions. As
+    ``term_counts``, inside the row."""
+    rows = F.sort_array(F.transform(_col(tokens), lambda t, i: F.struct(t.alias("term"), i.alias("place"))))
+
+    def with_sorted(s):
+        n = F.size(s)
+        starts = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
+                          lambda i: F.when(i == 1, F.lit(True))
+                          .otherwise(F.element_at(s, i)["term"] != F.element_at(s, i - 1)["term"]))
+
+        def with_starts(st):
+            def entry(x, j):
+                count = F.coalesce(F.try_element_at(st, j + 2), n + 1) - x
+                return F.struct(F.element_at(s, x)["term"].alias("term"), count.cast("long").alias("tf"),
+                                F.transform(F.slice(s, x, count), lambda y: y["place"]).alias("places"))
+            return F.transform(st, entry)
+
+        kind = "array<struct<term:string,tf:bigint,places:array<int>>>"
+        return F.when(n == 0, F.array().cast(kind)).otherwise(F.element_at(F.transform(F.array(starts), with_starts), 1))
+
+    return F.element_at(F.transform(F.array(rows), with_sorted), 1)
+
+
 def normalise_lines(text) -> Column:
     """Unify CR/LF and CR line ends to LF and drop one final line end, as a
     line reader joined with ``\\n`` would."""

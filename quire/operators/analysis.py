@@ -21,8 +21,11 @@ def token_positions(df: DataFrame, text_col: str = "text", id_col: str = "doc_id
 
     The text between tokens comes from splitting on the same pattern, so
     tokens and gaps cannot disagree; a running sum per row gives the offsets.
+    The texts are dealt by row before they are split, so the sum over a row's
+    tokens moves nothing more.
     """
     low = df.select(F.col(id_col), F.lower(F.col(text_col)).alias("_low"), F.monotonically_increasing_id().alias("_row"))
+    low = low.repartition("_row")
     parts = F.arrays_zip(F.regexp_extract_all("_low", F.lit(TOKEN_PATTERN), F.lit(0)).alias("term"),
                          F.split("_low", TOKEN_PATTERN, -1).alias("gap"))
     rows = low.select(id_col, "_row", F.posexplode(parts).alias("pos", "z")).where(F.col("z.term").isNotNull())

@@ -2,11 +2,11 @@
 
 Centroids are rows ``(cluster, term, w)`` (clusters numbered 0..k-1).
 Distances use ||p||^2 - 2 p.c + ||c||^2 (clamped at 0 before the root). Inside
-the loop centroids are one row per term with an array of k weights, so a step
-is one join on the term, one sum per point and one sum per term; points are
-partitioned on ``doc_id`` once. The driver only loops and reads k numbers per
-step, and points, memberships and centroids are checkpointed to cut the
-lineage.
+the loop a point is one row with its vector as an array. Bounds on its
+distances, moved along with the centroids, let a point that cannot change its
+cluster skip the join with the centroids, and the centroids' sums change by
+the points that did change. The driver only loops and reads k rows per step;
+points, memberships and centroids are written to cut the lineage.
 """
 
 from __future__ import annotations
@@ -17,11 +17,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.session import bounded_broadcast, materialize, written
+from quire.session import bounded_broadcast, written
 
 RANK_DECIMALS = 9
 # Two centroid weights closer than this count as equal (unchanged centroid).
 SAME_WEIGHT = 1e-12
+# Bounds of distances that lie this far apart decide; far above the rounding
+# of the distances that are compared.
+BOUND_GAP = 1e-7
 
 
 def init_points(points: DataFrame, k: int) -> DataFrame:
@@ -48,30 +51,50 @@ def init_box(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
     return out.where(F.col("w") != 0)
 
 
+def _distances(vectors: DataFrame, centroids: DataFrame, cc: Sequence[float], clusters: Sequence[int]) -> DataFrame:
+    """``(doc_id, nearest)`` for rows ``(doc_id, pp, v)``, v being the array
+    of ``(term, w)`` and pp the squared norm: the clusters as an array of
+    ``(r, cluster, dist)``, nearest first (r is the rounded distance, so ties go
+    to the lowest cluster). ``centroids`` is ``(term, ws)``, one row per term
+    with its weight in every cluster; ``cc`` are the squared norms."""
+    rows = vectors.select("doc_id", "pp", F.inline(F.concat(F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(0.0).alias("w"))), "v")))
+    # the row without a term keeps points that share no term with any centroid
+    met = rows.join(bounded_broadcast(centroids.select("term", "ws")), "term", "left")
+    met = met.select("doc_id", "pp", "w", F.posexplode_outer("ws").alias("cluster", "cw")).where("cw IS NULL OR cw <> 0")
+    dots = met.groupBy("doc_id", "cluster").agg(F.max("pp").alias("pp"), F.sum(F.col("w") * F.col("cw")).alias("dot"))
+    per = dots.groupBy("doc_id").agg(F.max("pp").alias("pp"), F.map_from_entries(F.collect_list(
+        F.when(F.col("cluster").isNotNull(), F.struct("cluster", "dot")))).alias("dot"))
+    norm = F.array(*[F.struct(F.lit(j).alias("cluster"), F.lit(float(cc[j])).alias("cc")) for j in clusters])
+
+    def of(x):
+        dot = F.coalesce(F.try_element_at(F.col("dot"), x["cluster"]), F.lit(0.0))
+        dist = F.sqrt(F.greatest(F.col("pp") - 2 * dot + x["cc"], F.lit(0.0)))
+        return F.struct(F.round(dist, RANK_DECIMALS).alias("r"), x["cluster"].alias("cluster"), dist.alias("dist"))
+
+    return per.select("doc_id", F.array_sort(F.transform(norm, of)).alias("nearest"))
+
+
+def as_vectors(points: DataFrame) -> DataFrame:
+    """``(doc_id, pp, v)``: one row per point."""
+    return points.groupBy("doc_id").agg(F.sum(F.col("w") * F.col("w")).alias("pp"), F.collect_list(F.struct("term", "w")).alias("v"))
+
+
 def wide_centroids(centroids: DataFrame, k: int) -> DataFrame:
     """``(term, ws)``: one row per term with its weight in every cluster."""
-    return centroids.groupBy("term").agg(F.array(*[
-        F.coalesce(F.sum(F.when(F.col("cluster") == j, F.col("w"))), F.lit(0.0)) for j in range(k)]).alias("ws"))
+    per = centroids.groupBy("term").agg(F.map_from_entries(F.collect_list(F.struct("cluster", "w"))).alias("m"))   # at most k
+    return per.select("term", _by_cluster(k, lambda j: F.coalesce(F.try_element_at("m", j), F.lit(0.0))).alias("ws"))
 
 
-def _norms(wide: DataFrame, k: int) -> Sequence[float]:
-    """Squared norms of the k centroids."""
-    return wide.agg(*[F.coalesce(F.sum(F.col("ws")[j] * F.col("ws")[j]), F.lit(0.0)) for j in range(k)]).first()
+def _by_cluster(k: int, value) -> F.Column:
+    """An array with ``value(cluster)`` for every cluster."""
+    return F.transform(F.sequence(F.lit(0), F.lit(k - 1)), value)
 
 
-def _nearest(points: DataFrame, wide: DataFrame, k: int, clusters: Sequence[int], cc: Sequence[float]) -> DataFrame:
-    """One aggregation row per point: its norm and k dot products. The squared
-    norms ``cc`` of the k centroids enter as numbers. Points that are
-    partitioned on ``doc_id`` are not moved when the centroid table passes the
-    size check."""
-    joined = points.join(bounded_broadcast(wide), "term", "left")
-    per = joined.groupBy("doc_id").agg(
-        F.sum(F.col("w") * F.col("w")).alias("pp"),
-        *[F.sum(F.col("w") * F.coalesce(F.col("ws")[j], F.lit(0.0))).alias(f"_d{j}") for j in range(k)])
-    dist = [F.sqrt(F.greatest(F.col("pp") - 2 * F.col(f"_d{j}") + F.lit(float(cc[j])), F.lit(0.0))) for j in range(k)]
-    best = F.array_min(F.array(*[F.struct(F.round(dist[j], RANK_DECIMALS).alias("r"), F.lit(j).alias("cluster"), dist[j].alias("dist"))
-                                 for j in clusters]))
-    return per.select("doc_id", best.alias("b")).select("doc_id", F.col("b.cluster").alias("cluster"), F.col("b.dist").alias("dist"))
+def _norms(wide: DataFrame, k: int) -> list[float]:
+    """Squared norms of the k centroids (k rows are read back)."""
+    rows = wide.select(F.posexplode("ws").alias("cluster", "w"))
+    got = {r.cluster: r.cc for r in rows.groupBy("cluster").agg(F.sum(F.col("w") * F.col("w")).alias("cc")).collect()}
+    return [got.get(j, 0.0) for j in range(k)]
 
 
 def assign(points: DataFrame, centroids: DataFrame, k: int, clusters: Sequence[int] | None = None) -> DataFrame:
@@ -84,7 +107,8 @@ def assign(points: DataFrame, centroids: DataFrame, k: int, clusters: Sequence[i
     if not clusters:
         return points.sparkSession.createDataFrame([], "doc_id long, cluster int, dist double")
     wide = written(wide_centroids(centroids, k), "centroids")
-    return _nearest(points, wide, k, clusters, _norms(wide, k))
+    near = _distances(as_vectors(points), wide, _norms(wide, k), clusters)
+    return near.select("doc_id", F.element_at("nearest", 1)["cluster"].alias("cluster"), F.element_at("nearest", 1)["dist"].alias("dist"))
 
 
 def update(points: DataFrame, assignment: DataFrame, centroids: DataFrame) -> DataFrame:
@@ -125,18 +149,6 @@ def objective(assignment: DataFrame) -> DataFrame:
     return assignment.agg(F.coalesce(F.sum("dist"), F.lit(0.0)).alias("objective"))
 
 
-def _means(points: DataFrame, assignment: DataFrame, wide: DataFrame, k: int, size: dict[int, int],
-           clusters: Sequence[int]) -> DataFrame:
-    """New ``(term, ws)``: sums per term and cluster, combined map-side, over
-    the sizes; an empty cluster brings its old weights along."""
-    member = points.join(assignment.select("doc_id", "cluster"), "doc_id").select("term", "cluster", "w")
-    empty = [j for j in clusters if j not in size]
-    for j in empty:
-        member = member.unionByName(wide.select("term", F.lit(j).alias("cluster"), F.col("ws")[j].alias("w")))
-    sums = [F.coalesce(F.sum(F.when(F.col("cluster") == j, F.col("w"))), F.lit(0.0)) / F.lit(float(size.get(j, 1))) for j in range(k)]
-    return member.groupBy("term").agg(F.array(*sums).alias("ws"))
-
-
 @dataclass
 class KMeansResult:
     assignment: DataFrame   # (doc_id, cluster, dist): distances to ``centroids``
@@ -166,42 +178,94 @@ def fit(points: DataFrame, k: int, init: str = "points", max_iter: int | None =
                            spark.createDataFrame([], "cluster int, term string, w double"), 0)
     if k <= 0 or points.isEmpty():
         return nothing
-    points = materialize(points.repartition("doc_id"))
-    first = init_points(points, k) if init == "points" else init_box(points, k, seed)
-    n = points.select("doc_id").distinct().limit(k).count()
+    points = written(as_vectors(points), "points")
+    some = points.select("doc_id", F.explode("v").alias("x")).select("doc_id", "x.term", "x.w")
+    first = init_points(some, k) if init == "points" else init_box(some, k, seed)
+    n = points.limit(k).count()
     clusters = list(range(min(k, n) if init == "points" else k))
-    wide = written(wide_centroids(first, k), "centroids")
-    cc = _norms(wide, k)
+    # a term's weight in every cluster, and the sums the weights come from
+    none = F.array_repeat(F.lit(0.0), k).alias("ss")
+    c = written(wide_centroids(first, k).select("term", none, "ws"), "centroids")
+    cc, drift = _norms(c, k), None
     done: set[int] = set()
-    a, it = None, 0
-    zero = F.array(*[F.lit(0.0)] * k)
+    mem, it = None, 0
     while max_iter is None or it < max_iter:
         it += 1
-        a = written(_nearest(points, wide, k, clusters, cc), "memberships")
-        size = {r["cluster"]: r["size"] for r in cluster_sizes(a).collect()}  # k rows
-        new = written(_means(points, a, wide, k, size, clusters), "centroids")
-        both = new.select("term", "ws").join(wide.select("term", F.col("ws").alias("old")), "term", "full").select(
-            F.coalesce("ws", zero).alias("ws"), F.coalesce("old", zero).alias("old"))
-        marks = both.agg(*[F.max(F.abs(F.col("ws")[j] - F.col("old")[j])) for j in range(k)],
-                         *[F.coalesce(F.sum(F.col("ws")[j] * F.col("ws")[j]), F.lit(0.0)) for j in range(k)]).first()
-        moved, cc = marks[:k], marks[k:]
-        settled = {j for j in clusters if j not in size or (moved[j] or 0.0) <= SAME_WEIGHT}
+        mem = written(_memberships(points, mem, c, cc, drift, clusters), "memberships")
+        size = {r["cluster"]: r["size"] for r in cluster_sizes(mem).collect()}  # k rows
+        c = written(_moved_sums(points, mem, c, size, k), "centroids")
+        gap = F.col("w") - F.col("was")
+        cells = c.select(F.posexplode(F.arrays_zip("ws", "was")).alias("cluster", "x")).select("cluster", F.col("x.ws").alias("w"), "x.was")
+        marks = {r.cluster: r for r in cells.groupBy("cluster").agg(
+            F.max(F.abs(gap)).alias("most"), F.sqrt(F.sum(gap * gap)).alias("far"), F.sum(F.col("w") * F.col("w")).alias("cc")).collect()}  # k rows
+        drift = [marks[j].far if j in marks else 0.0 for j in range(k)]
+        cc = [marks[j].cc if j in marks else 0.0 for j in range(k)]
+        settled = {j for j in clusters if j not in size or j not in marks or marks[j].most <= SAME_WEIGHT}
         done |= settled
-        wide = new
         if len(settled if stop == "stable" else done) == len(clusters):
             break
-    if a is None:
-        a = written(_nearest(points, wide, k, clusters, cc), "memberships")
-    centroids = wide.select(F.posexplode("ws").alias("cluster", "w"), "term").where("w <> 0").select("cluster", "term", "w")
-    own = _to_own(points, a, wide, k, cc)
-    return KMeansResult(own, centroids, it)
-
-
-def _to_own(points: DataFrame, assignment: DataFrame, wide: DataFrame, k: int, cc: Sequence[float]) -> DataFrame:
+    if mem is None:
+        mem = written(_memberships(points, None, c, cc, None, clusters), "memberships")
+    own = _to_own(points, mem, c, cc)
+    cells = c.select("term", F.posexplode("ws").alias("cluster", "w")).select("cluster", "term", "w")
+    return KMeansResult(own, cells.where("w <> 0"), it)
+
+
+def _memberships(points: DataFrame, before: DataFrame | None, centroids: DataFrame, cc: Sequence[float],
+                 drift: Sequence[float] | None, clusters: Sequence[int]) -> DataFrame:
+    """``(doc_id, cluster, was, upper, lower)``: the nearest centroid of every
+    point, the one before, and bounds of the distances to its own and to any
+    other centroid.
+
+    By the triangle inequality the own distance grows by no more than its
+    centroid has moved and the others shrink by no more than the farthest
+    move, so a point whose bounds stay ``BOUND_GAP`` apart keeps its cluster
+    without a look at its vector.
+    """
+    two = F.try_element_at("nearest", F.lit(2))["dist"]
+    fresh = (F.element_at("nearest", 1)["cluster"].alias("cluster"), F.element_at("nearest", 1)["dist"].alias("upper"),
+             F.coalesce(two, F.lit(float("inf"))).alias("lower"))
+    if before is None:
+        near = _distances(points, centroids, cc, clusters)
+        return near.select("doc_id", fresh[0], F.lit(None).cast("int").alias("was"), *fresh[1:])
+    moves = F.array(*[F.lit(float(x)) for x in drift])
+    others = F.array(*[F.lit(float(max([0.0, *(drift[i] for i in clusters if i != j)]))) for j in range(len(drift))])
+    bounds = before.select("doc_id", "cluster", (F.col("upper") + F.element_at(moves, F.col("cluster") + 1)).alias("upper"),
+                           (F.col("lower") - F.element_at(others, F.col("cluster") + 1)).alias("lower"))
+    sure = F.col("upper") + BOUND_GAP < F.col("lower")
+    kept = bounds.where(sure).select("doc_id", "cluster", F.col("cluster").alias("was"), "upper", "lower")
+    asked = bounded_broadcast(bounds.where(~sure).select("doc_id", F.col("cluster").alias("was")))
+    near = _distances(points.join(asked.select("doc_id"), "doc_id", "left_semi"), centroids, cc, clusters)
+    return kept.unionByName(near.join(asked, "doc_id").select("doc_id", fresh[0], "was", *fresh[1:]))
+
+
+def _moved_sums(points: DataFrame, mem: DataFrame, wide: DataFrame, size: dict[int, int], k: int) -> DataFrame:
+    """New ``(term, ss, ws, was)``: the sums change by the points that
+    changed their cluster only; a cluster without points keeps its centroid."""
+    moved = mem.where(~F.col("cluster").eqNullSafe(F.col("was"))).select("doc_id", "cluster", "was")
+    rows = points.join(bounded_broadcast(moved), "doc_id").select("cluster", "was", F.inline("v"))
+    change = rows.select("term", "cluster", "w").unionByName(
+        rows.where("was IS NOT NULL").select("term", F.col("was").alias("cluster"), (-F.col("w")).alias("w")))
+    # combined before they move, then dealt by term
+    per = change.groupBy("term", "cluster").agg(F.sum("w").alias("w"))
+    per = per.groupBy("term").agg(F.map_from_entries(F.collect_list(F.struct("cluster", "w"))).alias("m"))   # at most k
+    both = wide.select("term", "ss", "ws").join(per, "term", "full")
+    none = F.array_repeat(F.lit(0.0), k)
+    both = both.select("term", F.coalesce("ss", none).alias("ss"), F.coalesce("ws", none).alias("was"), "m")
+    part = lambda j: F.coalesce(F.try_element_at("m", j), F.lit(0.0))
+    sums = both.select("term", "was", F.when(F.col("m").isNull(), F.col("ss")).otherwise(
+        _by_cluster(k, lambda j: F.element_at("ss", j + 1) + part(j))).alias("ss"))
+    n = F.array(*[F.lit(float(size[j]) if j in size else None).cast("double") for j in range(k)])
+    means = _by_cluster(k, lambda j: F.coalesce(F.element_at("ss", j + 1) / F.element_at(n, j + 1), F.element_at("was", j + 1)))
+    return sums.select("term", "ss", means.alias("ws"), "was")
+
+
+def _to_own(points: DataFrame, mem: DataFrame, wide: DataFrame, cc: Sequence[float]) -> DataFrame:
     """``(doc_id, cluster, dist)`` with the distance to the own cluster's
-    centroid in ``wide``."""
+    centroid."""
     norm = F.element_at(F.array(*[F.lit(float(x)) for x in cc]), F.col("cluster") + 1)
-    mine = points.join(bounded_broadcast(wide), "term", "left").join(assignment.select("doc_id", "cluster"), "doc_id")
+    mine = points.join(mem.select("doc_id", "cluster"), "doc_id").select("doc_id", "cluster", "pp", F.inline("v"))
+    met = mine.join(bounded_broadcast(wide.select("term", "ws")), "term", "left")
     w = F.coalesce(F.element_at("ws", F.col("cluster") + 1), F.lit(0.0))
-    per = mine.groupBy("doc_id", "cluster").agg(F.sum(F.col("w") * F.col("w")).alias("pp"), F.sum(F.col("w") * w).alias("dot"))
+    per = met.groupBy("doc_id", "cluster").agg(F.max("pp").alias("pp"), F.sum(F.col("w") * w).alias("dot"))
     return per.select("doc_id", "cluster", F.sqrt(F.greatest(F.col("pp") - 2 * F.col("dot") + norm, F.lit(0.0))).alias("dist"))

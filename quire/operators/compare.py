@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.stats_math import signed_rank_exact_p, t_two_sided_p
+from quire.session import written
 
 
 class RunMismatch(ValueError):
@@ -76,8 +77,14 @@ def wilcoxon(aligned: DataFrame, zeros: str = "drop") -> DataFrame:
     # differences of one size share their rank: they are counted first, so
     # only distinct sizes are put in order
     sizes = d.groupBy(F.abs("d").alias("size")).agg(F.count(F.lit(1)).alias("cnt"), F.count_if(F.col("d") > 0).alias("up"))
-    below = F.coalesce(F.sum("cnt").over(Window.orderBy("size").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = sizes.select("cnt", "up", (below + (F.col("cnt") + 1) / 2.0).alias("_r"))
+    below = F.coalesce(F.sum("cnt").over(Window.partitionBy("part").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # ranges of sizes lie in order over the partitions: a size's rank is the
+    # count of the partitions before, one row each, and of the sizes before it
+    # in its own partition
+    parts = written(sizes.repartitionByRange("size").withColumn("part", F.spark_partition_id()), "ranges")
+    before = F.coalesce(F.sum("c").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = parts.groupBy("part").agg(F.sum("cnt").alias("c")).select("part", before.alias("start"))
+    ranked = parts.join(F.broadcast(starts), "part").select("cnt", "up", (F.col("start") + below + (F.col("cnt") + 1) / 2.0).alias("_r"))
     s = ranked.agg(F.coalesce(F.sum("cnt"), F.lit(0)).alias("n"),
                    F.coalesce(F.sum(F.col("up") * F.col("_r")), F.lit(0.0)).alias("w_plus"))
     n = F.col("n")

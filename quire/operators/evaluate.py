@@ -17,7 +17,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.operators.retrieval import top_k, total_hits
+from quire.operators.retrieval import top_k
 from quire.session import bounded_broadcast
 
 
@@ -38,14 +38,14 @@ def judged_queries(queries: DataFrame, qrels: DataFrame) -> DataFrame:
 
 
 def per_query_counts(hits: DataFrame, qrels: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``(*keys, vp, ap_sum)`` from the ranked hits (``rank`` 1-based): the
-    relevant hits and the sum of precision at each relevant rank, by a running
-    sum over the (at most k) hits of each query."""
+    """``(*keys, n_hits, vp, ap_sum)`` from the ranked hits (``rank``
+    1-based): the hits, the relevant ones and the sum of precision at each
+    relevant rank, by a running sum over the (at most k) hits of each query."""
     j = judge(hits, qrels).withColumn("_rel", F.col("relevant").cast("long"))
     w = Window.partitionBy(*keys).orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     j = j.withColumn("_so_far", F.sum("_rel").over(w))
     return j.groupBy(*keys).agg(
-        F.sum("_rel").alias("vp"),
+        F.count(F.lit(1)).alias("n_hits"), F.sum("_rel").alias("vp"),
         F.sum(F.when(F.col("relevant"), F.col("_so_far") / F.col("rank")).otherwise(F.lit(0.0))).alias("ap_sum"))
 
 
@@ -53,24 +53,24 @@ def metrics(queries: DataFrame, scored: DataFrame, qrels: DataFrame, k: int,
             runs: Mapping[str, Sequence] | None = None) -> DataFrame:
     """``(*run_cols, query_id, p, recall, ap)`` at cut ``k``.
 
-    ``scored`` is ``(*run_cols, query_id, doc_id, score)``. ``runs`` names the
-    run columns and their values (e.g. ``{"lambda": [0.1, ..., 1.0]}``) so one
-    call evaluates a whole sweep; every evaluated query gets a row per run
-    value, also when it has no hits in that run.
+    ``scored`` is ``(*run_cols, query_id, doc_id, score)``; a ``rank`` says
+    that it is already cut to the first ``k``. min(k, total hits) is the number
+    of hits that the cut leaves, so nothing but the cut is needed. ``runs``
+    names the run columns and their values (e.g. ``{"lambda": [0.1, ...,
+    1.0]}``) so one call evaluates a whole sweep; every evaluated query gets a
+    row per run value, also when it has no hits in that run.
     """
     runs = dict(runs or {})
     g = list(runs)
     keys = g + ["query_id"]
-    hits = top_k(scored, k, keys)
+    hits = scored if "rank" in scored.columns else top_k(scored, k, keys)
     counts = per_query_counts(hits, qrels, keys)
-    totals = total_hits(scored, keys)
     base = judged_queries(queries, qrels)
     for col, values in runs.items():
         base = base.withColumn(col, F.explode(F.array(*[F.lit(v) for v in values])))
-    return (base.join(counts, keys, "left").join(totals, keys, "left")
+    return (base.join(counts, keys, "left")
                 .select(*keys,
-                        F.coalesce(F.try_divide(F.col("vp").cast("double"),
-                                                F.least(F.lit(k).cast("long"), F.col("total_hits")).cast("double")),
+                        F.coalesce(F.try_divide(F.col("vp").cast("double"), F.col("n_hits").cast("double")),
                                    F.lit(0.0)).alias("p"),
                         F.coalesce(F.try_divide(F.col("vp").cast("double"), F.col("n_rel").cast("double")),
                                    F.lit(0.0)).alias("recall"),

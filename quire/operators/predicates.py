@@ -1,4 +1,4 @@
-"""Search predicates over the token stream.
+"""Search predicates over the stored index.
 
 A search is a clause table ``(query_id, clause_id, occur, kind, text, boost,
 slop, field)`` instead of a query string:
@@ -36,12 +36,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import token_array
-from quire.session import BROADCAST_MAX_ROWS, bounded_broadcast, materialize
+from quire.operators.index import Index
+from quire.session import BROADCAST_MAX_ROWS, bounded_broadcast, staging_path, written
 
 OCCURS = ("must", "should", "must_not")
 KINDS = ("term", "phrase", "prefix", "wildcard", "fuzzy", "regex")
 PATTERN_KINDS = ("prefix", "wildcard", "fuzzy", "regex")
 DEFAULT_FUZZY_EDITS = 2   # of a fuzzy clause whose slop is null
+MOST_EDITS = 2            # fuzzy clauses up to this are found by deletions
 
 CLAUSE_KEY = ["query_id", "clause_id"]
 
@@ -76,112 +78,167 @@ def wildcard_to_like(pattern: Column) -> Column:
 
 
 def _pattern_match(term: Column, kind: Column, text: Column, slop: Column) -> Column:
+    near = F.levenshtein(term, text, MOST_EDITS)
     return (F.when(kind == "prefix", F.startswith(term, text))
              .when(kind == "wildcard", F.like(term, wildcard_to_like(text)))
-             .when(kind == "fuzzy", (F.levenshtein(term, text) <= slop))
+             .when((kind == "fuzzy") & (slop <= MOST_EDITS), (near >= 0) & (near <= slop))
+             .when(kind == "fuzzy", F.levenshtein(term, text) <= slop)
              .when(kind == "regex", F.regexp_like(term, F.concat(F.lit("^(?:"), text, F.lit(")$"))))
              .otherwise(F.lit(False)))
 
 
-def _blocks_of_terms(term: Column) -> Column:
-    """Blocks a dictionary term lies in: its first letter, its length, all."""
-    return F.array(F.concat(F.lit("c"), F.substring(term, 1, 1)), F.concat(F.lit("n"), F.length(term)), F.lit("*"))
-
-
-def _blocks_of_patterns(kind: Column, text: Column, slop: Column) -> Column:
-    """Blocks that hold every term a pattern can match: the letter it starts
-    with, for fuzzy patterns the lengths within its edits, else all terms."""
-    lead = F.substring(text, 1, 1)
-    fixed = ((kind == "prefix") & (text != "")) | ((kind == "wildcard") & ~text.rlike(r"^([*?]|$)")) | (
-        (kind == "regex") & text.rlike(r"^[\p{L}\p{N}]([\p{L}\p{N}\[(.]|$)") & ~text.contains("|"))
-    lengths = F.transform(F.sequence(F.greatest(F.length(text) - slop, F.lit(0)), F.length(text) + slop),
-                          lambda n: F.concat(F.lit("n"), n))
-    return F.when(fixed, F.array(F.concat(F.lit("c"), lead))).when(kind == "fuzzy", lengths).otherwise(F.array(F.lit("*")))
-
-
-def field_stream(docs: DataFrame, fields: Mapping[str, Column], keyword_fields: Sequence[str] = (),
-                 id_col: str = "doc_id") -> DataFrame:
-    """``(field, doc_id, pos, term, dl)`` for every token of every searched
-    field, plus one row per (field, doc) with null term carrying the length."""
-    parts = []
-    for name, expr in fields.items():
-        t = docs.select(F.col(id_col).alias("doc_id"), token_array(expr).alias("_t"))
-        parts.append(t.select(F.lit(name).alias("field"), "doc_id", F.size("_t").cast("long").alias("dl"),
-                              F.posexplode(F.concat(F.array(F.lit(None).cast("string")), F.col("_t")))
-                              .alias("pos", "term"))
-                     .select("field", "doc_id", (F.col("pos") - 1).cast("long").alias("pos"), "term", "dl"))
-    for name in keyword_fields:
-        v = docs.where(F.col(name).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(name).cast("string").alias("v"))
-        parts.append(v.select(F.lit(name).alias("field"), "doc_id", F.lit(1).cast("long").alias("dl"),
-                              F.posexplode(F.array(F.lit(None).cast("string"), F.col("v"))).alias("pos", "term"))
-                     .select("field", "doc_id", (F.col("pos") - 1).cast("long").alias("pos"), "term", "dl"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def search(docs: DataFrame, clauses: DataFrame, fields: Mapping[str, Column] | None = None,
+def _runs(kind: Column, text: Column) -> Column:
+    """Texts that every match of a pattern holds, ``^`` and ``$`` being the
+    term's ends: the literal runs between the wildcards; of a regular
+    expression without alternatives the runs between its special characters,
+    or only its literal beginning if it has groups, sets or escapes. A
+    character that a ``?``, ``*`` or ``{`` follows may be absent, so it ends the
+    run before it."""
+    wild = F.split(F.concat(F.lit("^"), text, F.lit("$")), r"[*?]+")
+    plain = F.split(F.concat(F.lit("^"), text, F.lit("$")), r".[?*][?+]?|[.+][?]?")
+    lead = F.array(F.concat(F.lit("^"), F.regexp_extract(text, r"^([\p{L}\p{N}_]*)(?![?*{])", 1)))
+    regex = (F.when(text.rlike(r"[|\^$]"), F.array().cast("array<string>"))
+              .when(text.rlike(r"[(\[{\\)\]}]"), lead).otherwise(plain))
+    return (F.when(kind == "prefix", F.array(F.concat(F.lit("^"), text)))
+             .when(kind == "wildcard", wild).otherwise(regex))
+
+
+def _grams_of_terms(term: Column) -> Column:
+    """Grams of three and of two characters of ``^term$``."""
+    t = F.concat(F.lit("^"), term, F.lit("$"))
+    places = F.sequence(F.lit(1), F.length(t) - 1)
+    return F.array_distinct(F.concat(F.transform(places, lambda i: F.substring(t, i, F.lit(2))),
+                                     F.transform(places, lambda i: F.substring(t, i, F.lit(3)))))
+
+
+def _gram_of_pattern(kind: Column, text: Column) -> Column:
+    """A gram that all terms a pattern matches have: the end of its longest
+    run (the end of a run says more than the ``^`` before it); null without a
+    run of two characters."""
+    best = F.aggregate(_runs(kind, text), F.lit(""), lambda a, r: F.when(F.length(r) > F.length(a), r).otherwise(a))
+    return F.when(F.length(best) >= 3, F.substring(best, F.length(best) - 2, F.lit(3))).when(F.length(best) == 2, best)
+
+
+def _without_one(s: Column) -> Column:
+    """A word without each of its characters in turn."""
+    n = F.length(s)
+    return F.when(n > 0, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
+                                     lambda i: F.concat(F.substring(s, F.lit(1), i - 1), F.substring(s, i + 1, n)))).otherwise(F.array().cast("array<string>"))
+
+
+def _deletions(s: Column, edits: Column) -> Column:
+    """A word with up to ``edits`` (at most 2) characters deleted. Two words
+    within that many edits have one of these in common."""
+    one = _without_one(s)
+    two = F.flatten(F.transform(one, _without_one))
+    none = F.array(s)
+    return F.array_distinct(F.when(edits >= 2, F.concat(none, one, two)).when(edits == 1, F.concat(none, one)).otherwise(none))
+
+
+def candidate_pairs(dictionary: DataFrame, patterns: DataFrame) -> DataFrame:
+    """``(*clause, field, kind, text, slop, term)``: the dictionary terms
+    that each pattern is compared with. ``dictionary`` is ``(field, term)``,
+    ``patterns`` ``(query_id, clause_id, field, kind, text, slop)``.
+
+    Prefix, wildcard and regular expressions meet the terms that hold one gram
+    they need; fuzzy patterns of up to two edits the terms that share a word
+    with deletions; other fuzzy patterns the terms of a length in reach. Every
+    meeting is a join with equality. Only a pattern without any fixed pair of
+    characters meets the whole dictionary of its field.
+    """
+    kind, text, slop = F.col("kind"), F.col("text"), F.col("slop")
+    keep = [*CLAUSE_KEY, "field", "kind", "text", "slop"]
+    close = (kind == "fuzzy") & (slop <= MOST_EDITS)
+    lengths = F.transform(F.sequence(F.greatest(F.length(text) - slop, F.lit(0)), F.length(text) + slop), lambda n: n.cast("string"))
+    gram = _gram_of_pattern(kind, text)
+    none = F.array().cast("array<string>")
+    sides = []   # (patterns with their keys, keys of a term)
+    edits = patterns.where(close).agg(F.max("slop")).first()[0]   # one number
+    if edits is not None:
+        sides.append((patterns.where(close), _deletions(text, slop), _deletions(F.col("term"), F.lit(edits))))
+    sides.append((patterns.where((kind == "fuzzy") & ~close), lengths, F.array(F.length("term").cast("string"))))
+    sides.append((patterns.where((kind != "fuzzy") & gram.isNotNull()), F.array(gram), _grams_of_terms(F.col("term"))))
+    sides.append((patterns.where((kind != "fuzzy") & gram.isNull()), F.array(F.lit("")), F.array(F.lit(""))))
+    out = None
+    for some, keys, term_keys in sides:
+        if some.isEmpty():
+            continue
+        asked = some.select(*keep, F.explode(F.coalesce(keys, none)).alias("key")).distinct()
+        wanted = bounded_broadcast(asked.select("field", "key").distinct())
+        # terms that no pattern asks for are left out before anything moves
+        met = dictionary.select("field", "term", F.explode(term_keys).alias("key")).join(wanted, ["field", "key"], "left_semi")
+        got = met.join(bounded_broadcast(asked), ["field", "key"]).select(*keep, "term")
+        out = got if out is None else out.unionByName(got)
+    if out is None:
+        return dictionary.limit(0).join(patterns.limit(0), "field").select(*keep, "term")
+    return out.distinct()
+
+
+def search(source: Index | DataFrame, clauses: DataFrame, fields: Mapping[str, Column] | None = None,
            keyword_fields: Sequence[str] = (), id_col: str = "doc_id") -> DataFrame:
-    """Run every query of the clause table: ``(query_id, doc_id, score)``."""
-    fields = dict(fields or {"text": F.col("text")})
+    """Run every query of the clause table: ``(query_id, doc_id, score)``.
+
+    ``source`` is a stored index that holds the fields the clauses name, with
+    its ``keyword_fields``, or a frame of documents with the ``fields`` to
+    search, of which those that a clause names are indexed first. A field that
+    is not indexed matches nothing.
+    """
+    cl = written(normalise_clauses(clauses), "clauses")
     # frames with a row per clause (or clause word) share one size check
-    cl = materialize(normalise_clauses(clauses))
     few = cl.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS
+    named = {r.field for r in cl.select("field").distinct().collect()}   # one row a field
+    if isinstance(source, Index):
+        index = source
+    else:
+        fields = {n: c for n, c in dict(fields or {"text": F.col("text")}).items() if n in named}
+        keys = [c for c in keyword_fields if c in named]
+        if not fields and not keys:
+            return source.sparkSession.createDataFrame([], "query_id long, doc_id long, score double")
+        index = Index(source.sparkSession, staging_path(source.sparkSession, "index")).add(source, fields, keys, id_col)
 
     def small(df: DataFrame) -> DataFrame:
         return F.broadcast(df) if few else df
 
-    stream = field_stream(docs, fields, keyword_fields, id_col)
     kw = F.col("field").isin(*keyword_fields) if keyword_fields else F.lit(False)
-
     # words of term and phrase clauses, with their offset in the clause
     words = (cl.where(F.col("kind").isin("term", "phrase"))
                .select(*CLAUSE_KEY, "kind", "field", "slop",
                        F.when(kw, F.array(F.col("text"))).otherwise(token_array("text")).alias("_w"))
                .select(*CLAUSE_KEY, "kind", "field", "slop", F.posexplode("_w").alias("offset", "term")))
-    # dictionary terms matched by pattern clauses: joined on the block of
-    # terms a pattern can reach, then compared
+    dictionary = index.term_stats(None).where(F.col("field").isin(*named))
     pats = cl.where(F.col("kind").isin(*PATTERN_KINDS)).select(*CLAUSE_KEY, "field", "kind", "text", "slop")
+    asks = words.select("field", "term")
+    expanded = None
     if not pats.isEmpty():
-        reach = pats.select("*", F.explode(_blocks_of_patterns(F.col("kind"), F.col("text"), F.col("slop"))).alias("block"))
-        dictionary = stream.where(F.col("term").isNotNull()).select("field", "term").distinct()
-        blocked = dictionary.select("field", "term", F.explode(_blocks_of_terms(F.col("term"))).alias("block"))
-        expanded = (blocked.join(bounded_broadcast(reach), ["field", "block"])
-                           .where(_pattern_match(F.col("term"), F.col("kind"), F.col("text"), F.col("slop")))
-                           .select(*CLAUSE_KEY, "field", "term").distinct())
-        expanded = materialize(expanded)
-    else:
-        expanded = docs.sparkSession.createDataFrame([], "query_id long, clause_id int, field string, term string")
-
-    needed = bounded_broadcast(words.select("field", "term").unionByName(expanded.select("field", "term"))
-                               .distinct().withColumn("_hit", F.lit(True)))
-    matched = materialize(stream.join(needed, ["field", "term"], "left")
-                                .where(F.col("term").isNull() | F.col("_hit").isNotNull())
-                                .drop("_hit"))
-    n_f = (matched.where(F.col("term").isNull() & (F.col("dl") > 0))
-                  .groupBy("field").agg(F.count(F.lit(1)).alias("_n")))
-    df_t = (matched.where(F.col("term").isNotNull()).select("field", "term", "doc_id").distinct()
-                   .groupBy("field", "term").agg(F.count(F.lit(1)).alias("df")))
-    idf = (df_t.join(F.broadcast(n_f), "field")
-               .select("field", "term", (F.lit(1.0) + F.log((F.col("_n") + 1).cast("double") / (F.col("df") + 1)))
-                       .alias("idf")))
+        pairs = candidate_pairs(dictionary.select("field", "term"), pats)
+        expanded = written(pairs.where(_pattern_match(F.col("term"), F.col("kind"), F.col("text"), F.col("slop")))
+                           .select(*CLAUSE_KEY, "field", "term"), "terms")
+        asks = asks.unionByName(expanded.select("field", "term"))
+    asks = asks.distinct()
+    n_of = {f: index.totals(f).doc_count for f in named}
+    n = F.element_at(F.create_map(*[x for f, c in n_of.items() for x in (F.lit(f), F.lit(float(c)))]), F.col("field"))
+    idf = dictionary.join(bounded_broadcast(words.select("field", "term").distinct()), ["field", "term"], "left_semi").select(
+        "field", "term", (F.lit(1.0) + F.log((n + 1) / (F.col("df") + 1))).alias("idf"))
     idf = bounded_broadcast(idf)
-    post = matched.where(F.col("term").isNotNull())
-    tf = post.groupBy("field", "doc_id", "term").agg(F.count(F.lit(1)).alias("tf"), F.max("dl").alias("dl"))
+    blocks = index.store.read("blocks").where(F.col("term").isNotNull()).join(bounded_broadcast(asks), ["field", "term"], "left_semi")
+    post = blocks.select("field", "term", F.inline(F.arrays_zip("docs", "tfs", "dls", "places"))).withColumnsRenamed(
+        {"docs": "doc_id", "tfs": "tf", "dls": "dl"})
 
     # term clauses
     tw = (words.where(F.col("kind") == "term").groupBy(*CLAUSE_KEY, "field", "term")
                .agg(F.count(F.lit(1)).alias("qtf")).join(idf, ["field", "term"]))
-    term_hits = (tf.join(small(tw), ["field", "term"])
-                   .groupBy(*CLAUSE_KEY, "doc_id")
-                   .agg(F.sum(F.col("qtf") * F.sqrt(F.col("tf").cast("double")) * F.col("idf")
-                              / F.sqrt(F.col("dl").cast("double"))).alias("raw")))
-    # pattern clauses: constant score
-    pat_hits = (post.join(bounded_broadcast(expanded), ["field", "term"])
-                    .select(*CLAUSE_KEY, "doc_id").distinct().withColumn("raw", F.lit(1.0)))
-    phrase_hits = _phrases(words.where(F.col("kind") == "phrase"), post, idf, small)
-    hits = term_hits.unionByName(pat_hits).unionByName(phrase_hits)
+    hits = (post.join(small(tw), ["field", "term"])
+                .groupBy(*CLAUSE_KEY, "doc_id")
+                .agg(F.sum(F.col("qtf") * F.sqrt(F.col("tf").cast("double")) * F.col("idf")
+                           / F.sqrt(F.col("dl").cast("double"))).alias("raw")))
+    if expanded is not None:   # pattern clauses: constant score
+        hits = hits.unionByName(post.join(bounded_broadcast(expanded), ["field", "term"])
+                                    .select(*CLAUSE_KEY, "doc_id").distinct().withColumn("raw", F.lit(1.0)))
+    pw = words.where(F.col("kind") == "phrase")
+    if not pw.isEmpty():
+        if not post.where("places IS NULL").isEmpty():
+            raise ValueError("phrases need an index with positions")
+        hits = hits.unionByName(_phrases(pw, post, idf, small))
 
     info = cl.select(*CLAUSE_KEY, "occur", "boost")
     scored = hits.join(small(info), CLAUSE_KEY).withColumn("s", F.col("raw") * F.col("boost"))
@@ -197,37 +254,59 @@ def search(docs: DataFrame, clauses: DataFrame, fields: Mapping[str, Column] | N
     return per.join(small(need), "query_id").where(ok).select("query_id", "doc_id", "score")
 
 
+def _sloppy_freq(words: Column, slop: Column) -> Column:
+    """Sum of 1 / (1 + d) over the anchors of a phrase, from ``words``, the
+    array of ``(offset, at)`` by offset, ``at`` being a word's positions less
+    its offset.
+
+    For every shift within ``slop``, nearest first, the anchors that another
+    word meets at that shift are an intersection of arrays. One pass over
+    these meetings, ordered by anchor, word and shift, keeps the nearest shift
+    of every word, so the work grows with the positions and not with their
+    pairs.
+    """
+    anchors = F.element_at(words, 1)["at"]
+    shifts = F.array_sort(F.transform(F.sequence(-slop, slop), lambda d: F.struct(F.abs(d).alias("far"), d.alias("by"))))
+
+    def of_word(w):
+        def of_shift(s, rank):
+            met = F.array_intersect(anchors, F.transform(w["at"], lambda p: p - s["by"]))
+            return F.transform(met, lambda a: F.struct(a.alias("anchor"), w["offset"].alias("word"), rank.alias("rank"), s["by"].alias("by")))
+        return F.flatten(F.transform(shifts, of_shift))
+
+    met = F.array_sort(F.flatten(F.transform(F.slice(words, F.lit(2), F.size(words) - 1), of_word)))
+    zero = F.struct(F.lit(None).cast("int").alias("anchor"), F.lit(-1).alias("word"), F.lit(0).alias("k"), F.lit(0).alias("lo"),
+                    F.lit(0).alias("hi"), F.lit(0.0).alias("freq"))
+
+    def counted(s):
+        wide = s["hi"] - s["lo"]
+        whole = (s["k"] == F.size(words) - 1) & (wide <= slop)
+        return s["freq"] + F.when(whole, F.lit(1.0) / (F.lit(1.0) + wide)).otherwise(F.lit(0.0))
+
+    def step(s, x):
+        new = ~s["anchor"].eqNullSafe(x["anchor"])
+        other = new | (s["word"] != x["word"])
+        k, lo, hi = (F.when(new, F.lit(0)).otherwise(s[c]) for c in ("k", "lo", "hi"))
+        return F.struct(x["anchor"].alias("anchor"), x["word"].alias("word"), F.when(other, k + 1).otherwise(k).alias("k"),
+                        F.when(other, F.least(lo, x["by"])).otherwise(lo).alias("lo"), F.when(other, F.greatest(hi, x["by"])).otherwise(hi).alias("hi"),
+                        F.when(new, counted(s)).otherwise(s["freq"]).alias("freq"))
+
+    return F.aggregate(met, zero, step, counted)
+
+
 def _phrases(pw: DataFrame, post: DataFrame, idf: DataFrame, small: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """``(query_id, clause_id, doc_id, raw)`` for phrase clauses."""
+    """``(query_id, clause_id, doc_id, raw)`` for phrase clauses: the words'
+    position arrays of a document come together in one row and are merged
+    there."""
     plen = pw.groupBy(*CLAUSE_KEY).agg(F.count(F.lit(1)).alias("L"), F.max("slop").alias("slop"))
     pidf = pw.join(idf, ["field", "term"]).groupBy(*CLAUSE_KEY).agg(F.sum("idf").alias("idf_sum"))
-    occ = post.join(small(pw.select(*CLAUSE_KEY, "field", "term", "offset")), ["field", "term"])
-    # exact: every word at its place from one start
-    exact = (occ.withColumn("start", F.col("pos") - F.col("offset"))
-                .groupBy(*CLAUSE_KEY, "doc_id", "start").agg(F.count(F.lit(1)).alias("k"), F.max("dl").alias("dl"))
-                .join(small(plen), CLAUSE_KEY)
-                .where((F.col("k") == F.col("L")) & ((F.col("slop") == 0) | (F.col("L") == 1)))
-                .groupBy(*CLAUSE_KEY, "doc_id").agg(F.count(F.lit(1)).cast("double").alias("freq"),
-                                                   F.max("dl").alias("dl")))
-    # sloppy: positional range join from each anchor (offset 0) to the other words
-    anchors = occ.where(F.col("offset") == 0).select(*CLAUSE_KEY, "doc_id", F.col("pos").alias("p"), "dl")
-    others = occ.where(F.col("offset") > 0).select(*CLAUSE_KEY, "doc_id", "offset", F.col("pos").alias("q"))
-    sl = small(plen.where((F.col("slop") > 0) & (F.col("L") > 1)))
-    a = anchors.join(sl, CLAUSE_KEY)
-    near = (a.join(others, CLAUSE_KEY + ["doc_id"])
-             .where(F.abs(F.col("q") - F.col("offset") - F.col("p")) <= F.col("slop"))
-             .groupBy(*CLAUSE_KEY, "doc_id", "p", "offset")
-             .agg(F.min_by(F.col("q") - F.col("offset"),
-                           F.struct(F.abs(F.col("q") - F.col("offset") - F.col("p")), F.col("q"))).alias("adj")))
-    per_anchor = (near.groupBy(*CLAUSE_KEY, "doc_id", "p")
-                      .agg(F.count(F.lit(1)).alias("k"), F.min("adj").alias("lo"), F.max("adj").alias("hi"))
-                      .join(a.select(*CLAUSE_KEY, "doc_id", "p", "L", "slop", "dl"), CLAUSE_KEY + ["doc_id", "p"])
-                      .where(F.col("k") == F.col("L") - 1)
-                      .withColumn("d", F.greatest(F.col("hi"), F.col("p")) - F.least(F.col("lo"), F.col("p")))
-                      .where(F.col("d") <= F.col("slop")))
-    sloppy = per_anchor.groupBy(*CLAUSE_KEY, "doc_id").agg(
-        F.sum(F.lit(1.0) / (F.lit(1.0) + F.col("d"))).alias("freq"), F.max("dl").alias("dl"))
-    freq = exact.unionByName(sloppy)
-    return (freq.join(small(pidf), CLAUSE_KEY)
+    told = plen.join(pidf, CLAUSE_KEY)
+    occ = post.join(small(pw.select(*CLAUSE_KEY, "field", "term", F.col("offset").cast("int").alias("offset"))), ["field", "term"])
+    at = F.transform("places", lambda p: p - F.col("offset"))
+    rows = occ.groupBy(*CLAUSE_KEY, "doc_id").agg(F.array_sort(F.collect_list(F.struct("offset", at.alias("at")))).alias("words"), F.max("dl").alias("dl"))
+    rows = rows.join(small(told), CLAUSE_KEY).where(F.size("words") == F.col("L"))
+    exact = F.size(F.aggregate(F.col("words"), F.element_at("words", 1)["at"], lambda a, w: F.array_intersect(a, w["at"]))).cast("double")
+    freq = F.when((F.col("slop") == 0) | (F.col("L") == 1), exact).otherwise(_sloppy_freq(F.col("words"), F.col("slop")))
+    return (rows.withColumn("freq", freq).where(F.col("freq") > 0)
                 .select(*CLAUSE_KEY, "doc_id",
                         (F.sqrt(F.col("freq")) * F.col("idf_sum") / F.sqrt(F.col("dl").cast("double"))).alias("raw")))

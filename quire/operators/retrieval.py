@@ -1,19 +1,20 @@
 """Ranked retrieval: matching, tf-idf and Jelinek-Mercer scoring, top-k.
 
-Plan shape (one job for all queries, see ``score``):
-
-1. documents -> token arrays -> tokens exploded -> broadcast semi-join with
-   the (size-checked) set of query terms: only matching tokens survive,
-   before anything is shuffled; every document also emits one length row.
-2. The reduced stream is counted per (doc, term) (map-side first),
-   hash-partitioned on ``doc_id`` and checkpointed to the shared checkpoint
-   folder. Three consumers read it: the collection totals (N, T), the
-   per-term statistics (df, cf) and the per-(query, doc) score sums, the
-   last without a further shuffle because the stream is already clustered
-   by ``doc_id``.
-3. Top-k per query with ``row_number`` (Spark plans a partial window-group
-   limit before the exchange, so a query matching most of the collection
-   still moves only k rows per task).
+Everything reads the stored index (``operators.index``): the collection totals
+are one small row, the statistics of the query terms come from the term table,
+and postings are read as blocks of neighbouring documents. A frame of documents
+may be given instead of an index; it is indexed first, below the shared
+checkpoint folder.
+
+* ``score`` sums every matching (query, doc). The query terms, with all that
+  does not depend on the document folded in, are a size-checked broadcast. The
+  postings of a document lie in one file, so the sums are nearly complete
+  before they are shuffled.
+* ``best_hits`` finds the top k without scoring everything (block-max): the
+  largest contribution of every term in every block bounds a block's best
+  score. The blocks with the highest bounds are scored first and give, for
+  every query, a k-th score; other blocks are read only if their bound can
+  still reach it.
 
 Scores (survey contracts 2.9-b, 2.9-c), summed over matching query terms:
 
@@ -27,115 +28,156 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.functions.text import TOKEN_PATTERN, token_array
-from quire.session import bounded_broadcast, materialize
+from quire.operators.index import Index
+from quire.session import bounded_broadcast, staging_path, written
 
 # Ranking key precision: scores are compared after rounding to this many
 # decimals so that summation order cannot reorder equal documents.
 RANK_DECIMALS = 9
+# A bound is raised by this much before it is compared with a score.
+BOUND_SLACK = 1e-8
+# Blocks of a query that are scored before any is left out.
+FIRST_BLOCKS = 8
 # Default lambda grid of the smoothing sweep (0 excluded).
 LAMBDAS = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]
 
 
-def match_stream(docs: DataFrame, qterms: DataFrame, text_col: str = "text",
-                 id_col: str = "doc_id", pattern: str = TOKEN_PATTERN) -> DataFrame:
-    """``(doc_id, term, tf, dl)``: the tokens of each document that are query
-    terms, counted, plus one row per document with ``term = null`` carrying
-    its length.
+def indexed(source: Index | DataFrame, field: str = "text") -> Index:
+    """``source`` itself, or an index of a frame of documents."""
+    if isinstance(source, Index):
+        return source
+    return Index(source.sparkSession, staging_path(source.sparkSession, "index")).add(source, {field: F.col(field)}, positions=False)
 
-    The term filter is a broadcast join against the size-checked set of
-    distinct query terms, applied to the exploded tokens before the count, so
-    non-query tokens never reach a shuffle; the count itself is combined
-    map-side (a document's tokens all sit in one task).
-    """
-    term_set = bounded_broadcast(qterms.select("term").distinct().withColumn("_hit", F.lit(True)))
-    toks = docs.select(F.col(id_col).alias("doc_id"), token_array(text_col, pattern).alias("_t"))
-    exploded = toks.select("doc_id", F.size("_t").cast("long").alias("dl"),
-                           F.explode(F.concat(F.array(F.lit(None).cast("string")), F.col("_t"))).alias("term"))
-    # the null-term row survives the outer join; any other token needs a match
-    kept = (exploded.join(term_set, "term", "left")
-                    .where(F.col("term").isNull() | F.col("_hit").isNotNull()))
-    counted = kept.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"), F.max("dl").alias("dl"))
-    # The totals, the term statistics and the score sums all read this
-    # stream: it is written once (hash-partitioned on doc_id, which the
-    # checkpoint keeps) so the text is tokenised once and the score sum by
-    # (query, doc) needs no further shuffle.
-    return materialize(counted.repartition("doc_id"))
-
-
-def collection_totals(stream: DataFrame) -> DataFrame:
-    """One row ``(n_docs, total_tokens)`` over documents with tokens."""
-    lengths = stream.where(F.col("term").isNull() & (F.col("dl") > 0))
-    return lengths.agg(F.count(F.lit(1)).alias("n_docs"), F.sum("dl").alias("total_tokens"))
-
-
-def query_term_stats(stream: DataFrame) -> DataFrame:
-    """``(term, df, cf)`` for the query terms (exact: the stream holds every
-    posting of every query term)."""
-    return (stream.where(F.col("term").isNotNull())
-                  .groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf")))
-
-
-def _term_weights(qterms: DataFrame, stream: DataFrame, model: str, idf_power: int,
-                  add_one: bool) -> DataFrame:
-    """Per (query, term): the factors that do not depend on the document.
-    The collection totals enter as one scalar subquery."""
-    tot = collection_totals(stream).select(F.struct("n_docs", "total_tokens").alias("t")).scalar()
-    qt = qterms.join(F.broadcast(query_term_stats(stream)), "term")
+
+def matches(index: Index, qterms: DataFrame, field: str = "text") -> DataFrame:
+    """``(term, doc_id, tf, dl)``: the postings of the query terms."""
+    terms = bounded_broadcast(qterms.select("term").distinct())
+    hit = index.blocks(field).join(terms, "term", "left_semi")
+    return hit.select("term", F.inline(F.arrays_zip("docs", "tfs", "dls"))).select(
+        "term", F.col("docs").alias("doc_id"), F.col("tfs").alias("tf"), F.col("dls").alias("dl"))
+
+
+def term_weights(index: Index, qterms: DataFrame, model: str, idf_power: int = 1, add_one: bool = False,
+                 field: str = "text") -> DataFrame:
+    """``(query_id, term, _w, _p)``: the factors that do not depend on the
+    document. The collection totals enter as numbers."""
+    tot = index.totals(field)
+    qt = qterms.join(bounded_broadcast(index.stats_of(qterms, field)), "term")
     if model == "tfidf":
-        idf = F.lit(1.0) + F.log((tot["n_docs"] + 1).cast("double") / (F.col("df") + 1))
-        return qt.select("query_id", "term", (F.col("qtf") * F.pow(idf, idf_power)).alias("_w"))
-    if add_one:
-        p = (F.col("cf") + 1).cast("double") / (tot["total_tokens"] + 1)
-    else:
-        p = F.col("cf").cast("double") / tot["total_tokens"]
+        idf = F.lit(1.0) + F.log(F.lit(float(tot.doc_count + 1)) / (F.col("df") + 1))
+        return qt.select("query_id", "term", (F.col("qtf") * F.pow(idf, idf_power)).alias("_w"), F.lit(1.0).alias("_p"))
+    if model != "jm":
+        raise ValueError(f"unknown model {model!r}")
+    one = 1 if add_one else 0
+    p = (F.col("cf") + one).cast("double") / F.lit(float(tot.sum_total_term_freq + one))
     return qt.select("query_id", "term", F.col("qtf").cast("double").alias("_w"), p.alias("_p"))
 
 
-def score(docs: DataFrame, qterms: DataFrame, model: str = "tfidf", lam: float | Sequence[float] = 0.5,
-          idf_power: int = 1, add_one: bool = False, text_col: str = "text") -> DataFrame:
+def _smoothed(share: Column, lam: float) -> Column:
+    return F.col("_w") * F.log(F.lit(1.0) + (F.lit(1.0 - lam) * share) / (F.lit(lam) * F.col("_p")))
+
+
+def _contribution(model: str, lam: float) -> Column:
+    """What one posting (tf, dl) adds to a score."""
+    if model == "tfidf":
+        return F.col("_w") * F.sqrt(F.col("tf").cast("double")) / F.sqrt(F.col("dl").cast("double"))
+    return _smoothed(F.col("tf") / F.col("dl"), lam)
+
+
+def _checked(lams) -> list[float]:
+    lams = [float(lams)] if isinstance(lams, (int, float)) else [float(x) for x in lams]
+    if not all(0.0 < x <= 1.0 for x in lams):
+        raise ValueError("lambda must be in (0, 1]")
+    return lams
+
+
+def score(source: Index | DataFrame, qterms: DataFrame, model: str = "tfidf", lam: float | Sequence[float] = 0.5,
+          idf_power: int = 1, add_one: bool = False, field: str = "text") -> DataFrame:
     """Score every matching (query, doc): ``(query_id, doc_id, score)``, plus
     ``lambda`` when ``model='jm'``.
 
-    ``lam`` may be a list: the JM sweep then scores every lambda in the same
-    pass (the lambda list is a literal array exploded per row, not a join).
+    ``lam`` may be a list: every lambda is summed in the same aggregation row
+    (one column each), so the sweep does not multiply the rows that reach the
+    aggregate.
     """
-    stream = match_stream(docs, qterms, text_col)
-    weights = _term_weights(qterms, stream, model, idf_power, add_one)
-    post = stream.where(F.col("term").isNotNull())
-    joined = post.join(F.broadcast(weights), "term")
+    lams = _checked(lam) if model == "jm" else [0.5]
+    index = indexed(source, field)
+    weights = term_weights(index, qterms, model, idf_power, add_one, field)
+    joined = matches(index, qterms, field).join(bounded_broadcast(weights), "term")
     if model == "tfidf":
-        contrib = F.col("_w") * F.sqrt(F.col("tf").cast("double")) / F.sqrt(F.col("dl").cast("double"))
-        return (joined.groupBy("query_id", "doc_id").agg(F.sum(contrib).alias("score")))
-    if model != "jm":
-        raise ValueError(f"unknown model {model!r}")
-    lams = [float(lam)] if isinstance(lam, (int, float)) else [float(x) for x in lam]
-    for x in lams:
-        if not 0.0 < x <= 1.0:
-            raise ValueError("lambda must be in (0, 1]")
-    # every lambda is summed in the same aggregation row (one column each),
-    # so the sweep does not multiply the rows that reach the aggregate
-    tf_dl = F.col("tf") / F.col("dl")
-    sums = [F.sum(F.col("_w") * F.log(F.lit(1.0) + (F.lit(1.0 - x) * tf_dl) / (F.lit(x) * F.col("_p"))))
-            .alias(f"_s{i}") for i, x in enumerate(lams)]
+        return joined.groupBy("query_id", "doc_id").agg(F.sum(_contribution(model, 0.5)).alias("score"))
+    sums = [F.sum(_contribution(model, x)).alias(f"_s{i}") for i, x in enumerate(lams)]
     agg = joined.groupBy("query_id", "doc_id").agg(*sums)
     pairs = F.arrays_zip(F.array(*[F.lit(x) for x in lams]).alias("lambda"),
                          F.array(*[F.col(f"_s{i}") for i in range(len(lams))]).alias("score"))
     return agg.select(F.inline(pairs), "query_id", "doc_id").select("lambda", "query_id", "doc_id", "score")
 
 
-def match_any(docs: DataFrame, qterms: DataFrame, text_col: str = "text") -> DataFrame:
+def block_bounds(index: Index, weights: DataFrame, model: str, lam: float = 0.5, field: str = "text") -> DataFrame:
+    """``(query_id, block, bound, postings)``: the highest score a document
+    of the block can have, and the block's postings of the query's terms. Only
+    the heads of the blocks are read. A tf-idf score is also at most the
+    length of the vector of its weights, as the squares of sqrt(tf) / sqrt(dl)
+    add up to 1 at most."""
+    heads = index.blocks(field).select("term", "block", "n", "top", "share")
+    most = F.col("_w") * F.col("top") if model == "tfidf" else _smoothed(F.col("share"), lam)
+    met = heads.join(bounded_broadcast(weights), "term")
+    bound = F.sum(most)
+    if model == "tfidf":
+        bound = F.least(bound, F.sqrt(F.sum(F.col("_w") * F.col("_w"))))
+    return met.groupBy("query_id", "block").agg(bound.alias("bound"), F.sum("n").alias("postings"))
+
+
+def _score_blocks(index: Index, weights: DataFrame, blocks: DataFrame, model: str, lam: float, field: str) -> DataFrame:
+    """Scores of the documents of the given ``(query_id, block)``."""
+    wanted = blocks.select("query_id", "block").join(bounded_broadcast(weights), "query_id")
+    rows = index.blocks(field).join(bounded_broadcast(wanted), ["term", "block"])
+    rows = rows.select("query_id", "_w", "_p", F.inline(F.arrays_zip("docs", "tfs", "dls"))).withColumnsRenamed({"docs": "doc_id", "tfs": "tf", "dls": "dl"})
+    return rows.groupBy("query_id", "doc_id").agg(F.sum(_contribution(model, lam)).alias("score"))
+
+
+def best_hits(source: Index | DataFrame, qterms: DataFrame, k: int, model: str = "tfidf", lam: float = 0.5,
+              idf_power: int = 1, add_one: bool = False, field: str = "text",
+              first: int = FIRST_BLOCKS) -> tuple[DataFrame, DataFrame]:
+    """The hits of ``top_k`` over ``score``, and ``(query_id, postings,
+    postings_read)``: how many postings of its terms a query has and how many
+    were scored.
+
+    Contributions are never negative, so a block whose bound (with
+    ``BOUND_SLACK``, far above the rounding of a sum and of the ranking key)
+    lies below the k-th score of the blocks scored first holds no hit; ties
+    with the k-th score are read.
+    """
+    _checked(lam)
+    index = indexed(source, field)
+    weights = written(term_weights(index, qterms, model, idf_power, add_one, field), "weights")
+    order = Window.partitionBy("query_id").orderBy(F.desc("bound"), "block")
+    bounds = block_bounds(index, weights, model, lam, field).withColumn("place", F.row_number().over(order))
+    bounds = written(bounds, "bounds")
+    best = written(top_k(_score_blocks(index, weights, bounds.where(F.col("place") <= first), model, lam, field), k), "first-hits")
+    least = best.where(F.col("rank") == k).select("query_id", F.col("score").alias("least"))
+    rest = bounds.where(F.col("place") > first).join(bounded_broadcast(least), "query_id", "left")
+    rest = written(rest.where(F.col("least").isNull() | (F.col("bound") + BOUND_SLACK >= F.col("least"))), "open-blocks")
+    more = _score_blocks(index, weights, rest, model, lam, field)
+    hits = top_k(best.drop("rank").unionByName(more), k)
+    read = F.when(F.col("place") <= first, F.col("postings")).otherwise(0)
+    report = bounds.select("query_id", "postings", read.alias("r")).unionByName(rest.select("query_id", F.lit(0).cast("long").alias("postings"), F.col("postings").alias("r")))
+    return hits, report.groupBy("query_id").agg(F.sum("postings").alias("postings"), F.sum("r").alias("postings_read"))
+
+
+def match_any(source: Index | DataFrame, qterms: DataFrame, field: str = "text") -> DataFrame:
     """``(query_id, doc_id)``: documents containing at least one query term."""
-    stream = match_stream(docs, qterms, text_col).where(F.col("term").isNotNull())
-    return stream.join(F.broadcast(qterms.select("query_id", "term")), "term").select("query_id", "doc_id").distinct()
+    hit = matches(indexed(source, field), qterms, field)
+    return hit.join(bounded_broadcast(qterms.select("query_id", "term")), "term").select("query_id", "doc_id").distinct()
 
 
 def top_k(scored: DataFrame, k: int, group_cols: Sequence[str] = ("query_id",)) -> DataFrame:
     """Best ``k`` documents per query: adds ``rank`` (1-based) ordered by
-    score descending (rounded to ``RANK_DECIMALS``), then ``doc_id``."""
+    score descending (rounded to ``RANK_DECIMALS``), then ``doc_id``. Spark
+    cuts to k rows per task before the exchange."""
     w = Window.partitionBy(*group_cols).orderBy(F.round("score", RANK_DECIMALS).desc(), F.col("doc_id").asc())
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
@@ -146,7 +188,7 @@ def total_hits(scored: DataFrame, group_cols: Sequence[str] = ("query_id",)) ->
 
 
 def fetch_hits(hits: DataFrame, docs: DataFrame, cols: Sequence[str] = ("text",)) -> DataFrame:
-    """Attach stored fields to ranked hits (equi-join on ``doc_id``; the hit
-    list, at most k rows per query, is the broadcast side when its size check
-    passes)."""
-    return docs.select("doc_id", *cols).join(bounded_broadcast(hits), "doc_id")
+    """Attach stored fields to ranked hits (equi-join on ``doc_id``). The hit
+    list, at most k rows per query, is written once; it is the broadcast side
+    when its size check passes."""
+    return docs.select("doc_id", *cols).join(bounded_broadcast(written(hits, "hits")), "doc_id")

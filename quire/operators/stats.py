@@ -9,6 +9,10 @@ one table):
 * ``term_stats(field, term, df, cf)``.
 * ``field_stats(field, max_doc, doc_count, sum_doc_freq, sum_total_term_freq)``.
 
+The functions here compute them from a frame of documents; a collection that
+is asked more than once is stored as an index (``operators.index``), which
+holds the same relations.
+
 Postings are produced per document row (``term_counts``), so building them
 reads the text once and shuffles nothing; only the per-term aggregates
 shuffle, after map-side partial aggregation, which keeps a very frequent term
@@ -21,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import TOKEN_PATTERN, term_counts, token_array
+from quire.operators.index import Index
+from quire.session import bounded_broadcast
 
 
 def postings(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
@@ -67,26 +73,18 @@ def doc_count(docs: DataFrame) -> DataFrame:
     return docs.agg(F.count(F.lit(1)).alias("n_docs"))
 
 
-def with_idf(stats: DataFrame, n_docs: DataFrame) -> DataFrame:
+def with_idf(stats: DataFrame, n_docs: DataFrame | int) -> DataFrame:
     """Add ``idf = log10(N / df)`` where N counts every document of the
-    collection. ``n_docs`` is the one-row frame of ``doc_count``; it is joined
-    on the field so no cross product is planned."""
-    return (stats.join(F.broadcast(_keyed_by_field(n_docs, stats)), "field")
-                 .withColumn("idf", F.log10(F.col("_n").cast("double") / F.col("df")))
-                 .drop("_n"))
-
-
-def _keyed_by_field(n_docs: DataFrame, stats: DataFrame) -> DataFrame:
-    """The single collection count keyed by every field name present in
-    ``stats``; a field list is schema-bounded so it is safe to broadcast."""
-    fields = stats.select("field").distinct()
-    n = n_docs.select(F.col("n_docs").alias("_n"), F.lit(1).alias("_k"))
-    return fields.withColumn("_k", F.lit(1)).join(F.broadcast(n), "_k").drop("_k")
+    collection: a number, or the one-row frame of ``doc_count``, which enters
+    as a scalar subquery."""
+    n = F.lit(float(n_docs)) if isinstance(n_docs, int) else n_docs.select(F.col("n_docs").cast("double")).scalar()
+    return stats.withColumn("idf", F.log10(n / F.col("df")))
 
 
 def tfxidf(postings_df: DataFrame, idf_df: DataFrame) -> DataFrame:
-    """``(field, doc_id, term, tf, df, idf, tfxidf)``."""
-    return (postings_df.join(idf_df.select("field", "term", "df", "idf"), ["field", "term"])
+    """``(field, doc_id, term, tf, df, idf, tfxidf)``. The dictionary is
+    broadcast if it passes the size check."""
+    return (postings_df.join(bounded_broadcast(idf_df.select("field", "term", "df", "idf")), ["field", "term"])
                        .withColumn("tfxidf", F.col("tf") * F.col("idf"))
                        .select("field", "doc_id", "term", "tf", "df", "idf", "tfxidf"))
 
@@ -104,15 +102,12 @@ def field_stats(postings_df: DataFrame, docs: DataFrame) -> DataFrame:
                  .agg(F.count(F.lit(1)).alias("sum_doc_freq"),
                       F.sum("tf").alias("sum_total_term_freq"),
                       F.count_distinct("doc_id").alias("doc_count")))
-    n = doc_count(docs).select(F.col("n_docs").alias("max_doc"), F.lit(1).alias("_k"))
-    return (per_field.withColumn("_k", F.lit(1)).join(F.broadcast(n), "_k")
-                     .select("field", "max_doc", "doc_count", "sum_doc_freq", "sum_total_term_freq"))
+    n = doc_count(docs).select("n_docs").scalar()
+    return per_field.select("field", n.alias("max_doc"), "doc_count", "sum_doc_freq", "sum_total_term_freq")
 
 
-def collection_lm(postings_df: DataFrame) -> DataFrame:
-    """Collection language model per field: ``(field, term, cf, p)`` with
+def collection_lm(index: Index, field: str = "text") -> DataFrame:
+    """Collection language model of a field: ``(field, term, cf, p)`` with
     ``p = cf / T``, T the field's token total (the JM background model)."""
-    ts = term_stats(postings_df)
-    tot = postings_df.groupBy("field").agg(F.sum("tf").alias("_T"))
-    return (ts.join(F.broadcast(tot), "field")
-              .select("field", "term", "cf", (F.col("cf") / F.col("_T")).alias("p")))
+    total = float(index.totals(field).sum_total_term_freq)
+    return index.term_stats(field).select("field", "term", "cf", (F.col("cf") / F.lit(total)).alias("p"))

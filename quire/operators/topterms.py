@@ -11,28 +11,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.operators.stats import doc_count, with_idf
+from quire.operators.index import Index
+from quire.operators.stats import with_idf
 from quire.session import bounded_broadcast
 
 DOC_ORDERS = ("tf", "df", "idf", "tfxidf")
 COLL_ORDERS = ("df", "idf")
 
 
-def _doc_terms(postings_df: DataFrame, docs: DataFrame, doc_id: int | None) -> DataFrame:
-    """``(doc_id, term, tf, df, idf, tfxidf)`` for one document (df computed
-    only for its terms) or for every document."""
-    n = doc_count(docs)
+def _doc_terms(index: Index, doc_id: int | None, field: str) -> DataFrame:
+    """``(doc_id, term, tf, df, idf, tfxidf)`` for one document (one block is
+    read, and the statistics of its terms) or for every document."""
+    n = int(index.totals(field).max_doc)
     if doc_id is None:
-        stats = postings_df.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
-        target = postings_df
+        target, stats = index.postings(field), index.term_stats(field)
     else:
-        target = postings_df.where(F.col("doc_id") == doc_id)
-        terms = bounded_broadcast(target.select("field", "term"))
-        stats = (postings_df.join(terms, ["field", "term"])
-                 .groupBy("field", "term").agg(F.count(F.lit(1)).alias("df")))
-        stats = bounded_broadcast(stats)
-    stats = with_idf(stats, n)
-    return (target.join(stats, ["field", "term"])
+        target = index.document(doc_id, field)
+        stats = index.stats_of(target, field)
+    idf = bounded_broadcast(with_idf(stats, n).select("term", "df", "idf"))
+    return (target.join(idf, "term")
                   .select("doc_id", "term", "tf", "df", "idf", (F.col("tf") * F.col("idf")).alias("tfxidf")))
 
 
@@ -51,28 +48,26 @@ def _order(order: str):
     return [_key(order).desc(), F.col("term").asc()]
 
 
-def best_terms(postings_df: DataFrame, docs: DataFrame, doc_id: int | None, n: int = 10,
-               order: str = "tf") -> DataFrame:
+def best_terms(index: Index, doc_id: int | None, n: int = 10, order: str = "tf", field: str = "text") -> DataFrame:
     """Top ``n`` terms of document ``doc_id`` (or of every document when
     ``doc_id`` is None): ``(doc_id, rank, term, tf, df, idf, tfxidf)``.
 
-    The single-document form computes df only for that document's terms (a
-    size-checked broadcast of its term list). The batch form joins postings
-    with the term dictionary and keeps ``row_number <= n`` per document, which
-    Spark cuts per task before the shuffle.
+    The batch form joins the stored postings with the dictionary (a broadcast
+    if it passes the size check) and keeps ``row_number <= n`` per document,
+    which Spark cuts per task before the shuffle.
     """
-    t = _doc_terms(postings_df, docs, doc_id)
+    t = _doc_terms(index, doc_id, field)
     w = Window.partitionBy("doc_id").orderBy(*_order(order))
     return t.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
 
-def best_terms_coll(postings_df: DataFrame, docs: DataFrame, n: int = 10, order: str = "df") -> DataFrame:
+def best_terms_coll(index: Index, n: int = 10, order: str = "df", field: str = "text") -> DataFrame:
     """Top ``n`` terms of the collection by df (most common) or idf (rarest):
-    ``(rank, term, df, idf)``; a global top-n (Spark keeps n rows per task
-    before the final merge)."""
+    ``(rank, term, df, idf)``; a global top-n of the stored dictionary (Spark
+    keeps n rows per task before the final merge)."""
     if order not in COLL_ORDERS:
         raise ValueError(f"order must be one of {COLL_ORDERS}")
-    stats = with_idf(postings_df.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df")), doc_count(docs))
+    stats = with_idf(index.term_stats(field), int(index.totals(field).max_doc))
     top = stats.orderBy(_key(order).desc(), F.col("term").asc()).limit(n)
     w = Window.orderBy(_key(order).desc(), F.col("term").asc())
     # n rows: ranking them in one partition is bounded by n

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -9,19 +10,27 @@ from pyspark.sql import functions as F
 
 from quire.operators.analysis import query_terms
 from quire.operators.evaluate import mean_metrics, metrics
-from quire.operators.retrieval import LAMBDAS, score
+from quire.operators.index import Index
+from quire.operators.retrieval import LAMBDAS, best_hits, indexed, score
 
 METRIC_COLUMNS = {"p": "p", "recall": "recall", "map": "ap", "ap": "ap"}
 
 
-def parse_range(spec: str) -> tuple[int | None, int | None]:
+Range = str | tuple[int, int]
+
+
+def parse_range(spec: Range) -> tuple[int | None, int | None]:
     """``'all'`` -> (None, None); ``'7'`` -> (7, 7); ``'a-b'`` -> (a, b);
-    ``a > b`` is an error."""
+    ``a > b`` is an error. Ids may be negative; a pair of numbers is a range as
+    it is."""
+    if isinstance(spec, tuple):
+        return spec
     spec = spec.strip()
     if spec == "all":
         return None, None
-    if "-" in spec:
-        a, b = (int(x) for x in spec.split("-", 1))
+    parts = re.fullmatch(r"(-?\d+)-(-?\d+)", spec)
+    if parts:
+        a, b = (int(x) for x in parts.groups())
         if a > b:
             raise ValueError(f"bad range {spec!r}: lower bound above upper bound")
         return a, b
@@ -29,7 +38,7 @@ def parse_range(spec: str) -> tuple[int | None, int | None]:
     return v, v
 
 
-def select_queries(queries: DataFrame, spec: str) -> DataFrame:
+def select_queries(queries: DataFrame, spec: Range) -> DataFrame:
     """Keep queries by ``'all'``, one id, or inclusive range ``'a-b'``
     (a filter Spark pushes into the scan)."""
     lo, hi = parse_range(spec)
@@ -38,22 +47,23 @@ def select_queries(queries: DataFrame, spec: str) -> DataFrame:
     return queries.where(F.col("query_id").between(lo, hi))
 
 
-def halves(queries: DataFrame) -> tuple[str, str]:
-    """The lower and upper half of the query ids' range, as range specs, for
-    training and test (one aggregate of two numbers is read back)."""
+def halves(queries: DataFrame) -> tuple[tuple[int, int], tuple[int, int]]:
+    """The lower and upper half of the query ids' range, as ranges for
+    training and test (one aggregate of two numbers is read back). No queries
+    give (0, 0) twice."""
     lo, hi = queries.agg(F.min("query_id"), F.max("query_id")).first()
     if lo is None:
-        return "0", "0"
+        return (0, 0), (0, 0)
     mid = (lo + hi) // 2
-    return f"{lo}-{mid}", f"{mid + 1}-{max(hi, mid + 1)}"
+    return (lo, mid), (mid + 1, max(hi, mid + 1))
 
 
-def split(queries: DataFrame, train: str, test: str) -> tuple[DataFrame, DataFrame]:
+def split(queries: DataFrame, train: Range, test: Range) -> tuple[DataFrame, DataFrame]:
     """Two inclusive id ranges."""
     return select_queries(queries, train), select_queries(queries, test)
 
 
-def sweep(docs: DataFrame, train_queries: DataFrame, qrels: DataFrame, k: int,
+def sweep(docs: Index | DataFrame, train_queries: DataFrame, qrels: DataFrame, k: int,
           lambdas: Sequence[float] = LAMBDAS) -> DataFrame:
     """``(lambda, query_id, p, recall, ap)`` for every lambda, in one pass:
     lambda is a column of the scored rows, not a loop of jobs."""
@@ -74,25 +84,26 @@ def best_lambda(sweep_metrics: DataFrame, metric: str = "map") -> DataFrame:
     return top.select(F.col("b.lambda").alias("best_lambda"), F.col("b._m").alias("best_value"))
 
 
-def train_test(docs: DataFrame, queries: DataFrame, qrels: DataFrame, k: int, model: str,
-               train: str | None, test: str, metric: str = "map",
+def train_test(docs: Index | DataFrame, queries: DataFrame, qrels: DataFrame, k: int, model: str,
+               train: Range | None, test: Range, metric: str = "map",
                lambdas: Sequence[float] = LAMBDAS) -> tuple[DataFrame, DataFrame | None, float | None]:
     """Evaluate ``model`` on the test range.
 
     ``jm``: sweep the training range, pick the best lambda (one small
-    aggregate read back to the driver: a single number), score the test range
-    with it. ``tfidf``: no training. Returns (test metrics, sweep or None,
+    aggregate read back to the driver: a single number), rank the test range
+    with it. ``tfidf``: no training. All phases read one index. Returns (test metrics, sweep or None,
     lambda or None).
     """
     test_q = select_queries(queries, test)
+    docs = indexed(docs)
     if model == "tfidf":
-        scored = score(docs, query_terms(test_q), model="tfidf")
-        return metrics(test_q, scored, qrels, k), None, None
+        hits, _ = best_hits(docs, query_terms(test_q), k)
+        return metrics(test_q, hits, qrels, k), None, None
     train_q = select_queries(queries, train or "all")
     sw = sweep(docs, train_q, qrels, k, lambdas)
     lam = best_lambda(sw, metric).first()["best_lambda"]
-    scored = score(docs, query_terms(test_q), model="jm", lam=lam).drop("lambda")
-    return metrics(test_q, scored, qrels, k), sw, lam
+    hits, _ = best_hits(docs, query_terms(test_q), k, "jm", lam)
+    return metrics(test_q, hits, qrels, k), sw, lam
 
 
 def test_metric(m: DataFrame, metric: str = "map") -> DataFrame:

@@ -4,12 +4,15 @@ Vectors are rows ``(doc_id, term, w)``; they are never densified. Weights:
 ``bin`` (1 when the term occurs), ``tf`` (default), ``tfxidf`` with
 idf = log10(N / df) over all documents.
 
-Similarity of a bounded set of target documents to every document works on
-the postings as built (each document's rows in one task): the targets' terms,
-with every document-independent factor folded in (their weight, and idf
-twice for ``tfxidf``), are the size-checked broadcast side of a join on term,
-and the per-(target, doc) sums are combined map-side. The work is targets x
-postings of their terms; no pair of non-target documents is ever formed.
+Similarity of a bounded set of target documents to every document reads the
+stored index. The posting blocks are dealt by block once, as the compact
+arrays they are stored in, so that a document's norm and its dot products with
+every target are finished in the task that holds it; a task then keeps the
+``n`` best of every target, and only these are shuffled. The targets' terms,
+with every document-independent factor folded in (their weight, and idf twice
+for ``tfxidf``), are the size-checked broadcast side of a join on term. The
+work is targets x postings of their terms; no pair of non-target documents is
+ever formed.
 """
 
 from __future__ import annotations
@@ -17,8 +20,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.operators.stats import doc_count, with_idf
-from quire.session import bounded_broadcast, materialize
+from quire.operators.index import Index, span_of
+from quire.operators.retrieval import indexed
+from quire.operators.stats import with_idf
+from quire.session import bounded_broadcast, written
 
 REPS = ("bin", "tf", "tfxidf")
 RANK_DECIMALS = 9
@@ -26,123 +31,124 @@ RANK_DECIMALS = 9
 TARGET_BLOCK = 1_000
 
 
-def vectorise(postings_df: DataFrame, docs: DataFrame, rep: str = "tf") -> DataFrame:
-    """``(doc_id, term, w)`` for one field's postings."""
-    if rep == "bin":
-        return postings_df.select("doc_id", "term", F.lit(1.0).alias("w"))
-    if rep == "tf":
-        return postings_df.select("doc_id", "term", F.col("tf").cast("double").alias("w"))
-    if rep == "tfxidf":
-        idf = with_idf(postings_df.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df")), doc_count(docs))
-        return (postings_df.join(idf.select("field", "term", "idf"), ["field", "term"])
-                .select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("w")))
-    raise ValueError(f"rep must be one of {REPS}")
+def _checked(rep: str) -> str:
+    if rep not in REPS:
+        raise ValueError(f"rep must be one of {REPS}")
+    return rep
 
 
-def norms(vecs: DataFrame) -> DataFrame:
-    """``(doc_id, norm)`` Euclidean norm of each vector."""
-    return vecs.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+def _idf_table(index: Index, field: str) -> DataFrame:
+    return with_idf(index.term_stats(field), int(index.totals(field).max_doc)).select("term", "idf")
 
 
 def _doc_factor(rep: str):
     return F.lit(1.0) if rep == "bin" else F.col("tf").cast("double")
 
 
-def _idf_table(postings_df: DataFrame, docs: DataFrame) -> DataFrame:
-    return with_idf(postings_df.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df")),
-                    doc_count(docs)).select("term", "idf")
+def vectorise(source: Index | DataFrame, rep: str = "tf", field: str = "text") -> DataFrame:
+    """``(doc_id, term, w)`` for one field of the collection."""
+    index = indexed(source, field)
+    rows = index.postings(field)
+    if _checked(rep) == "tfxidf":
+        rows = rows.join(bounded_broadcast(_idf_table(index, field)), "term")
+        return rows.select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("w"))
+    return rows.select("doc_id", "term", _doc_factor(rep).alias("w"))
 
 
-def target_side(postings_df: DataFrame, docs: DataFrame, targets: DataFrame, rep: str) -> DataFrame:
-    """``(target, term, wq)``: each target's weight on a term times the
+def norms(vecs: DataFrame) -> DataFrame:
+    """``(doc_id, norm)`` Euclidean norm of each vector."""
+    return vecs.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+
+
+def target_side(index: Index, targets: DataFrame, rep: str, field: str = "text") -> tuple[DataFrame, DataFrame]:
+    """``(target, term, wq)``, each target's weight on a term times the
     document-independent part of a document's weight on it (idf for
-    ``tfxidf``), so ``dot = sum over shared terms of doc_factor * wq``.
-    Bounded by the targets' terms; size-checked broadcast."""
-    tp = (postings_df.join(bounded_broadcast(targets.select(F.col("target").alias("doc_id")).distinct()), "doc_id")
-                     .select(F.col("doc_id").alias("target"), "term", "tf"))
+    ``tfxidf``), so ``dot = sum over shared terms of doc_factor * wq``; and
+    ``(target, tnorm)``. Only the spans of the targets are read."""
+    asked = targets.select("target", span_of(F.col("target")).alias("span")).distinct()
+    rows = index.blocks(field).join(bounded_broadcast(asked), "span")
+    at = F.array_position("docs", F.col("target")).cast("int")
+    own = rows.where(at > 0).select("target", "term", F.element_at("tfs", at).alias("tf"))
     if rep == "tfxidf":
-        tp = bounded_broadcast(tp)
-        tw = tp.join(_idf_table(postings_df, docs), "term").select(
-            "target", "term", (F.col("tf") * F.col("idf") * F.col("idf")).alias("wq"))
+        idf = _idf_table(index, field).join(bounded_broadcast(own.select("term").distinct()), "term", "left_semi")
+        own = own.join(bounded_broadcast(idf), "term")
+        own = own.select("target", "term", (F.col("tf") * F.col("idf")).alias("w"), (F.col("tf") * F.col("idf") * F.col("idf")).alias("wq"))
     else:
-        tw = tp.select("target", "term", _doc_factor(rep).alias("wq"))
-    return bounded_broadcast(tw)
+        own = own.select("target", "term", _doc_factor(rep).alias("w"), _doc_factor(rep).alias("wq"))
+    own = written(own, "targets")
+    tnorm = own.groupBy("target").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("tnorm"))
+    return own.select("target", "term", "wq"), tnorm
 
 
-def doc_norms(postings_df: DataFrame, docs: DataFrame, rep: str) -> DataFrame:
-    """``(doc_id, norm)`` from postings. For ``bin``/``tf`` one aggregation
-    whose partial step collapses each document in its task; ``tfxidf`` joins
-    the term dictionary first."""
+def _dealt(index: Index, rep: str, field: str) -> DataFrame:
+    """``(block, doc_id, term, tf, w)``: the postings, partitioned by block."""
+    blocks = index.blocks(field).select("block", "term", "docs", "tfs").repartition("block")
     if rep == "tfxidf":
-        w = postings_df.join(_idf_table(postings_df, docs), "term").select("doc_id", (F.col("tf") * F.col("idf")).alias("w"))
+        blocks = blocks.join(bounded_broadcast(_idf_table(index, field)), "term")
     else:
-        w = postings_df.select("doc_id", _doc_factor(rep).alias("w"))
-    return norms(w)
+        blocks = blocks.withColumn("idf", F.lit(1.0))
+    rows = blocks.select("block", "term", "idf", F.inline(F.arrays_zip("docs", "tfs"))).withColumnsRenamed({"docs": "doc_id", "tfs": "tf"})
+    return rows.select("block", "doc_id", "term", "tf", (_doc_factor(rep) * F.col("idf")).alias("w"))
+
 
+def _norms_by_block(rows: DataFrame) -> DataFrame:
+    """``(block, norms)``: the norms of a block's documents, as a map."""
+    per = rows.groupBy("block", "doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    return per.groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("doc_id", "norm"))).alias("norms"))
 
-def dots_to(postings_df: DataFrame, tw: DataFrame, rep: str) -> DataFrame:
-    """``(target, doc_id, dot)`` for every document sharing a term with a
-    target. The document side is the postings as built (a document's rows in
-    one task), so the partial aggregation leaves one row per (target, doc)
-    before the shuffle."""
-    return (postings_df.join(tw, "term")
-                       .groupBy("target", "doc_id").agg(F.sum(_doc_factor(rep) * F.col("wq")).alias("dot")))
 
+def _ranked(cosines: DataFrame, n: int) -> DataFrame:
+    w = Window.partitionBy("target").orderBy(F.round("cosine", RANK_DECIMALS).desc_nulls_last(), F.col("doc_id").asc())
+    return cosines.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
-def similar_docs(postings_df: DataFrame, docs: DataFrame, targets: DataFrame, n: int = 10,
-                 rep: str = "tf") -> DataFrame:
+
+def similar_docs(source: Index | DataFrame, targets: DataFrame, n: int = 10, rep: str = "tf", field: str = "text") -> DataFrame:
     """Top ``n`` documents by cosine to each target (target excluded):
     ``(target, rank, doc_id, cosine)``.
 
     Documents sharing a term with the target come from the join; the rest all
     score 0 (or null for a zero norm) and rank by ``doc_id``, so only the
     first ``n + 1`` documents in (zero norm last, doc_id) order can fill the
-    remaining places: that short list is exploded per target as an array
-    from one scalar subquery, not joined.
+    remaining places: that short list is read back and added to every target.
     """
-    if rep not in REPS:
-        raise ValueError(f"rep must be one of {REPS}")
+    _checked(rep)
+    index = indexed(source, field)
     # the target list may be the result of a whole retrieval run: written once
-    targets = materialize(targets.select("target").distinct())
-    postings_df = materialize(postings_df)
-    nr = materialize(doc_norms(postings_df, docs, rep))
-    tnorm = bounded_broadcast(nr.join(targets.select(F.col("target").alias("doc_id")).distinct(), "doc_id")
-                                .select(F.col("doc_id").alias("target"), F.col("norm").alias("tnorm")))
-    dots = dots_to(postings_df, target_side(postings_df, docs, targets, rep), rep)
-    fill = (nr.orderBy((F.col("norm") == 0).asc(), F.col("doc_id").asc()).limit(n + 1)
-              .agg(F.collect_list("doc_id").alias("ids")))
-    fillers = tnorm.select("target", F.explode(fill.scalar()).alias("doc_id"), F.lit(0.0).alias("dot"))
-    cands = (dots.unionByName(fillers)
-                 .where(F.col("doc_id") != F.col("target"))
-                 .groupBy("target", "doc_id").agg(F.max("dot").alias("dot")))
-    scored = (cands.join(nr, "doc_id").join(tnorm, "target")
-                   .select("target", "doc_id",
-                           F.try_divide(F.col("dot"), F.col("tnorm") * F.col("norm")).alias("cosine")))
-    w = Window.partitionBy("target").orderBy(F.round("cosine", RANK_DECIMALS).desc_nulls_last(),
-                                             F.col("doc_id").asc())
-    return (scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
-                  .select("target", "rank", "doc_id", "cosine"))
-
-
-def cosine_table(postings_df: DataFrame, docs: DataFrame, targets: DataFrame, rep: str = "tf") -> DataFrame:
+    side, tnorm = target_side(index, written(targets.select("target").distinct(), "targets"), rep, field)
+    rows = _dealt(index, rep, field)
+    lengths = written(_norms_by_block(rows), "norms")
+    dots = (rows.join(bounded_broadcast(side), "term")
+                .groupBy("block", "target", "doc_id").agg(F.sum(_doc_factor(rep) * F.col("wq")).alias("dot")))
+    near = dots.where(F.col("doc_id") != F.col("target")).join(bounded_broadcast(lengths), "block").join(bounded_broadcast(tnorm), "target")
+    cosine = F.try_divide(F.col("dot"), F.col("tnorm") * F.element_at("norms", F.col("doc_id")))
+    best = written(_ranked(near.select("target", "doc_id", cosine.alias("cosine")), n), "similar")
+    every = lengths.select(F.explode("norms").alias("doc_id", "norm"))
+    fill = every.orderBy((F.col("norm") == 0).asc(), F.col("doc_id").asc()).limit(n + 1).collect()   # n + 1 rows
+    if fill:
+        fillers = F.array(*[F.struct(F.lit(r.doc_id).cast("long").alias("doc_id"), F.lit(r.norm).alias("norm")) for r in fill])
+        zero = tnorm.select("target", "tnorm", F.inline(fillers)).where(F.col("doc_id") != F.col("target"))
+        zero = zero.select("target", "doc_id", F.try_divide(F.lit(0.0), F.col("tnorm") * F.col("norm")).alias("cosine"))
+        best = best.drop("rank").unionByName(zero).groupBy("target", "doc_id").agg(F.max("cosine").alias("cosine"))
+    return _ranked(best, n).select("target", "rank", "doc_id", "cosine")
+
+
+def cosine_table(source: Index | DataFrame, targets: DataFrame, rep: str = "tf", field: str = "text") -> DataFrame:
     """``(target, doc_id, cosine)`` of each target to every other document
     with a vector (0 when no term is shared, null for a zero norm).
 
     The output has targets x documents rows by definition. Targets come in
-    blocks: a document meets one block per row, joined on the block's number.
+    groups: a document meets one group per row, joined on the group's number.
     """
-    targets = materialize(targets.select("target").distinct())
-    blocks = max(1, -(-targets.count() // TARGET_BLOCK))
-    postings_df = materialize(postings_df)
-    nr = materialize(doc_norms(postings_df, docs, rep))
-    block = F.pmod(F.xxhash64("target"), F.lit(blocks)).cast("int")
-    asked = nr.join(targets.select(F.col("target").alias("doc_id")), "doc_id").select(
-        F.col("doc_id").alias("target"), F.col("norm").alias("tnorm"))
-    met = nr.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    pairs = met.join(bounded_broadcast(asked.withColumn("block", block)), "block").select("doc_id", "norm", "target", "tnorm")
-    dots = dots_to(postings_df, target_side(postings_df, docs, targets, rep), rep)
-    return (pairs.where(F.col("doc_id") != F.col("target"))
-                 .join(dots, ["target", "doc_id"], "left")
-                 .select("target", "doc_id",
-                         F.try_divide(F.coalesce(F.col("dot"), F.lit(0.0)), F.col("tnorm") * F.col("norm"))
-                         .alias("cosine")))
+    _checked(rep)
+    index = indexed(source, field)
+    targets = written(targets.select("target").distinct(), "targets")
+    side, tnorm = target_side(index, targets, rep, field)
+    groups = max(1, -(-targets.count() // TARGET_BLOCK))
+    rows = _dealt(index, rep, field)
+    every = _norms_by_block(rows).select(F.explode("norms").alias("doc_id", "norm"))
+    met = every.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    asked = tnorm.withColumn("group", F.pmod(F.xxhash64("target"), F.lit(groups)).cast("int"))
+    pairs = met.join(bounded_broadcast(asked), "group").where(F.col("doc_id") != F.col("target"))
+    dots = rows.join(bounded_broadcast(side), "term").groupBy("target", "doc_id").agg(F.sum(_doc_factor(rep) * F.col("wq")).alias("dot"))
+    return pairs.join(dots, ["target", "doc_id"], "left").select(
+        "target", "doc_id", F.try_divide(F.coalesce(F.col("dot"), F.lit(0.0)), F.col("tnorm") * F.col("norm")).alias("cosine"))

@@ -8,6 +8,9 @@ words (word rule ``WORD_PATTERN`` on lower-cased text). This only builds the
 
 from __future__ import annotations
 
+import time
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,12 +47,20 @@ def shingle_qrels(docs: DataFrame, queries: DataFrame, n: int = SHINGLE_WORDS) -
     return materialize(d.join(q, "shingle").select("query_id", "doc_id").distinct())
 
 
-def write_doc_tree(docs: DataFrame, root: str) -> None:
+def wait_for(moment: datetime) -> None:
+    """Return after ``moment``, so that files written next are later."""
+    while (left := moment.timestamp() + 0.1 - time.time()) > 0:
+        time.sleep(left)
+
+
+def write_doc_tree(docs: DataFrame, root: str, summary: bool = True) -> None:
     """Stage the collection as a folder tree of UTF-8 text files (input of
     the file-tree readers): one summary CSV at the root, documents in
     language ``en`` two folders deep (``source=…/doc_id=…/``), the others one
-    folder deep (``doc_id=…/``), one file per document."""
-    docs.agg(F.count(F.lit(1)).alias("n_docs")).write.mode("overwrite").csv(root)
+    folder deep (``doc_id=…/``), one file per document. Without ``summary`` the
+    documents are added to a tree that is there."""
+    if summary:
+        docs.agg(F.count(F.lit(1)).alias("n_docs")).write.mode("overwrite").csv(root)
     en = docs.where(F.col("lang") == "en")
     (en.select("source", "doc_id", "text").write.mode("append")
        .partitionBy("source", "doc_id").text(root))

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from quire.functions import text as T
 from quire.operators import analysis, compare, evaluate, retrieval, stats, tune
 from quire.plans import oracle as O
+from quire.operators.index import Index
 from quire.plans.binding import shingle_qrels
-from quire.session import bounded_broadcast, materialize
+from quire.session import bounded_broadcast, staging_path, written
 from quire.sources import tables
 
 OUT_DECIMALS = 6
@@ -60,9 +61,26 @@ def _postings(spark, sf):
     return stats.postings(_docs(spark, sf))
 
 
+_INDEXES: dict[tuple, str] = {}
+
+
+def _index(spark, sf, every_field: bool = False) -> Index:
+    """The stored index of the collection: written below the shared folder by
+    the first query of a session that reads it, and again if it is gone.
+    ``every_field`` adds positions, the first lines and the keyword fields."""
+    key = (spark.sparkContext.applicationId, sf, every_field)
+    if key in _INDEXES and (stored := Index(spark, _INDEXES[key])).store.exists():
+        return stored
+    _INDEXES[key] = staging_path(spark, "index")
+    fields = {"text": F.col("text")}
+    if every_field:
+        fields["top_lines"] = T.top_lines(T.normalise_lines("text"), T.DEFAULT_TOP_LINES)
+    return Index(spark, _INDEXES[key]).add(_docs(spark, sf), fields, ("lang", "source") if every_field else (), positions=every_field)
+
+
 def _idf(spark, sf):
-    d = _docs(spark, sf)
-    return stats.with_idf(stats.term_stats(stats.postings(d)), stats.doc_count(d))
+    ix = _index(spark, sf)
+    return stats.with_idf(ix.term_stats(), int(ix.totals().max_doc))
 
 
 # --------------------------------------------------- analysis and stats --
@@ -92,6 +110,16 @@ def q_doc_freq(spark, sf):
     return stats.doc_freq(_postings(spark, sf)).select("term", "df")
 
 
+@register("index_append", O.with_(O.DOCS) + " SELECT term, df, cf FROM tstat")
+def q_index_append(spark, sf):
+    """Statistics of an index that got its documents in two additions."""
+    d = _docs(spark, sf)
+    ix = Index(spark, staging_path(spark, "index"))
+    for part in (F.col("lang") == "en", ~F.col("lang").eqNullSafe("en")):
+        ix.add(d.where(part), positions=False)
+    return ix.term_stats().select("term", "df", "cf")
+
+
 @register("idf", O.with_(O.DOCS) + " SELECT term, df, round(idf, 6) AS idf FROM idf")
 def q_idf(spark, sf):
     return _idf(spark, sf).select("term", "df", r6("idf").alias("idf"))
@@ -100,9 +128,7 @@ def q_idf(spark, sf):
 @register("tfxidf", O.with_(O.DOCS) + """ SELECT p.doc_id, p.term, p.tf, round(i.idf, 6) AS idf,
     round(p.tf * i.idf, 6) AS tfxidf FROM post p JOIN idf i USING (term)""")
 def q_tfxidf(spark, sf):
-    d = _docs(spark, sf)
-    p = stats.postings(d)
-    t = stats.tfxidf(p, stats.with_idf(stats.term_stats(p), stats.doc_count(d)))
+    t = stats.tfxidf(_index(spark, sf).postings(), _idf(spark, sf))
     return t.select("doc_id", "term", "tf", r6("idf").alias("idf"), r6("tfxidf").alias("tfxidf"))
 
 
@@ -114,8 +140,7 @@ def q_doc_count(spark, sf):
 @register("field_stats", O.with_(O.DOCS) + """ SELECT 'text' AS field, (SELECT count(*) FROM documents) AS max_doc,
     count(DISTINCT doc_id) AS doc_count, count(*) AS sum_doc_freq, CAST(sum(tf) AS BIGINT) AS sum_total_term_freq FROM post""")
 def q_field_stats(spark, sf):
-    d = _docs(spark, sf)
-    return stats.field_stats(stats.postings(d), d)
+    return _index(spark, sf).field_stats()
 
 
 _FIELDS_SQL = O.with_(O.DOCS, """
@@ -132,13 +157,7 @@ fp AS (SELECT 'text' AS field, doc_id, term, tf FROM post
     count(DISTINCT doc_id) AS doc_count, count(*) AS sum_doc_freq, CAST(sum(tf) AS BIGINT) AS sum_total_term_freq
     FROM fp GROUP BY field""")
 def q_field_stats_all(spark, sf):
-    d = _docs(spark, sf)
-    p = (stats.postings(d)
-         .unionByName(stats.postings(d.select("doc_id", T.top_lines("text", T.DEFAULT_TOP_LINES).alias("top_lines")),
-                                     text_col="top_lines"))
-         .unionByName(stats.keyword_postings(d, "lang"))
-         .unionByName(stats.keyword_postings(d, "source")))
-    return stats.field_stats(p, d)
+    return _index(spark, sf, every_field=True).field_stats()
 
 
 @register("keyword_field", """SELECT 'lang' AS field, lang AS term, count(*) AS df FROM documents WHERE lang IS NOT NULL GROUP BY lang
@@ -151,7 +170,7 @@ def q_keyword_field(spark, sf):
 
 @register("collection_lm", O.with_(O.DOCS) + """ SELECT term, cf, round(cf / (SELECT sum(tf) FROM post), 6) AS p FROM tstat""")
 def q_collection_lm(spark, sf):
-    return stats.collection_lm(_postings(spark, sf)).select("term", "cf", r6("p").alias("p"))
+    return stats.collection_lm(_index(spark, sf)).select("term", "cf", r6("p").alias("p"))
 
 
 @register("numeric_range", "SELECT doc_id, n_chars FROM documents WHERE n_chars BETWEEN 1000 AND 5000")
@@ -173,7 +192,11 @@ def q_query_terms(spark, sf):
 
 def _tfidf_scores(spark, sf, spec="all"):
     q = _queries(spark, sf, spec)
-    return retrieval.score(_docs(spark, sf), analysis.query_terms(q), model="tfidf")
+    return retrieval.score(_index(spark, sf), analysis.query_terms(q), model="tfidf")
+
+
+def _tfidf_hits(spark, sf, k: int):
+    return retrieval.best_hits(_index(spark, sf), analysis.query_terms(_queries(spark, sf)), k)[0]
 
 
 _TFIDF = O.with_(O.DOCS, O.queries_cte(), O.scores_cte("tfidf"))
@@ -181,7 +204,7 @@ _TFIDF = O.with_(O.DOCS, O.queries_cte(), O.scores_cte("tfidf"))
 
 @register("match_any", O.with_(O.DOCS, O.queries_cte()) + " SELECT DISTINCT query_id, doc_id FROM qt JOIN post USING (term)")
 def q_match_any(spark, sf):
-    return retrieval.match_any(_docs(spark, sf), analysis.query_terms(_queries(spark, sf)))
+    return retrieval.match_any(_index(spark, sf), analysis.query_terms(_queries(spark, sf)))
 
 
 @register("score_tfidf", _TFIDF + " SELECT query_id, doc_id, round(score, 6) AS score FROM sc")
@@ -193,7 +216,7 @@ def q_score_tfidf(spark, sf):
           + " SELECT query_id, doc_id, round(score, 6) AS score FROM sc")
 def q_score_jm(spark, sf):
     q = _queries(spark, sf)
-    s = retrieval.score(_docs(spark, sf), analysis.query_terms(q), model="jm", lam=JM_LAMBDA)
+    s = retrieval.score(_index(spark, sf), analysis.query_terms(q), model="jm", lam=JM_LAMBDA)
     return s.select("query_id", "doc_id", r6("score").alias("score"))
 
 
@@ -202,7 +225,7 @@ _HITS_SELECT = " SELECT query_id, CAST(rank AS BIGINT) AS rank, doc_id, round(sc
 
 @register("top_k_hits", _TFIDF + "," + O.hits_cte(CUT).strip("\n") + _HITS_SELECT)
 def q_top_k_hits(spark, sf):
-    h = retrieval.top_k(_tfidf_scores(spark, sf), CUT)
+    h = _tfidf_hits(spark, sf, CUT)
     return h.select("query_id", F.col("rank").cast("long").alias("rank"), "doc_id", r6("score").alias("score"))
 
 
@@ -214,7 +237,7 @@ def q_total_hits(spark, sf):
 @register("fetch_hits", _TFIDF + "," + O.hits_cte(CUT).strip("\n")
           + " SELECT h.query_id, CAST(h.rank AS BIGINT) AS rank, h.doc_id, d.lang, d.source, d.n_chars FROM hits h JOIN documents d USING (doc_id)")
 def q_fetch_hits(spark, sf):
-    h = retrieval.top_k(_tfidf_scores(spark, sf), CUT).select("query_id", F.col("rank").cast("long").alias("rank"), "doc_id")
+    h = _tfidf_hits(spark, sf, CUT).select("query_id", F.col("rank").cast("long").alias("rank"), "doc_id")
     return retrieval.fetch_hits(h, _docs(spark, sf), ["lang", "source", "n_chars"]).select(
         "query_id", "rank", "doc_id", "lang", "source", "n_chars")
 
@@ -226,16 +249,14 @@ _EVAL_ALL = O.with_(O.DOCS, O.queries_cte(), O.scores_cte("tfidf"), O.QRELS, O.h
 
 def _tfidf_metrics(spark, sf, spec="all"):
     q = _queries(spark, sf, spec)
-    d = _docs(spark, sf)
-    s = retrieval.score(d, analysis.query_terms(q), model="tfidf")
-    return evaluate.metrics(q, s, shingle_qrels(d, tables.queries(spark, sf)), CUT)
+    hits, _ = retrieval.best_hits(_index(spark, sf), analysis.query_terms(q), CUT)
+    return evaluate.metrics(q, hits, _qrels(spark, sf), CUT)
 
 
 @register("judge_hits", _EVAL_ALL + " SELECT query_id, CAST(rank AS BIGINT) AS rank, doc_id, rel AS relevant FROM jh")
 def q_judge_hits(spark, sf):
-    d = _docs(spark, sf)
-    h = retrieval.top_k(_tfidf_scores(spark, sf), CUT)
-    j = evaluate.judge(h, shingle_qrels(d, tables.queries(spark, sf)))
+    h = _tfidf_hits(spark, sf, CUT)
+    j = evaluate.judge(h, _qrels(spark, sf))
     return j.select("query_id", F.col("rank").cast("long").alias("rank"), "doc_id", "relevant")
 
 
@@ -263,8 +284,7 @@ def q_mean_metrics(spark, sf):
 
 @register("skip_unjudged", _EVAL_ALL + " SELECT query_id, n_rel FROM jq")
 def q_skip_unjudged(spark, sf):
-    d = _docs(spark, sf)
-    return evaluate.judged_queries(_queries(spark, sf), shingle_qrels(d, tables.queries(spark, sf)))
+    return evaluate.judged_queries(_queries(spark, sf), _qrels(spark, sf))
 
 
 # ------------------------------------------------------------- tuning --
@@ -298,8 +318,7 @@ _SWEEP = O.with_(O.DOCS, O.queries_cte(_TRAIN_SQL), O.scores_cte("jm", list(retr
 
 
 def _sweep(spark, sf):
-    d = _docs(spark, sf)
-    return tune.sweep(d, _queries(spark, sf, _halves(spark, sf)[0]), shingle_qrels(d, tables.queries(spark, sf)), CUT)
+    return tune.sweep(_index(spark, sf), _queries(spark, sf, _halves(spark, sf)[0]), _qrels(spark, sf), CUT)
 
 
 @register("lambda_sweep", _SWEEP + ' SELECT round(lam_v, 1) AS "lambda", query_id, round(ap, 6) AS ap FROM m')
@@ -361,18 +380,16 @@ _TFIDF_TEST = _test_metrics_sql(None)
 
 
 def _jm_test(spark, sf, qrels=None):
-    d = _docs(spark, sf)
     q = tables.queries(spark, sf)
-    qrels = qrels if qrels is not None else shingle_qrels(d, q)
-    m, _, lam = tune.train_test(d, q, qrels, CUT, "jm", *tune.halves(q))
+    qrels = qrels if qrels is not None else _qrels(spark, sf)
+    m, _, lam = tune.train_test(_index(spark, sf), q, qrels, CUT, "jm", *tune.halves(q))
     return m, lam
 
 
 def _tfidf_test(spark, sf, qrels=None):
-    d = _docs(spark, sf)
     q = tables.queries(spark, sf)
-    qrels = qrels if qrels is not None else shingle_qrels(d, q)
-    m, _, _ = tune.train_test(d, q, qrels, CUT, "tfidf", None, tune.halves(q)[1])
+    qrels = qrels if qrels is not None else _qrels(spark, sf)
+    m, _, _ = tune.train_test(_index(spark, sf), q, qrels, CUT, "tfidf", None, tune.halves(q)[1])
     return m
 
 
@@ -498,8 +515,7 @@ def _bt_out(df):
 
 def _bt(order):
     def run(spark, sf):
-        d = _docs(spark, sf)
-        return _bt_out(topterms.best_terms(stats.postings(d), d, TARGET_DOC, TOP_N, order))
+        return _bt_out(topterms.best_terms(_index(spark, sf), TARGET_DOC, TOP_N, order))
     return run
 
 
@@ -509,8 +525,7 @@ for _o in topterms.DOC_ORDERS:
 
 @register("best_terms_all_docs", _bt_sql("tfxidf", False))
 def q_best_terms_all(spark, sf):
-    d = _docs(spark, sf)
-    return _bt_out(topterms.best_terms(stats.postings(d), d, None, TOP_N, "tfxidf"))
+    return _bt_out(topterms.best_terms(_index(spark, sf), None, TOP_N, "tfxidf"))
 
 
 def _btc_sql(order: str) -> str:
@@ -522,8 +537,7 @@ rk AS (SELECT *, row_number() OVER (ORDER BY {key} DESC, term) AS rank FROM idf)
 
 def _btc(order):
     def run(spark, sf):
-        d = _docs(spark, sf)
-        r = topterms.best_terms_coll(stats.postings(d), d, TOP_N, order)
+        r = topterms.best_terms_coll(_index(spark, sf), TOP_N, order)
         return r.select(F.col("rank").cast("long").alias("rank"), "term", "df", r6("idf").alias("idf"))
     return run
 
@@ -542,8 +556,7 @@ _VEC_SQL = {
 
 
 def _vecs(spark, sf, rep):
-    d = _docs(spark, sf)
-    return vectors.vectorise(stats.postings(d), d, rep)
+    return vectors.vectorise(_index(spark, sf), rep)
 
 
 def _vec(rep):
@@ -578,8 +591,7 @@ def _target_df(spark, sf):
 @register("cosine", _cos_sql("tf", f"SELECT doc_id AS target FROM documents WHERE doc_id = {TARGET_DOC}")
           + " SELECT target, doc_id, round(cosine, 6) AS cosine FROM cs")
 def q_cosine(spark, sf):
-    d = _docs(spark, sf)
-    t = vectors.cosine_table(stats.postings(d), d, _target_df(spark, sf), "tf")
+    t = vectors.cosine_table(_index(spark, sf), _target_df(spark, sf), "tf")
     return t.select("target", "doc_id", r6("cosine").alias("cosine"))
 
 
@@ -592,8 +604,7 @@ def _sim_out(df):
 
 @register("similar_docs", _cos_sql("tf", f"SELECT doc_id AS target FROM documents WHERE doc_id = {TARGET_DOC}") + _SIM_SELECT)
 def q_similar_docs(spark, sf):
-    d = _docs(spark, sf)
-    return _sim_out(vectors.similar_docs(stats.postings(d), d, _target_df(spark, sf), TOP_N, "tf"))
+    return _sim_out(vectors.similar_docs(_index(spark, sf), _target_df(spark, sf), TOP_N, "tf"))
 
 
 _TOP_HIT_TARGETS = "SELECT DISTINCT doc_id AS target FROM hits WHERE rank = 1"
@@ -601,14 +612,13 @@ _TOP_HIT_CTES = ",".join(x.strip("\n") for x in [O.queries_cte(), O.scores_cte("
 
 
 def _top_hit_targets(spark, sf):
-    hits = retrieval.top_k(_tfidf_scores(spark, sf), 1)
+    hits = _tfidf_hits(spark, sf, 1)
     return hits.select(F.col("doc_id").alias("target")).distinct()
 
 
 @register("similar_docs_all", _cos_sql("tfxidf", _TOP_HIT_TARGETS, _TOP_HIT_CTES) + _SIM_SELECT)
 def q_similar_docs_all(spark, sf):
-    d = _docs(spark, sf)
-    return _sim_out(vectors.similar_docs(stats.postings(d), d, _top_hit_targets(spark, sf), TOP_N, "tfxidf"))
+    return _sim_out(vectors.similar_docs(_index(spark, sf), _top_hit_targets(spark, sf), TOP_N, "tfxidf"))
 
 
 # ------------------------------------------------------------ k-means --
@@ -689,10 +699,9 @@ _KMS, _AS, _CS = O.kmeans_ctes("spts", K_SIM, UNROLL_SIM, prefix="ks")
 spts AS (SELECT v.doc_id, v.term, v.w FROM vec v JOIN (SELECT doc_id FROM csr WHERE rank <= {TOP_N}) s USING (doc_id)),"""
           + _KMS + f" SELECT doc_id, cluster FROM {_AS}")
 def q_doc_clusters(spark, sf):
-    d = _docs(spark, sf)
-    p = materialize(stats.postings(d))
-    sim = vectors.similar_docs(p, d, _target_df(spark, sf), TOP_N, "tf")
-    pts = vectors.vectorise(p, d, "tf").join(bounded_broadcast(sim.select("doc_id")), "doc_id")
+    ix = _index(spark, sf)
+    sim = written(vectors.similar_docs(ix, _target_df(spark, sf), TOP_N, "tf").select("doc_id"), "similar")
+    pts = vectors.vectorise(ix, "tf").join(bounded_broadcast(sim), "doc_id")
     r = cluster.fit(pts, K_SIM, init="points")
     return r.assignment.select("doc_id", "cluster")
 
@@ -700,7 +709,6 @@ def q_doc_clusters(spark, sf):
 # ------------------------------------------------------ sources, sinks --
 
 from quire.plans import binding  # noqa: E402
-from quire.session import staging_path  # noqa: E402
 from quire.sinks import collection as sink  # noqa: E402
 from quire.sinks import reports  # noqa: E402
 from quire.sources import files, records  # noqa: E402
@@ -734,7 +742,7 @@ def q_scan_tree(spark, sf):
 
 @register("scan_depth", f"SELECT folder, depth FROM ({_TREE_SQL}) WHERE depth <= 1")
 def q_scan_depth(spark, sf):
-    t = files.scan_tree(spark, _tree(spark, sf), depth=1)
+    t = files.scan_tree(spark, _tree(spark, sf), depth=1, exts=[".csv", ".txt"])
     return t.select(_folder().alias("folder"), "depth")
 
 
@@ -753,6 +761,21 @@ def q_file_attributes(spark, sf):
     return t.select(_doc_of().alias("doc_id"), r6("size_kb").alias("size_kb"), "type", ok.alias("time_ok"))
 
 
+@register("modified_range", "SELECT doc_id FROM documents WHERE lang = 'de' OR n_chars > 5000")
+def q_modified_range(spark, sf):
+    """Documents of a tree by modification time: the tree is written in two
+    steps, and the second is read by the range that begins after the first."""
+    d = _docs(spark, sf)
+    late = F.col("lang").eqNullSafe("de") | (F.coalesce("n_chars", F.lit(0)) > 5000)
+    root = staging_path(spark, "tree")
+    binding.write_doc_tree(d.where(~late), root)
+    start = files.last_modified(spark, root)
+    binding.wait_for(start)
+    binding.write_doc_tree(d.where(late), root, summary=False)
+    t = files.scan_tree(spark, root, exts=[".txt"], modified_after=start)
+    return t.select(_doc_of().alias("doc_id"))
+
+
 @register("normalise_lines", f"SELECT doc_id, regexp_replace({_NORM}, '\\n\\z', '') AS text FROM documents")
 def q_normalise_lines(spark, sf):
     return _docs(spark, sf).select("doc_id", T.normalise_lines("text").alias("text"))
@@ -799,7 +822,8 @@ def result_name(test: str) -> str:
 @register("read_results", _TFIDF_TEST + f""" SELECT CAST(query_id AS VARCHAR) AS query, round(ap, 6) AS value,
     {_TEST_RANGE_SQL} AS test_range, 'map{CUT}' AS metric FROM m""")
 def q_read_results(spark, sf):
-    path = staging_path(spark, "results") + "/" + result_name(_halves(spark, sf)[1])
+    first, last = _halves(spark, sf)[1]
+    path = staging_path(spark, "results") + "/" + result_name(f"{first}-{last}")
     rep = reports.test_report(_tfidf_test(spark, sf), None, "ap")
     reports.write_result_csv(rep, path, None, "map", CUT)
     r = records.read_results(spark, path)
@@ -821,10 +845,10 @@ def q_upsert(spark, sf):
     d = _docs(spark, sf).select(F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("path"),
                                 "doc_id", "lang", "n_chars")
     path = staging_path(spark, "collection")
-    sink.save(d.drop("lang"), path, "create")
+    sink.save(d.drop("lang"), path, "create", key="path")
     delta = d.where(F.col("lang") == "de").select("path", "doc_id", (F.col("n_chars") + 1).alias("n_chars"))
     sink.save(delta, path, "create_or_append", key="path", update=True)
-    return spark.read.parquet(path)
+    return sink.load(spark, path)
 
 
 @register("partial_collections", """SELECT CASE WHEN lang = 'en' THEN 'source=' || source ELSE 'doc_id=' || doc_id END AS part,
@@ -849,8 +873,7 @@ def q_dump_fields(spark, sf):
 
 @register("terms_report", _bt_sql("tfxidf", True))
 def q_terms_report(spark, sf):
-    d = _docs(spark, sf)
-    rep = reports.terms_report(_bt_out(topterms.best_terms(stats.postings(d), d, TARGET_DOC, TOP_N, "tfxidf")))
+    rep = reports.terms_report(_bt_out(topterms.best_terms(_index(spark, sf), TARGET_DOC, TOP_N, "tfxidf")))
     path = staging_path(spark, "terms")
     reports.write_csv(rep, path, single_file=True)
     return spark.read.option("header", "true").schema(
@@ -866,9 +889,8 @@ HITS_TOP = 5
     LEFT JOIN th t ON t.query_id = h.query_id WHERE h.rank <= {HITS_TOP}""")
 def q_hits_report(spark, sf):
     d = _docs(spark, sf)
-    s = _tfidf_scores(spark, sf)
-    hits = retrieval.top_k(s, CUT)
-    rep = reports.hits_report(hits, d, _qrels(spark, sf), HITS_TOP, retrieval.total_hits(s))
+    hits = _tfidf_hits(spark, sf, max(HITS_TOP, CUT))
+    rep = reports.hits_report(hits, d, _qrels(spark, sf), HITS_TOP, retrieval.total_hits(_tfidf_scores(spark, sf)))
     return rep.select("query_id", F.col("rank").cast("long").alias("rank"), "doc_id", r6("score").alias("score"),
                       "relevant", "contents", "total_hits")
 
@@ -993,10 +1015,8 @@ per AS (SELECT query_id, doc_id, sum(CASE WHEN occur = 'must' THEN 1 ELSE 0 END)
 
 def _pred(variant):
     def run(spark, sf):
-        d = _docs(spark, sf)
         cl = binding.benchmark_clauses(tables.queries(spark, sf), variant)
-        fields = {"text": F.col("text"), "top_lines": T.top_lines(T.normalise_lines("text"), T.DEFAULT_TOP_LINES)}
-        r = predicates.search(d, cl, fields)
+        r = predicates.search(_index(spark, sf, every_field=variant in ("field", "phrase", "phrase_slop")), cl)
         return r.select("query_id", "doc_id", r6("score").alias("score"))
     return run
 

@@ -1,69 +1,65 @@
-"""Writing and maintaining a document collection stored as Parquet."""
+"""Writing and maintaining a document collection stored as Parquet.
+
+A collection without a key is a plain Parquet folder: it can be replaced and
+added to. A collection with a key is a ``BucketStore`` of one table, whose
+rows can also be replaced by key: only the buckets that hold the keys are
+written anew, and a write that fails leaves the collection as it was.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.sinks.buckets import BUCKETS, BucketStore, path_exists, upsert
+
 OPEN_MODES = ("create", "append", "create_or_append")
+TABLE = "docs"   # the table of a keyed collection
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a readable collection is stored at ``path``."""
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - resolves the listing only
-        return True
-    except AnalysisException:
-        return False
+    """Whether a collection, with or without a key, is stored at ``path``."""
+    return BucketStore(spark, path).exists() or path_exists(spark, path)
 
 
 def save(df: DataFrame, path: str, openmode: str = "create", key: str | None = None,
-         update: bool = False, partition_by: Sequence[str] = ()) -> None:
+         update: bool = False, partition_by: Sequence[str] = (), order: str | None = None, buckets: int = BUCKETS) -> None:
     """Write a collection.
 
     ``create`` replaces; ``append`` needs an existing collection;
-    ``create_or_append`` does either. With ``update`` (append modes only) the
-    rows of ``df`` replace stored rows with the same ``key`` (see
-    ``upsert``); otherwise rows are appended and duplicates are allowed.
+    ``create_or_append`` does either. ``key`` names the column that deals the
+    rows of a new collection to buckets. With ``update`` (append modes, keyed
+    collections) the rows of ``df`` replace stored rows with the same key (see
+    ``upsert``; ``order`` is its column); otherwise rows are appended and
+    duplicates are allowed.
     """
     if openmode not in OPEN_MODES:
         raise ValueError(f"openmode must be one of {OPEN_MODES}")
     spark = df.sparkSession
-    present = exists(spark, path)
+    store = BucketStore(spark, path)
+    present = store.exists() or path_exists(spark, path)
     if openmode == "append" and not present:
         raise FileNotFoundError(f"no collection at {path} to append to")
-    w = df.write.partitionBy(*partition_by) if partition_by else df.write
-    if openmode == "create" or not present:
-        w.mode("overwrite").parquet(path)
-        return
-    if update and key:
-        base = spark.read.parquet(path)
-        merged = upsert(base, df, key)
-        # the stored table is read while written: write the merge next to it
-        # and swap by overwriting from the new copy
-        tmp = path.rstrip("/") + "._upsert"
-        (merged.write.partitionBy(*partition_by) if partition_by else merged.write).mode("overwrite").parquet(tmp)
-        staged = spark.read.parquet(tmp)
-        (staged.write.partitionBy(*partition_by) if partition_by else staged.write).mode("overwrite").parquet(path)
+    if store.exists() or (key and not present):
+        if key and store.exists() and openmode != "create" and store.tables[TABLE].key != key:
+            raise ValueError(f"the collection's key is {store.tables[TABLE].key}")
+        if update and store.exists() and openmode != "create":
+            store.upsert(TABLE, df, order)
+        else:
+            store.append({TABLE: (df, key or store.tables[TABLE].key)}, buckets, replace=openmode == "create")
         return
-    w.mode("append").parquet(path)
+    if update and present and openmode != "create":
+        raise ValueError("rows are replaced by key: create the collection with its key")
+    w = df.write.partitionBy(*partition_by) if partition_by else df.write
+    w.mode("overwrite" if openmode == "create" or not present else "append").parquet(path)
 
 
-def upsert(base: DataFrame, delta: DataFrame, key: str | Sequence[str], order: str | None = None) -> DataFrame:
-    """Rows of ``delta`` replace rows of ``base`` with the same key; other
-    base rows stay (anti join + union, one shuffle on the key). Of several
-    delta rows with one key the last by the column ``order`` replaces; without
-    ``order`` such a delta is refused."""
-    keys = [key] if isinstance(key, str) else list(key)
-    if order is not None:
-        last = Window.partitionBy(*keys).orderBy(F.desc(order))
-        delta = delta.withColumn("_turn", F.row_number().over(last)).where("_turn = 1").drop("_turn")
-    elif not delta.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").isEmpty():
-        raise ValueError("a key occurs twice in the delta: name the column that orders its rows")
-    return base.join(delta.select(*keys), keys, "left_anti").unionByName(delta)
+def load(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a collection."""
+    store = BucketStore(spark, path)
+    return store.read(TABLE).drop("b") if store.exists() else spark.read.parquet(path)
 
 
 def partition_by_top_folder(df: DataFrame, rel_path_col: str = "rel_path") -> DataFrame:
@@ -87,3 +83,6 @@ def dump_fields(docs: DataFrame, fields: Sequence[str], id_col: str = "doc_id")
     cast = docs.select(id_col, *[F.col(f).cast("string").alias(f) for f in fields])
     return (cast.unpivot([id_col], list(fields), "field", "value")
                 .where(F.col("value").isNotNull()))
+
+
+__all__ = ["exists", "save", "load", "upsert", "partition_by_top_folder", "merge", "dump_fields"]

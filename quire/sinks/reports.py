@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.operators.evaluate import judge, mean_metrics
+from quire.session import bounded_broadcast, written
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
@@ -24,10 +25,11 @@ def terms_report(best: DataFrame) -> DataFrame:
 def hits_report(hits: DataFrame, docs: DataFrame, qrels: DataFrame, top: int,
                 totals: DataFrame, text_col: str = "text") -> DataFrame:
     """Top ``top`` hits per query with rank, doc id, score, relevance mark,
-    contents and the query's total hits."""
-    h = judge(hits.where(F.col("rank") <= top), qrels)
-    return (h.join(docs.select("doc_id", F.col(text_col).alias("contents")), "doc_id")
-             .join(totals, "query_id", "left")
+    contents and the query's total hits. ``hits`` has to reach down to
+    ``top``. The hits are written once and, if they pass the size check, sent
+    to the documents, so that no text is moved."""
+    h = written(judge(hits.where(F.col("rank") <= top), qrels).join(totals, "query_id", "left"), "hits")
+    return (docs.select("doc_id", F.col(text_col).alias("contents")).join(bounded_broadcast(h), "doc_id")
              .select("query_id", "rank", "doc_id", "score", "relevant", "contents", "total_hits"))
 
 
@@ -70,7 +72,7 @@ def test_report(m: DataFrame, lam: float | None, metric_col: str = "ap") -> Data
     """One metric per test query, then a ``mean`` row: ``(query, value,
     lambda_head)`` where ``lambda_head`` is the chosen lambda (``null`` for
     tf-idf) that heads the written file."""
-    head = f"{lam:.1f}" if lam is not None else "null"
+    head = lambda_names([lam])[0] if lam is not None else "null"
     detail = m.select(F.col("query_id").cast("string").alias("query"), F.col(metric_col).alias("value"))
     mean = m.agg(F.coalesce(F.avg(metric_col), F.lit(0.0)).alias("value")).select(F.lit("mean").alias("query"), "value")
     return detail.unionByName(mean).withColumn("lambda_head", F.lit(head))
@@ -81,7 +83,7 @@ def write_result_csv(report: DataFrame, path: str, lam: float | None, metric_nam
     ``<lambda or null>,<metric>@<cut>``, one ``query,value`` row per query,
     the ``mean`` row last. The report is one row per query (bounded), so it
     is written as a single file."""
-    head = f"{lam:.1f}" if lam is not None else "null"
+    head = lambda_names([lam])[0] if lam is not None else "null"
     out = (report.withColumn("_last", (F.col("query") == "mean").cast("int"))
                  .orderBy("_last", F.col("query").try_cast("long"))
                  .select(F.col("query").alias(head), F.col("value").alias(f"{metric_name}@{cut}")))

@@ -2,16 +2,22 @@
 
 One row per file: ``(path, rel_path, depth, extension, length, modified,
 contents)``. The tree listing is Spark's own; file bytes are read by the
-tasks. Extension lists become a ``pathGlobFilter`` when they can (so excluded
-files are never opened); the depth rule is a filter on the relative path.
+tasks. Extension lists become part of the path pattern, or a
+``pathGlobFilter``, when they can, and a depth with such a list becomes one
+pattern for every level, so that deeper folders are not listed. A range of
+modification times is the file source's own. Files left out by any of these
+are never opened.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from datetime import datetime, timezone
 from urllib.parse import urlparse
+from zoneinfo import ZoneInfo
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +27,8 @@ from quire.functions.text import normalise_lines, path_extension
 # text forms of a modification time: ISO with milliseconds, and digits that sort
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 MILLIS_FORMAT = "yyyyMMddHHmmssSSS"
+# Depths beyond this are filtered after the listing.
+MAX_LEVELS = 32
 
 
 def _root_path(root: str) -> str:
@@ -38,20 +46,50 @@ def _glob_for(exts: Sequence[str]) -> str | None:
     return f"*{{{inner}}}" if len(exts) > 1 else f"*{exts[0]}"
 
 
-def scan_tree(spark: SparkSession, root: str, depth: int | None = None,
-              exts: Sequence[str] | None = None) -> DataFrame:
+def _levels(root: str, depth: int, glob: str) -> str:
+    """A pattern of the files up to ``depth`` folders below the root."""
+    if depth > MAX_LEVELS:
+        return root
+    at = re.sub(r"([{}*?\[\],\\])", r"\\\1", root.rstrip("/"))
+    ends = [("*/" * d) + glob for d in range(depth + 1)]
+    return f"{at}/{{{','.join(ends)}}}" if depth else f"{at}/{glob}"
+
+
+def last_modified(spark: SparkSession, root: str) -> datetime | None:
+    """The whole second after the latest change of a file below ``root``;
+    None without files. No file is opened."""
+    df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    last = df.agg(F.max(F.unix_millis("modificationTime"))).first()[0]
+    return None if last is None else datetime.fromtimestamp(last // 1000 + 1, timezone.utc)
+
+
+def scan_tree(spark: SparkSession, root: str, depth: int | None = None, exts: Sequence[str] | None = None,
+              modified_after: datetime | None = None, modified_before: datetime | None = None) -> DataFrame:
     """Every file below ``root`` as one UTF-8 document.
 
     ``depth``: a file k folders below the root is kept iff k <= depth (root
     files always; 0 = root files only). ``exts``: keep files whose extension
     (from the last dot of the name, with the dot; ``''`` without a dot) is
-    listed. ``contents`` has CR/LF unified and one final line end dropped.
+    listed. ``modified_after`` and ``modified_before`` (whole seconds, both
+    exclusive) bound the modification time. ``contents`` has CR/LF unified and
+    one final line end dropped. A root that does not exist is an error; one
+    without fitting files gives no rows.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    for name, moment in (("modifiedAfter", modified_after), ("modifiedBefore", modified_before)):
+        if moment is not None:
+            reader = reader.option(name, moment.astimezone(ZoneInfo(zone)).strftime("%Y-%m-%dT%H:%M:%S"))
     glob = _glob_for(exts) if exts is not None else None
+    everything = reader
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    df = reader.load(root)
+    try:
+        df = reader.load(_levels(root, depth, glob) if glob and depth is not None else root)
+    except AnalysisException as e:   # no file at these levels, or no root
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        df = everything.load(root).limit(0)
     rp = re.escape(_root_path(root))
     rel = F.regexp_extract(F.col("path"), rf"^(?:[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?)?{rp}/(.*)$", 1)
     out = df.select(

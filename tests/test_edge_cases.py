@@ -45,14 +45,13 @@ def test_identical_docs_tie_by_doc_id(spark):
 
 def test_term_in_every_doc_zero_norm_null_cosine(spark):
     d = docs_of(spark, [(1, "x y"), (2, "x"), (3, "x z")])
-    p = stats.postings(d)
-    v = vectors.vectorise(p, d, "tfxidf")
+    v = vectors.vectorise(d, "tfxidf")
     w = {(r.doc_id, r.term): r.w for r in v.collect()}
     assert w[(2, "x")] == 0.0
     t = spark.createDataFrame([(1,)], "target long")
-    cos = {r.doc_id: r.cosine for r in vectors.cosine_table(p, d, t, "tfxidf").collect()}
+    cos = {r.doc_id: r.cosine for r in vectors.cosine_table(d, t, "tfxidf").collect()}
     assert cos[2] is None and cos[3] == 0.0
-    top = vectors.similar_docs(p, d, t, 5, "tfxidf").orderBy("rank").collect()
+    top = vectors.similar_docs(d, t, 5, "tfxidf").orderBy("rank").collect()
     assert [r.doc_id for r in top] == [3, 2]  # null cosine ranks last
 
 
