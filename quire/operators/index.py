@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.text import term_counts, term_places, token_array
 from quire.session import bounded_broadcast
-from quire.sinks.buckets import BUCKETS, BucketStore, bucket_of, with_place
+from quire.sinks.buckets import BUCKET, BUCKETS, VERSION, BucketStore, bucket_of, with_place
 
 SPAN = 1024       # ids in a span
 CLASSES = 64      # length classes of a span, two for every doubling
@@ -85,10 +85,10 @@ class Index:
             F.max(F.when(F.col("tf") > 0, ratio)).alias("top"), F.max(F.when(F.col("tf") > 0, share)).alias("share"))
         blocks = blocks.select("field", "span", "block", "term", F.size("e").cast("long").alias("n"), "cf", "top", "share", F.col("e.doc_id").alias("docs"),
                                F.col("e.tf").alias("tfs"), F.col("e.dl").alias("dls"), F.col("e.places").alias("places"))
-        version = self.store.version + 1
+        version = self.store.begin()
         self.store._write("blocks", blocks, "span", n, version, ("field", "term", "block"), True)
         made = self.store.spark.read.schema(with_place(blocks.schema)).parquet(
-            f"{self.store.path}/data/blocks").where(F.col("v") == version)
+            f"{self.store.path}/data/blocks").where(F.col(VERSION) == version)
         terms = made.where("term IS NOT NULL").groupBy("field", "term").agg(
             F.sum("n").alias("df"), F.sum("cf").alias("cf"), F.max("top").alias("top"), F.max("share").alias("share"))
         has, length = F.size(F.filter("dls", lambda x: x > 0)), F.aggregate("dls", F.lit(0).cast("long"), lambda a, x: a + x)
@@ -97,7 +97,7 @@ class Index:
                            F.when(F.col("term").isNull(), length).alias("sum_total_term_freq"))
         zero = F.lit(0).cast("long")
         totals = sums.groupBy("field").agg(*[F.coalesce(F.sum(c), zero).alias(c) for c in sums.columns[1:]])
-        self.store.append({"terms": (terms, "term"), "fields": (totals, "field")}, n, {"terms": ("field", "term")}, written={"blocks": (blocks.schema, "span")})
+        self.store.append({"terms": (terms, "term"), "fields": (totals, "field")}, n, {"terms": ("field", "term")}, written={"blocks": (blocks.schema, "span")}, version=version)
         self._totals.clear()
         return self
 
@@ -113,7 +113,7 @@ class Index:
     def document(self, doc_id: int, field: str = "text") -> DataFrame:
         """The postings of one document: the blocks of one span are read."""
         b = self.store.bucket("blocks", F.lit(doc_id // SPAN).cast("long"))
-        rows = self.blocks(field).where((F.col("b") == b) & (F.col("span") == doc_id // SPAN))
+        rows = self.blocks(field).where((F.col(BUCKET) == b) & (F.col("span") == doc_id // SPAN))
         at = F.array_position("docs", F.lit(doc_id).cast("long")).cast("int")
         return rows.where(at > 0).select("field", F.lit(doc_id).cast("long").alias("doc_id"), "term",
                                          F.element_at("tfs", at).alias("tf"), F.element_at("dls", at).alias("dl"))
@@ -128,7 +128,7 @@ class Index:
         rows = self.store.read("terms")
         rows = rows if field is None else rows.where(F.col("field") == field)
         if all(len(v) == 1 for v in self.store.tables["terms"].live.values()):
-            return rows.drop("b")
+            return rows.drop(BUCKET)
         return rows.groupBy("field", "term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"), F.max("top").alias("top"), F.max("share").alias("share"))
 
     def stats_of(self, terms: DataFrame, field: str = "text") -> DataFrame:
@@ -137,7 +137,7 @@ class Index:
 
     def field_stats(self) -> DataFrame:
         """``(field, max_doc, doc_count, sum_doc_freq, sum_total_term_freq)``."""
-        rows = self.store.read("fields").drop("b")
+        rows = self.store.read("fields").drop(BUCKET)
         return rows.groupBy("field").agg(*[F.sum(c).alias(c) for c in rows.columns[1:]])
 
     def totals(self, field: str = "text"):

@@ -685,6 +685,14 @@ def q_kmeans_fit(spark, sf):
     return r.assignment.select("doc_id", "cluster")
 
 
+@register("kmeans_once", O.with_(O.DOCS, _PTS_ALL, _KMF, O.kmeans_once_ctes(UNROLL_ALL))
+          + " SELECT doc_id, cluster FROM steps WHERE i = (SELECT max(i) FROM settled)")
+def q_kmeans_once(spark, sf):
+    """The memberships when every cluster has once been empty or unchanged."""
+    r = cluster.fit(_points_all(spark, sf), K_ALL, init="points", stop="once")
+    return r.assignment.select("doc_id", "cluster")
+
+
 @register("doc_clusters_all", O.with_(O.DOCS, _PTS_ALL, _KMF) + f""" SELECT doc_id, cluster,
     round(dist, 6) AS dist FROM {_AF}""")
 def q_doc_clusters_all(spark, sf):

@@ -130,3 +130,17 @@ def kmeans_ctes(points: str, k: int, iters: int, prefix: str = "km") -> tuple[st
         GROUP BY a.cluster, x.term, s.size
         UNION ALL SELECT cluster, term, w FROM {c} WHERE cluster NOT IN (SELECT cluster FROM {p}sz{i}))""")
     return ",".join(x.strip("\n") for x in parts), f"{p}a{iters}", f"{p}c{iters}"
+
+
+def kmeans_once_ctes(iters: int, prefix: str = "km") -> str:
+    """After ``kmeans_ctes``: ``settled(cluster, i)``, the first step in which
+    a cluster's centroid stayed as it was (an empty cluster's does), and
+    ``steps(i, doc_id, cluster)``."""
+    p = prefix
+    same = " UNION ALL ".join(
+        f"SELECT coalesce(x.cluster, y.cluster) AS cluster, {i} AS i, max(abs(coalesce(x.w, 0) - coalesce(y.w, 0))) AS far "
+        f"FROM {p}c{i} x FULL JOIN {p}c{i - 1} y ON x.cluster = y.cluster AND x.term = y.term GROUP BY 1" for i in range(1, iters + 1))
+    steps = " UNION ALL ".join(f"SELECT {i} AS i, doc_id, cluster FROM {p}a{i}" for i in range(1, iters + 1))
+    return f"""
+settled AS (SELECT cluster, min(i) AS i FROM ({same}) WHERE far <= 1e-12 GROUP BY cluster),
+steps AS ({steps})"""

@@ -1,7 +1,7 @@
 """Versioned Parquet tables whose rows are dealt to hash buckets.
 
 A store is a folder of tables. The rows of a table lie in
-``data/<table>/b=<bucket>/v=<version>``; ``live/n=<version>`` names, for every
+``data/<table>/_bucket=<bucket>/_version=<version>``; ``live/n=<version>`` names, for every
 table and bucket, the versions that count. A write adds files of a new version
 and switches last, by writing ``live`` for it: a write that fails before leaves
 the store as it was, and a reader that has begun keeps its files. An append
@@ -13,15 +13,17 @@ others. Two writers of one version cannot both switch: the second fails.
 from __future__ import annotations
 
 import json
+import secrets
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 BUCKETS = 32
-_LIVE = "tab string, key string, buckets int, layout string, live map<int,array<int>>"
+BUCKET, VERSION = "_bucket", "_version"   # columns that tables cannot have
+_LIVE = "tab string, key string, buckets int, layout string, live map<int,array<bigint>>"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -71,29 +73,34 @@ class BucketStore:
         return bool(self.tables)
 
     def read(self, table: str) -> DataFrame:
-        """The live rows of a table, with their bucket ``b``. A filter on ``b``
+        """The live rows of a table, with the column ``BUCKET``. A filter on it
         prunes folders."""
         if table not in self._frames:
             t = self.tables[table]
             layout = StructType.fromJson(json.loads(t.layout))
             rows = self.spark.read.schema(with_place(layout)).parquet(f"{self.path}/data/{table}")
-            live = F.create_map(*[x for b, vs in sorted(t.live.items()) for x in (F.lit(b), F.array(*map(F.lit, vs)))])
-            self._frames[table] = rows.where(F.array_contains(F.element_at(live, F.col("b")), F.col("v"))).drop("v")
+            live = F.create_map(*[x for b, vs in sorted(t.live.items()) for x in (F.lit(b), F.array(*[F.lit(v).cast("long") for v in vs]))])
+            self._frames[table] = rows.where(F.array_contains(F.element_at(live, F.col(BUCKET)), F.col(VERSION))).drop(VERSION)
         return self._frames[table]
 
     def bucket(self, table: str, value) -> F.Column:
         """The bucket that holds the rows with a key value."""
         return bucket_of(value, self.tables[table].buckets)
 
+    def begin(self) -> int:
+        """A version for the files of the next write: the number that it will
+        switch to and, so that two writers never share a folder, a random one."""
+        return (self.version + 1 << 30) + secrets.randbelow(1 << 30)
+
     def _write(self, table: str, rows: DataFrame, key: str, buckets: int, version: int, order: Sequence[str], dealt: bool) -> None:
-        rows = rows.withColumn("b", bucket_of(F.col(key), buckets)).withColumn("v", F.lit(version))
+        rows = rows.withColumn(BUCKET, bucket_of(F.col(key), buckets)).withColumn(VERSION, F.lit(version).cast("long"))
         if not dealt:   # adaptive execution splits a bucket that holds too much
-            rows = rows.hint("rebalance", "b")
-        rows.sortWithinPartitions("b", "v", *order).write.mode("append").partitionBy("b", "v").parquet(f"{self.path}/data/{table}")
+            rows = rows.hint("rebalance", BUCKET)
+        rows.sortWithinPartitions(BUCKET, VERSION, *order).write.mode("append").partitionBy(BUCKET, VERSION).parquet(f"{self.path}/data/{table}")
 
-    def _switch(self, version: int, tables: Mapping) -> None:
+    def _switch(self, tables: Mapping) -> None:
         rows = [(t, x["key"], x["buckets"], x["layout"], x["live"]) for t, x in tables.items()]
-        self.spark.createDataFrame(rows, _LIVE).coalesce(1).write.mode("error").parquet(f"{self.path}/live/n={version}")
+        self.spark.createDataFrame(rows, _LIVE).coalesce(1).write.mode("error").parquet(f"{self.path}/live/n={self.version + 1}")
         self._refresh()
 
     def _known(self) -> dict:
@@ -101,13 +108,13 @@ class BucketStore:
                 for t, r in self.tables.items()}
 
     def append(self, rows: Mapping[str, tuple[DataFrame, str]], buckets: int = BUCKETS, order: Mapping[str, Sequence[str]] | None = None,
-               written: Mapping[str, tuple[StructType, str]] | None = None, replace: bool = False) -> None:
+               written: Mapping[str, tuple[StructType, str]] | None = None, replace: bool = False, version: int | None = None) -> None:
         """Add rows to tables, given as ``{table: (rows, key column)}``; a new
         table gets ``buckets`` buckets. ``order`` sorts the rows of a file.
-        ``written`` names tables whose rows of this version are in place, as
+        ``written`` names tables whose rows of ``version`` are in place, as
         ``{table: (schema, key column)}``. With ``replace`` the rows before no
         longer count."""
-        version, known = self.version + 1, self._known()
+        version, known = version or self.begin(), self._known()
         for table, (schema, key) in (written or {}).items():
             old = known.get(table) or {"key": key, "buckets": buckets, "layout": schema.json(), "live": {}}
             known[table] = old | {"live": {b: [*old["live"].get(b, []), version] for b in range(old["buckets"])}}
@@ -123,7 +130,7 @@ class BucketStore:
             self._write(table, df, key, n, version, (order or {}).get(table, ()), False)
             before = old["live"] if old and not replace else {}
             known[table] = {"key": key, "buckets": n, "layout": layout, "live": {b: [*before.get(b, []), version] for b in range(n)}}
-        self._switch(version, known)
+        self._switch(known)
 
     def upsert(self, table: str, delta: DataFrame, order: str | None = None) -> list[int]:
         """Rows of ``delta`` replace the rows with the same key (see the
@@ -134,11 +141,11 @@ class BucketStore:
         touched = sorted(r.b for r in delta.select(bucket_of(F.col(t.key), t.buckets).alias("b")).distinct().collect())   # at most the buckets
         if not touched:
             return touched
-        base = self.read(table).where(F.col("b").isin(touched)).drop("b")
-        version, known = self.version + 1, self._known()
+        base = self.read(table).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+        version, known = self.begin(), self._known()
         self._write(table, upsert(base, delta, t.key, order), t.key, t.buckets, version, (), False)
         known[table]["live"] |= {b: [version] for b in touched}
-        self._switch(version, known)
+        self._switch(known)
         return touched
 
     def vacuum(self) -> int:
@@ -146,11 +153,11 @@ class BucketStore:
         conf = self.spark._jsc.hadoopConfiguration()
         gone = 0
         for table, t in self.tables.items():
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/data/{table}/b=*/v=*")
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/data/{table}/{BUCKET}=*/{VERSION}=*")
             fs = path.getFileSystem(conf)
             for s in fs.globStatus(path) or []:
                 b, v = (int(x.split("=")[1]) for x in s.getPath().toString().split("/")[-2:])
-                if v <= self.version and v not in t.live.get(b, []):
+                if v >> 30 <= self.version and v not in t.live.get(b, []):
                     gone += bool(fs.delete(s.getPath(), True))
         self._refresh()
         return gone
@@ -162,4 +169,4 @@ def bucket_of(value, buckets: int) -> F.Column:
 
 def with_place(layout: StructType) -> StructType:
     """A table's columns with the bucket and version of its folders."""
-    return StructType([*layout.fields, StructField("b", IntegerType()), StructField("v", IntegerType())])
+    return StructType([*layout.fields, StructField(BUCKET, IntegerType()), StructField(VERSION, LongType())])

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.sinks.buckets import BUCKETS, BucketStore, path_exists, upsert
+from quire.sinks.buckets import BUCKET, BUCKETS, BucketStore, path_exists, upsert
 
 OPEN_MODES = ("create", "append", "create_or_append")
 TABLE = "docs"   # the table of a keyed collection
@@ -59,7 +59,7 @@ def save(df: DataFrame, path: str, openmode: str = "create", key: str | None = N
 def load(spark: SparkSession, path: str) -> DataFrame:
     """The rows of a collection."""
     store = BucketStore(spark, path)
-    return store.read(TABLE).drop("b") if store.exists() else spark.read.parquet(path)
+    return store.read(TABLE).drop(BUCKET) if store.exists() else spark.read.parquet(path)
 
 
 def partition_by_top_folder(df: DataFrame, rel_path_col: str = "rel_path") -> DataFrame:
