@@ -8,8 +8,9 @@ threshold, the best score any vector not yet met can have, lies below its k-th
 score. A tie with the k-th score could still win by its smaller id, so the
 walk goes on at equality. The k best of every block are merged by rank.
 
-Queries travel to the blocks in chunks, so a task holds one block and one
-chunk at a time however many queries there are.
+Queries travel in chunks. A block and a chunk are one unit of work, and the
+units are dealt evenly over the tasks, so a task holds one block and one chunk
+at a time and no task grows with the number of queries.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ K = 10             # fixed value: results per query
 QUERY_STEP = 100   # fixed value: query rows have an id divisible by this
 BLOCK = 8192       # vectors in a block
 CHUNK = 512        # queries in a chunk
+TASKS = 10_000     # most tasks
 FIRST_DEPTH = 32   # list entries read in the first round; doubled every round
 
 
@@ -103,7 +105,7 @@ RESULT = "query_id long, vec_id long, score long"
 
 
 def _walk(k: int):
-    """Rows of one block arrive together, its vectors before the query chunks."""
+    """Rows of one unit arrive together, the block before the query chunk."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = ids = rows = block = None
         dim = -1
@@ -150,11 +152,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, block: int = BLOCK
     queries = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
     blocks = max(1, -(-vectors.count() // block))
     chunks = max(1, -(-queries.count() // chunk))
-    sent = _packed(queries, chunks).select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")).alias("part"),
-                                           F.lit(True).alias("is_query"), "ids", "rows")
-    dealt = _packed(vectors, blocks).select("part", F.lit(False).alias("is_query"), "ids", "rows").unionByName(sent)
-    dealt = dealt.repartition(blocks, "part").sortWithinPartitions("part", "is_query")
-    hits = dealt.mapInArrow(_walk(k), RESULT)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    unit = lambda b, c: (F.col(b) * F.lit(chunks) + F.col(c)).alias("unit")
+    sent = _packed(queries, chunks).withColumn("block", every(blocks)).select(unit("block", "part"), F.lit(True).alias("is_query"), "ids", "rows")
+    dealt = _packed(vectors, blocks).withColumn("chunk", every(chunks)).select(unit("part", "chunk"), F.lit(False).alias("is_query"), "ids", "rows")
+    tasks = min(blocks * chunks, TASKS)
+    both = dealt.unionByName(sent).repartitionById(tasks, (F.col("unit") % tasks).cast("int")).sortWithinPartitions("unit", "is_query")
+    hits = both.mapInArrow(_walk(k), RESULT)
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
