@@ -113,37 +113,43 @@ def _width(spec: Spec) -> int:
     return 1 if spec.unit == "bytes" else 8
 
 
-def _contexts(spec: Spec):
+def _contexts(specs: Sequence[Spec]):
     """The units of the wanted ranges, with the anchor's hash in front."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offs = flat.buffer_of(batch.column("text"))
             parts = batch.column("parts")
             for i, j, d, o in flat.slices(data, offs):
-                x, first = units(spec, d, o)
                 mine = parts.slice(i, j - i)
-                f = mine.flatten()
-                row = np.repeat(np.arange(j - i), np.diff(mine.offsets.to_numpy()))
-                lo, cnt = f.field("lo").to_numpy().astype(np.int64), f.field("cnt").to_numpy().astype(np.int64)
-                s, n = lo + first[row], cnt + spec.window - 1
-                for b in range(0, len(s), 4096):
-                    p, m, k = s[b:b + 4096], n[b:b + 4096], pa.array(row[b:b + 4096] + i)
-                    body = x[flat.span_index(p, m)]
-                    at = np.concatenate([[0], np.cumsum(m * _width(spec))]).astype(np.int32)
-                    ctx = pa.BinaryArray.from_buffers(pa.binary(), len(p), [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(body).view(np.uint8))])
-                    part = f.slice(b, 4096)
-                    yield pa.RecordBatch.from_arrays([part.field("akey"), batch.column("doc_id").take(k), batch.column("thash").take(k),
-                                                      part.field("lo"), part.field("cnt"), part.field("copies"), ctx],
-                                                     names=["akey", "doc_id", "thash", "lo", "cnt", "copies", "ctx"])
+                every = mine.flatten()
+                rows = np.repeat(np.arange(j - i), np.diff(mine.offsets.to_numpy()))
+                kind = every.field("spec").to_numpy()
+                for number, spec in enumerate(specs):
+                    x, first = units(spec, d, o)
+                    own = np.flatnonzero(kind == number)
+                    f, row = every.take(pa.array(own)), rows[own]
+                    lo, cnt = f.field("lo").to_numpy().astype(np.int64), f.field("cnt").to_numpy().astype(np.int64)
+                    s, n = lo + first[row], cnt + spec.window - 1
+                    for b in range(0, len(s), 4096):
+                        p, m, k = s[b:b + 4096], n[b:b + 4096], pa.array(row[b:b + 4096] + i)
+                        body = x[flat.span_index(p, m)]
+                        at = np.concatenate([[0], np.cumsum(m * _width(spec))]).astype(np.int32)
+                        ctx = pa.BinaryArray.from_buffers(pa.binary(), len(p), [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(body).view(np.uint8))])
+                        part = f.slice(b, 4096)
+                        yield pa.RecordBatch.from_arrays([part.field("spec"), part.field("akey"), batch.column("doc_id").take(k), batch.column("thash").take(k),
+                                                          part.field("lo"), part.field("cnt"), part.field("copies"), ctx],
+                                                         names=["spec", "akey", "doc_id", "thash", "lo", "cnt", "copies", "ctx"])
     return run
 
 
-def _sorted_groups(spec: Spec):
+def _sorted_groups(specs: Sequence[Spec]):
     """Sorts the suffixes of whole anchor groups; yields the spans of ranges
-    that stand for one document. Rows come ordered by anchor."""
-    names = ["doc_id", "thash", "s", "e"]
+    that stand for one document. Rows come ordered by spec and anchor."""
+    names = ["spec", "doc_id", "thash", "s", "e"]
 
     def solve(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        number = rows[0].column("spec")[0].as_py()
+        spec = specs[number]
         t = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
         ctx = t.column("ctx")
         offs = np.frombuffer(ctx.buffers()[1], np.int32)[ctx.offset:ctx.offset + len(ctx) + 1].astype(np.int64)
@@ -160,18 +166,19 @@ def _sorted_groups(spec: Spec):
         new = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (np.diff(o) != 1)])) if len(hit) else hit
         last = np.append(new[1:], len(hit)) - 1 if len(hit) else hit
         k = pa.array(w[new])
-        return pa.RecordBatch.from_arrays([t.column("doc_id").take(k), t.column("thash").take(k), pa.array(o[new], pa.int32()),
+        return pa.RecordBatch.from_arrays([t.column("spec").take(k), t.column("doc_id").take(k), t.column("thash").take(k), pa.array(o[new], pa.int32()),
                                            pa.array(o[last] + spec.window, pa.int32())], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         n = 0
         for batch in batches:
-            key = batch.column("akey").to_numpy()
-            cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), batch.num_rows]
+            key, kind = batch.column("akey").to_numpy(), batch.column("spec").to_numpy()
+            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]) | (kind[1:] != kind[:-1])) + 1).tolist(), batch.num_rows]
             total = np.concatenate([[0], np.cumsum(batch.column("cnt").to_numpy().astype(np.int64))])
             for a, b in zip(cuts[:-1], cuts[1:]):
-                if held and n >= CHUNK and key[a] != held[-1].column("akey")[-1].as_py():
+                last = (held[-1].column("spec")[-1].as_py(), held[-1].column("akey")[-1].as_py()) if held else None
+                if held and (kind[a] != last[0] or n >= CHUNK and key[a] != last[1]):
                     yield solve(held)
                     held, n = [], 0
                 held.append(batch.slice(a, b - a))
@@ -211,30 +218,43 @@ def _cut_text(data, offs, s, e, row, words):
     return out
 
 
-def _spans(src: DataFrame, spec: Spec) -> DataFrame:
-    """``doc_id, thash, los, s, e, words``: the units of every window that also
-    starts anywhere else."""
-    rows = repeated(src, spec, "suffixes")
-    start, end = F.lit(0).alias("s"), (F.col("cnt") + (spec.window - 1)).alias("e")
-    whole = rows.where("NOT contested").select("doc_id", "thash", "los", start, end)
-    open_ = rows.where("contested").drop("first")
-    classes = stage(class_table(open_), "suffixes-classes")
-    copied = open_.join(classes.where("copies > 1").select("akey", "ckey"), ["akey", "ckey"], "left_semi").select(
-        "doc_id", "thash", "los", start, end)
-    crowded = classes.groupBy("akey").agg(F.count(F.lit(1)).alias("c")).select("akey", (F.col("c") > CROWD).alias("crowded"))
-    classes = stage(classes.join(crowded, "akey"), "suffixes-classes")
+def _spans(src: DataFrame, specs: Sequence[Spec]) -> DataFrame:
+    """``doc_id, thash, los, s, e, words``: the units of every window of a
+    spec that also starts anywhere else. The texts are read for the contexts
+    of all specs together."""
+    out, sort = None, None
+
+    def add(spans, words):
+        nonlocal out
+        spans = spans.withColumn("words", words).drop("spec")
+        out = spans if out is None else out.unionByName(spans)
+
+    start, end = F.lit(0).alias("s"), F.col("cnt")
+    for number, spec in enumerate(specs):
+        words = F.lit(spec.unit == "words")
+        rows = repeated(src, spec, "suffixes")
+        whole = (end + (spec.window - 1)).alias("e")
+        add(rows.where("NOT contested").select("doc_id", "thash", "los", start, whole), words)
+        open_ = rows.where("contested").drop("first")
+        classes = stage(class_table(open_), "suffixes-classes")
+        add(open_.join(classes.where("copies > 1").select("akey", "ckey"), ["akey", "ckey"], "left_semi").select(
+            "doc_id", "thash", "los", start, whole), words)
+        crowded = classes.groupBy("akey").agg(F.count(F.lit(1)).alias("c")).select("akey", (F.col("c") > CROWD).alias("crowded"))
+        classes = stage(classes.join(crowded, "akey"), "suffixes-classes")
+        # crowded anchors: one row per window, equal windows combined
+        alone = classes.where("crowded AND copies = 1").select("akey", "ckey", "doc_id", "thash", "lo")
+        seen = counted(src, classes.where("crowded").drop("crowded"), spec)
+        add(seen.join(alone, ["akey", "ckey"]).select(
+            "doc_id", "thash", F.array("lo").alias("los"), F.col("o").alias("s"), (F.col("o") + spec.window).alias("e")), words)
+        mine = classes.where("NOT crowded").withColumn("spec", F.lit(number))
+        sort = mine if sort is None else sort.unionByName(mine)
     # most anchors: sort the suffixes of their contexts
-    ctx = with_texts(src, classes.where("NOT crowded"), ["akey", "lo", "cnt", "copies"]).mapInArrow(
-        _contexts(spec), "akey long, doc_id long, thash long, lo int, cnt int, copies long, ctx binary")
-    sorted_ = ctx.repartition("akey").sortWithinPartitions("akey").mapInArrow(_sorted_groups(spec), "doc_id long, thash long, s int, e int").select(
-        "doc_id", "thash", F.array("s").alias("los"), start, (F.col("e") - F.col("s")).alias("e"))
-    # crowded anchors: one row per window, equal windows combined
-    alone = classes.where("crowded AND copies = 1").select("akey", "ckey", "doc_id", "thash", "lo")
-    seen = counted(src, classes.where("crowded").drop("crowded"), spec)
-    busy = seen.join(alone, ["akey", "ckey"]).select(
-        "doc_id", "thash", F.array("lo").alias("los"), F.col("o").alias("s"), (F.col("o") + spec.window).alias("e"))
-    spans = whole.unionByName(copied).unionByName(sorted_).unionByName(busy)
-    return spans.withColumn("words", F.lit(spec.unit == "words"))
+    ctx = with_texts(src, sort, ["spec", "akey", "lo", "cnt", "copies"]).mapInArrow(
+        _contexts(specs), "spec int, akey long, doc_id long, thash long, lo int, cnt int, copies long, ctx binary")
+    done = ctx.repartition("spec", "akey").sortWithinPartitions("spec", "akey").mapInArrow(_sorted_groups(specs), "spec int, doc_id long, thash long, s int, e int")
+    worded = F.element_at(F.array(*[F.lit(x.unit == "words") for x in specs]), F.col("spec") + 1)
+    add(done.select("spec", "doc_id", "thash", F.array("s").alias("los"), start, (F.col("e") - F.col("s")).alias("e")), worded)
+    return out
 
 
 def dedup(docs: DataFrame, spec: Spec = SPEC, carry: list[str] | None = None, as_text: bool = False,
@@ -249,9 +269,7 @@ def dedup(docs: DataFrame, spec: Spec = SPEC, carry: list[str] | None = None, as
     text in both places. An empty table gives no rows.
     """
     src = hashed(docs)
-    spans = _spans(src, spec)
-    for other in also:
-        spans = spans.unionByName(_spans(src, other))
+    spans = _spans(src, [spec, *also])
     carry = carry or []
     if carry:
         src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("thash"),
