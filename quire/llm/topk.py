@@ -60,7 +60,7 @@ class Block:
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray):
         self.ids, self.rows = ids, rows
-        self.order = np.argsort(rows, axis=0, kind="stable")  # per dimension, ascending
+        self.order = np.ascontiguousarray(np.argsort(rows, axis=0, kind="stable").T, np.int32)  # per dimension, ascending
 
     def dots(self, at: np.ndarray, q: np.ndarray) -> np.ndarray:
         r = self.rows[at]
@@ -83,10 +83,13 @@ class Block:
         depth, step = 0, FIRST_DEPTH
         while depth < n:
             to = min(n, depth + step) if len(live) else n
-            heads = [self.order[depth:to, d] if a else self.order[n - to:n - depth, d] for d, a in zip(live, up)]
-            new = np.unique(np.concatenate(heads)) if heads else np.arange(n)
-            new = new[~met[new]]
-            met[new] = True
+            seen = met.copy()
+            for d, a in zip(live, up):
+                seen[self.order[d, depth:to] if a else self.order[d, n - to:n - depth]] = True
+            if not len(live):   # vectors without components
+                seen[:] = True
+            new = np.flatnonzero(seen & ~met)
+            met = seen
             new = new[self.ids[new] != own]
             best_id = np.concatenate([best_id, self.ids[new]])
             best = np.concatenate([best, self.dots(new, q)])
@@ -95,7 +98,7 @@ class Block:
             depth, step = to, step * 2
             if len(best) == k and depth < n:
                 at = np.where(up, depth - 1, n - depth)
-                edge = self.rows[self.order[at, live], live]
+                edge = self.rows[self.order[live, at], live]
                 if int((edge * q[live]).sum()) < int(best[-1]):
                     break
         return best_id, best, depth
