@@ -52,23 +52,26 @@ def init_box(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
 
 
 def _distances(vectors: DataFrame, centroids: DataFrame, cc: Sequence[float], clusters: Sequence[int],
-               send=bounded_broadcast) -> DataFrame:
+               few_rows: bool = False, send=bounded_broadcast) -> DataFrame:
     """``(doc_id, nearest)`` for rows ``(doc_id, pp, v)``, v being the array
     of ``(term, w)`` and pp the squared norm: the clusters as an array of
     ``(r, cluster, dist)``, nearest first (r is the rounded distance, so ties go
     to the lowest cluster). ``centroids`` is ``(term, ws)``, one row per term
-    with its weight in every cluster; ``cc`` are the squared norms."""
-    rows = vectors.select("doc_id", "pp", F.inline(F.concat(F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(0.0).alias("w"))), "v")))
-    # the row without a term keeps points that share no term with any centroid
-    met = rows.join(send(centroids.select("term", "ws")), "term", "left")
-    met = met.select("doc_id", "pp", "w", F.posexplode_outer("ws").alias("cluster", "cw")).where("cw IS NULL OR cw <> 0")
-    dots = met.groupBy("doc_id", "cluster").agg(F.max("pp").alias("pp"), F.sum(F.col("w") * F.col("cw")).alias("dot"))
-    per = dots.groupBy("doc_id").agg(F.max("pp").alias("pp"), F.map_from_entries(F.collect_list(
-        F.when(F.col("cluster").isNotNull(), F.struct("cluster", "dot")))).alias("dot"))
+    with its weight in every cluster; ``cc`` are the squared norms.
+    ``few_rows`` says that the vectors' elements are few enough to be sent to
+    the centroids; else ``send`` decides on the centroids."""
+    rows = vectors.select("doc_id", F.inline("v"))
+    wide = centroids.select("term", "ws")
+    met = F.broadcast(rows).join(wide, "term") if few_rows else rows.join(send(wide), "term")
+    met = met.select("doc_id", "w", F.posexplode("ws").alias("cluster", "cw")).where("cw <> 0")
+    dots = met.groupBy("doc_id", "cluster").agg(F.sum(F.col("w") * F.col("cw")).alias("dot"))
+    dots = dots.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("cluster", "dot"))).alias("dots"))   # at most k
+    # points that share no term with any centroid have no dots
+    per = vectors.select("doc_id", "pp").join(dots, "doc_id", "left")
     norm = F.array(*[F.struct(F.lit(j).alias("cluster"), F.lit(float(cc[j])).alias("cc")) for j in clusters])
 
     def of(x):
-        dot = F.coalesce(F.try_element_at(F.col("dot"), x["cluster"]), F.lit(0.0))
+        dot = F.coalesce(F.try_element_at(F.col("dots"), x["cluster"]), F.lit(0.0))
         dist = F.sqrt(F.greatest(F.col("pp") - 2 * dot + x["cc"], F.lit(0.0)))
         return F.struct(F.round(dist, RANK_DECIMALS).alias("r"), x["cluster"].alias("cluster"), dist.alias("dist"))
 
@@ -182,12 +185,11 @@ def fit(points: DataFrame, k: int, init: str = "points", max_iter: int | None =
     points = written(as_vectors(points), "points")
     some = points.select("doc_id", F.explode("v").alias("x")).select("doc_id", "x.term", "x.w")
     first = init_points(some, k) if init == "points" else init_box(some, k, seed)
-    n = points.count()
     # the frames of a step have a row per point or per term at most: their
     # sizes are checked once
-    per_point = F.broadcast if n <= BROADCAST_MAX_ROWS else bounded_broadcast
+    n, elements = points.agg(F.count(F.lit(1)), F.sum(F.size("v"))).first()
     terms = some.select("term").distinct().limit(BROADCAST_MAX_ROWS + 1).count()
-    per_term = F.broadcast if terms <= BROADCAST_MAX_ROWS else (lambda df: df)
+    sizes = _Sizes(n, elements / n, terms)
     clusters = list(range(min(k, n) if init == "points" else k))
     # a term's weight in every cluster, and the sums the weights come from
     none = F.array_repeat(F.lit(0.0), k).alias("ss")
@@ -197,13 +199,13 @@ def fit(points: DataFrame, k: int, init: str = "points", max_iter: int | None =
     mem, it = None, 0
     while max_iter is None or it < max_iter:
         it += 1
-        mem = written(_memberships(points, mem, c, cc, drift, clusters, per_point, per_term), "memberships")
+        mem = written(_memberships(points, mem, c, cc, drift, clusters, sizes), "memberships")
         move = ~F.col("cluster").eqNullSafe(F.col("was"))
         counts = mem.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.count_if(move).alias("moved")).collect()  # k rows
         size = {r["cluster"]: r["size"] for r in counts}
         if it > 1 and not any(r["moved"] for r in counts):   # no centroid moves any more
             break
-        c = written(_moved_sums(points, mem, c, size, k, per_point), "centroids")
+        c = written(_moved_sums(points, mem, c, size, k, sizes), "centroids")
         gap = F.col("w") - F.col("was")
         cells = c.select(F.posexplode(F.arrays_zip("ws", "was")).alias("cluster", "x")).select("cluster", F.col("x.ws").alias("w"), "x.was")
         marks = {r.cluster: r for r in cells.groupBy("cluster").agg(
@@ -215,14 +217,28 @@ def fit(points: DataFrame, k: int, init: str = "points", max_iter: int | None =
         if len(settled if stop == "stable" else done) == len(clusters):
             break
     if mem is None:
-        mem = written(_memberships(points, None, c, cc, None, clusters, per_point, per_term), "memberships")
+        mem = written(_memberships(points, None, c, cc, None, clusters, sizes), "memberships")
     own = _to_own(points, mem, c, cc)
     cells = c.select("term", F.posexplode("ws").alias("cluster", "w")).select("cluster", "term", "w")
     return KMeansResult(own, cells.where("w <> 0"), it)
 
 
+@dataclass
+class _Sizes:
+    """Rows of the frames of a step: points, elements of a point, terms."""
+    points: int
+    elements: float
+    terms: int
+
+    def per_point(self, df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if self.points <= BROADCAST_MAX_ROWS else bounded_broadcast(df)
+
+    def per_term(self, df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if self.terms <= BROADCAST_MAX_ROWS else df
+
+
 def _memberships(points: DataFrame, before: DataFrame | None, centroids: DataFrame, cc: Sequence[float],
-                 drift: Sequence[float] | None, clusters: Sequence[int], per_point, per_term) -> DataFrame:
+                 drift: Sequence[float] | None, clusters: Sequence[int], sizes: _Sizes) -> DataFrame:
     """``(doc_id, cluster, was, upper, lower)``: the nearest centroid of every
     point, the one before, and bounds of the distances to its own and to any
     other centroid.
@@ -236,7 +252,7 @@ def _memberships(points: DataFrame, before: DataFrame | None, centroids: DataFra
     fresh = (F.element_at("nearest", 1)["cluster"].alias("cluster"), F.element_at("nearest", 1)["dist"].alias("upper"),
              F.coalesce(two, F.lit(float("inf"))).alias("lower"))
     if before is None:
-        near = _distances(points, centroids, cc, clusters, per_term)
+        near = _distances(points, centroids, cc, clusters, False, sizes.per_term)
         return near.select("doc_id", fresh[0], F.lit(None).cast("int").alias("was"), *fresh[1:])
     moves = F.array(*[F.lit(float(x)) for x in drift])
     others = F.array(*[F.lit(float(max([0.0, *(drift[i] for i in clusters if i != j)]))) for j in range(len(drift))])
@@ -244,16 +260,21 @@ def _memberships(points: DataFrame, before: DataFrame | None, centroids: DataFra
                            (F.col("lower") - F.element_at(others, F.col("cluster") + 1)).alias("lower"))
     sure = F.col("upper") + BOUND_GAP < F.col("lower")
     kept = bounds.where(sure).select("doc_id", "cluster", F.col("cluster").alias("was"), "upper", "lower")
-    asked = per_point(bounds.where(~sure).select("doc_id", F.col("cluster").alias("was")))
-    near = _distances(points.join(per_point(asked.select("doc_id")), "doc_id", "left_semi"), centroids, cc, clusters, per_term)
+    asked = bounds.where(~sure).select("doc_id", F.col("cluster").alias("was"))
+    open_ = asked.count()
+    if not open_:
+        return kept
+    asked = sizes.per_point(asked)
+    mine = points.join(asked, "doc_id", "left_semi")
+    near = _distances(mine, centroids, cc, clusters, open_ * sizes.elements <= BROADCAST_MAX_ROWS, sizes.per_term)
     return kept.unionByName(near.join(asked, "doc_id").select("doc_id", fresh[0], "was", *fresh[1:]))
 
 
-def _moved_sums(points: DataFrame, mem: DataFrame, wide: DataFrame, size: dict[int, int], k: int, per_point) -> DataFrame:
+def _moved_sums(points: DataFrame, mem: DataFrame, wide: DataFrame, size: dict[int, int], k: int, sizes: _Sizes) -> DataFrame:
     """New ``(term, ss, ws, was)``: the sums change by the points that
     changed their cluster only; a cluster without points keeps its centroid."""
     moved = mem.where(~F.col("cluster").eqNullSafe(F.col("was"))).select("doc_id", "cluster", "was")
-    rows = points.join(per_point(moved), "doc_id").select("cluster", "was", F.inline("v"))
+    rows = points.join(sizes.per_point(moved), "doc_id").select("cluster", "was", F.inline("v"))
     change = rows.select("term", "cluster", "w").unionByName(
         rows.where("was IS NOT NULL").select("term", F.col("was").alias("cluster"), (-F.col("w")).alias("w")))
     # combined before they move, then dealt by term
