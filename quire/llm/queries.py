@@ -35,6 +35,8 @@ QUERIES = {f.__name__: f for f in (
 
 ORACLE = {
     "op1_url_redirects": sql.OP1,
+    "op7_rabin_karp_windows": sql.OP7,
+    "op9_setsketch_groups": sql.OP9,
     "op10_threshold_topk": sql.OP10,
     "op11_cyk_repair": sql.OP11,
     "op13_four_russians_negatives": sql.OP13,

@@ -213,3 +213,38 @@ negatives AS (
    AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score)
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 10
 """
+
+_WORDS = "'[^\\x20\\x09-\\x0D]+'"
+
+OP7 = f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORDS}) AS ws FROM documents),
+win AS (
+  SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS k FROM (
+    SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 49)) AS i FROM w WHERE len(ws) >= 50)),
+seen AS (SELECT k, min(doc_id) AS f FROM win GROUP BY k),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(i, i + 49)) AS p FROM win JOIN seen USING (k) WHERE f < doc_id),
+words AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM w),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT w.doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+OP9 = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_lower("coalesce(text, '')")}, {_WORDS}) AS ws FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(ws[i:i + 4], ' ')) AS k FROM (
+    SELECT doc_id, ws, unnest(generate_series(1, greatest(len(ws) - 4, 1))) AS i FROM w WHERE len(ws) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingle x JOIN shingle y ON x.k = y.k AND x.doc_id < y.doc_id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM common JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+ways AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach(n, m) AS (SELECT DISTINCT a, a FROM ways UNION SELECT r.n, e.b FROM reach r JOIN ways e ON r.m = e.a),
+class AS (SELECT n AS doc_id, min(m) AS component FROM reach GROUP BY n)
+SELECT w.doc_id, coalesce(size.n, 0) AS n_shingles, coalesce(component, w.doc_id) AS component_id,
+       coalesce(component, w.doc_id) = w.doc_id AS kept
+FROM w LEFT JOIN size USING (doc_id) LEFT JOIN class USING (doc_id)
+"""
