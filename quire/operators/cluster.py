@@ -67,7 +67,7 @@ def _distances(vectors: DataFrame, centroids: DataFrame, cc: Sequence[float], cl
     dots = met.groupBy("doc_id", "cluster").agg(F.sum(F.col("w") * F.col("cw")).alias("dot"))
     dots = dots.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("cluster", "dot"))).alias("dots"))   # at most k
     # points that share no term with any centroid have no dots
-    per = vectors.select("doc_id", "pp").join(dots, "doc_id", "left")
+    per = vectors.select("doc_id", "pp").join(F.broadcast(dots) if few_rows else dots, "doc_id", "left")
     norm = F.array(*[F.struct(F.lit(j).alias("cluster"), F.lit(float(cc[j])).alias("cc")) for j in clusters])
 
     def of(x):
@@ -205,7 +205,8 @@ def fit(points: DataFrame, k: int, init: str = "points", max_iter: int | None =
         size = {r["cluster"]: r["size"] for r in counts}
         if it > 1 and not any(r["moved"] for r in counts):   # no centroid moves any more
             break
-        c = written(_moved_sums(points, mem, c, size, k, sizes), "centroids")
+        moved = sum(r["moved"] for r in counts)
+        c = written(_moved_sums(points, mem, c, size, k, sizes, it == 1, 2 * moved * sizes.elements <= BROADCAST_MAX_ROWS), "centroids")
         gap = F.col("w") - F.col("was")
         cells = c.select(F.posexplode(F.arrays_zip("ws", "was")).alias("cluster", "x")).select("cluster", F.col("x.ws").alias("w"), "x.was")
         marks = {r.cluster: r for r in cells.groupBy("cluster").agg(
@@ -270,9 +271,12 @@ def _memberships(points: DataFrame, before: DataFrame | None, centroids: DataFra
     return kept.unionByName(near.join(asked, "doc_id").select("doc_id", fresh[0], "was", *fresh[1:]))
 
 
-def _moved_sums(points: DataFrame, mem: DataFrame, wide: DataFrame, size: dict[int, int], k: int, sizes: _Sizes) -> DataFrame:
+def _moved_sums(points: DataFrame, mem: DataFrame, wide: DataFrame, size: dict[int, int], k: int, sizes: _Sizes,
+                first: bool, few: bool) -> DataFrame:
     """New ``(term, ss, ws, was)``: the sums change by the points that
-    changed their cluster only; a cluster without points keeps its centroid."""
+    changed their cluster only; a cluster without points keeps its centroid.
+    After the ``first`` step the sums have every term of the points. ``few``
+    says that the changes are few enough to be sent to the sums."""
     moved = mem.where(~F.col("cluster").eqNullSafe(F.col("was"))).select("doc_id", "cluster", "was")
     rows = points.join(sizes.per_point(moved), "doc_id").select("cluster", "was", F.inline("v"))
     change = rows.select("term", "cluster", "w").unionByName(
@@ -280,7 +284,11 @@ def _moved_sums(points: DataFrame, mem: DataFrame, wide: DataFrame, size: dict[i
     # combined before they move, then dealt by term
     per = change.groupBy("term", "cluster").agg(F.sum("w").alias("w"))
     per = per.groupBy("term").agg(F.map_from_entries(F.collect_list(F.struct("cluster", "w"))).alias("m"))   # at most k
-    both = wide.select("term", "ss", "ws").join(per, "term", "full")
+    sums = wide.select("term", "ss", "ws")
+    if first:
+        both = sums.join(per, "term", "full")
+    else:
+        both = sums.join(F.broadcast(per) if few else per, "term", "left")
     none = F.array_repeat(F.lit(0.0), k)
     both = both.select("term", F.coalesce("ss", none).alias("ss"), F.coalesce("ws", none).alias("was"), "m")
     part = lambda j: F.coalesce(F.try_element_at("m", j), F.lit(0.0))
