@@ -130,3 +130,20 @@ def test_modes_of_collections(spark, tmp_dir):
     assert collection.load(spark, tmp_dir + "/keyed").count() == 1
     assert not collection.exists(spark, tmp_dir + "/none") and collection.exists(spark, tmp_dir + "/keyed")
     assert os.path.isdir(tmp_dir + "/keyed/live") and math.isfinite(1)
+
+
+def test_a_block_of_many_tokens_is_built_in_parts(spark, tmp_dir, monkeypatch):
+    """Tasks hold a bounded number of tokens, and the rows of a bucket come
+    from more than one task."""
+    from quire.operators import index as module
+    monkeypatch.setattr(module, "HELD", 50)
+    rows = [(i, " ".join(random.Random(i % 9).choices("abcdefgh", k=i % 30))) for i in range(0, 60000, 37)] + [(7, None), (37, "a b")]
+    index = Index(spark, tmp_dir + "/ix").add(docs_of(spark, rows), buckets=2)
+    want = sorted((d, w, (t or "").split().count(w)) for d, t in rows for w in set((t or "").split()))
+    assert sorted((r.doc_id, r.term, r.tf) for r in index.postings().collect()) == want
+    places = index.blocks().selectExpr("term", "inline(arrays_zip(docs, places))").collect()
+    texts = {d: t.split() for d, t in rows if t and d != 37}
+    assert all([texts[r.docs][p] for p in r.places] == [r.term] * len(r.places) for r in places if r.docs in texts)
+    assert index.totals().max_doc == len(rows)
+    per_block = index.blocks().groupBy("block", "term").count()
+    assert per_block.where("count > 1").count() > 0
