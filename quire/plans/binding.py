@@ -8,10 +8,15 @@ words (word rule ``WORD_PATTERN`` on lower-cased text). This only builds the
 
 from __future__ import annotations
 
+import os
 import time
+from collections.abc import Iterator
 from datetime import datetime
+from urllib.parse import urlparse
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.session import bounded_broadcast, materialize
@@ -53,18 +58,56 @@ def wait_for(moment: datetime) -> None:
         time.sleep(left)
 
 
+def _folder(col: str) -> Column:
+    """``col=value`` as the name of a folder, as Spark's writers name it."""
+    value = F.col(col).cast("string")
+    unsafe = r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]"""
+    # hexadecimal codes of the characters that a folder's name cannot have
+    codes = F.transform(F.split(value, ""), lambda c: F.when(c.rlike(unsafe), F.concat(F.lit("%"), F.lpad(F.hex(F.ascii(c)), 2, "0"))).otherwise(c))
+    escaped = F.when(value.rlike(unsafe), F.array_join(codes, "")).otherwise(value)
+    return F.concat(F.lit(f"{col}="), F.when(F.coalesce(F.length(value), F.lit(0)) == 0, F.lit("__HIVE_DEFAULT_PARTITION__")).otherwise(escaped))
+
+
+def _write_files(root: str):
+    """Writes a task's texts, sorted by folder, as files below ``root``: the
+    text and a line end. A repeated task writes the same files again."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        last, n, written = None, 0, 0
+        for batch in batches:
+            for folder, text in zip(batch.column("folder").to_pylist(), batch.column("text").to_pylist()):
+                n = n + 1 if folder == last else 0
+                last = folder
+                os.makedirs(f"{root}/{folder}", exist_ok=True)
+                with open(f"{root}/{folder}/part-{task:05d}-{n}.txt", "wb") as f:
+                    f.write((text or "").encode() + b"\n")
+                written += 1
+        yield pa.RecordBatch.from_arrays([pa.array([written], pa.int64())], names=["files"])
+    return run
+
+
 def write_doc_tree(docs: DataFrame, root: str, summary: bool = True) -> None:
     """Stage the collection as a folder tree of UTF-8 text files (input of
     the file-tree readers): one summary CSV at the root, documents in
     language ``en`` two folders deep (``source=…/doc_id=…/``), the others one
     folder deep (``doc_id=…/``), one file per document. Without ``summary`` the
-    documents are added to a tree that is there."""
+    documents are added to a tree that is there.
+
+    On a mounted file system the tasks write the files themselves: a commit of
+    Spark's partitioned writer moves folder by folder on the driver, and each
+    file it makes starts processes that set its mode."""
     if summary:
         docs.agg(F.count(F.lit(1)).alias("n_docs")).write.mode("overwrite").csv(root)
-    en = docs.where(F.col("lang") == "en")
-    (en.select("source", "doc_id", "text").write.mode("append")
-       .partitionBy("source", "doc_id").text(root))
-    (docs.where(F.coalesce(F.col("lang") != "en", F.lit(True))).select("doc_id", "text").write.mode("append")
+    en = F.col("lang").eqNullSafe("en")
+    place = urlparse(root)
+    if place.scheme in ("", "file"):
+        folder = F.when(en, F.concat_ws("/", _folder("source"), _folder("doc_id"))).otherwise(_folder("doc_id"))
+        files = docs.select(folder.alias("folder"), "text").sortWithinPartitions("folder", "text")
+        files.mapInArrow(_write_files(place.path), "files long").agg(F.sum("files")).first()   # one number
+        return
+    (docs.where(en).select("source", "doc_id", "text").write.mode("append")
+         .partitionBy("source", "doc_id").text(root))
+    (docs.where(~en).select("doc_id", "text").write.mode("append")
          .partitionBy("doc_id").text(root))
 
 
