@@ -2,11 +2,11 @@
 
 Centroids are rows ``(cluster, term, w)`` (clusters numbered 0..k-1).
 Distances use ||p||^2 - 2 p.c + ||c||^2 (clamped at 0 before the root). Inside
-the loop a point is one row with its vector as an array. Bounds on its
-distances, moved along with the centroids, let a point that cannot change its
-cluster skip the join with the centroids, and the centroids' sums change by
-the points that did change. The driver only loops and reads k rows per step;
-points, memberships and centroids are written to cut the lineage.
+the loop the points' elements are cells of a part of the terms and a chunk of
+the points (``_Grid``), stored once as arrays; a step moves the dot products of
+points and cells and the parts of the centroids, and the centroids' sums
+change by the points that changed their cluster. The driver only loops and
+reads k rows per step; memberships and centroids are written to cut the lineage.
 """
 
 from __future__ import annotations
@@ -14,17 +14,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.session import BROADCAST_MAX_ROWS, bounded_broadcast, written
+from quire.session import bounded_broadcast, materialize, written
 
 RANK_DECIMALS = 9
 # Two centroid weights closer than this count as equal (unchanged centroid).
 SAME_WEIGHT = 1e-12
-# Bounds of distances that lie this far apart decide; far above the rounding
-# of the distances that are compared.
-BOUND_GAP = 1e-7
+PART_TERMS = 1 << 18    # terms of a part of the centroids, about
+CHUNK_POINTS = 8192     # points of a chunk, about
+SENT_PARTS = 4          # parts of the centroids that are broadcast, at most
 
 
 def init_points(points: DataFrame, k: int) -> DataFrame:
@@ -51,23 +54,21 @@ def init_box(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
     return out.where(F.col("w") != 0)
 
 
-def _distances(vectors: DataFrame, centroids: DataFrame, cc: Sequence[float], clusters: Sequence[int],
-               few_rows: bool = False, send=bounded_broadcast) -> DataFrame:
+def _distances(vectors: DataFrame, centroids: DataFrame, cc: Sequence[float], clusters: Sequence[int]) -> DataFrame:
     """``(doc_id, nearest)`` for rows ``(doc_id, pp, v)``, v being the array
     of ``(term, w)`` and pp the squared norm: the clusters as an array of
     ``(r, cluster, dist)``, nearest first (r is the rounded distance, so ties go
     to the lowest cluster). ``centroids`` is ``(term, ws)``, one row per term
     with its weight in every cluster; ``cc`` are the squared norms.
-    ``few_rows`` says that the vectors' elements are few enough to be sent to
-    the centroids; else ``send`` decides on the centroids."""
+    """
     rows = vectors.select("doc_id", F.inline("v"))
     wide = centroids.select("term", "ws")
-    met = F.broadcast(rows).join(wide, "term") if few_rows else rows.join(send(wide), "term")
+    met = rows.join(bounded_broadcast(wide), "term")
     met = met.select("doc_id", "w", F.posexplode("ws").alias("cluster", "cw")).where("cw <> 0")
     dots = met.groupBy("doc_id", "cluster").agg(F.sum(F.col("w") * F.col("cw")).alias("dot"))
     dots = dots.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("cluster", "dot"))).alias("dots"))   # at most k
     # points that share no term with any centroid have no dots
-    per = vectors.select("doc_id", "pp").join(F.broadcast(dots) if few_rows else dots, "doc_id", "left")
+    per = vectors.select("doc_id", "pp").join(dots, "doc_id", "left")
     norm = F.array(*[F.struct(F.lit(j).alias("cluster"), F.lit(float(cc[j])).alias("cc")) for j in clusters])
 
     def of(x):
@@ -182,129 +183,259 @@ def fit(points: DataFrame, k: int, init: str = "points", max_iter: int | None =
                            spark.createDataFrame([], "cluster int, term string, w double"), 0)
     if k <= 0 or points.isEmpty():
         return nothing
-    points = written(as_vectors(points), "points")
+    points = written(as_vectors(points.where("doc_id IS NOT NULL")), "points")
     some = points.select("doc_id", F.explode("v").alias("x")).select("doc_id", "x.term", "x.w")
     first = init_points(some, k) if init == "points" else init_box(some, k, seed)
-    # the frames of a step have a row per point or per term at most: their
-    # sizes are checked once
-    n, elements = points.agg(F.count(F.lit(1)), F.sum(F.size("v"))).first()
-    terms = some.select("term").distinct().limit(BROADCAST_MAX_ROWS + 1).count()
-    sizes = _Sizes(n, elements / n, terms)
-    clusters = list(range(min(k, n) if init == "points" else k))
-    # a term's weight in every cluster, and the sums the weights come from
-    none = F.array_repeat(F.lit(0.0), k).alias("ss")
-    c = written(wide_centroids(first, k).select("term", none, "ws"), "centroids")
-    cc, drift = _norms(c, k), None
+    grid = _Grid(points, some, k)
+    clusters = list(range(min(k, grid.points) if init == "points" else k))
+    c, marks = grid.centroids(first)
+    cc = [marks[j].cc for j in range(k)]
     done: set[int] = set()
     mem, it = None, 0
     while max_iter is None or it < max_iter:
         it += 1
-        mem = written(_memberships(points, mem, c, cc, drift, clusters, sizes), "memberships")
-        move = ~F.col("cluster").eqNullSafe(F.col("was"))
-        counts = mem.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.count_if(move).alias("moved")).collect()  # k rows
-        size = {r["cluster"]: r["size"] for r in counts}
+        mem = written(grid.memberships(mem, c, cc, clusters), "memberships")
+        counts = mem.select(F.inline("sizes")).groupBy("cluster").agg(F.sum("size").alias("size"), F.sum("moved").alias("moved")).collect()  # k rows
+        size = {r["cluster"]: r["size"] for r in counts if r["size"]}
         if it > 1 and not any(r["moved"] for r in counts):   # no centroid moves any more
             break
-        moved = sum(r["moved"] for r in counts)
-        c = written(_moved_sums(points, mem, c, size, k, sizes, it == 1, 2 * moved * sizes.elements <= BROADCAST_MAX_ROWS), "centroids")
-        gap = F.col("w") - F.col("was")
-        cells = c.select(F.posexplode(F.arrays_zip("ws", "was")).alias("cluster", "x")).select("cluster", F.col("x.ws").alias("w"), "x.was")
-        marks = {r.cluster: r for r in cells.groupBy("cluster").agg(
-            F.max(F.abs(gap)).alias("most"), F.sqrt(F.sum(gap * gap)).alias("far"), F.sum(F.col("w") * F.col("w")).alias("cc")).collect()}  # k rows
-        drift = [marks[j].far if j in marks else 0.0 for j in range(k)]
-        cc = [marks[j].cc if j in marks else 0.0 for j in range(k)]
-        settled = {j for j in clusters if j not in size or j not in marks or marks[j].most <= SAME_WEIGHT}
+        c, marks = grid.moved_sums(c, mem, size)
+        cc = [marks[j].cc for j in range(k)]
+        settled = {j for j in clusters if j not in size or marks[j].most <= SAME_WEIGHT}
         done |= settled
         if len(settled if stop == "stable" else done) == len(clusters):
             break
     if mem is None:
-        mem = written(_memberships(points, None, c, cc, None, clusters, sizes), "memberships")
-    own = _to_own(points, mem, c, cc)
-    cells = c.select("term", F.posexplode("ws").alias("cluster", "w")).select("cluster", "term", "w")
-    return KMeansResult(own, cells.where("w <> 0"), it)
-
-
-@dataclass
-class _Sizes:
-    """Rows of the frames of a step: points, elements of a point, terms."""
-    points: int
-    elements: float
-    terms: int
+        mem = written(grid.memberships(None, c, cc, clusters), "memberships")
+    return KMeansResult(grid.to_own(mem, c, cc), grid.rows(c), it)
 
-    def per_point(self, df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if self.points <= BROADCAST_MAX_ROWS else bounded_broadcast(df)
 
-    def per_term(self, df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if self.terms <= BROADCAST_MAX_ROWS else df
+class _Grid:
+    """The points' elements as cells of a part of the terms and a chunk of the
+    points, each a row with arrays in compressed-row form.
 
-
-def _memberships(points: DataFrame, before: DataFrame | None, centroids: DataFrame, cc: Sequence[float],
-                 drift: Sequence[float] | None, clusters: Sequence[int], sizes: _Sizes) -> DataFrame:
-    """``(doc_id, cluster, was, upper, lower)``: the nearest centroid of every
-    point, the one before, and bounds of the distances to its own and to any
-    other centroid.
-
-    By the triangle inequality the own distance grows by no more than its
-    centroid has moved and the others shrink by no more than the farthest
-    move, so a point whose bounds stay ``BOUND_GAP`` apart keeps its cluster
-    without a look at its vector.
+    Terms are dealt to parts of some ``PART_TERMS`` and numbered there, points
+    to chunks. The centroids are a row per part, with a weight per cluster and
+    term. A cell gives the dot products of its points with its part of the
+    centroids; a chunk adds them up over the parts. The cells are stored once,
+    dealt to lanes of a part; the centroids come to them, not the reverse.
     """
-    two = F.try_element_at("nearest", F.lit(2))["dist"]
-    fresh = (F.element_at("nearest", 1)["cluster"].alias("cluster"), F.element_at("nearest", 1)["dist"].alias("upper"),
-             F.coalesce(two, F.lit(float("inf"))).alias("lower"))
-    if before is None:
-        near = _distances(points, centroids, cc, clusters, False, sizes.per_term)
-        return near.select("doc_id", fresh[0], F.lit(None).cast("int").alias("was"), *fresh[1:])
-    moves = F.array(*[F.lit(float(x)) for x in drift])
-    others = F.array(*[F.lit(float(max([0.0, *(drift[i] for i in clusters if i != j)]))) for j in range(len(drift))])
-    bounds = before.select("doc_id", "cluster", (F.col("upper") + F.element_at(moves, F.col("cluster") + 1)).alias("upper"),
-                           (F.col("lower") - F.element_at(others, F.col("cluster") + 1)).alias("lower"))
-    sure = F.col("upper") + BOUND_GAP < F.col("lower")
-    kept = bounds.where(sure).select("doc_id", "cluster", F.col("cluster").alias("was"), "upper", "lower")
-    asked = bounds.where(~sure).select("doc_id", F.col("cluster").alias("was"))
-    open_ = asked.count()
-    if not open_:
-        return kept
-    asked = sizes.per_point(asked)
-    mine = points.join(asked, "doc_id", "left_semi")
-    near = _distances(mine, centroids, cc, clusters, open_ * sizes.elements <= BROADCAST_MAX_ROWS, sizes.per_term)
-    return kept.unionByName(near.join(asked, "doc_id").select("doc_id", fresh[0], "was", *fresh[1:]))
-
-
-def _moved_sums(points: DataFrame, mem: DataFrame, wide: DataFrame, size: dict[int, int], k: int, sizes: _Sizes,
-                first: bool, few: bool) -> DataFrame:
-    """New ``(term, ss, ws, was)``: the sums change by the points that
-    changed their cluster only; a cluster without points keeps its centroid.
-    After the ``first`` step the sums have every term of the points. ``few``
-    says that the changes are few enough to be sent to the sums."""
-    moved = mem.where(~F.col("cluster").eqNullSafe(F.col("was"))).select("doc_id", "cluster", "was")
-    rows = points.join(sizes.per_point(moved), "doc_id").select("cluster", "was", F.inline("v"))
-    change = rows.select("term", "cluster", "w").unionByName(
-        rows.where("was IS NOT NULL").select("term", F.col("was").alias("cluster"), (-F.col("w")).alias("w")))
-    # combined before they move, then dealt by term
-    per = change.groupBy("term", "cluster").agg(F.sum("w").alias("w"))
-    per = per.groupBy("term").agg(F.map_from_entries(F.collect_list(F.struct("cluster", "w"))).alias("m"))   # at most k
-    sums = wide.select("term", "ss", "ws")
-    if first:
-        both = sums.join(per, "term", "full")
-    else:
-        both = sums.join(F.broadcast(per) if few else per, "term", "left")
-    none = F.array_repeat(F.lit(0.0), k)
-    both = both.select("term", F.coalesce("ss", none).alias("ss"), F.coalesce("ws", none).alias("was"), "m")
-    part = lambda j: F.coalesce(F.try_element_at("m", j), F.lit(0.0))
-    sums = both.select("term", "was", F.when(F.col("m").isNull(), F.col("ss")).otherwise(
-        _by_cluster(k, lambda j: F.element_at("ss", j + 1) + part(j))).alias("ss"))
-    n = F.array(*[F.lit(float(size[j]) if j in size else None).cast("double") for j in range(k)])
-    means = _by_cluster(k, lambda j: F.coalesce(F.element_at("ss", j + 1) / F.element_at(n, j + 1), F.element_at("was", j + 1)))
-    return sums.select("term", "ss", means.alias("ws"), "was")
-
-
-def _to_own(points: DataFrame, mem: DataFrame, wide: DataFrame, cc: Sequence[float]) -> DataFrame:
-    """``(doc_id, cluster, dist)`` with the distance to the own cluster's
-    centroid."""
-    norm = F.element_at(F.array(*[F.lit(float(x)) for x in cc]), F.col("cluster") + 1)
-    mine = points.join(mem.select("doc_id", "cluster"), "doc_id").select("doc_id", "cluster", "pp", F.inline("v"))
-    met = mine.join(bounded_broadcast(wide.select("term", "ws")), "term", "left")
-    w = F.coalesce(F.element_at("ws", F.col("cluster") + 1), F.lit(0.0))
-    per = met.groupBy("doc_id", "cluster").agg(F.max("pp").alias("pp"), F.sum(F.col("w") * w).alias("dot"))
-    return per.select("doc_id", "cluster", F.sqrt(F.greatest(F.col("pp") - 2 * F.col("dot") + norm, F.lit(0.0))).alias("dist"))
+
+    def __init__(self, points: DataFrame, some: DataFrame, k: int):
+        spark = points.sparkSession
+        cores = spark.sparkContext.defaultParallelism
+        self.k = k
+        self.points = points.count()
+        words = written(some.select("term").distinct(), "words")
+        self.parts = max(1, -(-words.count() // PART_TERMS))
+        chunk_points = max(256, min(CHUNK_POINTS, -(-self.points // (4 * cores))))
+        chunks = max(1, -(-self.points // chunk_points))
+        self.lanes = max(1, -(-3 * cores // self.parts))
+        words = words.withColumn("part", F.pmod(F.xxhash64("term"), F.lit(self.parts)).cast("int"))
+        by_term = Window.partitionBy("part").orderBy("term")
+        self.terms = written(words.withColumn("tid", (F.row_number().over(by_term) - 1).cast("int")), "terms")
+        by_id = Window.partitionBy("chunk").orderBy("doc_id")
+        ids = points.select("doc_id", "pp", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("int").alias("chunk"))
+        ids = written(ids.withColumn("at", (F.row_number().over(by_id) - 1).cast("int")), "ids")
+        self.chunks = written(ids.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("doc_id", "pp"))).alias("x"))
+                              .select("chunk", F.col("x.doc_id").alias("ids"), F.col("x.pp").alias("pp")), "chunks")
+        rows = points.select("doc_id", F.inline("v")).join(ids.select("doc_id", "chunk", "at"), "doc_id").join(self.terms, "term")
+        cells = rows.select("part", "chunk", "at", "tid", F.col("w").cast("double").alias("w")).groupBy("part", "chunk").applyInArrow(
+            _cell, "part int, chunk int, at binary, tid binary, w binary")
+        lane = (F.col("part") * self.lanes + F.pmod("chunk", F.lit(self.lanes))).alias("lane")
+        self.cells = materialize(cells.select(lane, "part", "chunk", "at", "tid", "w").repartition(self.parts * self.lanes, "lane"))
+
+    def centroids(self, first: DataFrame):
+        """The centroids of rows ``(cluster, term, w)``, with sums of zero."""
+        near = self.terms.join(first, "term", "left").select("part", "tid", "cluster", F.col("w").cast("double").alias("w"))
+        return self._marked(near.groupBy("part").applyInArrow(_first_centroids(self.k), CENTROIDS))
+
+    def _marked(self, c: DataFrame):
+        c = written(c, "centroids")
+        rows = c.select(F.inline("marks")).groupBy("cluster").agg(F.max("most").alias("most"), F.sum("cc").alias("cc")).collect()  # k rows
+        return c, {r.cluster: r for r in rows}
+
+    def _dots(self, c: DataFrame) -> DataFrame:
+        """``(chunk, dots)``: the products of every cell, a cluster's after the other."""
+        wide = c.select("part", "ws")
+        if self.parts <= SENT_PARTS:
+            met = self.cells.join(F.broadcast(wide), "part")
+        else:
+            dealt = wide.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(self.lanes - 1)))).select(
+                (F.col("part") * self.lanes + F.col("lane")).alias("lane"), "ws")
+            met = self.cells.join(dealt.hint("shuffle_hash"), "lane")
+        return met.select("chunk", "at", "tid", "w", "ws").mapInArrow(_cell_dots(self.k), "chunk int, at binary, dots binary")
+
+    def _of_chunks(self, c: DataFrame, mem: DataFrame | None) -> DataFrame:
+        """A row per chunk: its points, their memberships before, and the
+        products of its cells."""
+        dots = self._dots(c).groupBy("chunk").agg(F.collect_list("at").alias("ats"), F.collect_list("dots").alias("dots"))   # a row per part
+        own = self.chunks.join(mem.select("chunk", "cluster"), "chunk") if mem is not None else self.chunks.withColumn("cluster", F.lit(None).cast("binary"))
+        return own.join(dots, "chunk", "left")
+
+    def memberships(self, before: DataFrame | None, c: DataFrame, cc: Sequence[float], clusters: Sequence[int]) -> DataFrame:
+        """``(chunk, cluster, was, sizes)``: the nearest centroid of every point
+        of a chunk and the one before (-1 at first), and for every cluster
+        its points and those that came or left."""
+        return self._of_chunks(c, before).mapInArrow(
+            _nearest(self.k, list(cc), list(clusters)), "chunk int, cluster binary, was binary, sizes array<struct<cluster:int,size:long,moved:long>>")
+
+    def moved_sums(self, c: DataFrame, mem: DataFrame, size: dict[int, int]):
+        """New centroids: the sums change by the points that changed their
+        cluster only; a cluster without points keeps its centroid."""
+        met = self.cells.join(bounded_broadcast(mem.select("chunk", "cluster", "was")), "chunk")
+        change = met.select("part", "at", "tid", "w", "cluster", "was").mapInArrow(_cell_changes(self.k), "part int, tids binary, sums binary")
+        change = change.groupBy("part").agg(F.collect_list("tids").alias("tids"), F.collect_list("sums").alias("sums"))   # a row per task and part
+        both = c.select("part", "ss", "ws").join(change, "part", "left")
+        return self._marked(both.mapInArrow(_new_centroids(self.k, dict(size)), CENTROIDS))
+
+    def to_own(self, mem: DataFrame, c: DataFrame, cc: Sequence[float]) -> DataFrame:
+        """``(doc_id, cluster, dist)`` with the distance to the own centroid."""
+        return self._of_chunks(c, mem).mapInArrow(_own_distances(self.k, list(cc)), "doc_id long, cluster int, dist double")
+
+    def rows(self, c: DataFrame) -> DataFrame:
+        """``(cluster, term, w)`` of the weights that are not zero."""
+        cells = c.select("part", "ws").mapInArrow(_weights(self.k), "part int, tid int, cluster int, w double")
+        return cells.join(self.terms, ["part", "tid"]).select("cluster", "term", "w")
+
+
+CENTROIDS = "part int, ss binary, ws binary, marks array<struct<cluster:int,most:double,cc:double>>"
+
+
+def _cell(table: pa.Table) -> pa.Table:
+    at, tid, w = (table[c].to_numpy() for c in ("at", "tid", "w"))
+    by = np.argsort(at, kind="stable")
+    return pa.table({"part": table["part"].slice(0, 1), "chunk": table["chunk"].slice(0, 1),
+                     "at": pa.array([at[by].astype(np.int32).tobytes()]), "tid": pa.array([tid[by].astype(np.int32).tobytes()]),
+                     "w": pa.array([w[by].astype(float).tobytes()])})
+
+
+def _ints(x) -> np.ndarray:
+    return np.frombuffer(x.as_buffer(), np.int32)
+
+
+def _doubles(x, k: int = 0) -> np.ndarray:
+    got = np.frombuffer(x.as_buffer(), float)
+    return got.reshape(-1, k) if k else got
+
+
+def _mark(part: int, ss: np.ndarray, ws: np.ndarray, was: np.ndarray):
+    gap = np.abs(ws - was).max(axis=0, initial=0.0)
+    cc = (ws * ws).sum(axis=0)
+    return {"part": part, "ss": ss.tobytes(), "ws": ws.tobytes(),
+            "marks": [{"cluster": j, "most": float(gap[j]), "cc": float(cc[j])} for j in range(ws.shape[1])]}
+
+
+MARKS = pa.schema([("part", pa.int32()), ("ss", pa.binary()), ("ws", pa.binary()),
+                   ("marks", pa.list_(pa.struct([("cluster", pa.int32()), ("most", pa.float64()), ("cc", pa.float64())])))])
+
+
+def _first_centroids(k: int):
+    def run(table: pa.Table) -> pa.Table:
+        tid = table["tid"].to_numpy()
+        ws = np.zeros((int(tid.max()) + 1, k))
+        there = table.filter(pc.is_valid(table["cluster"]))
+        np.add.at(ws, (there["tid"].to_numpy(), there["cluster"].to_numpy()), there["w"].to_numpy())
+        return pa.Table.from_pylist([_mark(table["part"][0].as_py(), np.zeros_like(ws), ws, ws)], MARKS)
+    return run
+
+
+def _cell_dots(k: int):
+    def run(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                at, tid, w = _ints(b["at"][i]), _ints(b["tid"][i]), _doubles(b["w"][i])
+                ws = _doubles(b["ws"][i], k)
+                first = np.flatnonzero(np.diff(at, prepend=-1))
+                dots = np.add.reduceat(ws[tid] * w[:, None], first, axis=0)
+                yield pa.RecordBatch.from_pydict({"chunk": b["chunk"].slice(i, 1), "at": pa.array([at[first].tobytes()]), "dots": pa.array([dots.tobytes()])})
+    return run
+
+
+def _summed(row_ats, row_dots, n: int, k: int) -> np.ndarray:
+    dots = np.zeros((n, k))
+    for at, d in zip(row_ats or [], row_dots or []):
+        dots[np.frombuffer(at, np.int32)] += np.frombuffer(d, float).reshape(-1, k)
+    return dots
+
+
+def _nearest(k: int, cc: Sequence[float], clusters: Sequence[int]):
+    def run(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                pp = b["pp"][i].values.to_numpy()
+                dots = _summed(b["ats"][i].as_py(), b["dots"][i].as_py(), len(pp), k)
+                dist = np.sqrt(np.maximum(pp[:, None] - 2 * dots + np.array(cc), 0.0))
+                # ties go to the lowest cluster
+                near = np.round(dist[:, clusters], RANK_DECIMALS).argmin(axis=1)
+                cluster = np.array(clusters, np.int32)[near]
+                was = _ints(b["cluster"][i]) if b["cluster"][i].is_valid else np.full(len(pp), -1, np.int32)
+                moved = cluster != was
+                size, came, left = (np.bincount(x, minlength=k) for x in (cluster, cluster[moved], was[moved & (was >= 0)]))
+                sizes = [{"cluster": j, "size": int(size[j]), "moved": int(came[j] + left[j])} for j in range(k)]
+                yield pa.RecordBatch.from_pydict({"chunk": b["chunk"].slice(i, 1), "cluster": pa.array([cluster.tobytes()]), "was": pa.array([was.tobytes()]),
+                                                  "sizes": pa.array([sizes], MEMBER_SIZES)})
+    return run
+
+
+MEMBER_SIZES = pa.list_(pa.struct([("cluster", pa.int32()), ("size", pa.int64()), ("moved", pa.int64())]))
+
+
+def _cell_changes(k: int):
+    def run(batches):
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for i in range(b.num_rows):
+                at, tid, w = _ints(b["at"][i]), _ints(b["tid"][i]), _doubles(b["w"][i])
+                now, was = _ints(b["cluster"][i])[at], _ints(b["was"][i])[at]
+                moved = now != was
+                if not moved.any():
+                    continue
+                part, most = b["part"][i].as_py(), int(tid.max()) + 1
+                s = sums.get(part, np.zeros((0, k)))
+                if len(s) < most:
+                    s = np.vstack([s, np.zeros((most - len(s), k))])
+                sums[part] = s
+                for of, sign in ((now, 1.0), (was, -1.0)):
+                    some = moved & (of >= 0)
+                    s += np.bincount(tid[some] * np.int64(k) + of[some], sign * w[some], minlength=s.size).reshape(-1, k)
+        for part, s in sums.items():
+            some = np.flatnonzero((s != 0).any(axis=1)).astype(np.int32)
+            yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "tids": pa.array([some.tobytes()]), "sums": pa.array([s[some].tobytes()])})
+    return run
+
+
+def _new_centroids(k: int, size: dict[int, int]):
+    def run(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                ss, was = _doubles(b["ss"][i], k).copy(), _doubles(b["ws"][i], k)
+                for tids, sums in zip(b["tids"][i].as_py() or [], b["sums"][i].as_py() or []):
+                    ss[np.frombuffer(tids, np.int32)] += np.frombuffer(sums, float).reshape(-1, k)
+                ws = was.copy()
+                for j, n in size.items():
+                    ws[:, j] = ss[:, j] / n
+                yield pa.RecordBatch.from_pylist([_mark(b["part"][i].as_py(), ss, ws, was)], MARKS)
+    return run
+
+
+def _own_distances(k: int, cc: Sequence[float]):
+    def run(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                pp, cluster = b["pp"][i].values.to_numpy(), _ints(b["cluster"][i])
+                dots = _summed(b["ats"][i].as_py(), b["dots"][i].as_py(), len(pp), k)[np.arange(len(pp)), cluster]
+                dist = np.sqrt(np.maximum(pp - 2 * dots + np.array(cc)[cluster], 0.0))
+                yield pa.RecordBatch.from_pydict({"doc_id": b["ids"][i].values, "cluster": pa.array(cluster), "dist": pa.array(dist)})
+    return run
+
+
+def _weights(k: int):
+    def run(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                ws = _doubles(b["ws"][i], k)
+                tid, cluster = np.nonzero(ws)
+                yield pa.RecordBatch.from_pydict({"part": pa.array(np.full(len(tid), b["part"][i].as_py(), np.int32)), "tid": pa.array(tid.astype(np.int32)),
+                                                  "cluster": pa.array(cluster.astype(np.int32)), "w": pa.array(ws[tid, cluster])})
+    return run

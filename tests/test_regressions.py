@@ -149,3 +149,38 @@ def test_doc_tree_has_a_file_for_every_row(spark, tmp_dir):
     docs.where(~en | F.col("lang").isNull()).select("doc_id", "text").write.mode("append").partitionBy("doc_id").text(tmp_dir + "/spark")
     folders = lambda root: {os.path.relpath(d, root) for d, _, names in os.walk(root) if any(n.startswith("part-") and n.endswith(".txt") for n in names)}
     assert folders(tmp_dir + "/tree") == folders(tmp_dir + "/spark")
+
+
+@pytest.mark.parametrize("sent", [0, 100])
+def test_kmeans_over_many_cells(spark, monkeypatch, sent):
+    """Parts of the terms and chunks of the points, with the centroids sent or
+    dealt, give Lloyd's steps of a plain version; repeated elements add up."""
+    import random
+    monkeypatch.setattr(cluster, "PART_TERMS", 7)
+    monkeypatch.setattr(cluster, "SENT_PARTS", sent)
+    r = random.Random(5)
+    rows = [(i * 3, f"t{r.randrange(40)}", float(r.randint(1, 5))) for i in range(600) for _ in range(r.randint(1, 6))]
+    vecs, pp = {}, {}
+    for i, t, w in rows:
+        vecs.setdefault(i, {})
+        vecs[i][t] = vecs[i].get(t, 0.0) + w
+        pp[i] = pp.get(i, 0.0) + w * w
+    cents = [dict(vecs[i]) for i in sorted(vecs)[:3]]
+    mem = None
+    while True:
+        cc = [sum(w * w for w in c.values()) for c in cents]
+        dist = {i: [math.sqrt(max(pp[i] - 2 * sum(w * c.get(t, 0.0) for t, w in v.items()) + n, 0.0)) for c, n in zip(cents, cc)] for i, v in vecs.items()}
+        new = {i: min(range(3), key=lambda j: (round(d[j], 9), j)) for i, d in dist.items()}
+        if new == mem:
+            break
+        mem = new
+        for j in range(3):
+            own = [i for i in mem if mem[i] == j]
+            cents[j] = {}
+            for i in own:
+                for t, w in vecs[i].items():
+                    cents[j][t] = cents[j].get(t, 0.0) + w / len(own)
+    got = cluster.fit(spark.createDataFrame(rows, "doc_id long, term string, w double"), 3)
+    assert {x.doc_id: (x.cluster, round(x.dist, 6)) for x in got.assignment.collect()} == {i: (mem[i], round(dist[i][mem[i]], 6)) for i in mem}
+    assert {(x.cluster, x.term): round(x.w, 9) for x in got.centroids.collect()} == {
+        (j, t): round(w, 9) for j in range(3) for t, w in cents[j].items()}
