@@ -8,13 +8,13 @@ checkpoint folder.
 
 * ``score`` sums every matching (query, doc). The query terms, with all that
   does not depend on the document folded in, are a size-checked broadcast. The
-  postings of a document lie in one file, so the sums are nearly complete
-  before they are shuffled.
+  blocks of the terms are dealt by span, as compact arrays, and the sums are
+  finished in the task that holds the span.
 * ``best_hits`` finds the top k without scoring everything (block-max): the
   largest contribution of every term in every block bounds a block's best
   score. The blocks with the highest bounds are scored first and give, for
   every query, a k-th score; other blocks are read only if their bound can
-  still reach it.
+  still reach it. When that leaves out too little, everything is scored.
 
 Scores (survey contracts 2.9-b, 2.9-c), summed over matching query terms:
 
@@ -41,6 +41,9 @@ RANK_DECIMALS = 9
 BOUND_SLACK = 1e-8
 # Blocks of a query that are scored before any is left out.
 FIRST_BLOCKS = 8
+# Blocks are chosen per query only if the bounds leave at most this share of
+# the postings to be read after the first blocks; else all are scored.
+MOST_OPEN = 0.5
 # Default lambda grid of the smoothing sweep (0 excluded).
 LAMBDAS = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]
 
@@ -94,6 +97,18 @@ def _checked(lams) -> list[float]:
     return lams
 
 
+def _summed(index: Index, weights: DataFrame, sums: Sequence[Column], field: str) -> DataFrame:
+    """``sums`` over the postings of every matching (query, doc). The blocks
+    move once, as the arrays they are stored in, so that all rows of a
+    document's span meet in one task and the sums, a row per query and
+    document, need not move."""
+    terms = bounded_broadcast(weights.select("term").distinct())
+    hit = index.blocks(field).join(terms, "term", "left_semi").select("span", "term", "docs", "tfs", "dls").repartition("span")
+    rows = hit.join(bounded_broadcast(weights), "term").select("span", "query_id", "_w", "_p", F.inline(F.arrays_zip("docs", "tfs", "dls")))
+    rows = rows.withColumnsRenamed({"docs": "doc_id", "tfs": "tf", "dls": "dl"})
+    return rows.groupBy("span", "query_id", "doc_id").agg(*sums).drop("span")
+
+
 def score(source: Index | DataFrame, qterms: DataFrame, model: str = "tfidf", lam: float | Sequence[float] = 0.5,
           idf_power: int = 1, add_one: bool = False, field: str = "text") -> DataFrame:
     """Score every matching (query, doc): ``(query_id, doc_id, score)``, plus
@@ -106,11 +121,9 @@ def score(source: Index | DataFrame, qterms: DataFrame, model: str = "tfidf", la
     lams = _checked(lam) if model == "jm" else [0.5]
     index = indexed(source, field)
     weights = term_weights(index, qterms, model, idf_power, add_one, field)
-    joined = matches(index, qterms, field).join(bounded_broadcast(weights), "term")
     if model == "tfidf":
-        return joined.groupBy("query_id", "doc_id").agg(F.sum(_contribution(model, 0.5)).alias("score"))
-    sums = [F.sum(_contribution(model, x)).alias(f"_s{i}") for i, x in enumerate(lams)]
-    agg = joined.groupBy("query_id", "doc_id").agg(*sums)
+        return _summed(index, weights, [F.sum(_contribution(model, 0.5)).alias("score")], field)
+    agg = _summed(index, weights, [F.sum(_contribution(model, x)).alias(f"_s{i}") for i, x in enumerate(lams)], field)
     pairs = F.arrays_zip(F.array(*[F.lit(x) for x in lams]).alias("lambda"),
                          F.array(*[F.col(f"_s{i}") for i in range(len(lams))]).alias("score"))
     return agg.select(F.inline(pairs), "query_id", "doc_id").select("lambda", "query_id", "doc_id", "score")
@@ -161,8 +174,13 @@ def best_hits(source: Index | DataFrame, qterms: DataFrame, k: int, model: str =
     least = best.where(F.col("rank") == k).select("query_id", F.col("score").alias("least"))
     rest = bounds.where(F.col("place") > first).join(bounded_broadcast(least), "query_id", "left")
     rest = written(rest.where(F.col("least").isNull() | (F.col("bound") + BOUND_SLACK >= F.col("least"))), "open-blocks")
-    more = _score_blocks(index, weights, rest, model, lam, field)
-    hits = top_k(best.drop("rank").unionByName(more), k)
+    every, left = bounds.agg(F.sum("postings")).first()[0] or 0, rest.agg(F.sum("postings")).first()[0] or 0   # two numbers
+    if left > MOST_OPEN * every:   # a row per query, block and term would cost more than is left out
+        rest = bounds.where(F.col("place") > first)
+        hits = top_k(_summed(index, weights, [F.sum(_contribution(model, lam)).alias("score")], field), k)
+    else:
+        more = _score_blocks(index, weights, rest, model, lam, field)
+        hits = top_k(best.drop("rank").unionByName(more), k)
     read = F.when(F.col("place") <= first, F.col("postings")).otherwise(0)
     report = bounds.select("query_id", "postings", read.alias("r")).unionByName(rest.select("query_id", F.lit(0).cast("long").alias("postings"), F.col("postings").alias("r")))
     return hits, report.groupBy("query_id").agg(F.sum("postings").alias("postings"), F.sum("r").alias("postings_read"))
