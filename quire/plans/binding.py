@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import time
+import uuid
 from collections.abc import Iterator
 from datetime import datetime
 from urllib.parse import urlparse
@@ -69,20 +70,22 @@ def _folder(col: str) -> Column:
 
 
 def _write_files(root: str):
-    """Writes a task's texts, sorted by folder, as files below ``root``: the
-    text and a line end. A repeated task writes the same files again."""
+    """Writes a task's texts, sorted by folder, as a file per folder below
+    ``root``, a line end after each text. A repeated task writes the same
+    files again."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        last, n, written = None, 0, 0
+        last, written = None, 0
         for batch in batches:
             for folder, text in zip(batch.column("folder").to_pylist(), batch.column("text").to_pylist()):
-                n = n + 1 if folder == last else 0
-                last = folder
                 os.makedirs(f"{root}/{folder}", exist_ok=True)
-                with open(f"{root}/{folder}/part-{task:05d}-{n}.txt", "wb") as f:
+                with open(f"{root}/{folder}/part-{task:05d}{tag}.txt", "ab" if folder == last else "wb") as f:
                     f.write((text or "").encode() + b"\n")
-                written += 1
+                written += folder != last
+                last = folder
         yield pa.RecordBatch.from_arrays([pa.array([written], pa.int64())], names=["files"])
+
+    tag = "-" + uuid.uuid4().hex[:8]   # one for each write, as files may be added to a folder
     return run
 
 
@@ -98,17 +101,15 @@ def write_doc_tree(docs: DataFrame, root: str, summary: bool = True) -> None:
     file it makes starts processes that set its mode."""
     if summary:
         docs.agg(F.count(F.lit(1)).alias("n_docs")).write.mode("overwrite").csv(root)
-    en = F.col("lang").eqNullSafe("en")
+    en = docs.where(F.col("lang") == "en").select("source", "doc_id", "text")
+    rest = docs.where(F.coalesce(F.col("lang") != "en", F.lit(True))).select("doc_id", "text")
     place = urlparse(root)
-    if place.scheme in ("", "file"):
-        folder = F.when(en, F.concat_ws("/", _folder("source"), _folder("doc_id"))).otherwise(_folder("doc_id"))
-        files = docs.select(folder.alias("folder"), "text").sortWithinPartitions("folder", "text")
-        files.mapInArrow(_write_files(place.path), "files long").agg(F.sum("files")).first()   # one number
-        return
-    (docs.where(en).select("source", "doc_id", "text").write.mode("append")
-         .partitionBy("source", "doc_id").text(root))
-    (docs.where(~en).select("doc_id", "text").write.mode("append")
-         .partitionBy("doc_id").text(root))
+    for rows, by in ((en, ["source", "doc_id"]), (rest, ["doc_id"])):
+        if place.scheme in ("", "file"):
+            files = rows.select(F.concat_ws("/", *[_folder(c) for c in by]).alias("folder"), "text").sortWithinPartitions("folder", "text")
+            files.mapInArrow(_write_files(place.path), "files long").agg(F.sum("files")).first()   # one number
+        else:
+            rows.write.mode("append").partitionBy(*by).text(root)
 
 
 def write_records(docs: DataFrame, path: str) -> None:

@@ -132,23 +132,26 @@ def test_halves_cover_all_queries(spark):
     assert q.where(F.lit(False)).count() == 0 and tune.halves(q.limit(0)) == ((0, 0), (0, 0))
 
 
-def test_doc_tree_has_a_file_for_every_row(spark, tmp_dir):
-    """Rows of one folder stay separate files, folders are named as Spark's
-    partitioned writer names them, odd ids, sources and languages included."""
+def test_doc_tree_is_that_of_the_partitioned_writer(spark, tmp_dir):
+    """Folders and texts as Spark's partitioned writer makes them, odd ids,
+    sources and languages included, and files added to a folder; without its
+    commit, which leaves a mark."""
     import os
     from quire.plans import binding
     from quire.sources import files
     rows = [(1, "a\r\nb", "en", "web"), (1, "a\r\nb", "en", "web"), (2, None, "en", "x=y/z #é"), (3, "c", "en", None), (4, "d", None, "web"),
-            (5, "", "de", "web"), (5, "e", "de", "web"), (None, "f", "fr", ""), (6, "g", "en", ""), (-7, "ü", "en", "a%b")]
+            (5, "", "de", "web"), (5, "", "de", "web"), (None, "f", "fr", ""), (6, "g", "en", ""), (-7, "ü", "en", "a%b")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").coalesce(1)
-    binding.write_doc_tree(docs, tmp_dir + "/tree")
-    t = files.scan_tree(spark, tmp_dir + "/tree", exts=[".txt"])
-    assert sorted(r.contents for r in t.collect()) == sorted((x or "").replace("\r\n", "\n") for _, x, _, _ in rows)
     en = F.col("lang") == "en"
-    docs.where(en).select("source", "doc_id", "text").write.partitionBy("source", "doc_id").text(tmp_dir + "/spark")
-    docs.where(~en | F.col("lang").isNull()).select("doc_id", "text").write.mode("append").partitionBy("doc_id").text(tmp_dir + "/spark")
-    folders = lambda root: {os.path.relpath(d, root) for d, _, names in os.walk(root) if any(n.startswith("part-") and n.endswith(".txt") for n in names)}
-    assert folders(tmp_dir + "/tree") == folders(tmp_dir + "/spark")
+    for summary in (True, False):
+        binding.write_doc_tree(docs, tmp_dir + "/tree", summary=summary)
+        docs.where(en).select("source", "doc_id", "text").write.mode("append").partitionBy("source", "doc_id").text(tmp_dir + "/spark")
+        docs.where(~en | F.col("lang").isNull()).select("doc_id", "text").write.mode("append").partitionBy("doc_id").text(tmp_dir + "/spark")
+
+    def texts(name):
+        t = files.scan_tree(spark, f"{tmp_dir}/{name}", exts=[".txt"])
+        return sorted((os.path.dirname(r.rel_path), r.contents) for r in t.select("rel_path", "contents").collect())
+    assert texts("tree") == texts("spark") and len(texts("tree")) == 16
 
 
 @pytest.mark.parametrize("sent", [0, 100])
