@@ -9,7 +9,8 @@ checkpoint folder.
 * ``score`` sums every matching (query, doc). The query terms, with all that
   does not depend on the document folded in, are a size-checked broadcast. The
   blocks of the terms are dealt by span, as compact arrays, and the sums are
-  finished in the task that holds the span.
+  finished, and if asked cut to the best, in the task that holds the span
+  (``operators.spans``).
 * ``best_hits`` finds the top k without scoring everything (block-max): the
   largest contribution of every term in every block bounds a block's best
   score. The blocks with the highest bounds are scored first and give, for
@@ -28,15 +29,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.operators.index import Index
+from quire.operators.spans import rank_key, span_sums
 from quire.session import bounded_broadcast, staging_path, written
 
-# Ranking key precision: scores are compared after rounding to this many
-# decimals so that summation order cannot reorder equal documents.
-RANK_DECIMALS = 9
 # A bound is raised by this much before it is compared with a score.
 BOUND_SLACK = 1e-8
 # Blocks of a query that are scored before any is left out.
@@ -97,36 +97,41 @@ def _checked(lams) -> list[float]:
     return lams
 
 
-def _summed(index: Index, weights: DataFrame, sums: Sequence[Column], field: str) -> DataFrame:
-    """``sums`` over the postings of every matching (query, doc). The blocks
-    move once, as the arrays they are stored in, so that all rows of a
-    document's span meet in one task and the sums, a row per query and
-    document, need not move."""
-    terms = bounded_broadcast(weights.select("term").distinct())
-    hit = index.blocks(field).join(terms, "term", "left_semi").select("span", "term", "docs", "tfs", "dls").repartition("span")
-    rows = hit.join(bounded_broadcast(weights), "term").select("span", "query_id", "_w", "_p", F.inline(F.arrays_zip("docs", "tfs", "dls")))
-    rows = rows.withColumnsRenamed({"docs": "doc_id", "tfs": "tf", "dls": "dl"})
-    return rows.groupBy("span", "query_id", "doc_id").agg(*sums).drop("span")
+def _parts(model: str, lams: Sequence[float]):
+    """What a query's weight is multiplied by in the score of a posting, for
+    every lambda (see ``_contribution``)."""
+    def parts(tf, dl, p):
+        if model == "tfidf":
+            return [np.sqrt(tf) / np.sqrt(dl)]
+        share = tf / dl
+        return [np.log(1.0 + ((1.0 - x) * share) / (x * p)) for x in lams]
+    return parts
+
+
+def _summed(index: Index, weights: DataFrame, model: str, lams: Sequence[float], field: str, best: int | None = None) -> DataFrame:
+    """``(run, query_id, doc_id, score)`` of every matching (query, doc) and
+    lambda, or what can be among the ``best`` of them. The blocks move once,
+    as the arrays they are stored in, and are summed in the task that holds
+    the span (``operators.spans``)."""
+    return span_sums(index.blocks(field), weights, _parts(model, lams), best)
 
 
 def score(source: Index | DataFrame, qterms: DataFrame, model: str = "tfidf", lam: float | Sequence[float] = 0.5,
-          idf_power: int = 1, add_one: bool = False, field: str = "text") -> DataFrame:
+          idf_power: int = 1, add_one: bool = False, field: str = "text", best: int | None = None) -> DataFrame:
     """Score every matching (query, doc): ``(query_id, doc_id, score)``, plus
     ``lambda`` when ``model='jm'``.
 
-    ``lam`` may be a list: every lambda is summed in the same aggregation row
-    (one column each), so the sweep does not multiply the rows that reach the
-    aggregate.
+    ``lam`` may be a list: a posting is read once for all lambdas. With
+    ``best`` a task returns only rows that can be among the first ``best`` of
+    their query (and lambda), which ``top_k`` then ranks.
     """
     lams = _checked(lam) if model == "jm" else [0.5]
     index = indexed(source, field)
-    weights = term_weights(index, qterms, model, idf_power, add_one, field)
+    weights = written(term_weights(index, qterms, model, idf_power, add_one, field), "weights")
+    rows = _summed(index, weights, model, lams, field, best)
     if model == "tfidf":
-        return _summed(index, weights, [F.sum(_contribution(model, 0.5)).alias("score")], field)
-    agg = _summed(index, weights, [F.sum(_contribution(model, x)).alias(f"_s{i}") for i, x in enumerate(lams)], field)
-    pairs = F.arrays_zip(F.array(*[F.lit(x) for x in lams]).alias("lambda"),
-                         F.array(*[F.col(f"_s{i}") for i in range(len(lams))]).alias("score"))
-    return agg.select(F.inline(pairs), "query_id", "doc_id").select("lambda", "query_id", "doc_id", "score")
+        return rows.drop("run")
+    return rows.select(F.element_at(F.array(*[F.lit(x) for x in lams]), F.col("run") + 1).alias("lambda"), "query_id", "doc_id", "score")
 
 
 def block_bounds(index: Index, weights: DataFrame, model: str, lam: float = 0.5, field: str = "text") -> DataFrame:
@@ -177,7 +182,7 @@ def best_hits(source: Index | DataFrame, qterms: DataFrame, k: int, model: str =
     every, left = bounds.agg(F.sum("postings")).first()[0] or 0, rest.agg(F.sum("postings")).first()[0] or 0   # two numbers
     if left > MOST_OPEN * every:   # a row per query, block and term would cost more than is left out
         rest = bounds.where(F.col("place") > first)
-        hits = top_k(_summed(index, weights, [F.sum(_contribution(model, lam)).alias("score")], field), k)
+        hits = top_k(_summed(index, weights, model, [lam], field, k).drop("run"), k)
     else:
         more = _score_blocks(index, weights, rest, model, lam, field)
         hits = top_k(best.drop("rank").unionByName(more), k)
@@ -194,9 +199,9 @@ def match_any(source: Index | DataFrame, qterms: DataFrame, field: str = "text")
 
 def top_k(scored: DataFrame, k: int, group_cols: Sequence[str] = ("query_id",)) -> DataFrame:
     """Best ``k`` documents per query: adds ``rank`` (1-based) ordered by
-    score descending (rounded to ``RANK_DECIMALS``), then ``doc_id``. Spark
+    score descending (by ``rank_key``), then ``doc_id``. Spark
     cuts to k rows per task before the exchange."""
-    w = Window.partitionBy(*group_cols).orderBy(F.round("score", RANK_DECIMALS).desc(), F.col("doc_id").asc())
+    w = Window.partitionBy(*group_cols).orderBy(rank_key(F.col("score")).desc(), F.col("doc_id").asc())
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quire.operators.analysis import query_terms
 from quire.operators.evaluate import mean_metrics, metrics
 from quire.operators.index import Index
-from quire.operators.retrieval import LAMBDAS, best_hits, indexed, score
+from quire.operators.retrieval import LAMBDAS, best_hits, indexed, score, top_k
 
 METRIC_COLUMNS = {"p": "p", "recall": "recall", "map": "ap", "ap": "ap"}
 
@@ -71,8 +71,8 @@ def sweep(docs: Index | DataFrame, train_queries: DataFrame, qrels: DataFrame, k
         if not 0.0 < x <= 1.0:
             raise ValueError("lambda must be in (0, 1]")
     lams = [float(x) for x in lambdas]
-    scored = score(docs, query_terms(train_queries), model="jm", lam=lams)
-    return metrics(train_queries, scored, qrels, k, runs={"lambda": lams})
+    hits = top_k(score(docs, query_terms(train_queries), model="jm", lam=lams, best=k), k, ["lambda", "query_id"])
+    return metrics(train_queries, hits, qrels, k, runs={"lambda": lams})
 
 
 def best_lambda(sweep_metrics: DataFrame, metric: str = "map") -> DataFrame:
