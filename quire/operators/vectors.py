@@ -5,28 +5,33 @@ Vectors are rows ``(doc_id, term, w)``; they are never densified. Weights:
 idf = log10(N / df) over all documents.
 
 Similarity of a bounded set of target documents to every document reads the
-stored index. The posting blocks are dealt by block once, as the compact
-arrays they are stored in, so that a document's norm and its dot products with
-every target are finished in the task that holds it; a task then keeps the
-``n`` best of every target, and only these are shuffled. The targets' terms,
-with every document-independent factor folded in (their weight, and idf twice
-for ``tfxidf``), are the size-checked broadcast side of a join on term. The
+stored index. Norms are added up where the blocks are read. The posting blocks
+of the targets' terms are dealt by block once, as the compact arrays they are
+stored in, and meet the norms there, so that a document's cosines with every
+target are finished in the task that holds it (``operators.spans``); a task
+then keeps the ``n`` best of every target, and only these are shuffled. The
+targets' terms, with every document-independent factor folded in (their weight,
+and idf twice for ``tfxidf``), are the size-checked side of a join on term. The
 work is targets x postings of their terms; no pair of non-target documents is
 ever formed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.operators.index import Index, span_of
+from quire.operators.index import SPAN, Index, span_of
 from quire.operators.retrieval import indexed
+from quire.operators.spans import rank_key, span_sums
 from quire.operators.stats import with_idf
 from quire.session import bounded_broadcast, written
 
 REPS = ("bin", "tf", "tfxidf")
-RANK_DECIMALS = 9
 # Targets that meet the documents together in ``cosine_table``.
 TARGET_BLOCK = 1_000
 
@@ -80,25 +85,46 @@ def target_side(index: Index, targets: DataFrame, rep: str, field: str = "text")
     return own.select("target", "term", "wq"), tnorm
 
 
-def _dealt(index: Index, rep: str, field: str) -> DataFrame:
-    """``(block, doc_id, term, tf, w)``: the postings, partitioned by block."""
-    blocks = index.blocks(field).select("block", "term", "docs", "tfs").repartition("block")
+def _squares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums of squares ``(block, doc_id, square)`` of a batch's postings."""
+    for batch in batches:
+        docs, w = batch.column("docs").flatten().to_numpy(), batch.column("tfs").flatten().to_numpy().astype(float)
+        n = batch.column("docs").value_lengths().to_numpy().astype(np.int64)
+        w = w * np.repeat(batch.column("idf").to_numpy(), n)
+        # a block's ids lie in one span: its number and a place there
+        block, at = np.unique(batch.column("block").to_numpy(), return_inverse=True)
+        cell, of = np.unique(np.repeat(at, n) * SPAN + docs % SPAN, return_inverse=True)
+        some = np.zeros(len(cell), np.int64)
+        some[of] = docs
+        square = np.bincount(of, w * w, len(cell))
+        yield pa.RecordBatch.from_arrays([pa.array(block[cell // SPAN]), pa.array(some), pa.array(square)], names=["block", "doc_id", "square"])
+
+
+def _norms_by_block(index: Index, rep: str, field: str) -> DataFrame:
+    """``(block, docs, norms)``: the documents of a block and their norms. The
+    squares are added up where the blocks are read, so a row per document
+    moves and no posting does."""
+    blocks = index.blocks(field).select("block", "term", "docs", F.transform("tfs", lambda x: F.lit(1).cast("long")).alias("tfs") if rep == "bin" else F.col("tfs"))
     if rep == "tfxidf":
         blocks = blocks.join(bounded_broadcast(_idf_table(index, field)), "term")
     else:
         blocks = blocks.withColumn("idf", F.lit(1.0))
-    rows = blocks.select("block", "term", "idf", F.inline(F.arrays_zip("docs", "tfs"))).withColumnsRenamed({"docs": "doc_id", "tfs": "tf"})
-    return rows.select("block", "doc_id", "term", "tf", (_doc_factor(rep) * F.col("idf")).alias("w"))
+    sums = blocks.select("block", "docs", "tfs", F.col("idf").cast("double").alias("idf")).mapInArrow(_squares, "block long, doc_id long, square double")
+    per = sums.groupBy("block", "doc_id").agg(F.sqrt(F.sum("square")).alias("norm"))
+    return per.groupBy("block").agg(F.collect_list(F.struct("doc_id", "norm")).alias("d")).select("block", F.col("d.doc_id").alias("docs"), F.col("d.norm").alias("norms"))
+
+
+def _parts(rep: str):
+    """A document's part of a product (``_doc_factor``)."""
+    return lambda tf, dl, p: [np.ones(len(tf)) if rep == "bin" else tf]
 
 
-def _norms_by_block(rows: DataFrame) -> DataFrame:
-    """``(block, norms)``: the norms of a block's documents, as a map."""
-    per = rows.groupBy("block", "doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return per.groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("doc_id", "norm"))).alias("norms"))
+def _weights(side: DataFrame, wq: Column) -> DataFrame:
+    return side.select(F.col("target").alias("query_id"), "term", wq.alias("_w"), F.lit(1.0).alias("_p"))
 
 
 def _ranked(cosines: DataFrame, n: int) -> DataFrame:
-    w = Window.partitionBy("target").orderBy(F.round("cosine", RANK_DECIMALS).desc_nulls_last(), F.col("doc_id").asc())
+    w = Window.partitionBy("target").orderBy(rank_key(F.col("cosine")).desc_nulls_last(), F.col("doc_id").asc())
     return cosines.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
 
@@ -115,14 +141,13 @@ def similar_docs(source: Index | DataFrame, targets: DataFrame, n: int = 10, rep
     index = indexed(source, field)
     # the target list may be the result of a whole retrieval run: written once
     side, tnorm = target_side(index, written(targets.select("target").distinct(), "targets"), rep, field)
-    rows = _dealt(index, rep, field)
-    lengths = written(_norms_by_block(rows), "norms")
-    dots = (rows.join(bounded_broadcast(side), "term")
-                .groupBy("block", "target", "doc_id").agg(F.sum(_doc_factor(rep) * F.col("wq")).alias("dot")))
-    near = dots.where(F.col("doc_id") != F.col("target")).join(bounded_broadcast(lengths), "block").join(bounded_broadcast(tnorm), "target")
-    cosine = F.try_divide(F.col("dot"), F.col("tnorm") * F.element_at("norms", F.col("doc_id")))
-    best = written(_ranked(near.select("target", "doc_id", cosine.alias("cosine")), n), "similar")
-    every = lengths.select(F.explode("norms").alias("doc_id", "norm"))
+    lengths = written(_norms_by_block(index, rep, field), "norms")
+    # without a target's norm every cosine is null
+    unit = F.coalesce(F.try_divide(F.col("wq"), F.col("tnorm")), F.lit(float("nan")))
+    weights = written(_weights(side.join(bounded_broadcast(tnorm), "target"), unit), "weights")
+    near = span_sums(index.blocks(field), weights, _parts(rep), n, lengths, "block", apart=True)
+    best = written(_ranked(near.select(F.col("query_id").alias("target"), "doc_id", F.col("score").alias("cosine")), n), "similar")
+    every = lengths.select(F.inline(F.arrays_zip("docs", "norms"))).toDF("doc_id", "norm")
     fill = every.orderBy((F.col("norm") == 0).asc(), F.col("doc_id").asc()).limit(n + 1).collect()   # n + 1 rows
     if fill:
         fillers = F.array(*[F.struct(F.lit(r.doc_id).cast("long").alias("doc_id"), F.lit(r.norm).alias("norm")) for r in fill])
@@ -144,11 +169,10 @@ def cosine_table(source: Index | DataFrame, targets: DataFrame, rep: str = "tf",
     targets = written(targets.select("target").distinct(), "targets")
     side, tnorm = target_side(index, targets, rep, field)
     groups = max(1, -(-targets.count() // TARGET_BLOCK))
-    rows = _dealt(index, rep, field)
-    every = _norms_by_block(rows).select(F.explode("norms").alias("doc_id", "norm"))
+    every = _norms_by_block(index, rep, field).select(F.inline(F.arrays_zip("docs", "norms"))).toDF("doc_id", "norm")
     met = every.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     asked = tnorm.withColumn("group", F.pmod(F.xxhash64("target"), F.lit(groups)).cast("int"))
     pairs = met.join(bounded_broadcast(asked), "group").where(F.col("doc_id") != F.col("target"))
-    dots = rows.join(bounded_broadcast(side), "term").groupBy("target", "doc_id").agg(F.sum(_doc_factor(rep) * F.col("wq")).alias("dot"))
+    dots = span_sums(index.blocks(field), _weights(side, F.col("wq")), _parts(rep)).select(F.col("query_id").alias("target"), "doc_id", F.col("score").alias("dot"))
     return pairs.join(dots, ["target", "doc_id"], "left").select(
         "target", "doc_id", F.try_divide(F.coalesce(F.col("dot"), F.lit(0.0)), F.col("tnorm") * F.col("norm")).alias("cosine"))
