@@ -44,6 +44,7 @@ KINDS = ("term", "phrase", "prefix", "wildcard", "fuzzy", "regex")
 PATTERN_KINDS = ("prefix", "wildcard", "fuzzy", "regex")
 DEFAULT_FUZZY_EDITS = 2   # of a fuzzy clause whose slop is null
 MOST_EDITS = 2            # fuzzy clauses up to this are found by deletions
+DOCS_OF_TASK = 8192       # documents whose clauses are put together in one task, about
 
 CLAUSE_KEY = ["query_id", "clause_id"]
 
@@ -221,22 +222,28 @@ def search(source: Index | DataFrame, clauses: DataFrame, fields: Mapping[str, C
         "field", "term", (F.lit(1.0) + F.log((n + 1) / (F.col("df") + 1))).alias("idf"))
     idf = bounded_broadcast(idf)
     blocks = index.store.read("blocks").where(F.col("term").isNotNull()).join(bounded_broadcast(asks), ["field", "term"], "left_semi")
-    post = blocks.select("field", "term", F.inline(F.arrays_zip("docs", "tfs", "dls", "places"))).withColumnsRenamed(
+    arrays = ["docs", "tfs", "dls"] if cl.where(F.col("kind") == "phrase").isEmpty() else ["docs", "tfs", "dls", "places"]
+    # the blocks move once, as stored; all rows of a document then lie in the
+    # task of its span, with so few documents a task that none has to spill
+    dealt = max(max((index.totals(f).max_doc for f in named), default=0) // DOCS_OF_TASK, index.store.spark.sparkContext.defaultParallelism)
+    blocks = blocks.select("span", "field", "term", *arrays).repartition(int(dealt), "span")
+    post = blocks.select("span", "field", "term", F.inline(F.arrays_zip(*arrays))).withColumnsRenamed(
         {"docs": "doc_id", "tfs": "tf", "dls": "dl"})
 
     # term clauses
     tw = (words.where(F.col("kind") == "term").groupBy(*CLAUSE_KEY, "field", "term")
                .agg(F.count(F.lit(1)).alias("qtf")).join(idf, ["field", "term"]))
     hits = (post.join(small(tw), ["field", "term"])
-                .groupBy(*CLAUSE_KEY, "doc_id")
+                .groupBy("span", *CLAUSE_KEY, "doc_id")
                 .agg(F.sum(F.col("qtf") * F.sqrt(F.col("tf").cast("double")) * F.col("idf")
                            / F.sqrt(F.col("dl").cast("double"))).alias("raw")))
     if expanded is not None:   # pattern clauses: constant score
         hits = hits.unionByName(post.join(bounded_broadcast(expanded), ["field", "term"])
-                                    .select(*CLAUSE_KEY, "doc_id").distinct().withColumn("raw", F.lit(1.0)))
+                                    .select("span", *CLAUSE_KEY, "doc_id").distinct().withColumn("raw", F.lit(1.0)))
     pw = words.where(F.col("kind") == "phrase")
     if not pw.isEmpty():
-        if not post.where("places IS NULL").isEmpty():
+        asked = index.store.read("blocks").where(F.col("term").isNotNull()).join(bounded_broadcast(asks), ["field", "term"], "left_semi")
+        if not asked.where(F.exists("places", lambda p: p.isNull())).isEmpty():
             raise ValueError("phrases need an index with positions")
         hits = hits.unionByName(_phrases(pw, post, idf, small))
 
@@ -245,7 +252,7 @@ def search(source: Index | DataFrame, clauses: DataFrame, fields: Mapping[str, C
     # a clause without words can neither match nor be required
     says = F.col("kind").isin(*PATTERN_KINDS) | kw | (F.size(token_array("text")) > 0)
     need = cl.groupBy("query_id").agg(F.sum(((F.col("occur") == "must") & says).cast("int")).alias("n_must"))
-    per = scored.groupBy("query_id", "doc_id").agg(
+    per = scored.groupBy("span", "query_id", "doc_id").agg(
         F.sum((F.col("occur") == "must").cast("int")).alias("m"),
         F.sum((F.col("occur") == "must_not").cast("int")).alias("mn"),
         F.sum((F.col("occur") == "should").cast("int")).alias("sh"),
@@ -295,18 +302,18 @@ def _sloppy_freq(words: Column, slop: Column) -> Column:
 
 
 def _phrases(pw: DataFrame, post: DataFrame, idf: DataFrame, small: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """``(query_id, clause_id, doc_id, raw)`` for phrase clauses: the words'
-    position arrays of a document come together in one row and are merged
-    there."""
+    """``(span, query_id, clause_id, doc_id, raw)`` for phrase clauses: the
+    words' position arrays of a document, which lie in the task of its span,
+    come together in one row and are merged there."""
     plen = pw.groupBy(*CLAUSE_KEY).agg(F.count(F.lit(1)).alias("L"), F.max("slop").alias("slop"))
     pidf = pw.join(idf, ["field", "term"]).groupBy(*CLAUSE_KEY).agg(F.sum("idf").alias("idf_sum"))
     told = plen.join(pidf, CLAUSE_KEY)
     occ = post.join(small(pw.select(*CLAUSE_KEY, "field", "term", F.col("offset").cast("int").alias("offset"))), ["field", "term"])
     at = F.transform("places", lambda p: p - F.col("offset"))
-    rows = occ.groupBy(*CLAUSE_KEY, "doc_id").agg(F.array_sort(F.collect_list(F.struct("offset", at.alias("at")))).alias("words"), F.max("dl").alias("dl"))
+    rows = occ.groupBy("span", *CLAUSE_KEY, "doc_id").agg(F.array_sort(F.collect_list(F.struct("offset", at.alias("at")))).alias("words"), F.max("dl").alias("dl"))
     rows = rows.join(small(told), CLAUSE_KEY).where(F.size("words") == F.col("L"))
     exact = F.size(F.aggregate(F.col("words"), F.element_at("words", 1)["at"], lambda a, w: F.array_intersect(a, w["at"]))).cast("double")
     freq = F.when((F.col("slop") == 0) | (F.col("L") == 1), exact).otherwise(_sloppy_freq(F.col("words"), F.col("slop")))
     return (rows.withColumn("freq", freq).where(F.col("freq") > 0)
-                .select(*CLAUSE_KEY, "doc_id",
+                .select("span", *CLAUSE_KEY, "doc_id",
                         (F.sqrt(F.col("freq")) * F.col("idf_sum") / F.sqrt(F.col("dl").cast("double"))).alias("raw")))
