@@ -89,12 +89,16 @@ class Machine:
     def arrays(self, row, bucket, value, stats):
         """Feature ids, values and row pointers, all rows' features together."""
         rows = len(stats)
-        dense = np.clip((stats - self.mean) / self.scale, -5, 5) / 4
-        at = np.concatenate([np.repeat(np.arange(rows), STATS), row])
-        order = np.argsort(at, kind="stable")
-        ids = np.concatenate([np.tile(np.arange(STATS), rows), bucket + STATS])[order]
-        x = np.concatenate([dense.ravel(), value])[order]
-        return ids, x, np.searchsorted(at[order], np.arange(rows))
+        words = np.bincount(row, minlength=rows)
+        first = np.arange(rows) * STATS + np.cumsum(words) - words   # a row's statistics, then its words
+        ids, x = np.empty(rows * STATS + len(row), np.int32), np.empty(rows * STATS + len(row))
+        at = (first[:, None] + np.arange(STATS)).ravel()
+        ids[at] = np.tile(np.arange(STATS, dtype=np.int32), rows)
+        x[at] = (np.clip((stats - self.mean) / self.scale, -5, 5) / 4).ravel()
+        at = np.ones(len(ids), bool)
+        at[(first[:, None] + np.arange(STATS)).ravel()] = False
+        ids[at], x[at] = bucket + STATS, value
+        return ids, x, first
 
     def raw(self, ids, x, first):
         e = self.v[ids] * x[:, None]
@@ -145,22 +149,25 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Machi
     sample = near.orderBy("h", "doc_id").limit(max_train).select("doc_id", "quality")
     got = _with_chars(docs).join(F.broadcast(sample), "doc_id").mapInArrow(
         _examples, "doc_id long, quality int, bucket array<int>, value array<float>, stats array<double>")
-    table = got.limit(2 * max_train).toArrow().sort_by([("doc_id", "ascending")])
+    table = got.limit(2 * max_train).toArrow().sort_by([("doc_id", "ascending")]).combine_chunks()
     y = table["quality"].to_numpy().astype(float)
     n = len(y)
     m = Machine(0.0, np.zeros(BUCKETS + STATS), np.zeros((BUCKETS + STATS, RANK)), np.zeros(STATS), np.ones(STATS))
     if n == 0:
         return m
     stats = table["stats"].combine_chunks().flatten().to_numpy().reshape(n, STATS)
-    lens = np.diff(table["bucket"].combine_chunks().offsets.to_numpy()).astype(np.int64)
-    bucket = table["bucket"].combine_chunks().flatten().to_numpy().astype(np.int64)
-    value = table["value"].combine_chunks().flatten().to_numpy().astype(float)
+    lens = table["bucket"].combine_chunks().value_lengths().to_numpy()
+    # views of the table, which is all that the driver holds of the sample until the features are laid out
+    bucket, value = (table[c].combine_chunks().flatten().to_numpy() for c in ("bucket", "value"))
+    del table
     m.mean, m.scale = stats.mean(0), np.maximum(stats.std(0), 1e-6)
     rng = np.random.default_rng(7)
     m.v = rng.normal(0, 0.01, m.v.shape)
     share = (y.sum() + 1) / (n + 2)
     m.bias = float(np.log(share / (1 - share)))
-    ids, x, first = m.arrays(np.repeat(np.arange(n), lens), bucket, value, stats)
+    ids, x, first = m.arrays(np.repeat(np.arange(n, dtype=np.int32), lens), bucket, value, stats)
+    del bucket, value, stats
+    pa.default_memory_pool().release_unused()
     stop = np.append(first[1:], len(ids))
     gw, gv, gb = np.full(m.w.shape, 1e-6), np.full(m.v.shape, 1e-6), 1e-6
     for _ in range(EPOCHS):
