@@ -167,10 +167,12 @@ class Index:
             f"{self.store.path}/data/blocks").where(F.col(VERSION) == version)
         terms = made.where("term IS NOT NULL").groupBy("field", "term").agg(
             F.sum("n").alias("df"), F.sum("cf").alias("cf"), F.max("top").alias("top"), F.max("share").alias("share"))
-        has, length = F.size(F.filter("dls", lambda x: x > 0)), F.aggregate("dls", F.lit(0).cast("long"), lambda a, x: a + x)
+        # the class of a block tells whether its fields have tokens (length 0 is class 0, a class of its own), and the
+        # lengths add up to the frequencies: the arrays are not read again
+        has = F.when(F.pmod("block", F.lit(CLASSES)) > 0, F.col("n")).otherwise(0)
         sums = made.select("field", F.when(F.col("term").isNull(), F.col("n")).alias("max_doc"), F.when(F.col("term").isNull(), has).cast("long").alias("doc_count"),
                            F.when(F.col("term").isNotNull(), F.col("n")).alias("sum_doc_freq"),
-                           F.when(F.col("term").isNull(), length).alias("sum_total_term_freq"))
+                           F.when(F.col("term").isNotNull(), F.col("cf")).alias("sum_total_term_freq"))
         zero = F.lit(0).cast("long")
         totals = sums.groupBy("field").agg(*[F.coalesce(F.sum(c), zero).alias(c) for c in sums.columns[1:]])
         self.store.append({"terms": (terms, "term"), "fields": (totals, "field")}, n, {"terms": ("field", "term")}, written={"blocks": (blocks.schema, "span")}, version=version)

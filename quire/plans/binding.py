@@ -15,18 +15,26 @@ from collections.abc import Iterator
 from datetime import datetime
 from urllib.parse import urlparse
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.session import bounded_broadcast, materialize
+from quire.session import BROADCAST_MAX_ROWS, materialize
 
 SHINGLE_WORDS = 3
+SLICE = 1 << 22   # bytes of text that are split into words together, about
 # Anything that is not part of a word under ``WORD_PATTERN``.
 NON_WORD = r"[^\p{L}\p{N}_]+"
 
 
+def _words(text_col: str) -> Column:
+    """A text's words under ``WORD_PATTERN``, joined by single spaces."""
+    return F.trim(F.regexp_replace(F.lower(F.col(text_col)), NON_WORD, " "))
+
+
 def shingles(df: DataFrame, id_col: str, text_col: str = "text", n: int = SHINGLE_WORDS) -> DataFrame:
     """``(id, shingle)``: every run of ``n`` words of each row, as the words
     joined by single spaces; a text shorter than ``n`` words has none.
@@ -35,20 +43,81 @@ def shingles(df: DataFrame, id_col: str, text_col: str = "text", n: int = SHINGL
     expression with a look-ahead captures the run starting at every word:
     built inside the row, no shuffle.
     """
-    words = F.trim(F.regexp_replace(F.lower(F.col(text_col)), NON_WORD, " "))
+    words = _words(text_col)
     run = " ".join(["[^ ]+"] * n)
     rx = f"(?<![^ ])(?=({run}))"
     return df.select(F.col(id_col), F.explode(F.regexp_extract_all(words, F.lit(rx), 1)).alias("shingle"))
 
 
+class _Asked:
+    """The shingles of the queries, to be found among the words of texts: a
+    word is a number, a run a chain of codes ``(code of the run so far, next
+    word)``, so runs are compared exactly."""
+
+    def __init__(self, texts: pa.Array, n: int):
+        self.texts, self.n = texts, n
+        runs = [t.split(" ") for t in texts.to_pylist()]
+        self.words = sorted({w for run in runs for w in run})
+        number = {w: i for i, w in enumerate(self.words)}
+        ids = np.array([[number[w] for w in run] for run in runs], np.int64).reshape(len(runs), n)
+        self.known, code = [], ids[:, 0]
+        for j in range(1, n):
+            key = code * len(self.words) + ids[:, j]
+            self.known.append(np.unique(key))
+            code = np.searchsorted(self.known[-1], key)
+        self.text_of = np.zeros(len(runs), np.int64)
+        self.text_of[code] = np.arange(len(runs))
+
+    def met(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """``(row, shingle)`` of every run of the texts, given as their words
+        with single spaces between, that is asked for."""
+        lists = pc.split_pattern(words, " ")
+        size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        flat = lists.flatten()
+        ids = pc.fill_null(pc.index_in(flat, pa.array(self.words, flat.type)), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        at = np.flatnonzero(ids >= 0)
+        ends = np.cumsum(size)
+        row = np.searchsorted(ends, at, side="right")
+        inside = at + self.n <= ends[row]
+        at, row = at[inside], row[inside]
+        code = ids[at]
+        for j, known in enumerate(self.known, 1):
+            key = code * len(self.words) + ids[at + j]
+            code = np.searchsorted(known, key)
+            hit = (ids[at + j] >= 0) & (known[np.minimum(code, len(known) - 1)] == key)
+            at, row, code = at[hit], row[hit], code[hit]
+        return row, self.text_of[code]
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not self.words or not batch.num_rows:
+                continue
+            ids, words = batch.columns
+            big = np.cumsum(pc.fill_null(pc.binary_length(words), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // SLICE
+            cuts = np.flatnonzero(np.diff(big, prepend=-1) != 0)
+            for i, j in zip(cuts, [*cuts[1:], batch.num_rows]):
+                row, shingle = self.met(words.slice(i, j - i))
+                if len(row):
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(row + i)), self.texts.take(pa.array(shingle))], names=["id", "shingle"])
+
+
 def shingle_qrels(docs: DataFrame, queries: DataFrame, n: int = SHINGLE_WORDS) -> DataFrame:
     """``(query_id, doc_id)`` pairs sharing a run of ``n`` words.
 
-    Query shingles are the small, size-checked broadcast side; document
-    shingles stream past it map-side and only matches are de-duplicated.
+    Query shingles are the small, size-checked side: the runs of a document
+    that are among them are found where its words lie (``_Asked``), and only
+    matches are joined and de-duplicated. Above the bound all document
+    shingles are joined.
     """
-    q = bounded_broadcast(shingles(queries, "query_id", n=n).distinct())
-    d = shingles(docs, "doc_id", n=n)
+    q = shingles(queries, "query_id", n=n).distinct()
+    if q.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS:
+        q = F.broadcast(q)
+        asked = _Asked(q.select("shingle").distinct().toArrow()["shingle"].combine_chunks().cast(pa.string()), n)   # bounded as a broadcast is
+        kind = docs.schema["doc_id"].dataType.simpleString()
+        d = docs.select(F.col("doc_id").alias("id"), _words("text").alias("words")).mapInArrow(asked, f"id {kind}, shingle string")
+        d = d.withColumnRenamed("id", "doc_id")
+    else:
+        d = shingles(docs, "doc_id", n=n)
     # judgements feed several consumers (marks, counts, query sets): written once
     return materialize(d.join(q, "shingle").select("query_id", "doc_id").distinct())
 
