@@ -33,11 +33,13 @@ def align(a: DataFrame, b: DataFrame, check: bool = True) -> DataFrame:
     """``(query_id, x, y)`` joined on ``query_id`` (inputs are
     ``(query_id, value)``). With ``check`` the two query sets must be equal
     (one small count read back); otherwise a full outer join would hide the
-    mismatch."""
+    mismatch. The joined rows, one a query, are then written once: both runs
+    would be ranked again after the check."""
     x = a.select("query_id", F.col("value").alias("x"))
     y = b.select("query_id", F.col("value").alias("y"))
     full = x.join(y, "query_id", "full")
     if check:
+        full = written(full, "aligned")
         bad = full.where(F.col("x").isNull() | F.col("y").isNull()).limit(1).count()
         if bad:
             raise RunMismatch("the two runs cover different queries")
