@@ -125,7 +125,7 @@ def _encode(path: str, keep: list[str], text: str, decoded: bool):
         v = vocab.load(path)
         for batch in batches:
             data, offs = flat.buffer_of(batch.column(text))
-            for i, j, d, o in flat.slices(data, offs):
+            for i, j, d, o in flat.slices(data, offs, flat.SLICE_BYTES // 2):
                 ids, at = encode_flat(v, d, o)
                 new = {"ids": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int32()))}
                 if decoded:

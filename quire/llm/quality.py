@@ -117,7 +117,7 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offs = flat.buffer_of(batch.column("text"))
         chars = _numbers(batch.column("n_chars"))
-        for i, j, d, o in flat.slices(data, offs):
+        for i, j, d, o in flat.slices(data, offs, flat.SMALL_SLICE):
             row, bucket, value, stats = features(d, o, chars[i:j])
             cut = np.searchsorted(row, np.arange(j - i + 1))
             yield pa.RecordBatch.from_arrays([
@@ -207,7 +207,7 @@ def scores(docs: DataFrame, machine: Machine, keep: list[str] | None = None) ->
         for batch in batches:
             data, offs = flat.buffer_of(batch.column("t"))
             chars = _numbers(batch.column("n"))
-            for i, j, d, o in flat.slices(data, offs):
+            for i, j, d, o in flat.slices(data, offs, flat.SMALL_SLICE):
                 kept = [batch.column(k).slice(i, j - i) for k in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(model.value.score(d, o, chars[i:j]))],
                                                  names=[*(f"k{k}" for k in range(len(keep))), "score"])

@@ -126,7 +126,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     roll = flat.Rolling(0xA0761D6478BD642F)
     for batch in batches:
         data, offs = flat.buffer_of(batch.column("text"))
-        for i, j, d, o in flat.slices(data, offs):
+        for i, j, d, o in flat.slices(data, offs, flat.SMALL_SLICE):
             sets, at = shingle_sets(d, o)
             f1, f2 = _prints(sets, at)
             k = sketches(sets, at).astype(np.uint64).ravel()
@@ -142,7 +142,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offs = flat.buffer_of(batch.column("text"))
-        for i, j, d, o in flat.slices(data, offs):
+        for i, j, d, o in flat.slices(data, offs, flat.SMALL_SLICE):
             sets, at = shingle_sets(d, o)
             f1, f2 = _prints(sets, at)
             k = sketches(sets, at)
