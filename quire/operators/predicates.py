@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import token_array
-from quire.operators.index import Index
+from quire.operators.index import SPAN, Index
 from quire.session import BROADCAST_MAX_ROWS, bounded_broadcast, staging_path, written
 
 OCCURS = ("must", "should", "must_not")
@@ -140,6 +140,12 @@ def candidate_pairs(dictionary: DataFrame, patterns: DataFrame) -> DataFrame:
     """``(*clause, field, kind, text, slop, term)``: the dictionary terms
     that each pattern is compared with. ``dictionary`` is ``(field, term)``,
     ``patterns`` ``(query_id, clause_id, field, kind, text, slop)``.
+    """
+    return _meetings(dictionary, patterns).distinct()
+
+
+def _meetings(dictionary: DataFrame, patterns: DataFrame) -> DataFrame:
+    """``candidate_pairs``, of which some may come twice.
 
     Prefix, wildcard and regular expressions meet the terms that hold one gram
     they need; fuzzy patterns of up to two edits the terms that share a word
@@ -172,7 +178,27 @@ def candidate_pairs(dictionary: DataFrame, patterns: DataFrame) -> DataFrame:
         out = got if out is None else out.unionByName(got)
     if out is None:
         return dictionary.limit(0).join(patterns.limit(0), "field").select(*keep, "term")
-    return out.distinct()
+    return out
+
+
+def _pattern_hits(index: Index, expanded: DataFrame, dealt: int) -> DataFrame:
+    """``(span, query_id, clause_id, doc_id, raw)`` of the pattern clauses,
+    from ``(field, term, clauses)``: the clauses that each term matches.
+
+    The score is constant, so only a block's documents move, as places in their
+    span. They are united as arrays, first for every set of clauses and then
+    for every clause, so no row is made of a posting, and a document's row
+    is made once.
+    """
+    place = F.transform("docs", lambda d: (d - F.col("span") * SPAN).cast("short")).alias("docs")
+    blocks = index.store.read("blocks").where(F.col("term").isNotNull()).select("span", "field", "term", place)
+    met = blocks.join(bounded_broadcast(expanded), ["field", "term"]).select("span", "clauses", "docs").repartition(dealt, "span")
+    # at most SPAN places are left of each
+    united = F.array_distinct(F.flatten(F.collect_list("docs"))).alias("docs")
+    per_set = met.groupBy("span", "clauses").agg(united).select("span", F.inline("clauses"), "docs")
+    per = per_set.groupBy("span", *CLAUSE_KEY).agg(united)
+    return per.select("span", *CLAUSE_KEY, F.explode("docs").alias("at")).select(
+        "span", *CLAUSE_KEY, (F.col("span") * SPAN + F.col("at")).alias("doc_id"), F.lit(1.0).alias("raw"))
 
 
 def search(source: Index | DataFrame, clauses: DataFrame, fields: Mapping[str, Column] | None = None,
@@ -211,10 +237,9 @@ def search(source: Index | DataFrame, clauses: DataFrame, fields: Mapping[str, C
     asks = words.select("field", "term")
     expanded = None
     if not pats.isEmpty():
-        pairs = candidate_pairs(dictionary.select("field", "term"), pats)
-        expanded = written(pairs.where(_pattern_match(F.col("term"), F.col("kind"), F.col("text"), F.col("slop")))
-                           .select(*CLAUSE_KEY, "field", "term"), "terms")
-        asks = asks.unionByName(expanded.select("field", "term"))
+        pairs = _meetings(dictionary.select("field", "term"), pats)
+        pairs = pairs.where(_pattern_match(F.col("term"), F.col("kind"), F.col("text"), F.col("slop")))
+        expanded = written(pairs.groupBy("field", "term").agg(F.array_sort(F.collect_set(F.struct(*CLAUSE_KEY))).alias("clauses")), "terms")   # at most the clauses
     asks = asks.distinct()
     n_of = {f: index.totals(f).doc_count for f in named}
     n = F.element_at(F.create_map(*[x for f, c in n_of.items() for x in (F.lit(f), F.lit(float(c)))]), F.col("field"))
@@ -233,13 +258,15 @@ def search(source: Index | DataFrame, clauses: DataFrame, fields: Mapping[str, C
     # term clauses
     tw = (words.where(F.col("kind") == "term").groupBy(*CLAUSE_KEY, "field", "term")
                .agg(F.count(F.lit(1)).alias("qtf")).join(idf, ["field", "term"]))
-    hits = (post.join(small(tw), ["field", "term"])
-                .groupBy("span", *CLAUSE_KEY, "doc_id")
-                .agg(F.sum(F.col("qtf") * F.sqrt(F.col("tf").cast("double")) * F.col("idf")
-                           / F.sqrt(F.col("dl").cast("double"))).alias("raw")))
+    hits = None
+    if expanded is None or not words.isEmpty():
+        hits = (post.join(small(tw), ["field", "term"])
+                    .groupBy("span", *CLAUSE_KEY, "doc_id")
+                    .agg(F.sum(F.col("qtf") * F.sqrt(F.col("tf").cast("double")) * F.col("idf")
+                               / F.sqrt(F.col("dl").cast("double"))).alias("raw")))
     if expanded is not None:   # pattern clauses: constant score
-        hits = hits.unionByName(post.join(bounded_broadcast(expanded), ["field", "term"])
-                                    .select("span", *CLAUSE_KEY, "doc_id").distinct().withColumn("raw", F.lit(1.0)))
+        found = _pattern_hits(index, expanded, int(dealt))
+        hits = found if hits is None else hits.unionByName(found)
     pw = words.where(F.col("kind") == "phrase")
     if not pw.isEmpty():
         asked = index.store.read("blocks").where(F.col("term").isNotNull()).join(bounded_broadcast(asks), ["field", "term"], "left_semi")

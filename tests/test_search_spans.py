@@ -20,3 +20,19 @@ def test_only_stored_blocks_move(spark, tmp_dir):
     dealt = re.findall(r"hashpartitioning\(([^)]*)\)", found._jdf.queryExecution().executedPlan().toString())
     assert any(x.startswith("span") for x in dealt)
     assert [x for x in dealt if "doc_id" in x and not x.startswith("span")] == []
+
+
+def test_pattern_clauses_move_places_only(spark, tmp_dir):
+    """A pattern's score is constant: neither frequencies nor lengths move, and
+    a document is one row however many terms of a clause it holds."""
+    docs = spark.createDataFrame([(i, f"abc abd abe{i % 3} xyz{i}") for i in (-5, 0, 1, 1023, 1024, 5000, 1 << 40)] + [(7, None)], "doc_id long, text string")
+    ix = Index(spark, tmp_dir + "/ix").add(docs, buckets=2)
+    clauses = spark.createDataFrame(
+        [(1, 1, "should", "prefix", "ab", 2.0), (1, 2, "should", "regex", "abe[12]", 3.0), (2, 1, "must", "wildcard", "xyz*", 1.0), (2, 2, "must_not", "prefix", "abe1", 1.0)],
+        "query_id long, clause_id int, occur string, kind string, text string, boost double")
+    found = predicates.search(ix, clauses)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "docs#" in plan and "arrays_zip" not in plan
+    ids = (-5, 0, 1, 1023, 1024, 5000, 1 << 40)
+    assert sorted((r.query_id, r.doc_id, r.score) for r in found.collect()) == sorted(
+        [(1, i, 2.0 + 3.0 * (i % 3 > 0)) for i in ids] + [(2, i, 0.0 + 1.0) for i in ids if i % 3 != 1])
