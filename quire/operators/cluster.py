@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.session import bounded_broadcast, materialize, written
+from quire.session import BROADCAST_MAX_ROWS, bounded_broadcast, materialize, written
 
 RANK_DECIMALS = 9
 # Two centroid weights closer than this count as equal (unchanged centroid).
@@ -28,6 +28,7 @@ SAME_WEIGHT = 1e-12
 PART_TERMS = 1 << 18    # terms of a part of the centroids, about
 CHUNK_POINTS = 8192     # points of a chunk, about
 SENT_PARTS = 4          # parts of the centroids that are broadcast, at most
+HEAD = -1               # the chunk of a lane's head, the row that brings the centroids
 
 
 def init_points(points: DataFrame, k: int) -> DataFrame:
@@ -37,6 +38,13 @@ def init_points(points: DataFrame, k: int) -> DataFrame:
     return points.join(F.broadcast(firsts), "doc_id").select("cluster", "term", "w")
 
 
+def _first_points(vectors: DataFrame, k: int) -> DataFrame:
+    """``init_points`` of the rows of ``as_vectors``."""
+    firsts = vectors.select("doc_id").orderBy("doc_id").limit(k)
+    firsts = firsts.withColumn("cluster", (F.row_number().over(Window.orderBy("doc_id")) - 1).cast("int"))
+    return vectors.join(F.broadcast(firsts), "doc_id").select("cluster", F.inline("v"))
+
+
 def init_box(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
     """``k`` centroids drawn uniformly in the per-term [min, max] box of the
     points (a term absent from a point counts as 0 there). The draw of a
@@ -185,7 +193,7 @@ def fit(points: DataFrame, k: int, init: str = "points", max_iter: int | None =
         return nothing
     points = written(as_vectors(points.where("doc_id IS NOT NULL")), "points")
     some = points.select("doc_id", F.explode("v").alias("x")).select("doc_id", "x.term", "x.w")
-    first = init_points(some, k) if init == "points" else init_box(some, k, seed)
+    first = _first_points(points, k) if init == "points" else init_box(some, k, seed)
     grid = _Grid(points, some, k)
     clusters = list(range(min(k, grid.points) if init == "points" else k))
     c, marks = grid.centroids(first)
@@ -218,7 +226,8 @@ class _Grid:
     to chunks. The centroids are a row per part, with a weight per cluster and
     term. A cell gives the dot products of its points with its part of the
     centroids; a chunk adds them up over the parts. The cells are stored once,
-    dealt to lanes of a part; the centroids come to them, not the reverse.
+    dealt to lanes of a part; the centroids come to them, not the reverse, once
+    a lane: with its head, the row before its cells.
     """
 
     def __init__(self, points: DataFrame, some: DataFrame, k: int):
@@ -239,11 +248,17 @@ class _Grid:
         ids = written(ids.withColumn("at", (F.row_number().over(by_id) - 1).cast("int")), "ids")
         self.chunks = written(ids.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("doc_id", "pp"))).alias("x"))
                               .select("chunk", F.col("x.doc_id").alias("ids"), F.col("x.pp").alias("pp")), "chunks")
-        rows = points.select("doc_id", F.inline("v")).join(ids.select("doc_id", "chunk", "at"), "doc_id").join(self.terms, "term")
+        # points meet their places before they are taken apart; the terms are the side that is hashed
+        rows = points.join(ids.select("doc_id", "chunk", "at"), "doc_id").select("chunk", "at", F.inline("v")).join(self.terms.hint("shuffle_hash"), "term")
         cells = rows.select("part", "chunk", "at", "tid", F.col("w").cast("double").alias("w")).groupBy("part", "chunk").applyInArrow(
             _cell, "part int, chunk int, at binary, tid binary, w binary")
-        lane = (F.col("part") * self.lanes + F.pmod("chunk", F.lit(self.lanes))).alias("lane")
-        self.cells = materialize(cells.select(lane, "part", "chunk", "at", "tid", "w").repartition(self.parts * self.lanes, "lane"))
+        lane = (F.col("part") * self.lanes + F.pmod("chunk", F.lit(self.lanes))).cast("int").alias("lane")
+        none = F.lit(None).cast("binary")
+        heads = spark.range(self.parts * self.lanes).select(F.col("id").cast("int").alias("lane"), F.floor(F.col("id") / self.lanes).cast("int").alias("part"),
+                                                            F.lit(HEAD).alias("chunk"), none.alias("at"), none.alias("tid"), none.alias("w"))
+        cells = cells.select(lane, "part", "chunk", "at", "tid", "w").unionByName(heads)
+        # a lane's head comes first
+        self.cells = materialize(cells.repartition(self.parts * self.lanes, "lane").sortWithinPartitions("lane", "chunk"))
 
     def centroids(self, first: DataFrame):
         """The centroids of rows ``(cluster, term, w)``, with sums of zero."""
@@ -257,13 +272,14 @@ class _Grid:
 
     def _dots(self, c: DataFrame) -> DataFrame:
         """``(chunk, dots)``: the products of every cell, a cluster's after the other."""
-        wide = c.select("part", "ws")
+        wide = c.select(F.col("part").alias("of"), "ws")
+        head = F.col("chunk") == HEAD
         if self.parts <= SENT_PARTS:
-            met = self.cells.join(F.broadcast(wide), "part")
+            met = self.cells.join(F.broadcast(wide), (F.col("part") == F.col("of")) & head, "left")
         else:
-            dealt = wide.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(self.lanes - 1)))).select(
-                (F.col("part") * self.lanes + F.col("lane")).alias("lane"), "ws")
-            met = self.cells.join(dealt.hint("shuffle_hash"), "lane")
+            dealt = wide.withColumn("to", F.explode(F.sequence(F.lit(0), F.lit(self.lanes - 1)))).select(
+                (F.col("of") * self.lanes + F.col("to")).cast("int").alias("to"), "ws")
+            met = self.cells.join(dealt.hint("shuffle_hash"), (F.col("lane") == F.col("to")) & head, "left")
         return met.select("chunk", "at", "tid", "w", "ws").mapInArrow(_cell_dots(self.k), "chunk int, at binary, dots binary")
 
     def _of_chunks(self, c: DataFrame, mem: DataFrame | None) -> DataFrame:
@@ -283,7 +299,8 @@ class _Grid:
     def moved_sums(self, c: DataFrame, mem: DataFrame, size: dict[int, int]):
         """New centroids: the sums change by the points that changed their
         cluster only; a cluster without points keeps its centroid."""
-        met = self.cells.join(bounded_broadcast(mem.select("chunk", "cluster", "was")), "chunk")
+        moved = mem.where(F.exists("sizes", lambda x: x["moved"] > 0)).select("chunk", "cluster", "was")
+        met = self.cells.join(F.broadcast(moved) if self.points <= BROADCAST_MAX_ROWS * CHUNK_POINTS else moved, "chunk")
         change = met.select("part", "at", "tid", "w", "cluster", "was").mapInArrow(_cell_changes(self.k), "part int, tids binary, sums binary")
         change = change.groupBy("part").agg(F.collect_list("tids").alias("tids"), F.collect_list("sums").alias("sums"))   # a row per task and part
         both = c.select("part", "ss", "ws").join(change, "part", "left")
@@ -342,12 +359,15 @@ def _first_centroids(k: int):
 
 def _cell_dots(k: int):
     def run(batches):
+        ws = None   # of the lane that is read: one row a cluster
         for b in batches:
             for i in range(b.num_rows):
+                if b["chunk"][i].as_py() == HEAD:
+                    ws = np.ascontiguousarray(_doubles(b["ws"][i], k).T)
+                    continue
                 at, tid, w = _ints(b["at"][i]), _ints(b["tid"][i]), _doubles(b["w"][i])
-                ws = _doubles(b["ws"][i], k)
                 first = np.flatnonzero(np.diff(at, prepend=-1))
-                dots = np.add.reduceat(ws[tid] * w[:, None], first, axis=0)
+                dots = np.stack([np.add.reduceat(ws[j].take(tid) * w, first) for j in range(k)], axis=1)
                 yield pa.RecordBatch.from_pydict({"chunk": b["chunk"].slice(i, 1), "at": pa.array([at[first].tobytes()]), "dots": pa.array([dots.tobytes()])})
     return run
 
